@@ -201,10 +201,15 @@ def windows_join(
     bin; the exact bounds are tested after. Windows without a start or with an
     end before the start match nothing.
     """
-    left = samples.withColumn("_bin", F.floor(F.col(time) / bin_width))
+    left = samples.withColumn("_bin", ordered.floor_div(F.col(time), bin_width))
     right = windows.where(F.col(start) <= F.col(end)).withColumn(
         "_bin",
-        F.explode(F.sequence(F.floor(F.col(start) / bin_width), F.floor(F.col(end) / bin_width))),
+        F.explode(
+            F.sequence(
+                ordered.floor_div(F.col(start), bin_width),
+                ordered.floor_div(F.col(end), bin_width),
+            )
+        ),
     )
     return (
         left.join(right, [*keys, "_bin"])

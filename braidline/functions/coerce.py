@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from braidline.ordered import floor_div
+
 # Recording event codes and camera tracking states.
 EVENT_NAMES = {
     1: "force_restart_requested",
@@ -81,7 +83,7 @@ def decode(code: Column, names: dict[int, str], default: str = "unknown") -> Col
 def ns_to_iso(ns: Column) -> Column:
     """Epoch nanoseconds to ISO-8601 UTC text with microseconds."""
     return F.date_format(
-        F.timestamp_micros(F.floor(ns / F.lit(1000)).cast("long")),
+        F.timestamp_micros(floor_div(ns, 1000)),
         "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
     )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from braidline.ordered import floor_div
+
 # Fixed value: widest accepted distance between the color and depth images of a frame.
 RGB_DEPTH_PAIR_MAX_MS = 10.0
 
@@ -42,8 +44,8 @@ def clock_sample(t1: Column, t2: Column, t3: Column, t4: Column) -> Column:
     """
     processing = t3 - t2
     rtt = (t4 - t1) - processing
-    phone_mid = t2 + F.floor(processing / 2)
-    host_mid = t1 + F.floor((t4 - t1) / 2)
+    phone_mid = t2 + floor_div(processing, 2)
+    host_mid = t1 + floor_div(t4 - t1, 2)
     valid = (processing >= 0) & (t4 >= t1) & (rtt >= 0)
     return F.struct(
         valid.alias("valid"),

@@ -104,6 +104,12 @@ class Pieces:
     table: DataFrame | None = field(default=None)
 
 
+def floor_div(x: Column, width: int) -> Column:
+    """Exact ``floor(x / width)`` on longs; a plain division would go through double."""
+    w = F.lit(width).cast("long")
+    return F.call_function("div", x - F.pmod(x, w), w)
+
+
 def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -371,7 +377,7 @@ def trailing_rows(
         return df.select("*", *cols(w))
     size = max(rows_per_task or session.rows_per_task(df.sparkSession), k)
     ranked = scan(df, keys, order, pieces=pieces, _rank=RowNumber())
-    own = F.floor((F.col("_rank") - 1) / size)
+    own = floor_div(F.col("_rank") - 1, size)
     tail = (F.col("_rank") - 1) % size >= size - (k - 1)
     spread = ranked.withColumn(
         "_block", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)))
@@ -401,7 +407,7 @@ def time_window(
     """
     reach = max(before, after)
     block = max(block or 64 * max(reach, 1), reach, 1)
-    own = F.floor(F.col(t) / block)
+    own = floor_div(F.col(t), block)
     into_next = F.when(F.pmod(F.col(t), F.lit(block)) >= block - before, own + 1)
     into_prev = F.when(F.pmod(F.col(t), F.lit(block)) <= after, own - 1)
     copies = F.array_compact(F.array(own, into_next, into_prev))

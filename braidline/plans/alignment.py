@@ -174,13 +174,13 @@ def uniform_targets(
     dt = int(round(1_000_000_000 / fps)) if fps > 0 else 0
     if dt <= 0:
         return episodes.select(*keys, F.col(start).alias("t")).where(F.lit(False))
-    count = F.floor((F.col(end) - F.col(start)) / F.lit(dt))
+    count = ordered.floor_div(F.col(end) - F.col(start), dt)
     return (
         episodes.where((F.col(end) > F.col(start)) & (count > 0))
         .select(
             *keys,
             F.col(start).alias("_start"),
-            F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)).alias("tick"),
+            F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("tick"),
         )
         .select(*keys, "tick", (F.col("_start") + F.col("tick") * dt).alias("t"))
     )

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("joins",)
+SECTIONS = ("joins", "clocks")
 
 
 def load() -> None:

@@ -93,7 +93,7 @@ tl AS (SELECT event_id, user_id, t, cv AS camera_valid, {q6("cd / 1e6")} AS came
   CASE WHEN cd IS NULL THEN 'missing_stream' WHEN NOT cv
        THEN 'nearest_sample_outside_threshold' END AS camera_reason,
   camera_id, fv AS force_valid,
-  {q6("CASE WHEN t - bt <= xt - t THEN bt - t ELSE xt - t END / 1e6")} AS force_delta_ms,
+  {q6("CASE WHEN bt IS NULL OR xt IS NULL THEN NULL WHEN t - bt <= xt - t THEN bt - t ELSE xt - t END / 1e6")} AS force_delta_ms,
   CASE WHEN bt IS NULL OR xt IS NULL THEN 'missing_bracketing_samples'
        WHEN NOT fv THEN 'bracketing_gap_outside_threshold' END AS force_reason,
   CASE WHEN fv THEN {q6("al")} END AS alpha,
