@@ -26,7 +26,7 @@ SAMPLES_PER_TASK = 64
 _BLOCK = 64
 _HASH_RANGE = 1 << 30
 _KEY = "_key"
-_PIECE = "_piece"
+PIECE = "_piece"
 
 
 # ---------------------------------------------------------------------------
@@ -174,8 +174,10 @@ def find_pieces(
     return Pieces(spark.createDataFrame(blocked, schema))
 
 
-def _with_piece(df: DataFrame, keys: list[str], order: list[str], pieces: Pieces) -> DataFrame:
-    """Number the piece of every row: cut points strictly below it, 0 for other keys."""
+def with_piece(df: DataFrame, keys: list[str], order: list[str], pieces: Pieces) -> DataFrame:
+    """Number the piece of every row (cut points below it, 0 for other keys) and flag hot keys."""
+    if pieces.table is None:
+        return df.withColumn(PIECE, F.lit(0)).withColumn("_hot", F.lit(False))
     base = df if keys else df.withColumn(_KEY, F.lit(0))
     names = keys or [_KEY]
     table = pieces.table.select(*[F.col(k).alias(f"_h_{k}") for k in names], "_cuts")
@@ -193,7 +195,7 @@ def _with_piece(df: DataFrame, keys: list[str], order: list[str], pieces: Pieces
     piece = F.when(F.col("_cuts").isNull() | (block == 0), 0).otherwise(
         (block - 1) * _BLOCK + inner
     )
-    return joined.withColumn(_PIECE, piece).withColumn(
+    return joined.withColumn(PIECE, piece).withColumn(
         "_hot", F.col("_cuts").isNotNull()
     ).drop("_cuts", *[f"_h_{k}" for k in names])
 
@@ -308,16 +310,16 @@ def scan(
         )
 
     names = keys or [_KEY]
-    base = _with_piece(df, keys, order, pieces)
+    base = with_piece(df, keys, order, pieces)
     at = _order_struct(order)
-    part = [*names, _PIECE]
+    part = [*names, PIECE]
     summary = (
         base.where("_hot")
         .groupBy(*part)
         .agg(*[_piece_summary(s, at).alias(f"_s_{n}") for n, s in specs.items()])
     )
-    p_asc = Window.partitionBy(*names).orderBy(F.col(_PIECE).asc())
-    p_desc = Window.partitionBy(*names).orderBy(F.col(_PIECE).desc())
+    p_asc = Window.partitionBy(*names).orderBy(F.col(PIECE).asc())
+    p_desc = Window.partitionBy(*names).orderBy(F.col(PIECE).desc())
     p_whole = Window.partitionBy(*names)
     carry = summary.select(
         *[F.col(k).alias(f"_c_{k}") for k in part],

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("joins", "clocks")
+SECTIONS = ("joins", "clocks", "relations", "labels")
 
 
 def load() -> None:

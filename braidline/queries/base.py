@@ -90,11 +90,11 @@ def query(name: str, sql: str | None = None):
 def r6(x: Column | str) -> Column:
     """Rounded to six places, without a negative zero."""
     x = F.col(x) if isinstance(x, str) else x
-    return F.round(x.cast("double"), 6) + F.lit(0.0)
+    return F.rint(x.cast("double") * 1e6) / 1e6 + F.lit(0.0)
 
 
 def q6(expr: str) -> str:
-    return f"(round(({expr})::DOUBLE, 6) + 0.0::DOUBLE)"
+    return f"(round_even(({expr})::DOUBLE * 1e6::DOUBLE, 0) / 1e6::DOUBLE + 0.0::DOUBLE)"
 
 
 def r_items(col: Column, n: int, prefix: str) -> list[Column]:
