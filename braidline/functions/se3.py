@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Mat = list[list[Column]]
@@ -129,7 +129,11 @@ def _normalised(q: list[Column]) -> list[Column]:
 
 def quat_to_rotation(q: list[Column]) -> Mat:
     """Quaternion (w, x, y, z) to 3x3; it is normalised first, zero gives identity."""
-    w, x, y, z = _normalised(q)
+    return unit_quat_to_rotation(_normalised(q))
+
+
+def unit_quat_to_rotation(q: list[Column]) -> Mat:
+    w, x, y, z = q
     return [
         [1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)],
         [2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)],
@@ -262,29 +266,38 @@ def rescaled(matrix: Column) -> Column:
     )
 
 
-def source_pose(
-    matrix: Column, xyz: list[Column], quat: Column, rpy_deg: list[Column]
-) -> Column:
-    """Camera pose as 4x4: the matrix if present, else quaternion, else angles."""
+def with_source_pose(
+    df: DataFrame, name: str, matrix: Column, xyz: list[Column], quat: Column, rpy_deg: list[Column]
+) -> DataFrame:
+    """Add the camera pose as 4x4: the matrix if present, else quaternion, else angles.
+
+    Every step is a column of its own, so that Spark evaluates it once and the
+    generated code stays small.
+    """
     xyz = [F.coalesce(v, F.lit(0.0)) for v in xyz]
     rpy = [F.coalesce(v, F.lit(0.0)) for v in rpy_deg]
-    from_quat = pack(transform(quat_to_rotation(items(quat, 4)), xyz))
-    from_rpy = pack(transform(quat_to_rotation(rpy_deg_to_quat(*rpy)), xyz))
-    return F.coalesce(
-        F.when(matrix.isNotNull(), rescaled(matrix)),
-        F.when(quat.isNotNull(), from_quat),
-        from_rpy,
+    chosen = F.coalesce(quat, F.array(*rpy_deg_to_quat(*rpy)))
+    staged = df.withColumn("_q", chosen).withColumn(
+        "_q", F.array(*_normalised(items(F.col("_q"), 4)))
     )
+    built = pack(transform(unit_quat_to_rotation(items(F.col("_q"), 4)), xyz))
+    return staged.withColumn(name, F.coalesce(rescaled(matrix), built)).drop("_q")
 
 
-def tool_pose7(matrix: Column, mode: str = "camera_to_tcp", extrinsic=CAMERA_T_TCP) -> Column:
-    """Pose7 of the tool: the camera pose composed with the mounting, or passed through. (X11)"""
-    m = cells(matrix, 4, 4)
-    if mode == "passthrough":
-        return transform_to_pose7(m)
-    if mode != "camera_to_tcp":
+def with_tool_pose7(
+    df: DataFrame, name: str, matrix: str, mode: str = "camera_to_tcp", extrinsic=CAMERA_T_TCP
+) -> DataFrame:
+    """Add the tool's pose7: the camera pose composed with the mounting, or passed through. (X11)"""
+    if mode not in ("camera_to_tcp", "passthrough"):
         raise ValueError(f"unknown pose mode: {mode}")
-    return transform_to_pose7(matmul(m, literal(extrinsic)))
+    m = cells(F.col(matrix), 4, 4)
+    if mode == "camera_to_tcp":
+        m = matmul(m, literal(extrinsic))
+    staged = df.withColumn("_t", F.when(F.col(matrix).isNotNull(), pack(m)))
+    return staged.withColumn(
+        name,
+        F.when(F.col("_t").isNotNull(), transform_to_pose7(cells(F.col("_t"), 4, 4))),
+    ).drop("_t")
 
 
 def relative_pose(base: Column, other: Column) -> Column:

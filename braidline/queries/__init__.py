@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("joins", "clocks", "relations", "labels")
+SECTIONS = ("joins", "clocks", "relations", "labels", "scalars")
 
 
 def load() -> None:
