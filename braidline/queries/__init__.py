@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("joins", "clocks", "relations", "labels", "scalars")
+SECTIONS = ("joins", "clocks", "relations", "labels", "scalars", "statistics")
 
 
 def load() -> None:
