@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("joins", "clocks", "relations", "labels", "scalars", "statistics", "io")
+SECTIONS = ("joins", "clocks", "relations", "labels", "scalars", "statistics", "io", "live")
 
 
 def load() -> None:
