@@ -197,26 +197,28 @@ def effective_end(
     min_duration: int,
     max_translation: float,
     max_rotation: float,
-    block: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """First time from which the pose stays still for ``window``, else the last time.
 
     Each candidate looks at its own forward window only; no pairs of rows are
     formed across windows.
     """
-    packed = rows.withColumn("_pose", F.struct(*position, *rotation))
+    # rows before the first candidate are in no forward window
+    late = (
+        rows.join(starts.select(*keys, "effective_start"), keys)
+        .where(F.col(time) >= F.col("effective_start") + min_duration)
+        .withColumn("_pose", F.struct(*position, *rotation))
+    )
     ahead = ordered.time_window(
-        packed, keys, time, 0, window, block, _ahead=("collect_list", "_pose")
+        late, keys, time, 0, window, rows_per_task, _ahead=("collect_list", "_pose")
     )
     still = (
         (F.size("_ahead") > 1)
         & (_spread(F.col("_ahead"), position) < max_translation)
         & (_spread(F.col("_ahead"), rotation) < max_rotation)
     )
-    candidates = ahead.join(starts.select(*keys, "effective_start"), keys).where(
-        F.col(time) >= F.col("effective_start") + min_duration
-    )
-    found = candidates.where(still).groupBy(*keys).agg(F.min(time).alias("_found"))
+    found = ahead.where(still).groupBy(*keys).agg(F.min(time).alias("_found"))
     last = rows.groupBy(*keys).agg(F.max(time).alias("_last"))
     return last.join(found, keys, "left").select(
         *keys,

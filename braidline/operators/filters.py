@@ -204,7 +204,7 @@ def reject_jumps(
         "_down", F.col("_percent") - F.col("_dt")
     )
     bounds = ordered.time_window(
-        seen, keys, "_t", guard, 0, _max_up=("max", "_up"), _min_down=("min", "_down")
+        seen, keys, "_t", guard, 0, rows_per_task, _max_up=("max", "_up"), _min_down=("min", "_down")
     )
     # the row itself is in its window and always consistent with itself; the
     # small margin only makes more rows part of an island, never fewer

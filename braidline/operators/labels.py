@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,6 +136,22 @@ def _smooth_pieces(
         yield pd.concat([pdf.reset_index(drop=True), extra], axis=1)
 
 
+def _carry_levels(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Level at the start of each piece, from the ends of the pieces before it."""
+    here, level = None, None
+    for pdf in batches:
+        out = []
+        for key, end in zip(zip(*[pdf[k] for k in keys]) if keys else [()] * len(pdf), pdf["_end"]):
+            if key != here:
+                here, level = key, None
+            out.append(level)
+            if level is None:
+                level = end["_level"]
+            else:
+                level = end["_open"] + end["_weight"] * level
+        yield pdf.drop(columns="_end").assign(_carry=pd.array(out, dtype="Float64"))
+
+
 def exponential_smoothing(
     rows: DataFrame,
     keys: list[str],
@@ -171,18 +187,14 @@ def exponential_smoothing(
         .groupBy(*names)
         .agg(F.max_by(F.struct("_level", "_open", "_weight"), F.struct(*order)).alias("_end"))
     )
-    earlier = Window.partitionBy(*keys).orderBy(ordered.PIECE).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carry = ends.withColumn("_before", F.collect_list("_end").over(earlier)).select(
-        *[F.col(n).alias(f"_c_{n}") for n in names],
-        F.aggregate(
-            "_before",
-            F.lit(None).cast("double"),
-            lambda acc, e: F.when(acc.isNull(), e["_level"]).otherwise(
-                e["_open"] + e["_weight"] * acc
-            ),
-        ).alias("_carry"),
+    carry = (
+        ends.repartition(*[F.col(k) for k in keys] or [F.lit(0)])
+        .sortWithinPartitions(*names)
+        .mapInPandas(
+            lambda it: _carry_levels(it, keys),
+            T.StructType([*[ends.schema[n] for n in names], T.StructField("_carry", T.DoubleType())]),
+        )
+        .withColumnsRenamed({n: f"_c_{n}" for n in names})
     )
     joined = local.join(
         F.broadcast(carry), [F.col(n).eqNullSafe(F.col(f"_c_{n}")) for n in names], "left"

@@ -517,10 +517,15 @@ def max_abs_force(left: Column, right: Column) -> Column:
 
 
 def trailing_max_force(
-    rows: DataFrame, keys: list[str], time: str, force: str, window: int
+    rows: DataFrame,
+    keys: list[str],
+    time: str,
+    force: str,
+    window: int,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Largest force over the last ``window`` of time."""
-    return ordered.time_window(rows, keys, time, window, 0, recent_max=("max", force))
+    return ordered.time_window(rows, keys, time, window, 0, rows_per_task, recent_max=("max", force))
 
 
 def array_lengths(lengths: DataFrame, keys: list[str], length: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from braidline import session
 
-SAMPLES_PER_TASK = 64
+SAMPLES_PER_TASK = 16
 _BLOCK = 64
 _HASH_RANGE = 1 << 30
 _KEY = "_key"
@@ -142,13 +142,9 @@ def find_pieces(
         F.pmod(F.xxhash64(*[F.col(k) for k in keys], "_o"), F.lit(_HASH_RANGE))
         < int(rate * _HASH_RANGE)
     )
-    sizes = sampled.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > step)
-    # Only keys above the limit reach the list, and the whole sample is at most
-    # SAMPLES_PER_TASK * maxTasks rows.
-    same_key = [F.col(f"s.{k}").eqNullSafe(F.col(f"h.{k}")) for k in names]
-    hot = sampled.alias("s").join(sizes.alias("h"), same_key, "left_semi")
+    # the lists of all keys together hold the sample: SAMPLES_PER_TASK * maxTasks rows
     cuts = (
-        hot.groupBy(*names)
+        sampled.groupBy(*names)
         .agg(F.sort_array(F.collect_list("_o")).alias("_all"))
         .select(
             *names,
@@ -174,30 +170,34 @@ def find_pieces(
     return Pieces(spark.createDataFrame(blocked, schema))
 
 
+def _with_cuts(df: DataFrame, keys: list[str], pieces: Pieces) -> DataFrame:
+    """Add the cut points of each row's key, null for keys that are not cut."""
+    if not keys:  # one list of cut points for all rows
+        return df.withColumn(_KEY, F.lit(0)).withColumn(
+            "_cuts", pieces.table.select("_cuts").scalar()
+        )
+    table = pieces.table.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_cuts")
+    same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    return df.join(F.broadcast(table), same, "left").drop(*[f"_h_{k}" for k in keys])
+
+
+def _piece_of(place: Column) -> Column:
+    """Number of cut points below ``place``: first among the blocks, then inside one."""
+    block = F.size(F.filter("_cuts", lambda b: b[0] < place))
+    inner = F.size(F.filter(F.element_at("_cuts", block), lambda p: p < place))
+    return F.when(F.col("_cuts").isNull() | (block == 0), 0).otherwise((block - 1) * _BLOCK + inner)
+
+
 def with_piece(df: DataFrame, keys: list[str], order: list[str], pieces: Pieces) -> DataFrame:
-    """Number the piece of every row (cut points below it, 0 for other keys) and flag hot keys."""
+    """Number the piece of every row (0 for keys that are not cut) and flag hot keys."""
     if pieces.table is None:
         return df.withColumn(PIECE, F.lit(0)).withColumn("_hot", F.lit(False))
-    base = df if keys else df.withColumn(_KEY, F.lit(0))
-    names = keys or [_KEY]
-    table = pieces.table.select(*[F.col(k).alias(f"_h_{k}") for k in names], "_cuts")
-    if keys:
-        joined = base.join(
-            F.broadcast(table),
-            [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in names],
-            "left",
-        )
-    else:  # one list of cut points for all rows
-        joined = base.withColumn("_cuts", table.select("_cuts").scalar())
-    here = _order_struct(order)
-    block = F.size(F.filter("_cuts", lambda b: b[0] < here))
-    inner = F.size(F.filter(F.element_at("_cuts", block), lambda p: p < here))
-    piece = F.when(F.col("_cuts").isNull() | (block == 0), 0).otherwise(
-        (block - 1) * _BLOCK + inner
+    return (
+        _with_cuts(df, keys, pieces)
+        .withColumn(PIECE, _piece_of(_order_struct(order)))
+        .withColumn("_hot", F.col("_cuts").isNotNull())
+        .drop("_cuts")
     )
-    return joined.withColumn(PIECE, piece).withColumn(
-        "_hot", F.col("_cuts").isNotNull()
-    ).drop("_cuts", *[f"_h_{k}" for k in names])
 
 
 def _frame(w, strict: bool):
@@ -398,27 +398,36 @@ def time_window(
     t: str,
     before: int,
     after: int,
-    block: int | None = None,
+    rows_per_task: int | None = None,
     **aggs: tuple[str, Any],
 ) -> DataFrame:
     """Aggregates over rows of the key with time in ``[t - before, t + after]``.
 
-    Time is cut into blocks of ``block`` (at least the window's width); rows
-    near a border are copied into the neighbouring block, so that no task sees
-    more than one block of a key.
+    A large key is cut by time; a row is copied into every piece whose rows can
+    see it, so that each piece is complete by itself.
     """
-    reach = max(before, after)
-    block = max(block or 64 * max(reach, 1), reach, 1)
-    own = floor_div(F.col(t), block)
-    into_next = F.when(F.pmod(F.col(t), F.lit(block)) >= block - before, own + 1)
-    into_prev = F.when(F.pmod(F.col(t), F.lit(block)) <= after, own - 1)
-    copies = F.array_compact(F.array(own, into_next, into_prev))
-    part = [F.col(c) for c in keys]
-    w = Window.partitionBy(*part, "_block").orderBy(t).rangeBetween(-before, after)
+    keys = list(keys)
+    pieces = find_pieces(df, keys, [t], rows_per_task)
+    part = [F.col(c) for c in keys] or [F.lit(0)]
+
+    def cols(w):
+        w = w.orderBy(t).rangeBetween(-before, after)
+        return [getattr(F, how)(_col(v)).over(w).alias(n) for n, (how, v) in aggs.items()]
+
+    if pieces.table is None:
+        return df.select("*", *cols(Window.partitionBy(*part)))
+
+    def at(shift: int) -> Column:
+        return F.struct((F.col(t) + F.lit(shift)).cast(df.schema[t].dataType).alias(t))
+
+    spread = _with_cuts(df, keys, pieces).select(
+        *df.columns,
+        _piece_of(at(0)).alias("_own"),
+        F.explode(F.sequence(_piece_of(at(-after)), _piece_of(at(before)))).alias(PIECE),
+    )
     return (
-        df.withColumn("_block", F.explode(copies))
-        .select("*", *[getattr(F, how)(_col(v)).over(w).alias(n) for n, (how, v) in aggs.items()])
-        .where(F.col("_block") == own)
+        spread.select("*", *cols(Window.partitionBy(*part, PIECE)))
+        .where(F.col(PIECE) == F.col("_own"))
         .select(*df.columns, *aggs)
     )
 
@@ -436,13 +445,11 @@ def percentiles(
     Equal values are counted before the ordered scan, and no group is ever
     held in one aggregation buffer.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    keys, known = list(keys), df.where(F.col(value).isNotNull())
+    pieces = find_pieces(known, keys, [value], rows_per_task)
+    counted = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = scan(
-        counted, keys, [value], rows_per_task, _upto=RunSum("_n"), _size=Total("sum", "_n")
+        counted, keys, [value], pieces=pieces, _upto=RunSum("_n"), _size=Total("sum", "_n")
     )
 
     def at(rank: Column) -> Column:

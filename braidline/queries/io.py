@@ -444,7 +444,7 @@ def k2_incremental_episodes(t: Tables):
     )
     third = F.col("source_episode_index") % 3
     sinks.write_episodes(rows.where(third < 2), path)
-    sinks.write_episodes(rows.where(third == 0).withColumn("value", F.col("value") + 1000), path, salt=2)
+    sinks.write_episodes(rows.where(third == 0).withColumn("value", F.col("value") + 1000), path)
     back = t.spark.read.parquet(path)
     return back.select(
         F.col("source_episode_index").cast("long").alias("source_episode_index"), "event_id", "value"

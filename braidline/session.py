@@ -35,12 +35,12 @@ def local_session(app: str = "braidline", cpus: int | str = "*", **conf: str) ->
 
 def rows_per_task(spark: SparkSession) -> int:
     """Rows of one key that one task may order by itself."""
-    return int(spark.conf.get(ROWS_PER_TASK, "4000000"))
+    return int(spark.conf.get(ROWS_PER_TASK, "2000000"))
 
 
 def max_tasks(spark: SparkSession) -> int:
     """Upper bound on the pieces all hot keys together are cut into."""
-    return int(spark.conf.get(MAX_TASKS, "4096"))
+    return int(spark.conf.get(MAX_TASKS, "32768"))
 
 
 def shared_dir(spark: SparkSession) -> str:

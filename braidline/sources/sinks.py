@@ -23,20 +23,18 @@ def write_stream(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 EPISODE_KEYS = ["run_id", "source_episode_index"]
 
 
-def write_episodes(rows: DataFrame, path: str, keys: list[str] | None = None, salt: int = 1) -> int:
+def write_episodes(rows: DataFrame, path: str, keys: list[str] | None = None) -> int:
     """Append or replace exactly the episodes in ``rows``; all others stay untouched. (K2)
 
     Dynamic overwrite swaps whole episode partitions when the job commits, so a
-    failed job changes nothing. ``salt`` spreads an episode too large for one
-    task over several files.
+    failed job changes nothing. The rebalance brings the rows of an episode
+    together, shares a large episode out over several files and packs small ones.
     """
     keys = keys or EPISODE_KEYS
-    rest = [c for c in rows.columns if c not in keys]
-    spread = F.pmod(F.xxhash64(*rest), F.lit(salt)) if salt > 1 else F.lit(0)
     seen = Observation()
     (
         rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        .repartition(*keys, spread)
+        .hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
