@@ -177,6 +177,8 @@ def clamped_interpolation(
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Linear interpolation of ``values`` at the targets; the end values hold outside the range."""
+    needed = dict.fromkeys([*keys, sources.time, sources.seq, *values])
+    sources = Stream(sources.df.select(*needed), sources.time, sources.seq)
     both = bracket_join(targets, {name: sources}, keys, time, seq, rows_per_task)
     before, after = bracket(name, time)
     lo, hi = F.coalesce(before, after), F.coalesce(after, before)

@@ -62,6 +62,7 @@ def lower_envelope_fit(
     pairs, too short a span or an implausible slope has none.
     """
     known = pairs.where(F.col(x_ns).isNotNull() & F.col(y_ns).isNotNull())
+    small = ordered.whole_if_small(known, rows_per_task)
     broken = F.max(F.col(reset).cast("int")) if reset else F.lit(0)
     line = (
         known.groupBy(*keys)
@@ -84,7 +85,7 @@ def lower_envelope_fit(
         "_r", (F.col(y_ns) - F.col("_my")) - F.col("scale") * (F.col(x_ns) - F.col("_mx"))
     )
     spread = ordered.percentiles(
-        offsets, keys, "_r", rows_per_task,
+        offsets, keys, "_r", rows_per_task, small,
         _p1=ENVELOPE_FRACTION, _p50=0.50, _p95=0.95, _p99=0.99, _max=1.0,
     )
     return line.join(spread, keys).select(
@@ -117,8 +118,9 @@ def two_way_fit(
     and it is plausible, else 1) and the median offset.
     """
     usable = samples.where((F.col(phone_ns) >= 0) & (F.col(host_ns) >= 0) & (F.col(rtt_ns) >= 0))
+    small = ordered.whole_if_small(usable, rows_per_task)
     ranked = ordered.scan(
-        usable, keys, [rtt_ns, seq], rows_per_task,
+        usable, keys, [rtt_ns, seq], rows_per_task, small,
         _rank=ordered.RowNumber(), _n=ordered.Total("count", rtt_ns),
     )
     quota = F.least(
@@ -149,10 +151,10 @@ def two_way_fit(
     centred = chosen.join(line.select(*keys, "scale", "_mx", "_my"), keys).withColumn(
         "_o", (F.col(host_ns) - F.col("_my")) - F.col("scale") * (F.col(phone_ns) - F.col("_mx"))
     )
-    middle = ordered.percentiles(centred, keys, "_o", rows_per_task, _mid=0.5)
+    middle = ordered.percentiles(centred, keys, "_o", rows_per_task, small, _mid=0.5)
     off = centred.join(middle, keys).withColumn("_abs", F.abs(F.col("_o") - F.col("_mid")))
-    residuals = ordered.percentiles(off, keys, "_abs", rows_per_task, _r50=0.50, _r95=0.95)
-    trips = ordered.percentiles(usable, keys, rtt_ns, rows_per_task, _t50=0.50, _t95=0.95)
+    residuals = ordered.percentiles(off, keys, "_abs", rows_per_task, small, _r50=0.50, _r95=0.95)
+    trips = ordered.percentiles(usable, keys, rtt_ns, rows_per_task, small, _t50=0.50, _t95=0.95)
     return (
         line.join(middle, keys)
         .join(residuals, keys)

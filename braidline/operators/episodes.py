@@ -32,15 +32,16 @@ def pair_start_stop(
     marks = events.where(
         F.col(kind).isin("record_start", "record_stop") & F.col(time).isNotNull()
     ).select(session, kind, time, seq)
+    small = ordered.whole_if_small(marks, rows_per_task)
     ranked = ordered.scan(
-        marks, [session, kind], [time, seq], rows_per_task, _rank=ordered.RowNumber()
+        marks, [session, kind], [time, seq], rows_per_task, small, _rank=ordered.RowNumber()
     )
     pairs = ranked.groupBy(session, "_rank").agg(
         F.max(F.when(F.col(kind) == "record_start", F.col(time))).alias("start_ns"),
         F.max(F.when(F.col(kind) == "record_stop", F.col(time))).alias("end_ns"),
     )
     follow = ordered.scan(
-        pairs, [session], ["_rank"], rows_per_task, _next=ordered.Lead("start_ns")
+        pairs, [session], ["_rank"], rows_per_task, small, _next=ordered.Lead("start_ns")
     )
     seconds = (F.col("end_ns") - F.col("start_ns")) / 1e9
     judged = follow.withColumn(
@@ -62,7 +63,7 @@ def pair_start_stop(
     clean = judged.join(violations.select(session), session, "left_anti")
     indexed = ordered.scan(
         clean.select(session, "start_ns", "end_ns"), [], ["start_ns", session], rows_per_task,
-        _n=ordered.RowNumber(),
+        small, _n=ordered.RowNumber(),
     )
     episodes = indexed.select(
         (F.col("_n") - 1).alias("episode_index"), session, "start_ns", "end_ns"

@@ -170,6 +170,13 @@ def find_pieces(
     return Pieces(spark.createDataFrame(blocked, schema))
 
 
+def whole_if_small(df: DataFrame, rows_per_task: int | None = None) -> Pieces | None:
+    """Empty cut points when ``df`` fits one task, so that scans of anything no larger skip
+    their own count; None when each scan has to look for itself."""
+    limit = rows_per_task or session.rows_per_task(df.sparkSession)
+    return Pieces() if df.count() <= limit else None
+
+
 def _with_cuts(df: DataFrame, keys: list[str], pieces: Pieces) -> DataFrame:
     """Add the cut points of each row's key, null for keys that are not cut."""
     if not keys:  # one list of cut points for all rows
@@ -437,6 +444,7 @@ def percentiles(
     keys: list[str],
     value: str,
     rows_per_task: int | None = None,
+    pieces: Pieces | None = None,
     **fractions: float | str,
 ) -> DataFrame:
     """Exact percentiles per key with linear interpolation between ranks.
@@ -446,7 +454,7 @@ def percentiles(
     held in one aggregation buffer.
     """
     keys, known = list(keys), df.where(F.col(value).isNotNull())
-    pieces = find_pieces(known, keys, [value], rows_per_task)
+    pieces = pieces or find_pieces(known, keys, [value], rows_per_task)
     counted = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = scan(
         counted, keys, [value], pieces=pieces, _upto=RunSum("_n"), _size=Total("sum", "_n")

@@ -32,9 +32,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._open: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The table; its file footers are read once."""
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._open[name]
 
     def events(self, *kinds: str) -> DataFrame:
         """Events with their time in nanoseconds as ``t``."""

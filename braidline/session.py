@@ -25,6 +25,8 @@ def local_session(app: str = "braidline", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # call sites of every expression are only of use in error messages
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -72,11 +72,12 @@ def aligned_index(
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """The flat 14-column index of a timeline. (K3)"""
+    small = ordered.whole_if_small(timeline, rows_per_task)
     local = ordered.scan(
-        timeline, [episode], [time, seq], rows_per_task, _i=ordered.RowNumber()
+        timeline, [episode], [time, seq], rows_per_task, small, _i=ordered.RowNumber()
     )
     every = ordered.scan(
-        local, [], [episode, "_i"], rows_per_task, _g=ordered.RowNumber()
+        local, [], [episode, "_i"], rows_per_task, small, _g=ordered.RowNumber()
     )
     return every.select(
         (F.col("_g") - 1).alias("global_sample_index"),
