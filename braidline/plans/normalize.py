@@ -1,7 +1,9 @@
 """Raw streams of all runs to normalised tables on the host clock.
 
 Inputs are tables with a run_id; every function works on all runs, sessions and
-sources at once. Sessions and sources are keys, never loops.
+sources at once. Sessions and sources are keys, never loops. Write the results
+as tables of the normalised layer before the next stage reads them: stages look
+at their input more than once, to fit clocks and to cut large keys.
 """
 
 from __future__ import annotations

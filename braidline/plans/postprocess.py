@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from braidline import asof
+from braidline import asof, session
 from braidline.operators import episodes, filters, gates
 from braidline.plans import alignment, training
 
@@ -30,7 +30,12 @@ class Settings:
 
 @dataclass(frozen=True)
 class Result:
-    """Tables of one run of the stages; nothing is computed until one is used."""
+    """Tables of one run of the stages.
+
+    Episodes and timeline are written to the shared folder as they are made, so
+    that later stages, and tasks that are run again, read them instead of
+    computing them anew.
+    """
 
     episodes: DataFrame
     refused_sessions: DataFrame
@@ -70,6 +75,8 @@ def postprocess(
     named = found.join(
         marks.select("session_key", "run_id", "session_id").distinct(), "session_key"
     ).drop("session_key")
+    spark = frames.sparkSession
+    named = session.materialise(spark, named, "episodes")
 
     targets = in_episodes(frames, named, ["run_id", "session_id"], "aligned_ns", s.window_bin_ns)
     windows = named.select("run_id", "episode_index", "start_ns", "end_ns")
@@ -95,6 +102,7 @@ def postprocess(
         pair_valid="rgb_depth_pair_valid",
         rows_per_task=s.rows_per_task,
     )
+    timeline = session.materialise(spark, timeline, "timeline")
     counts = alignment.alignment_counts(timeline, EPISODE).withColumn(
         "duplicate_targets", F.lit(0)
     )

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from braidline import session
 from braidline.plans import normalize, postprocess
 from braidline.sources import sinks
 
@@ -60,15 +61,23 @@ def raw(spark, frames=60):
 
 
 @pytest.fixture(scope="module")
-def result(spark):
-    r = raw(spark)
-    timed = normalize.phone_timing(r["index"], r["sync"])
+def normal(spark):
+    r = {k: session.materialise(spark, v, k) for k, v in raw(spark).items()}
+    timed = session.materialise(spark, normalize.phone_timing(r["index"], r["sync"]), "timed")
     frames, bad = normalize.phone_frames(timed, r["meta"], r["depth"])
     assert bad.count() == 0
-    events = normalize.phone_events(r["events"], timed)
-    camera = normalize.camera_frames(r["camera"], r["offsets"], (480, 640))
-    force = normalize.force_samples(r["force"])
-    return frames, postprocess.postprocess(frames, events, camera, force)
+    out = dict(
+        frames=frames,
+        events=normalize.phone_events(r["events"], timed),
+        camera=normalize.camera_frames(r["camera"], r["offsets"], (480, 640)),
+        force=normalize.force_samples(r["force"]),
+    )
+    return {k: session.materialise(spark, v, k) for k, v in out.items()}
+
+
+@pytest.fixture(scope="module")
+def result(normal):
+    return normal["frames"], postprocess.postprocess(**normal)
 
 
 def test_frames_are_on_the_host_clock(result):
@@ -133,16 +142,7 @@ def test_registry_keeps_the_newest(spark, tmp_path):
     assert [r["path"] for r in latest] == ["two"]
 
 
-def test_large_keys_give_the_same_training_rows(spark, result):
-    r = raw(spark)
-    timed = normalize.phone_timing(r["index"], r["sync"], 15)
-    frames, _ = normalize.phone_frames(timed, r["meta"], r["depth"], 15)
-    out = postprocess.postprocess(
-        frames,
-        normalize.phone_events(r["events"], timed),
-        normalize.camera_frames(r["camera"], r["offsets"]),
-        normalize.force_samples(r["force"], rows_per_task=60),
-        postprocess.Settings(rows_per_task=20),
-    )
+def test_large_keys_give_the_same_training_rows(normal, result):
+    out = postprocess.postprocess(**normal, settings=postprocess.Settings(rows_per_task=60))
     key = lambda x: x["sequence"]
     assert sorted(out.training.collect(), key=key) == sorted(result[1].training.collect(), key=key)
