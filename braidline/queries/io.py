@@ -215,49 +215,51 @@ def s5_short_sessions(t: Tables):
 
 
 def _demos(t: Tables):
-    """Conversations as demo documents, one JSON value each."""
-    c = F.col("conv_id")
-    eye = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(3)]) for i in range(3)])
-    stamp = F.concat(
-        F.lit("2024-01-01T00:"), F.lpad(F.col("turn").cast("string"), 2, "0"), F.lit(":00.5Z")
-    )
-    row = F.concat(
-        F.transform(eye, lambda r: F.concat(r, F.array(F.col("turn").cast("double")))),
-        F.array(F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))),
-    )
-    camera = F.struct(
-        F.struct(
-            F.col("turn").cast("double").alias("x"), F.lit(2.0).alias("y"), F.lit(3.0).alias("z")
-        ).alias("position"),
-        F.struct(
-            F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(1.0).alias("z"), F.lit(1.0).alias("w")
-        ).alias("orientation"),
-    )
-    packed = (
-        t.conversations()
-        .where(F.col("turn") < 60)
-        .select("conv_id", F.struct("turn", stamp.alias("s"), row.alias("m"), camera.alias("c")).alias("p"))
-        .groupBy("conv_id")
-        .agg(F.array_sort(F.collect_list("p")).alias("p"))
-    )
-    keep = F.lit(True)
-    return packed.select(
-        "conv_id",
-        F.concat(F.lit("/demo/"), F.when(c % 2 == 0, "left").otherwise("right"), F.lit("_demo.json")).alias(
-            "source_file"
-        ),
-        F.col("p.s").alias("poseTimes"),
-        F.when((c % 3 != 0) & keep, F.col("p.m")).alias("poseTransforms"),
-        F.when(c % 3 == 0, F.col("p.c")).alias("cameraPoses"),
+    """Vectors as demo documents of eight poses each: a third with camera poses, the rest 4x4."""
+    v = F.col("vec_id")
+    frame = F.sequence(F.lit(0), F.lit(7))
+    zero, one = F.lit(0.0), F.lit(1.0)
+
+    def stamp(i):
+        return F.concat(F.lit("2024-01-01T00:0"), i.cast("string"), F.lit(":00.5Z"))
+
+    def matrix(i):
+        x = i.cast("double")
+        return F.array(
+            F.array(one, zero, zero, x),
+            F.array(zero, one, zero, x),
+            F.array(zero, zero, one, F.get("e", i)),
+            F.array(zero, zero, zero, one),
+        )
+
+    def camera(i):
+        return F.struct(
+            F.struct(
+                i.cast("double").alias("x"), F.lit(2.0).alias("y"), F.get("e", i).alias("z")
+            ).alias("position"),
+            F.struct(zero.alias("x"), zero.alias("y"), one.alias("z"), one.alias("w")).alias(
+                "orientation"
+            ),
+        )
+
+    name = F.concat(F.lit("/demo/"), F.when(v % 2 == 0, "left").otherwise("right"), F.lit(".json"))
+    return t.vectors().select(
+        "vec_id",
+        name.alias("source_file"),
+        F.transform(frame, stamp).alias("poseTimes"),
+        F.when(v % 3 != 0, F.transform(frame, matrix)).alias("poseTransforms"),
+        F.when(v % 3 == 0, F.transform(frame, camera)).alias("cameraPoses"),
         F.lit(None).cast("array<array<double>>").alias("poses"),
     )
 
 
+DEMO = f"(SELECT vec_id, e, unnest(range(8)) AS i FROM {VEC})"
+
+
 @query(
     "s6_demo_rows",
-    """SELECT CASE WHEN conv_id % 2 = 0 THEN 'left' ELSE 'right' END AS side,
-  row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS frame_index,
-  1704067200500000000 + turn * 60000000000 AS t FROM conversations WHERE turn < 60""",
+    f"""SELECT CASE WHEN vec_id % 2 = 0 THEN 'left' ELSE 'right' END AS side, i AS frame_index,
+  1704067200500000000 + i * 60000000000 AS t FROM {DEMO}""",
 )
 def s6_demo_rows(t: Tables):
     rows = text.explode_demo(_demos(t))
@@ -266,16 +268,15 @@ def s6_demo_rows(t: Tables):
 
 @query(
     "s7_demo_pose",
-    f"""SELECT 1704067200500000000 + turn * 60000000000 AS t, turn::DOUBLE AS x,
-  CASE WHEN conv_id % 3 = 0 THEN 3.0 ELSE turn END::DOUBLE AS z,
-  {q6("CASE WHEN conv_id % 3 = 0 THEN pi() / 2 ELSE 0 END")} AS turn_z FROM conversations WHERE turn < 60""",
+    f"""SELECT 1704067200500000000 + i * 60000000000 AS t, i::DOUBLE AS x, {q6("e[i + 1]")} AS z,
+  {q6("CASE WHEN vec_id % 3 = 0 THEN pi() / 2 ELSE 0 END")} AS turn_z FROM {DEMO}""",
 )
 def s7_demo_pose(t: Tables):
     rows = text.with_demo_pose(text.explode_demo(_demos(t)))
     return rows.select(
         "t",
         F.get("pose", F.lit(0)).alias("x"),
-        F.get("pose", F.lit(2)).alias("z"),
+        r6(F.get("pose", F.lit(2))).alias("z"),
         r6(F.get("pose", F.lit(5))).alias("turn_z"),
     )
 
@@ -314,7 +315,9 @@ def depth_index(t: Tables):
     fs, inner = pafs.FileSystem.from_uri(root)
     fs.create_dir(inner, recursive=True)
     schema = "vec_id long, label int, path string, byte_offset long"
-    written = t.vectors().mapInPandas(lambda it: _depth_files(it, root), schema)
+    # multiples of 1/64 have an exact half-float form
+    exact = t.vectors().withColumn("e", F.transform("e", lambda x: F.rint(x * 64) / 64))
+    written = exact.mapInPandas(lambda it: _depth_files(it, root), schema)
     index = session.materialise(t.spark, written, "depth-index")
     return index.select(
         "*",
@@ -326,40 +329,59 @@ def depth_index(t: Tables):
     )
 
 
+PIXELS = f"""(SELECT vec_id, label, i // 8 AS r, i % 8 AS c, round_even(e[i + 1] * 64, 0) / 64 AS v FROM
+  (SELECT vec_id, label, e, unnest(range(64)) AS i FROM {VEC}) WHERE vec_id % 25 <> 3)"""
+VALID = "v > 0.05 AND v < 8"
+
+
 @query(
     "s9_decode_depth",
-    f"""SELECT vec_id, round(CASE WHEN vec_id % 25 <> 3 THEN least(0.5, greatest(0, e[1])) END, 2) AS d0,
-  round(CASE WHEN vec_id % 25 <> 3 THEN least(0.5, greatest(0, e[19])) END, 2) AS d5 FROM {VEC}""",
+    f"""SELECT a.vec_id, {q6("d0")} AS d0, {q6("d5")} AS d5 FROM (SELECT vec_id FROM {VEC}) a LEFT JOIN
+  (SELECT vec_id, max(least(0.5, greatest(0, v))) FILTER (r = 0 AND c = 0) AS d0,
+    max(least(0.5, greatest(0, v))) FILTER (r = 2 AND c = 2) AS d5 FROM {PIXELS} GROUP BY 1) USING (vec_id)""",
 )
 def s9_decode_depth(t: Tables):
-    """8x8 images reduced to 4x4: pixel 5 of the result is pixel 18 of the image."""
+    """8x8 images reduced to 4x4: pixel 5 of the result is row 2, column 2 of the image."""
     out = binary.decode_depth(depth_index(t), ["vec_id"], (4, 4))
-
-    def at(i: int):
-        return F.round(F.get("depth", F.lit(i)).cast("double"), 2)
-
-    return out.select("vec_id", at(0).alias("d0"), at(5).alias("d5"))
+    return out.select(
+        "vec_id", r6(F.get("depth", F.lit(0))).alias("d0"), r6(F.get("depth", F.lit(5))).alias("d5")
+    )
 
 
-@query("a23_depth_stats")
+@query(
+    "a23_depth_stats",
+    f"""SELECT label, count(DISTINCT vec_id) AS frames, {q6("min(v)")} AS min_m, {q6("max(v)")} AS max_m,
+  {q6("avg(v)")} AS mean_m, {q6("avg((v > 0)::INT)")} AS nonzero_ratio FROM {PIXELS} GROUP BY 1""",
+)
 def a23_depth_stats(t: Tables):
     frames = binary.depth_frame_stats(depth_index(t), ["vec_id", "label"])
     out = binary.depth_stats(frames, ["label"])
-    return out.select(
-        "label", "frames", *[F.round(c, 4).alias(c) for c in ("min_m", "max_m", "mean_m", "nonzero_ratio")]
-    )
+    measures = ("min_m", "max_m", "mean_m", "nonzero_ratio")
+    return out.select("label", "frames", *[r6(c).alias(c) for c in measures])
 
 
-@query("a35_depth_frame_stats")
+@query(
+    "a35_depth_frame_stats",
+    f"""SELECT a.vec_id, n IS NOT NULL AS readable, {q6("m")} AS center_m, {q6("n")} AS valid_ratio
+  FROM (SELECT vec_id FROM {VEC}) a LEFT JOIN (SELECT vec_id, avg(({VALID})::INT) AS n,
+    avg(v) FILTER (r BETWEEN 2 AND 6 AND c BETWEEN 2 AND 6 AND {VALID}) AS m FROM {PIXELS} GROUP BY 1) USING (vec_id)""",
+)
 def a35_depth_frame_stats(t: Tables):
     out = binary.depth_frame_stats(depth_index(t), ["vec_id"])
-    return out.select("vec_id", "readable", r6("center_m").alias("center_m"), r6("valid_ratio").alias("valid_ratio"))
+    return out.select(
+        "vec_id", "readable", r6("center_m").alias("center_m"), r6("valid_ratio").alias("valid_ratio")
+    )
 
 
-@query("a36_depth_resample")
+@query(
+    "a36_depth_resample",
+    f"""SELECT a.vec_id, coalesce(n, 0) AS valid_pixels, {q6("d0")} AS d0 FROM (SELECT vec_id FROM {VEC}) a LEFT JOIN
+  (SELECT vec_id, count(*) FILTER (r % 2 = 1 AND c % 2 = 1 AND v > 0) AS n,
+    max(greatest(0, v)) FILTER (r = 1 AND c = 1) AS d0 FROM {PIXELS} GROUP BY 1) USING (vec_id)""",
+)
 def a36_depth_resample(t: Tables):
     out = binary.resample_depth(depth_index(t), ["vec_id"], (4, 4))
-    return out.select("vec_id", "valid_pixels", F.round(F.get("depth", F.lit(0)).cast("double"), 3).alias("d0"))
+    return out.select("vec_id", "valid_pixels", r6(F.get("depth", F.lit(0))).alias("d0"))
 
 
 @query(

@@ -410,36 +410,32 @@ def a22_array_lengths(t: Tables):
 
 @query(
     "a24_demo_checks",
-    f"""WITH d AS (SELECT conv_id, list(turn::DOUBLE ORDER BY turn) AS p FROM conversations GROUP BY 1)
-  SELECT conv_id, conv_id % 4 = 0 AS ok, concat_ws(',', CASE WHEN conv_id % 4 = 1 THEN 'frame_count' END,
-    CASE WHEN conv_id % 4 = 2 THEN 'not_increasing' END, CASE WHEN conv_id % 4 = 3 THEN 'transform_shape' END) AS errors,
-    {q6("CASE WHEN len(p) > 1 AND conv_id % 4 <> 2 THEN p[-1] - p[1] END")} AS duration_s FROM d WHERE len(p) > 1""",
+    f"""SELECT vec_id, vec_id % 4 = 0 AS ok, concat_ws(',', CASE WHEN vec_id % 4 = 1 THEN 'frame_count' END,
+    CASE WHEN vec_id % 4 = 2 THEN 'not_increasing' END, CASE WHEN vec_id % 4 = 3 THEN 'transform_shape' END) AS errors,
+  {q6("CASE WHEN vec_id % 4 <> 2 THEN label + 1 END")} AS duration_s, {q6("CASE WHEN vec_id % 4 <> 2 THEN 1 END")} AS fps FROM {VEC}""",
 )
 def a24_demo_checks(t: Tables):
-    """Conversations as demos: a turn is a frame. One check breaks per residue of the id."""
-    c = F.col("conv_id") % 4
+    """Every vector is a demo of label + 2 poses; one check breaks per residue of its id."""
+    c = F.col("vec_id") % 4
     eye = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(4)]) for i in range(4)])
-    flat = F.slice(eye, 1, 3)
-    demos = (
-        t.conversations()
-        .groupBy("conv_id")
-        .agg(F.array_sort(F.collect_list(F.col("turn").cast("double"))).alias("p"))
-        .where(F.size("p") > 1)
-        .select(
-            "conv_id",
-            F.when(c == 2, F.reverse("p")).otherwise(F.col("p")).alias("pose_times"),
-            F.transform("p", lambda _: F.when(c == 3, flat).otherwise(eye)).alias(
-                "pose_transforms"
-            ),
-            F.when(c == 1, F.slice("p", F.lit(2), F.size("p"))).otherwise(F.col("p")).alias(
-                "frame_times"
-            ),
-            F.lit(None).cast("array<double>").alias("depth_times"),
-            F.lit(None).cast("array<double>").alias("widths"),
-        )
+    rows = t.vectors().withColumn(
+        "p", F.transform(F.sequence(F.lit(0), F.col("label") + 1), lambda i: i.cast("double"))
+    )
+    missing = F.lit(None).cast("array<double>")
+    demos = rows.select(
+        "vec_id",
+        F.when(c == 2, F.reverse("p")).otherwise(F.col("p")).alias("pose_times"),
+        F.transform("p", lambda _: F.when(c == 3, F.slice(eye, 1, 3)).otherwise(eye)).alias(
+            "pose_transforms"
+        ),
+        F.when(c == 1, F.slice("p", F.lit(2), F.size("p"))).otherwise(F.col("p")).alias("frame_times"),
+        missing.alias("depth_times"),
+        missing.alias("widths"),
+    )
+    out = statistics.demo_checks(demos, "vec_id")
+    return out.select(
+        "vec_id", "ok", "errors", r6("duration_s").alias("duration_s"), r6("fps").alias("fps")
     )
-    out = statistics.demo_checks(demos, "conv_id")
-    return out.select("conv_id", "ok", "errors", r6("duration_s").alias("duration_s"))
 
 
 @query(
