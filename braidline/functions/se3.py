@@ -121,7 +121,7 @@ def swap_halves(vector: Column) -> Column:
     return F.concat(F.slice(vector, 4, 3), F.slice(vector, 1, 3))
 
 
-def _normalised(q: list[Column]) -> list[Column]:
+def unit_quat(q: list[Column]) -> list[Column]:
     norm = F.sqrt(_total([x * x for x in q]))
     identity = (1.0, 0.0, 0.0, 0.0)
     return [F.when(norm > 0, x / norm).otherwise(F.lit(d)) for x, d in zip(q, identity)]
@@ -129,7 +129,7 @@ def _normalised(q: list[Column]) -> list[Column]:
 
 def quat_to_rotation(q: list[Column]) -> Mat:
     """Quaternion (w, x, y, z) to 3x3; it is normalised first, zero gives identity."""
-    return unit_quat_to_rotation(_normalised(q))
+    return unit_quat_to_rotation(unit_quat(q))
 
 
 def unit_quat_to_rotation(q: list[Column]) -> Mat:
@@ -179,7 +179,7 @@ def rpy_deg_to_quat(roll: Column, pitch: Column, yaw: Column) -> list[Column]:
     """Roll, pitch, yaw in degrees (applied x, then y, then z) to a unit quaternion."""
     half = [F.radians(a) / 2 for a in (roll, pitch, yaw)]
     (cr, cp, cy), (sr, sp, sy) = [F.cos(h) for h in half], [F.sin(h) for h in half]
-    return _normalised(
+    return unit_quat(
         [
             cr * cp * cy + sr * sp * sy,
             sr * cp * cy - cr * sp * sy,
@@ -278,7 +278,7 @@ def with_source_pose(
     rpy = [F.coalesce(v, F.lit(0.0)) for v in rpy_deg]
     chosen = F.coalesce(quat, F.array(*rpy_deg_to_quat(*rpy)))
     staged = df.withColumn("_q", chosen).withColumn(
-        "_q", F.array(*_normalised(items(F.col("_q"), 4)))
+        "_q", F.array(*unit_quat(items(F.col("_q"), 4)))
     )
     built = pack(transform(unit_quat_to_rotation(items(F.col("_q"), 4)), xyz))
     return staged.withColumn(name, F.coalesce(rescaled(matrix), built)).drop("_q")

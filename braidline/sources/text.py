@@ -197,12 +197,13 @@ def with_demo_pose(rows: DataFrame, name: str = "pose") -> DataFrame:
     """Position and rotation vector from the camera pose, else 4x4, else six numbers."""
     q = F.col("camera_pose.orientation")
     p = F.col("camera_pose.position")
-    staged = rows.withColumn(
+    unit = F.array(*se3.unit_quat([q["w"], q["x"], q["y"], q["z"]]))
+    staged = rows.withColumn("_q", F.when(F.col("camera_pose").isNotNull(), unit)).withColumn(
         "_r",
         F.coalesce(
             F.when(
-                F.col("camera_pose").isNotNull(),
-                se3.pack(se3.quat_to_rotation([q["w"], q["x"], q["y"], q["z"]])),
+                F.col("_q").isNotNull(),
+                se3.pack(se3.unit_quat_to_rotation(se3.items(F.col("_q"), 4))),
             ),
             F.when(
                 F.col("transform").isNotNull(),
@@ -217,7 +218,7 @@ def with_demo_pose(rows: DataFrame, name: str = "pose") -> DataFrame:
     six = F.when(F.size("pose6") == 6, F.col("pose6"))
     return staged.withColumn(
         name, F.when(F.col("_r").isNotNull(), F.concat(place, turn)).otherwise(six)
-    ).drop("_r")
+    ).drop("_r", "_q")
 
 
 def pick_time_column(df: DataFrame, candidates: list[str] | None = None) -> Column:
