@@ -61,7 +61,8 @@ def bracket_join(
             ),
             allowMissingColumns=True,
         )
-    # streams and targets may share (time, kind, seq); the ordinal makes ranks unique
+    # rows of two streams may share time and seq: each stream fills a column of its own,
+    # so their order among each other does not matter
     specs = {}
     for name in streams:
         specs[f"{name}_before"] = ordered.Fill(f"_s_{name}")

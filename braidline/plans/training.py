@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidline import asof
+from braidline import asof, ordered
 from braidline.functions import gripper, se3, timing
 
 
@@ -34,14 +34,13 @@ def robot_table(
     )
 
 
-def with_commands(rows: DataFrame, pose: str, gripper_value: str) -> DataFrame:
-    """Commands as copies of the feedback, and a constant stiffness."""
+def with_commands(rows: DataFrame, pose: str, stiffness: float = 0.0) -> DataFrame:
+    """Command and virtual target as copies of the feedback, and a constant stiffness."""
     return rows.select(
         "*",
         F.col(pose).alias("ts_pose_command"),
         F.col(pose).alias("ts_pose_virtual_target"),
-        F.col(gripper_value).alias("gripper_command"),
-        F.lit(0.0).alias("stiffness"),
+        F.lit(float(stiffness)).alias("stiffness"),
     )
 
 
@@ -90,8 +89,6 @@ def flat_table(
         force.alias("force"),
         gripper.opening_binary(open_raw, scale, threshold).alias("gripper_state"),
     )
-    from braidline import ordered
-
     step = ordered.scan(
         base, episode, order, rows_per_task,
         _pos=ordered.Lead("pos"), _state=ordered.Lead("gripper_state"),

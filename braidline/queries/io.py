@@ -8,10 +8,8 @@ import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from braidline import session
-from braidline.operators import statistics
 from braidline.queries.base import EV, VEC, Tables, q6, query, r6
 from braidline.queries.joins import TIMELINE_CTE, timeline
 from braidline.queries.statistics import K5_SQL, flat

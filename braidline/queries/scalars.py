@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import functions as F
 
 from braidline.functions import coerce, frames, gripper, se3, timing
-from braidline.queries.base import EV, HOUR, VEC, Tables, q6, query, r6, r_items
+from braidline.queries.base import EV, VEC, Tables, q6, query, r6, r_items
 
 # texts of every kind the coercion must survive
 TEXTS = f"""(SELECT event_id, CASE event_id % 7 WHEN 0 THEN value::VARCHAR WHEN 1 THEN ' ' || event_id::VARCHAR || ' '

@@ -5,12 +5,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from braidline import ordered
-from braidline.functions import gripper
+from braidline import ordered, session
 from braidline.operators import gates, model, statistics
 from braidline.plans import alignment, formats, training
-from braidline import asof
-from braidline.queries.base import DAY, EV, HOUR, ORD, VEC, Tables, q6, query, r6, r_items
+from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6
 from braidline.queries.joins import TIMELINE_CTE, timeline
 
 KEYS = ["user_id"]
@@ -710,17 +708,16 @@ def x18_robot_table(t: Tables):
 
 @query(
     "x16_command_columns",
-    f"""SELECT event_id, {q6("value + 0.039711")} AS command_x, 0.0::DOUBLE AS stiffness,
-    {q6("least(1, CASE WHEN value > 1 THEN value / 100 ELSE value END) * 0.08")} AS gripper_command
+    f"""SELECT event_id, {q6("value + 0.039711")} AS command_x, {q6("value + 0.039711")} AS target_x, 40.0::DOUBLE AS stiffness
   FROM {EV} WHERE event_type = 'view'""",
 )
 def x16_command_columns(t: Tables):
-    out = training.with_commands(robot(t), "ts_pose_fb", "gripper")
+    out = training.with_commands(robot(t), "ts_pose_fb", stiffness=40.0)
     return out.select(
         "event_id",
         r6(F.get("ts_pose_command", F.lit(0))).alias("command_x"),
+        r6(F.get("ts_pose_virtual_target", F.lit(0))).alias("target_x"),
         "stiffness",
-        r6("gripper_command").alias("gripper_command"),
     )
 
 
@@ -783,6 +780,31 @@ def k5_flat_training_table(t: Tables):
     )
 
 
+@query(
+    "gated_training_rows",
+    f"""{TIMELINE_CTE}, good AS (SELECT user_id FROM tl GROUP BY 1 HAVING avg(camera_valid::INT) >= 0.15
+    AND avg(force_valid::INT) >= 0.15 AND avg(all_valid::INT) >= 0.15),
+  x AS (SELECT tl.* FROM tl JOIN good USING (user_id) WHERE all_valid)
+  SELECT event_id, {q6("left0")} AS pos0, {q6("coalesce(lead(left0) OVER w - left0, 0)")} AS action0 FROM x
+  WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)""",
+)
+def gated_training_rows(t: Tables):
+    """Align, gate, and export: the written timeline feeds the gate and the table."""
+    tl = session.materialise(t.spark, timeline(t), "timeline")
+    counts = alignment.alignment_counts(tl, KEYS).withColumn("duplicate_targets", F.lit(0))
+    verdicts = gates.alignment_gate(
+        counts, KEYS, ["camera_valid", "force_valid", "all_valid"], min_ratio=0.15
+    )
+    kept = gates.passing(tl, verdicts, KEYS).where("all_valid")
+    pos = F.transform("force.left_wrench", lambda x: F.rint(x * 1e6) / 1e6)
+    rows = training.flat_table(kept, KEYS, ORDER, pos, F.col("force.left_wrench"), F.lit(1.0))
+    return rows.select(
+        "event_id",
+        r6(F.get("pos", F.lit(0))).alias("pos0"),
+        r6(F.get("action", F.lit(0))).alias("action0"),
+    )
+
+
 @query(
     "m2_named_format",
     f"SELECT event_id, {q6('value * 2.5 + 1')} AS y FROM {EV} WHERE event_type = 'view'",

@@ -1,4 +1,7 @@
-"""Schemas of the recorded streams. They are stated, never inferred."""
+"""Schemas of the recorded streams. They are stated, never inferred.
+
+Column and file names are fixed values: they are those the devices write.
+"""
 
 from __future__ import annotations
 
