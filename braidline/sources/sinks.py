@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,12 +13,20 @@ from braidline import ordered
 from braidline.operators import relations, statistics
 
 
+def _rows_seen(seen: Observation) -> int:
+    """Observed row count; an input that Spark proved empty while running reports none."""
+    try:
+        return seen.get["n"]
+    except Py4JJavaError:
+        return 0
+
+
 def write_stream(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
     """Write through Spark's committer and return the row count of the same pass. (K1)"""
     seen = Observation()
     counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
     counted.write.format(fmt).mode(mode).save(path)
-    return seen.get["n"]
+    return _rows_seen(seen)
 
 
 EPISODE_KEYS = ["run_id", "source_episode_index"]
@@ -40,7 +49,7 @@ def write_episodes(rows: DataFrame, path: str, keys: list[str] | None = None) ->
         .partitionBy(*keys)
         .parquet(path)
     )
-    return seen.get["n"]
+    return _rows_seen(seen)
 
 
 INDEX_COLUMNS = [

@@ -125,6 +125,9 @@ def test_episode_writes_append_replace_and_fail_whole(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.where(ep == 0).agg(F.min("v")).first()[0] == 100
     assert back.where(ep == 1).count() == 10
+    nothing = base.join(base.where(ep == 9).select("v"), "v").select(*base.columns)
+    assert sinks.write_episodes(nothing, path) == 0
+    assert sinks.write_stream(nothing, str(tmp_path / "none")) == 0
 
 
 def test_delete_renumbers_later_episodes(spark):
