@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
 from braidline import session
+from braidline.ordered import floor_div
 from braidline.queries.base import EV, VEC, Tables, q6, query, r6
 from braidline.queries.joins import TIMELINE_CTE, timeline
 from braidline.queries.statistics import K5_SQL, flat
@@ -131,8 +133,6 @@ def s2_camera_csv(t: Tables):
 
 def _packet_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
     """Write each batch as one packet log and report its path."""
-    import uuid
-
     for pdf in batches:
         packets = np.zeros(len(pdf), binary.PACKET)
         packets["sequence"] = pdf["event_id"].to_numpy()
@@ -162,8 +162,6 @@ def _uri(path: str) -> str:
   CASE WHEN event_id % 40 = 3 THEN 'packet header mismatch' END AS error FROM {EV}""",
 )
 def s4_packets(t: Tables):
-    from braidline.ordered import floor_div
-
     root = _uri(session.scratch_path(t.spark, "packets"))
     fs, inner = pafs.FileSystem.from_uri(root)
     fs.create_dir(inner, recursive=True)
@@ -185,8 +183,6 @@ COMMITS = f"(SELECT user_id AS session, max(event_id) - 1500 AS c, count(*) * 17
 
 
 def _committed(t: Tables):
-    from braidline.ordered import floor_div
-
     rows = t.events().select(F.col("user_id").alias("session"), F.col("event_id").alias("sequence"))
     commits = rows.groupBy("session").agg(
         (F.max("sequence") - 1500).alias("committed_sequence"),
@@ -289,8 +285,6 @@ def s8_time_column(t: Tables):
 
 def _depth_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
     """Write 8x8 half-float images of each batch into one file and report where they are."""
-    import uuid
-
     for pdf in batches:
         path = f"{root}/{uuid.uuid4().hex}.f16"
         images = np.stack(pdf["e"].to_numpy()).astype("<f2")

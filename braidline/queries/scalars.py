@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from braidline.functions import coerce, frames, gripper, se3, timing
+from braidline.ordered import floor_div
 from braidline.queries.base import EV, VEC, Tables, q6, query, r6, r_items
 
 # texts of every kind the coercion must survive
@@ -291,9 +292,7 @@ def p16_linear_map(t: Tables):
 )
 def p18_iso_time(t: Tables):
     iso = coerce.ns_to_iso(F.col("t"))
-    seconds = (F.col("t") / F.lit(1000)).cast("long").cast("double") / F.lit(1e6)
-    from braidline.ordered import floor_div
-
+    seconds = floor_div(F.col("t"), 1000).cast("double") / F.lit(1e6)
     return t.events().select(
         "event_id",
         iso.alias("iso"),
