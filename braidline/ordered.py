@@ -190,20 +190,33 @@ def _with_cuts(df: DataFrame, keys: list[str], pieces: Pieces) -> DataFrame:
 
 def _piece_of(place: Column) -> Column:
     """Number of cut points below ``place``: first among the blocks, then inside one."""
-    block = F.size(F.filter("_cuts", lambda b: b[0] < place))
+    return _piece_in(_blocks_below(place), place)
+
+
+def _blocks_below(place: Column) -> Column:
+    return F.when(
+        F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda b: b[0] < place))
+    ).otherwise(0)
+
+
+def _piece_in(block: Column, place: Column) -> Column:
     inner = F.size(F.filter(F.element_at("_cuts", block), lambda p: p < place))
-    return F.when(F.col("_cuts").isNull() | (block == 0), 0).otherwise((block - 1) * _BLOCK + inner)
+    return F.when(block == 0, 0).otherwise((block - 1) * _BLOCK + inner)
 
 
 def with_piece(df: DataFrame, keys: list[str], order: list[str], pieces: Pieces) -> DataFrame:
     """Number the piece of every row (0 for keys that are not cut) and flag hot keys."""
     if pieces.table is None:
         return df.withColumn(PIECE, F.lit(0)).withColumn("_hot", F.lit(False))
-    return (
+    # place and block are columns of their own, so that each is computed once per row
+    placed = (
         _with_cuts(df, keys, pieces)
-        .withColumn(PIECE, _piece_of(_order_struct(order)))
         .withColumn("_hot", F.col("_cuts").isNotNull())
-        .drop("_cuts")
+        .withColumn("_place", F.when(F.col("_hot"), _order_struct(order)))
+        .withColumn("_block", _blocks_below(F.col("_place")))
+    )
+    return placed.withColumn(PIECE, _piece_in(F.col("_block"), F.col("_place"))).drop(
+        "_cuts", "_place", "_block"
     )
 
 
