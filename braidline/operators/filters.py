@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidline import ordered
+from braidline import ordered, session
 from braidline.functions import se3
 
 # Gates of the marker tracker.
@@ -193,6 +193,7 @@ def reject_jumps(
     independent islands; only the rows of an island are walked one by one, in
     sorted order and constant memory.
     """
+    session.ship_package(markers.sparkSession)
     guard = int(JUMP_GUARD_S * second)
     slope = JUMP_PERCENT_PER_S / second
     plain = markers.withColumn("_t", F.col(time).cast("long")).withColumn(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidline import ordered
+from braidline import ordered, session
 from braidline.functions import se3
 
 # Hold times and confidence rules of the marker tracker.
@@ -167,6 +167,7 @@ def exponential_smoothing(
     smoothed by itself, and the level at the end of the piece before it is
     added with the weight it still has.
     """
+    session.ship_package(rows.sparkSession)
     pieces = ordered.find_pieces(rows, keys, order, rows_per_task)
     base = ordered.with_piece(rows, keys, order, pieces)
     names = [*keys, ordered.PIECE]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidline import ordered
+from braidline import ordered, session
 
 # Layer widths of the force network.
 LAYERS = (12, 128, 64, 36, 24, 12, 6)
@@ -65,6 +65,7 @@ def predict_wrench(
     The models travel with the task. Each Arrow batch is scored with one matrix
     product per layer and side.
     """
+    session.ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(models)
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidline import ordered
+from braidline import ordered, session
 from braidline.functions import gripper
 from braidline.operators.clocks import UINT32
 
@@ -226,6 +226,7 @@ def quadratic_fit(rows: DataFrame, channels: str, target: str) -> np.ndarray:
     Each partition adds up its own normal equations, Spark sums them, and only
     that small square matrix reaches the driver to be solved.
     """
+    session.ship_package(rows.sparkSession)
     sums = (
         rows.select(channels, target)
         .mapInPandas(lambda it: _gram(it, channels, target), "i int, j int, v double")

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidline import session
+
 HOUR = 3_600_000_000_000  # nanoseconds
 DAY = 24 * HOUR
 
@@ -32,6 +34,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        session.ship_package(spark)
         self._open: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:

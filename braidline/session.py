@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 ROWS_PER_TASK = "spark.braidline.rowsPerTask"
 MAX_TASKS = "spark.braidline.maxTasks"
 
@@ -35,6 +39,24 @@ def local_session(app: str = "braidline", cpus: int | str = "*", **conf: str) ->
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Operators with a Python part call it themselves; workers need not have the
+    package installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="braidline-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def rows_per_task(spark: SparkSession) -> int:
     """Rows of one key that one task may order by itself."""
     return int(spark.conf.get(ROWS_PER_TASK, "2000000"))

@@ -10,7 +10,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidline import ordered
+from braidline import ordered, session
 
 # The packet layout of the force sensors (little endian).
 PACKET_BYTES = 58
@@ -39,6 +39,7 @@ def read_packets(spark: SparkSession, path: str) -> DataFrame:
 
     The fixed record length lets Spark split a log of any size.
     """
+    session.ship_package(spark)
     records = spark.sparkContext.binaryRecords(path, PACKET_BYTES)
     return spark.createDataFrame(records.mapPartitions(_unpack), PACKET_SCHEMA)
 
@@ -76,6 +77,7 @@ def _images(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray | None]]:
 
 def _by_slice(index: DataFrame) -> DataFrame:
     """Bring neighbouring images together; a large file is shared out in slices."""
+    session.ship_package(index.sparkSession)
     part = ordered.floor_div(F.coalesce("byte_offset", F.lit(0).cast("long")), SLICE_BYTES)
     return (
         index.withColumn("_slice", part)

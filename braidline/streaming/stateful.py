@@ -49,6 +49,7 @@ def walk_table(
     rows: DataFrame, keys: list[str], order: list[str], step: Step, output: str
 ) -> DataFrame:
     """Apply ``step`` to the rows of each key in order. ``output`` names the emitted columns."""
+    session.ship_package(rows.sparkSession)
     out = T.StructType([*[rows.schema[k] for k in keys], *schema_of(output).fields])
     names = [f.name for f in out]
 
@@ -131,6 +132,7 @@ def walk_stream(
     Rows later than ``delay`` behind the newest time are dropped by the
     watermark, as any stateful stream must do.
     """
+    session.ship_package(rows.sparkSession)
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     out = T.StructType([*[rows.schema[k] for k in keys], *schema_of(output).fields])
     timed = rows.withColumn("_event_time", F.timestamp_micros(floor_div(F.col(time), 1000)))
