@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, line_dedup
+from braidline.llm import common, decontaminate, line_dedup
 
 QUERIES: dict[str, "CorpusQuery"] = {}
 
@@ -59,3 +59,52 @@ FROM marked GROUP BY doc_id
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.deduplicate_lines(spark, common.read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_WORDS = (
+    f"coalesce(regexp_extract_all({ASCII_LOWER.format('text')}, "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+)
+
+OP4_SQL = f"""
+WITH dw AS (
+  SELECT doc_id, {OP4_WORDS} AS w FROM documents
+), iw AS (
+  SELECT item_id, w, least(len(w), 10) AS l FROM (SELECT item_id, {OP4_WORDS} AS w FROM benchmark)
+  WHERE len(w) > 0
+), win AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[s : s + l - 1], ' ') AS t
+  FROM (SELECT *, unnest(range(1, len(w) - l + 2)) AS s FROM iw)
+), lens AS (SELECT DISTINCT l FROM win), starts AS (
+  SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM dw CROSS JOIN lens
+), hits AS (
+  SELECT doc_id, s, l, item_id
+  FROM (SELECT doc_id, s, l, array_to_string(w[s : s + l - 1], ' ') AS t FROM starts)
+  JOIN win USING (l, t)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM hits) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
+@query("op4_decontamination", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        spark, common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
