@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, decontaminate, line_dedup
+from braidline.llm import common, decontaminate, line_dedup, simhash
 
 QUERIES: dict[str, "CorpusQuery"] = {}
 
@@ -108,3 +108,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, common.read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
