@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, decontaminate, line_dedup, simhash
+from braidline.llm import common, decontaminate, line_dedup, packing, simhash, toxicity
 
 QUERIES: dict[str, "CorpusQuery"] = {}
 
@@ -116,3 +116,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(spark, docs, common.read(spark, sf_dir, "labels"))
+    held_out = F.coalesce(toxicity.fold_of(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False))
+    return toxicity.score(spark, docs, lexicon, ["doc_id"]).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, common.read(spark, sf_dir, "documents"))
