@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, decontaminate, line_dedup, packing, simhash, toxicity
+from braidline.llm import common, decontaminate, fingerprints, line_dedup, packing, simhash, toxicity
 
 QUERIES: dict[str, "CorpusQuery"] = {}
 
@@ -134,3 +134,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, common.read(spark, sf_dir, "documents"))
+
+
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(spark, common.read(spark, sf_dir, "documents"))
