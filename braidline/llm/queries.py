@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, decontaminate, fingerprints, line_dedup, packing, simhash, toxicity
+from braidline.llm import (
+    common,
+    decontaminate,
+    fingerprints,
+    line_dedup,
+    packing,
+    simhash,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES: dict[str, "CorpusQuery"] = {}
 
@@ -139,3 +149,74 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_fingerprints")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(spark, common.read(spark, sf_dir, "documents"))
+
+
+NAMED_RULES = [
+    url_filter.host_rule("net", "/", "block"),
+    url_filter.host_rule("example.net", "/en/", "allow"),
+    url_filter.host_rule("example.com", "/de/", "block"),
+    url_filter.host_rule("org", "/fr/", "allow"),
+]
+
+OP5_SQL = f"""
+WITH rest AS (
+  SELECT page_id, row_number() OVER () AS r, CASE WHEN contains(url, '://')
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM rest
+), parts AS (
+  SELECT page_id, r, {ASCII_LOWER.format("h")} AS host,
+    regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM cut
+), rules(rh, rp, v) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+    ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), best AS (
+  SELECT r, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS verdict
+  FROM parts JOIN rules
+    ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY r
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches(host,
+  '(^|[.-])({"|".join(url_filter.BLOCKED_WORDS)})([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN best USING (r)
+"""
+
+
+@query("op5_url_filter", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = NAMED_RULES + url_filter.DEFAULT_RULES
+    judged = url_filter.judge(spark, common.read(spark, sf_dir, "pages"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS sha,
+    max(page_id) OVER (PARTITION BY html) AS keeper FROM p
+), bits AS (
+  SELECT *, list_aggregate(list_transform(range(1, 41),
+    lambda i: lpad(bin(strpos('0123456789abcdef', sha[i]) - 1), 4, '0')), 'string_agg', '') AS b FROM d
+)
+SELECT page_id, payload_bytes, list_aggregate(list_transform(range(0, 32),
+    lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+      1 + list_sum(list_transform(range(1, 6), lambda j: b[5 * i + j]::BIGINT << (5 - j)))::BIGINT]),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM bits
+"""
+
+
+@query("op8_warc", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = session.scratch_path(spark, "warc")
+    warc.write_archives(spark, common.read(spark, sf_dir, "pages"), folder)
+    found = warc.read_archives(spark, folder, with_payload=False).where("kind <> 'gap'")
+    return found.select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
