@@ -13,6 +13,7 @@ from braidline.llm import (
     common,
     decontaminate,
     fingerprints,
+    id_files,
     line_dedup,
     packing,
     simhash,
@@ -220,3 +221,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("kind").alias("record_type"),
         "refers_to",
     )
+
+
+@query("op9_token_ids")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = session.scratch_path(spark, "ids")
+    manifest = id_files.write_ids(spark, common.read(spark, sf_dir, "documents"), folder)
+    return id_files.read_ids(spark, folder, manifest, with_ids=False).drop("ids")
