@@ -17,6 +17,7 @@ from braidline.llm import (
     line_dedup,
     packing,
     simhash,
+    suffix_dedup,
     toxicity,
     url_filter,
     warc,
@@ -228,3 +229,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.scratch_path(spark, "ids")
     manifest = id_files.write_ids(spark, common.read(spark, sf_dir, "documents"), folder)
     return id_files.read_ids(spark, folder, manifest, with_ids=False).drop("ids")
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeats(spark, docs, with_kept=False).drop("kept")
