@@ -212,3 +212,13 @@ def contamination(
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     ).drop("copy")
+
+
+def without_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without those that hold a window of an item."""
+    found = contamination(spark, docs, items).where("n_hit > 0")
+    hit = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (
+        F.xxhash64(common.text_or_empty()) == F.col("_row")
+    )
+    return docs.join(hit, same, "left_anti")

@@ -147,3 +147,23 @@ def deduplicate_lines(
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         kept_text(F.col("body"), F.col("keep")).alias("kept"),
     )
+
+
+def without_lines(
+    spark: SparkSession, docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
+) -> DataFrame:
+    """``docs`` with the kept lines as text and their length as n_chars."""
+    bitmaps = keep_bitmaps(spark, docs, min_chars, min_docs).select("d", "row", "keep")
+    bitmaps = bitmaps.toDF("_d", "_row", "_keep")
+    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(common.LEAST_ID))
+    same = (d == F.col("_d")) & (F.xxhash64(common.text_or_empty()) == F.col("_row"))
+    joined = docs.join(bitmaps, same, "left")
+    text = kept_text(F.col("text"), F.col("_keep"))
+    return joined.select(
+        *[
+            text.alias("text") if c == "text"
+            else F.length(text).cast("long").alias("n_chars") if c == "n_chars"
+            else c
+            for c in docs.columns
+        ]
+    )

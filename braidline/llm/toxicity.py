@@ -46,6 +46,7 @@ LEAST_WEIGHT = 3.5
 FIT_ROWS = 50_000
 THRESHOLD = 0.7
 HELD_OUT = 1
+EVIDENCE, N_WORDS = "_evidence", "_n_words"
 
 # fixed values: letters of other scripts, digits and signs that look like Latin letters
 LOOK_ALIKES = {
@@ -175,19 +176,20 @@ def features(total: Column, n_words: Column) -> tuple[Column, Column]:
 
 
 def evidence(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
-    """``keep`` columns, total and n_words of every document."""
+    """``keep`` columns, EVIDENCE and N_WORDS of every document."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", total double, n_words long"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
+    schema += f", {EVIDENCE} double, {N_WORDS} long"
 
     def match(batches):
         for batch in batches:
             for part in tokens.slices(batch):
-                found = [lexicon.evidence(t) for t in part.column("text").to_pylist()]
+                found = [lexicon.evidence(t or "") for t in part.column("text").to_pylist()]
                 totals, sizes = zip(*found)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep]
                     + [pa.array(totals, pa.float64()), pa.array(sizes, pa.int64())],
-                    [*keep, "total", "n_words"],
+                    [*keep, EVIDENCE, N_WORDS],
                 )
 
     return docs.mapInArrow(match, schema)
@@ -254,7 +256,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Lexicon:
             weights[pattern] = weight
     lexicon = Lexicon(weights, _exceptions(toxic, clean, weights, least))
     sample = evidence(train.orderBy(F.xxhash64("row")).limit(FIT_ROWS), lexicon, ["toxic"])
-    got = sample.select("toxic", *features(F.col("total"), F.col("n_words"))).toPandas().to_numpy()
+    got = sample.select("toxic", *features(F.col(EVIDENCE), F.col(N_WORDS))).toPandas().to_numpy()
     lexicon.curve = fit_curve(got[:, 1:], got[:, 0])
     return lexicon
 
@@ -274,13 +276,22 @@ def _exceptions(toxic: DataFrame, clean: DataFrame, weights: dict, least: int) -
     return [r.pattern for r in rows]
 
 
-def score(spark: SparkSession, docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
-    """``keep`` columns of every document and its score, 0 to 1."""
+def score(
+    spark: SparkSession, docs: DataFrame, lexicon: Lexicon, keep: list[str], name: str = "score"
+) -> DataFrame:
+    """``keep`` columns of every document and its score, 0 to 1, as ``name``."""
     session.ship_package(spark)
     text = docs.withColumn("text", common.text_or_empty()) if "text" not in keep else docs
     found = evidence(text.select(*dict.fromkeys([*keep, "text"])), lexicon, keep)
     bias, strength, rate = lexicon.curve
-    total, per_100 = features(F.col("total"), F.col("n_words"))
+    total, per_100 = features(F.col(EVIDENCE), F.col(N_WORDS))
     curve = 1 / (1 + F.exp(-(bias + strength * total + rate * per_100)))
     value = curve if lexicon.weights else F.lit(0.0)
-    return found.select(*keep, value.alias("score"))
+    return found.select(*keep, value.alias(name))
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without those that score THRESHOLD or more."""
+    lexicon = learn(spark, docs, labels)
+    scored = score(spark, docs, lexicon, docs.columns, name="_score")
+    return scored.where(F.col("_score") < THRESHOLD).drop("_score")
