@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braidline import asof, ordered, session
@@ -18,23 +18,34 @@ KEYS = ["user_id"]
 DELAY = "3 days"
 
 
+FEED_FILES = 4  # files of a delivery, written by as many tasks
+
+
+def deliver(t: Tables, rows: DataFrame, delivery: Column, batches: int, label: str) -> DataFrame:
+    """Rows as a stream of ``batches`` deliveries of FEED_FILES files each, in order."""
+    path = session.scratch_path(t.spark, label)
+    names = rows.columns
+    dealt = rows.withColumn("_b", delivery)
+    for b in range(batches):
+        part = dealt.where(F.col("_b") == b).select(*names)
+        part.repartition(FEED_FILES).write.mode("append").parquet(path)
+    return stateful.read_batches(t.spark, path, rows.schema, FEED_FILES)
+
+
 def replay(t: Tables, rows: DataFrame, batches: int = 4, jitter: int = DAY) -> DataFrame:
-    """Rows written as ``batches`` deliveries that overlap in time, then read as a stream.
+    """Rows as deliveries that overlap in time, read as a stream.
 
     A last delivery with one far later row lets the watermark pass all others.
     """
-    path = session.scratch_path(t.spark, "feed")
     low, high = rows.agg(F.min("t"), F.max("t")).first()
     width = (high - low) // batches + 1
     late = F.pmod(F.col("seq"), F.lit(3)) * jitter
-    placed = rows.withColumn("_b", F.least(floor_div(F.col("t") - low + late, width), F.lit(batches - 1)))
-    for b in range(batches):
-        placed.where(F.col("_b") == b).drop("_b").coalesce(1).write.mode("append").parquet(path)
+    place = F.least(floor_div(F.col("t") - low + late, width), F.lit(batches - 1))
     nulls = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema}
     end = {"user_id": F.lit(-1).cast("long"), "t": F.lit(high + 60 * DAY), "seq": F.lit(-1).cast("long")}
     beat = t.spark.range(1).select(*[{**nulls, **end}[f.name].alias(f.name) for f in rows.schema])
-    beat.coalesce(1).write.mode("append").parquet(path)
-    return stateful.read_batches(t.spark, path, rows.schema)
+    both = rows.unionByName(beat)
+    return deliver(t, both, F.when(F.col("seq") < 0, batches).otherwise(place), batches + 1, "feed")
 
 
 def run(t: Tables, rows: DataFrame, step, output: str, label: str) -> DataFrame:
@@ -280,10 +291,9 @@ def t9_recording_transitions(t: Tables):
 
 @query(
     "t10_incremental_publish",
-    f"""WITH {WALK_SQL}, w AS (SELECT session, t AS start_ns, nt AS end_ns, row_number() OVER (PARTITION BY session ORDER BY t) AS k
-    FROM s WHERE st = 'closed' AND session NOT IN (SELECT session FROM bad)),
-  o AS (SELECT session, min(start_ns) AS start_ns FROM w GROUP BY 1)
-  SELECT w.session, e.event_id FROM w JOIN o USING (session, start_ns) JOIN {EV} e ON e.user_id = w.session // 1000
+    f"""WITH {WALK_SQL}, w AS (SELECT session, t AS start_ns, nt AS end_ns
+    FROM s WHERE st = 'closed' AND session NOT IN (SELECT session FROM bad))
+  SELECT w.session, w.start_ns, e.event_id FROM w JOIN {EV} e ON e.user_id = w.session // 1000
     AND e.t BETWEEN w.start_ns AND w.end_ns WHERE e.event_type IN ('view', 'click', 'purchase')""",
 )
 def t10_incremental_publish(t: Tables):
@@ -291,13 +301,12 @@ def t10_incremental_publish(t: Tables):
     windows, _ = episodes.closed_windows(
         half_day_marks(t), "session", "kind", ["t", "event_id"], "t"
     )
-    first = windows.groupBy("session").agg(
-        F.min_by(F.struct("start_ns", "end_ns"), "start_ns").alias("w")
-    )
-    closed = first.select("session", "w.*")
-    path = session.scratch_path(t.spark, "closed")
-    for part in range(2):
-        closed.where(F.col("session") % 2 == part).coalesce(1).write.mode("append").parquet(path)
+    numbered = ordered.scan(
+        windows.select("session", "start_ns", "end_ns"), ["session"], ["start_ns", "end_ns"],
+        nth=ordered.RowNumber(),
+    )
+    closed = numbered.select("session", "nth", "start_ns", "end_ns")
+    stream = deliver(t, closed, F.pmod(F.col("session"), F.lit(2)), 2, "closed")
     out = session.scratch_path(t.spark, "published")
     samples = t.events("view", "click", "purchase")
 
@@ -307,16 +316,23 @@ def t10_incremental_publish(t: Tables):
             batch.withColumn("user_id", floor_div(F.col("session"), 1000)),
             KEYS, "t", "start_ns", "end_ns", DAY,
         )
+        # an episode's id holds its session and its place there
+        episode = F.concat_ws("-", "session", "nth")
         sinks.write_episodes(
-            rows.select(F.lit("live").alias("run_id"), F.col("session").alias("source_episode_index"), "event_id", "t"),
+            rows.select(
+                F.lit("live").alias("run_id"), episode.alias("source_episode_index"),
+                "session", "start_ns", "event_id", "t",
+            ),
             out,
-        )
+        )
 
-    stream = stateful.read_batches(t.spark, path, closed.schema)
-    stateful.run_batches(stream, "publish", jobs.publish_closed(t.spark, publish, ["session"]))
-    schema = "event_id long, t long, run_id string, source_episode_index long"
+    keys = ["session", "nth"]
+    stateful.run_batches(stream, "publish", jobs.publish_closed(t.spark, publish, keys))
+    schema = (
+        "session long, start_ns long, event_id long, t long, run_id string, source_episode_index string"
+    )
     done = t.spark.read.schema(schema).parquet(out)
-    return done.select(F.col("source_episode_index").alias("session"), "event_id")
+    return done.select("session", "start_ns", "event_id")
 
 
 @query("t11_live_clock_mapping")
@@ -324,12 +340,17 @@ def t11_live_clock_mapping(t: Tables):
     """Clock samples and frames of a session as one stream; the last deliveries are fully aligned."""
     e = F.col("event_id")
     host = F.lit(2_000_000_000_000) + e * 19_999_000
+    # clock samples start after the first quarter of the time
+    low, high = t.events().agg(F.min("t"), F.max("t")).first()
+    warm = low + (high - low) // 4
     rows = t.events().select(
         "user_id",
         F.pmod(F.col("user_id"), F.lit(5)).alias("session"),
         "t",
         e.alias("seq"),
-        F.when((F.col("event_type") == "view") & (e > 2000), "clock").otherwise("frame").alias("kind"),
+        F.when((F.col("event_type") == "view") & (F.col("t") >= warm), "clock")
+        .otherwise("frame")
+        .alias("kind"),
         (e * 20_000_000).alias("phone_ns"),
         (host + (e * 37) % 1000).alias("host_ns"),
         (F.lit(200_000) + F.rint(F.col("value") * 5000).cast("long")).alias("rtt_ns"),

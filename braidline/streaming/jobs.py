@@ -79,13 +79,14 @@ def publish_closed(
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler that publishes the episodes closed in the batch.
 
-    ``publish`` gets the closed episodes (keys, start_ns, end_ns) and runs the
-    batch operators for them. Writing whole episode partitions makes a batch
-    that is run again after a failure replace its own output.
+    ``keys`` name one episode. ``publish`` gets every closed episode of the batch
+    once (keys, start_ns, end_ns) and runs the batch operators for them. Writing
+    whole episode partitions, named by the keys, makes a batch that is run again
+    after a failure replace its own output.
     """
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
-        closed = batch.select(*keys, "start_ns", "end_ns").dropDuplicates(keys)
+        closed = batch.select(*keys, "start_ns", "end_ns").distinct()
         publish(closed)
 
     return handle

@@ -16,10 +16,11 @@ import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor
 
 from braidline import session
@@ -33,46 +34,35 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def _plain(row: tuple, names: list[str]) -> dict:
-    """A row as a dict, with missing numbers as None."""
-    return {
-        n: None if v is None or (isinstance(v, float) and v != v) or v is pd.NA else v
-        for n, v in zip(names, row)
-    }
-
-
-def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({n: pd.Series([r[n] for r in rows], dtype=object) for n in names})
-
-
 def walk_table(
     rows: DataFrame, keys: list[str], order: list[str], step: Step, output: str
 ) -> DataFrame:
-    """Apply ``step`` to the rows of each key in order. ``output`` names the emitted columns."""
+    """Apply ``step`` to the rows of each key in order. ``output`` names the emitted columns.
+
+    Rows reach the step as Python values: longs are exact, missing values are
+    None and NaN stays NaN.
+    """
     session.ship_package(rows.sparkSession)
     out = T.StructType([*[rows.schema[k] for k in keys], *schema_of(output).fields])
-    names = [f.name for f in out]
+    shape = to_arrow_schema(out)
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, state = None, None
-        for pdf in batches:
-            columns, emitted = list(pdf.columns), []
-            for values in pdf.itertuples(index=False, name=None):
-                row = _plain(values, columns)
+        for batch in batches:
+            emitted = []
+            for row in batch.to_pylist():
                 key = tuple(row[k] for k in keys)
                 if key != here:
                     here, state = key, None
                 state, found = step(state, row)
                 emitted += [{**dict(zip(keys, key)), **r} for r in found]
-            yield _frame(emitted, names)
+            yield pa.RecordBatch.from_pylist(emitted, shape)
 
-    return (
-        rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(walk, out)
-    )
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(walk, out)
 
 
 class _Ordered(StatefulProcessor):
-    """Keeps (state, waiting rows) of a key as one value."""
+    """Keeps a key's state and, row by row, what still waits for the watermark."""
 
     def __init__(self, keys, time, seq, step, names):
         self._keys, self._time, self._seq = keys, time, seq
@@ -81,37 +71,44 @@ class _Ordered(StatefulProcessor):
     def init(self, handle) -> None:
         self._handle = handle
         self._cell = handle.getValueState("cell", "blob binary")
+        self._first = handle.getValueState("first", "t long")
+        self._waiting = handle.getListState("waiting", "t long, seq long, blob binary")
 
     def close(self) -> None:
         pass
 
     def _run(self, key, fresh, timer_values):
-        state, waiting = (
-            pickle.loads(self._cell.get()[0]) if self._cell.exists() else (None, [])
-        )
-        waiting += fresh
+        first = self._first.get()[0] if self._first.exists() else None
         # event times have microseconds; a row beyond the watermark may still be overtaken
         edge_us = timer_values.getCurrentWatermarkInMs() * 1000
-        ready = sorted(
-            (r for r in waiting if r[self._time] // 1000 <= edge_us),
-            key=lambda r: (r[self._time], r[self._seq]),
-        )
-        waiting = [r for r in waiting if r[self._time] // 1000 > edge_us]
-        emitted = []
-        for row in ready:
-            state, found = self._step(state, row)
-            emitted += [{**dict(zip(self._keys, key)), **r} for r in found]
-        self._cell.update((pickle.dumps((state, waiting)),))
-        if waiting:
-            first = min(r[self._time] for r in waiting)
+        later = [r for r in fresh if r[0] // 1000 > edge_us]
+        ready = [r for r in fresh if r[0] // 1000 <= edge_us]
+        if first is not None and first // 1000 <= edge_us:
+            for row in self._waiting.get():
+                (ready if row[0] // 1000 <= edge_us else later).append(tuple(row))
+            self._waiting.clear()
+            first = None
+        if later:
+            self._waiting.appendList(later)
+            first = min([r[0] for r in later] + ([] if first is None else [first]))
+        if ready:
+            state = pickle.loads(self._cell.get()[0]) if self._cell.exists() else None
+            for _, _, blob in sorted(ready, key=lambda r: r[:2]):
+                state, found = self._step(state, pickle.loads(blob))
+                for r in found:
+                    values = {**dict(zip(self._keys, key)), **r}
+                    yield Row(**{n: values[n] for n in self._names})
+            self._cell.update((pickle.dumps(state),))
+        if first is None:
+            self._first.clear()
+        else:
+            self._first.update((first,))
             self._handle.registerTimer(-(-first // 1_000_000))
-        yield _frame(emitted, self._names)
 
     def handleInputRows(self, key, rows, timerValues):
-        fresh = []
-        for pdf in rows:
-            columns = list(pdf.columns)
-            fresh += [_plain(v, columns) for v in pdf.itertuples(index=False, name=None)]
+        fresh = [
+            (r[self._time], r[self._seq], pickle.dumps(r.asDict(recursive=True))) for r in rows
+        ]
         yield from self._run(key, fresh, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -137,7 +134,7 @@ def walk_stream(
     out = T.StructType([*[rows.schema[k] for k in keys], *schema_of(output).fields])
     timed = rows.withColumn("_event_time", F.timestamp_micros(floor_div(F.col(time), 1000)))
     grouped = timed.withWatermark("_event_time", delay).groupBy(*keys)
-    return grouped.transformWithStateInPandas(
+    return grouped.transformWithState(
         statefulProcessor=_Ordered(keys, time, seq, step, [f.name for f in out]),
         outputStructType=out,
         outputMode="Append",
