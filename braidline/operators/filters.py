@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,14 +155,23 @@ def on_path(
     )
 
 
-def _accept(batches: Iterator[pd.DataFrame], names: list[str], second: int) -> Iterator[pd.DataFrame]:
-    """Walk islands in order, holding only the last accepted sample between batches."""
+def _accept(
+    batches: Iterator[pa.RecordBatch], names: list[str], second: int
+) -> Iterator[pa.RecordBatch]:
+    """Walk islands in order, holding only the last accepted sample between batches.
+
+    Rows are filtered as they came, so no column is converted. A sample without
+    time or value is as far as can be from any other.
+    """
+    nan = float("nan")
     island, last_t, last_p = None, 0, 0.0
-    for pdf in batches:
-        ids = list(zip(*[pdf[n] for n in names]))
-        times, percents = pdf["_t"].to_numpy(), pdf["_percent"].to_numpy()
+    for batch in batches:
+        ids = zip(*[batch.column(n).to_pylist() for n in names])
         keep = []
-        for here, t, p in zip(ids, times, percents):
+        for here, t, p in zip(
+            ids, batch.column("_t").to_pylist(), batch.column("_percent").to_pylist()
+        ):
+            t, p = nan if t is None else t, nan if p is None else p
             fresh = here != island
             age = (t - last_t) / second
             ok = (
@@ -174,7 +183,7 @@ def _accept(batches: Iterator[pd.DataFrame], names: list[str], second: int) -> I
                 last_t, last_p = t, p
             island = here
             keep.append(ok)
-        yield pdf[keep]
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def reject_jumps(
@@ -223,6 +232,6 @@ def reject_jumps(
     walked = (
         cut.repartition(*[F.col(n) for n in names])
         .sortWithinPartitions(*names, *order)
-        .mapInPandas(lambda it: _accept(it, names, second), cut.schema)
+        .mapInArrow(lambda it: _accept(it, names, second), cut.schema)
     )
     return walked.select(*markers.columns)

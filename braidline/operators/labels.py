@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,9 +111,16 @@ def tare_progress(
     )
 
 
+def _appended(batch: pa.RecordBatch, **columns: list) -> pa.RecordBatch:
+    """The batch as it came, with columns of doubles added."""
+    for name, values in columns.items():
+        batch = batch.append_column(name, pa.array(values, pa.float64()))
+    return batch
+
+
 def _smooth_pieces(
-    batches: Iterator[pd.DataFrame], names: list[str], value: str, alpha: float
-) -> Iterator[pd.DataFrame]:
+    batches: Iterator[pa.RecordBatch], names: list[str], value: str, alpha: float
+) -> Iterator[pa.RecordBatch]:
     """Smooth each (key, piece) run of sorted rows, holding one level between batches.
 
     Emits the level if nothing came before the piece (its first value seeds it),
@@ -121,27 +128,29 @@ def _smooth_pieces(
     the level before the piece still has.
     """
     here, level, from_zero, weight = None, None, 0.0, 1.0
-    for pdf in batches:
-        out = []
-        values = pdf[value].to_numpy(dtype="float64", na_value=float("nan"))
-        for run, x in zip(zip(*[pdf[n] for n in names]), values):
+    for batch in batches:
+        levels, opens, weights = [], [], []
+        runs = zip(*[batch.column(n).to_pylist() for n in names])
+        for run, x in zip(runs, batch.column(value).cast(pa.float64()).to_pylist()):
             if run != here:
                 here, level, from_zero, weight = run, None, 0.0, 1.0
-            if x == x:
+            if x is not None and x == x:
                 level = x if level is None else level * (1 - alpha) + x * alpha
                 from_zero = from_zero * (1 - alpha) + x * alpha
                 weight *= 1 - alpha
-            out.append((level, from_zero, weight))
-        extra = pd.DataFrame(out, columns=["_level", "_open", "_weight"], dtype="Float64")
-        yield pd.concat([pdf.reset_index(drop=True), extra], axis=1)
+            levels.append(level)
+            opens.append(from_zero)
+            weights.append(weight)
+        yield _appended(batch, _level=levels, _open=opens, _weight=weights)
 
 
-def _carry_levels(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+def _carry_levels(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Level at the start of each piece, from the ends of the pieces before it."""
     here, level = None, None
-    for pdf in batches:
+    for batch in batches:
         out = []
-        for key, end in zip(zip(*[pdf[k] for k in keys]) if keys else [()] * len(pdf), pdf["_end"]):
+        of_keys = zip(*[batch.column(k).to_pylist() for k in keys]) if keys else [()] * len(batch)
+        for key, end in zip(of_keys, batch.column("_end").to_pylist()):
             if key != here:
                 here, level = key, None
             out.append(level)
@@ -149,7 +158,7 @@ def _carry_levels(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
                 level = end["_level"]
             else:
                 level = end["_open"] + end["_weight"] * level
-        yield pdf.drop(columns="_end").assign(_carry=pd.array(out, dtype="Float64"))
+        yield _appended(batch.drop_columns(["_end"]), _carry=out)
 
 
 def exponential_smoothing(
@@ -175,7 +184,7 @@ def exponential_smoothing(
     local = (
         base.repartition(*[F.col(n) for n in names])
         .sortWithinPartitions(*names, *order)
-        .mapInPandas(
+        .mapInArrow(
             lambda it: _smooth_pieces(it, names, value, alpha),
             T.StructType([*base.schema.fields, *extra]),
         )
@@ -191,7 +200,7 @@ def exponential_smoothing(
     carry = (
         ends.repartition(*[F.col(k) for k in keys] or [F.lit(0)])
         .sortWithinPartitions(*names)
-        .mapInPandas(
+        .mapInArrow(
             lambda it: _carry_levels(it, keys),
             T.StructType([*[ends.schema[n] for n in names], T.StructField("_carry", T.DoubleType())]),
         )

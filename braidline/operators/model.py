@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,18 +69,20 @@ def predict_wrench(
     shared = rows.sparkSession.sparkContext.broadcast(models)
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            result = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            usable = pdf[channels].map(lambda c: c is not None and not any(v is None for v in c))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides, inputs = batch.column(side).to_pylist(), batch.column(channels).to_pylist()
+            usable = [c is not None and None not in c for c in inputs]
+            result: list[np.ndarray | None] = [None] * len(inputs)
             for name, model in shared.value.items():
-                at = pdf.index[usable & (pdf[side] == name)]
-                if len(at):
-                    x = np.stack([np.asarray(c, dtype="float64") for c in pdf.loc[at, channels]])
-                    result.loc[at] = list(model.predict(x))
-            yield pdf.assign(**{out: result})
-
-    return rows.mapInPandas(score, schema)
+                at = [i for i, ok in enumerate(usable) if ok and sides[i] == name]
+                if at:
+                    found = model.predict(np.array([inputs[i] for i in at], dtype="float64"))
+                    for i, wrench in zip(at, found):
+                        result[i] = wrench
+            yield batch.append_column(out, pa.array(result, pa.list_(pa.float64())))
+
+    return rows.mapInArrow(score, schema)
 
 
 def calibrated_wrench(

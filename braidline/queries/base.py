@@ -107,3 +107,13 @@ def q6(expr: str) -> str:
 def r_items(col: Column, n: int, prefix: str) -> list[Column]:
     """Array elements as rounded columns prefix0 .. prefixN-1."""
     return [r6(F.get(col, F.lit(i))).alias(f"{prefix}{i}") for i in range(n)]
+
+
+def stamp(number: str) -> Column:
+    """A nanosecond column with nulls, that must pass every operator unchanged."""
+    n = F.col(number)
+    return F.when(n % 3 > 0, F.lit(1_700_000_000_123_456_789) + n * 7)
+
+
+def stamp_sql(number: str) -> str:
+    return f"CASE WHEN {number} % 3 > 0 THEN 1700000000123456789 + {number} * 7 END"

@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from braidline import session
 from braidline.ordered import floor_div
-from braidline.queries.base import EV, VEC, Tables, q6, query, r6
+from braidline.queries.base import EV, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
 from braidline.queries.statistics import K5_SQL, flat
 from braidline.sources import binary, discovery, sinks, text
@@ -132,8 +133,12 @@ def s2_camera_csv(t: Tables):
 
 
 def _packet_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
-    """Write each batch as one packet log and report its path."""
-    for pdf in batches:
+    """Write each batch as one packet log, named by its place, and report its path.
+
+    A task that runs again replaces its files.
+    """
+    part = TaskContext.get().partitionId()
+    for number, pdf in enumerate(batches):
         packets = np.zeros(len(pdf), binary.PACKET)
         packets["sequence"] = pdf["event_id"].to_numpy()
         packets["time_us"] = pdf["us"].to_numpy()
@@ -142,7 +147,7 @@ def _packet_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.Dat
         raw = bytearray(packets.tobytes())
         for i in np.flatnonzero(pdf["event_id"].to_numpy() % 40 == 3):
             raw[i * binary.PACKET_BYTES] = 1
-        path = f"{root}/{uuid.uuid4().hex}.bin"
+        path = f"{root}/part-{part:05d}-{number:05d}.bin"
         fs, inner = pafs.FileSystem.from_uri(path)
         with fs.open_output_stream(inner) as out:
             out.write(bytes(raw))
@@ -328,15 +333,16 @@ VALID = "v > 0.05 AND v < 8"
 
 @query(
     "s9_decode_depth",
-    f"""SELECT a.vec_id, {q6("d0")} AS d0, {q6("d5")} AS d5 FROM (SELECT vec_id FROM {VEC}) a LEFT JOIN
+    f"""SELECT a.vec_id, {stamp_sql("a.vec_id")} AS stamp, {q6("d0")} AS d0, {q6("d5")} AS d5 FROM (SELECT vec_id FROM {VEC}) a LEFT JOIN
   (SELECT vec_id, max(least(0.5, greatest(0, v))) FILTER (r = 0 AND c = 0) AS d0,
     max(least(0.5, greatest(0, v))) FILTER (r = 2 AND c = 2) AS d5 FROM {PIXELS} GROUP BY 1) USING (vec_id)""",
 )
 def s9_decode_depth(t: Tables):
     """8x8 images reduced to 4x4: pixel 5 of the result is row 2, column 2 of the image."""
-    out = binary.decode_depth(depth_index(t), ["vec_id"], (4, 4))
+    index = depth_index(t).withColumn("stamp", stamp("vec_id"))
+    out = binary.decode_depth(index, ["vec_id", "stamp"], (4, 4))
     return out.select(
-        "vec_id", r6(F.get("depth", F.lit(0))).alias("d0"), r6(F.get("depth", F.lit(5))).alias("d5")
+        "vec_id", "stamp", r6(F.get("depth", F.lit(0))).alias("d0"), r6(F.get("depth", F.lit(5))).alias("d5")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from braidline.operators import labels, ordering, relations
 from braidline.ordered import floor_div
-from braidline.queries.base import EV, HOUR, ORD, Tables, q6, query, r6
+from braidline.queries.base import EV, HOUR, ORD, Tables, q6, query, r6, stamp, stamp_sql
 
 KEYS = ["user_id"]
 ORDER = ["t", "event_id"]
@@ -109,21 +109,21 @@ W8_SQL = f"""WITH RECURSIVE r AS (SELECT event_id, user_id, value,
   s AS (SELECT user_id, k, event_id, value AS y FROM r WHERE k = 1
     UNION ALL SELECT r.user_id, r.k, r.event_id, s.y * 0.65 + r.value * 0.35
     FROM s JOIN r ON r.user_id = s.user_id AND r.k = s.k + 1)
-  SELECT event_id, {q6("y")} AS smoothed FROM s"""
+  SELECT event_id, {stamp_sql("event_id")} AS stamp, {q6("y")} AS smoothed FROM s"""
 
 
 @query("w8_exponential_smoothing", W8_SQL)
 def w8_exponential_smoothing(t: Tables):
-    out = labels.exponential_smoothing(t.events(), KEYS, ORDER, "value", 0.35)
-    return out.select("event_id", r6("smoothed").alias("smoothed"))
+    rows = t.events().withColumn("stamp", stamp("event_id"))
+    out = labels.exponential_smoothing(rows, KEYS, ORDER, "value", 0.35)
+    return out.select("event_id", "stamp", r6("smoothed").alias("smoothed"))
 
 
 @query("w8_exponential_smoothing_cut_keys", W8_SQL)
 def w8_exponential_smoothing_cut_keys(t: Tables):
-    out = labels.exponential_smoothing(
-        t.events(), KEYS, ORDER, "value", 0.35, rows_per_task=30
-    )
-    return out.select("event_id", r6("smoothed").alias("smoothed"))
+    rows = t.events().withColumn("stamp", stamp("event_id"))
+    out = labels.exponential_smoothing(rows, KEYS, ORDER, "value", 0.35, rows_per_task=30)
+    return out.select("event_id", "stamp", r6("smoothed").alias("smoothed"))
 
 
 @query(

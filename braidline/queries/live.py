@@ -90,12 +90,33 @@ def t1_completed_steps(t: Tables):
     )
 
 
-@query("t2_recorded_rows")
+@query(
+    "t2_recorded_rows",
+    f"""WITH k AS (SELECT *, t // {10 * DAY} AS ep, event_id % 4 > 0 AS rec, CASE WHEN event_type = 'signup' THEN 'start'
+    WHEN event_type = 'error' AND event_id % 10 = 0 THEN 'discard' WHEN event_type = 'error' AND event_id % 10 < 6 THEN 'stop'
+    ELSE 'frame' END AS kind FROM {EV}),
+  f AS (SELECT *, kind = 'frame' AND event_id % 20 > 0 AND event_type <> 'error' AS usable FROM k),
+  s AS (SELECT *, sum((kind = 'start')::INT) OVER w AS number,
+    last_value(CASE WHEN kind <> 'frame' THEN kind END IGNORE NULLS) OVER b AS control,
+    last_value(CASE WHEN usable THEN t END IGNORE NULLS) OVER b AS pt, last_value(CASE WHEN usable THEN ep END IGNORE NULLS) OVER b AS pe,
+    last_value(CASE WHEN usable THEN value END IGNORE NULLS) OVER b AS pv, last_value(CASE WHEN usable THEN rec END IGNORE NULLS) OVER b AS pr
+    FROM f WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id),
+    b AS (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  c AS (SELECT *, row_number() OVER (PARTITION BY user_id, number, pt ORDER BY t, event_id) AS again FROM s
+    WHERE usable AND pe = ep AND rec AND pr AND control = 'start'),
+  r AS (SELECT user_id, number, pe AS episode_index, pt AS source_ns, t AS next_ns, 'completed' AS row_type, {q6("value - pv")} AS a0
+      FROM c WHERE again = 1
+    UNION ALL SELECT user_id, number, pe, pt, NULL, 'terminal', 0.0 FROM s WHERE kind = 'stop' AND control = 'start' AND pr
+      AND NOT EXISTS (FROM c WHERE c.user_id = s.user_id AND c.number = s.number AND c.pt >= s.pt))
+  SELECT user_id, number::BIGINT AS recording, episode_index, source_ns, next_ns, row_type, a0 FROM r
+    WHERE (user_id, number) NOT IN (SELECT user_id, number FROM s WHERE kind = 'discard')""",
+)
 def t2_recorded_rows(t: Tables):
     out = run(t, frames(t), live.recorded_rows, live.RECORD_COLUMNS, "recorded")
     return live.without_discarded(out, KEYS).select(
-        "user_id", "episode_index", "source_ns", "next_ns", "row_type", r6(F.get("action", F.lit(0))).alias("a0")
-    )
+        "user_id", "recording", "episode_index", "source_ns", "next_ns", "row_type",
+        r6(F.get("action", F.lit(0))).alias("a0"),
+    )
 
 
 @query(

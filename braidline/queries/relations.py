@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from braidline import asof
 from braidline.functions import se3
 from braidline.operators import filters, relations
-from braidline.queries.base import EV, HOUR, VEC, Tables, q6, query, r6
+from braidline.queries.base import EV, HOUR, VEC, Tables, q6, query, r6, stamp, stamp_sql
 
 KEYS = ["user_id"]
 
@@ -478,14 +478,14 @@ def f10_marker_path_filter(t: Tables):
       (SELECT r.*, s.lt, s.lp, (r.t - s.lt) / {100 * HOUR} > 0.22
         OR abs(r.p - s.lp) <= 28.0 + (r.t - s.lt) / {100 * HOUR} * 520.0 AS ok
        FROM s JOIN r ON r.user_id = s.user_id AND r.k = s.k + 1))
-  SELECT event_id, user_id, {q6("p")} AS percent FROM s WHERE ok""",
+  SELECT event_id, user_id, {stamp_sql("event_id")} AS stamp, {q6("p")} AS percent FROM s WHERE ok""",
 )
 def f10_jump_filter(t: Tables):
     """Tracker samples that do not jump; the guard time is 22 hours of events."""
     rows = t.events().withColumn("percent", (F.col("value") * 3) % 100)
     return filters.reject_jumps(
-        rows, KEYS, "t", "percent", "event_id", second=100 * HOUR
-    ).select("event_id", "user_id", r6("percent").alias("percent"))
+        rows.withColumn("stamp", stamp("event_id")), KEYS, "t", "percent", "event_id", second=100 * HOUR
+    ).select("event_id", "user_id", "stamp", r6("percent").alias("percent"))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from braidline import ordered, session
 from braidline.operators import gates, model, statistics
 from braidline.plans import alignment, formats, training
-from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6
+from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
 
 KEYS = ["user_id"]
@@ -641,18 +641,19 @@ def _linear_sql(seed: int, axis: int) -> str:
 
 @query(
     "m1_force_model_linear",
-    f"""SELECT vec_id, round(CASE WHEN vec_id % 2 = 0 THEN {_linear_sql(0, 0)} ELSE {_linear_sql(1, 0)} END, 3) AS fx,
-  round(CASE WHEN vec_id % 2 = 0 THEN {_linear_sql(0, 5)} ELSE {_linear_sql(1, 5)} END, 3) AS mz FROM {VEC}""",
+    f"""SELECT vec_id, {stamp_sql("vec_id")} AS stamp, {", ".join(
+        f"round(CASE WHEN vec_id % 2 = 0 THEN {_linear_sql(0, i)} ELSE {_linear_sql(1, i)} END, 3) AS {axis}"
+        for i, axis in enumerate(model.AXES))} FROM {VEC}""",
 )
 def m1_force_model_linear(t: Tables):
     scored = model.predict_wrench(
-        _channels(t), "side", "c", {"left": _linear(0), "right": _linear(1)}
-    )
-    return scored.select(
-        "vec_id",
-        F.round(F.get("wrench", F.lit(0)), 3).alias("fx"),
-        F.round(F.get("wrench", F.lit(5)), 3).alias("mz"),
+        _channels(t).withColumn("stamp", stamp("vec_id")),
+        "side",
+        "c",
+        {"left": _linear(0), "right": _linear(1)},
     )
+    axes = [F.round(F.get("wrench", F.lit(i)), 3).alias(a) for i, a in enumerate(model.AXES)]
+    return scored.select("vec_id", "stamp", *axes)
 
 
 @query("m1_calibrated_wrench")

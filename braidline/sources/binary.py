@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from braidline import ordered, session
 
@@ -21,17 +24,19 @@ DEPTH_CLIP_M = 0.5
 DEPTH_RESAMPLE_MAX_M = 10.0
 DEPTH_VALID_M = (0.05, 8.0)
 SLICE_BYTES = 256 << 20
+PACKETS_AT_ONCE = 8192
 
 PACKET_SCHEMA = "sequence_id long, device_time_us long, left_raw array<long>, right_raw array<long>, error string"
 
 
 def _unpack(records: Iterator[bytes]) -> Iterator[tuple]:
-    for raw in records:
-        if raw[:2] != b"\x00\x00":
-            yield None, None, None, None, "packet header mismatch"
-            continue
-        p = np.frombuffer(raw, PACKET)[0]
-        yield int(p["sequence"]), int(p["time_us"]), p["left"].tolist(), p["right"].tolist(), None
+    """Packets are decoded PACKETS_AT_ONCE at a time."""
+    while chunk := b"".join(islice(records, PACKETS_AT_ONCE)):
+        packets = np.frombuffer(chunk, PACKET)
+        whole = packets["header"] == np.void(b"\x00\x00")
+        columns = [packets[c].tolist() for c in ("sequence", "time_us", "left", "right")]
+        for ok, *values in zip(whole.tolist(), *columns):
+            yield (*values, None) if ok else (None, None, None, None, "packet header mismatch")
 
 
 def read_packets(spark: SparkSession, path: str) -> DataFrame:
@@ -53,26 +58,45 @@ def _resized(image: np.ndarray, size: tuple[int, int], centred: bool) -> np.ndar
     return image[ys][:, xs]
 
 
-def _images(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray | None]]:
-    """The images of an index batch: rows are sorted, so each file is opened once per batch."""
-    for path, part in pdf.groupby("path", sort=False, dropna=False):
+def _images(rows: list[dict]) -> Iterator[tuple[dict, np.ndarray | None]]:
+    """The image of each index row: rows are sorted, so each file is opened once per batch."""
+    for path, part in groupby(rows, key=lambda r: r["path"]):
         try:
             fs, inner = pafs.FileSystem.from_uri(path)
             handle = fs.open_input_file(inner)
         except (OSError, TypeError, ValueError):
-            yield from ((i, None) for i in part.index)
+            yield from ((row, None) for row in part)
             continue
         with handle:
-            for i, row in part.iterrows():
-                item = np.dtype(row["dtype"])
-                want = int(row["height"]) * int(row["width"]) * item.itemsize
-                valid = row["byte_offset"] >= 0 and row["byte_count"] == want
-                raw = handle.read_at(want, int(row["byte_offset"])) if valid else b""
+            for row in part:
+                item, (h, w) = np.dtype(row["dtype"]), (row["height"] or 0, row["width"] or 0)
+                want, offset = h * w * item.itemsize, row["byte_offset"]
+                valid = offset is not None and offset >= 0 and row["byte_count"] == want
+                raw = handle.read_at(want, offset) if valid else b""
                 if len(raw) != want or not want:
-                    yield i, None
+                    yield row, None
                 else:
-                    shape = int(row["height"]), int(row["width"])
-                    yield i, np.frombuffer(raw, item).reshape(shape).astype("float32")
+                    yield row, np.frombuffer(raw, item).reshape(h, w).astype("float32")
+
+
+def _per_image(index: DataFrame, keys: list[str], columns: str, measure) -> DataFrame:
+    """``measure(row, image)`` of every index row, as columns beside its keys.
+
+    Keys stay in the Arrow batch they came in.
+    """
+    names = [f.name for f in index.schema if f.name in keys]
+    added = T.StructType.fromDDL(columns)
+    schema = T.StructType([*[index.schema[n] for n in names], *added.fields])
+    shape = to_arrow_schema(added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [measure(row, image) for row, image in _images(batch.to_pylist())]
+            values = pa.RecordBatch.from_pylist(found, shape)
+            kept = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(kept + values.columns, [*names, *shape.names])
+
+    return _by_slice(index).mapInArrow(run, schema)
 
 
 def _by_slice(index: DataFrame) -> DataFrame:
@@ -95,18 +119,14 @@ def decode_depth(
     ``index`` has path, byte_offset, byte_count, width, height, dtype and unit_m
     (metres per count). Tasks read only the byte ranges they need.
     """
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema if f.name in keys)
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            for i, image in _images(pdf):
-                if image is not None:
-                    metres = np.clip(image * np.float32(pdf.at[i, "unit_m"]), 0.0, clip_m)
-                    out.at[i] = _resized(metres, size, centred=False).ravel()
-            yield pdf[keys].assign(depth=out)
+    def decode(row: dict, image: np.ndarray | None) -> dict:
+        if image is None:
+            return {}
+        metres = np.clip(image * np.float32(row["unit_m"]), 0.0, clip_m)
+        return dict(depth=_resized(metres, size, centred=False).ravel())
 
-    return _by_slice(index).mapInPandas(decode, f"{fields}, depth array<float>")
+    return _per_image(index, keys, "depth array<float>", decode)
 
 
 STATS_SCHEMA = """readable boolean, pixels long, min_m double, max_m double, sum_m double,
@@ -137,16 +157,12 @@ def _stats(image: np.ndarray | None) -> dict:
 
 def depth_frame_stats(index: DataFrame, keys: list[str]) -> DataFrame:
     """One row of statistics per depth image: range, centre depth, share of valid pixels."""
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema if f.name in keys)
-    names = [f.split()[0] for f in STATS_SCHEMA.replace("\n", " ").split(",")]
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = {i: _stats(None if m is None else m * pdf.at[i, "unit_m"]) for i, m in _images(pdf)}
-            stats = pd.DataFrame.from_dict(rows, orient="index").reindex(columns=names)
-            yield pdf[keys].join(stats)
-
-    return _by_slice(index).mapInPandas(measure, f"{fields}, {STATS_SCHEMA}")
+    return _per_image(
+        index,
+        keys,
+        STATS_SCHEMA,
+        lambda row, image: _stats(None if image is None else image * row["unit_m"]),
+    )
 
 
 def depth_stats(frames: DataFrame, keys: list[str]) -> DataFrame:
@@ -163,24 +179,16 @@ def depth_stats(frames: DataFrame, keys: list[str]) -> DataFrame:
 
 def resample_depth(index: DataFrame, keys: list[str], size: tuple[int, int]) -> DataFrame:
     """Depth on a fixed grid with its count of valid pixels: 0 < d, at most 10 m."""
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema if f.name in keys)
-
-    def resample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            depth = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            valid = pd.Series([0] * len(pdf), index=pdf.index, dtype="int64")
-            for i, image in _images(pdf):
-                if image is not None:
-                    grid = _resized(image * np.float32(pdf.at[i, "unit_m"]), size, centred=True)
-                    good = np.isfinite(grid) & (grid > 0)
-                    grid = np.where(good, np.minimum(grid, DEPTH_RESAMPLE_MAX_M), 0.0)
-                    depth.at[i] = grid.astype("float32").ravel()
-                    valid.at[i] = int(good.sum())
-            yield pdf[keys].assign(depth=depth, valid_pixels=valid)
-
-    return _by_slice(index).mapInPandas(
-        resample, f"{fields}, depth array<float>, valid_pixels long"
-    )
+
+    def resample(row: dict, image: np.ndarray | None) -> dict:
+        if image is None:
+            return dict(valid_pixels=0)
+        grid = _resized(image * np.float32(row["unit_m"]), size, centred=True)
+        good = np.isfinite(grid) & (grid > 0)
+        grid = np.where(good, np.minimum(grid, DEPTH_RESAMPLE_MAX_M), 0.0)
+        return dict(depth=grid.astype("float32").ravel(), valid_pixels=int(good.sum()))
+
+    return _per_image(index, keys, "depth array<float>, valid_pixels long", resample)
 
 
 def confidence_histogram(frames: DataFrame, keys: list[str], levels: str, top: int = 2) -> DataFrame:

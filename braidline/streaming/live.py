@@ -64,7 +64,7 @@ def completed_steps(state, row):
     return now, found
 
 
-RECORD_COLUMNS = """source_ns long, episode_index long, next_ns long, dt_ms double,
+RECORD_COLUMNS = """recording long, source_ns long, episode_index long, next_ns long, dt_ms double,
     action array<double>, gripper_action double, row_type string"""
 
 
@@ -72,53 +72,52 @@ def recorded_rows(state, row):
     """Completed recording steps, each source once, and a terminal row at the stop.
 
     Besides the rows of ``completed_steps``, rows with kind start, stop or
-    discard arrive. A discard is emitted as such; leave the episode out with
+    discard arrive. Recordings are numbered by their starts, as an episode index
+    is given again after a discard. A discard concerns the recording under way
+    or else the last one, and is emitted as such; leave recordings out with
     ``without_discarded``.
     """
-    state = state or dict(step=None, active=False, written=set(), episode=None)
+    step, number, under_way, written = state or (None, 0, False, None)
     kind = row["kind"]
+
+    def record(row_type, source=None, episode=None, following=None, dt=None, action=(), grip=None):
+        return dict(
+            recording=number, source_ns=source, episode_index=episode, next_ns=following, dt_ms=dt,
+            action=list(action), gripper_action=grip, row_type=row_type,
+        )
+
+    def is_new(source):
+        # rows arrive in time order, so the last source written tells
+        return written is None or source > written
+
     if kind == "start":
-        return dict(step=state["step"], active=True, written=set(), episode=row["episode_index"]), []
-    if kind in ("stop", "discard"):
-        found = []
-        last = state["step"]
-        if kind == "discard":
-            found.append(_record(row["t"], state["episode"], None, None, [], None, "discarded"))
-        elif state["active"] and last and last["recording"] and last["t"] not in state["written"]:
-            zero = [0.0] * len(last["pos"])
-            found.append(
-                _record(last["t"], last["episode"], None, None, zero, last["grip"], "terminal")
-            )
-        return dict(step=last, active=False, written=set(), episode=None), found
-    step, done = completed_steps(state["step"], row)
-    found, written = [], state["written"]
+        return (step, number + 1, True, None), []
+    if kind == "discard":
+        return (step, number, False, None), [record("discarded")] if number else []
+    if kind == "stop":
+        tail = under_way and step is not None and step["recording"] and is_new(step["t"])
+        zero = [0.0] * len(step["pos"]) if tail else []
+        found = [record("terminal", step["t"], step["episode"], None, None, zero, step["grip"])] if tail else []
+        return (step, number, False, written), found
+    step, done = completed_steps(step, row)
+    found = []
     for d in done:
-        usable = d["dropped_reason"] is None and d["recording"] and state["active"]
-        if usable and d["from_ns"] not in written:
-            written = written | {d["from_ns"]}
+        if d["dropped_reason"] is None and d["recording"] and under_way and is_new(d["from_ns"]):
+            written = d["from_ns"]
             found.append(
-                _record(
-                    d["from_ns"], d["episode_index"], d["to_ns"], d["dt_ms"], d["action"],
-                    d["gripper_action"], "completed",
+                record(
+                    "completed", d["from_ns"], d["episode_index"], d["to_ns"], d["dt_ms"], d["action"],
+                    d["gripper_action"],
                 )
             )
-    # older sources cannot come again: rows arrive in time order
-    written = {w for w in written if w >= row["t"] - 60_000_000_000} if len(written) > 10_000 else written
-    return dict(step=step, active=state["active"], written=written, episode=state["episode"]), found
-
-
-def _record(source, episode, following, dt, action, grip, kind):
-    return dict(
-        source_ns=source, episode_index=episode, next_ns=following, dt_ms=dt, action=action,
-        gripper_action=grip, row_type=kind,
-    )
+    return (step, number, under_way, written), found
 
 
 def without_discarded(records, keys: list[str]):
-    """Recorded rows of the episodes that were not discarded."""
+    """Recorded rows of the recordings that were not discarded."""
     from pyspark.sql import functions as F
 
-    by = [*keys, "episode_index"]
+    by = [*keys, "recording"]
     gone = records.where(F.col("row_type") == "discarded").select(*by).distinct()
     return records.join(gone, by, "left_anti")
 

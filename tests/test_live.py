@@ -72,6 +72,18 @@ def test_recorder_writes_a_terminal_row_and_discards():
     assert out[-1]["row_type"] == "discarded"
 
 
+def test_a_recording_after_a_discard_is_kept():
+    rows = [
+        frame(0, kind="start"), frame(1), frame(2), frame(3, kind="discard"),
+        frame(4, kind="start"), frame(5), frame(6), frame(7, kind="stop"),
+        frame(8, kind="start"), frame(9), frame(10), frame(11, kind="stop"), frame(12, kind="discard"),
+    ]
+    out = walk(live.recorded_rows, rows)
+    gone = {o["recording"] for o in out if o["row_type"] == "discarded"}
+    kept = [(o["recording"], o["source_ns"], o["row_type"]) for o in out if o["recording"] not in gone]
+    assert gone == {1, 3} and kept == [(2, 5, "completed"), (2, 6, "terminal")]
+
+
 def calibrate(raw_at, seconds=30):
     step = live.startup_calibration(live.CalibrationSettings(), lambda x: np.hstack([x, x]))
     rows = [
