@@ -74,8 +74,8 @@ def test_recorder_writes_a_terminal_row_and_discards():
 
 def test_a_recording_after_a_discard_is_kept():
     rows = [
-        frame(0, kind="start"), frame(1), frame(2), frame(3, kind="discard"),
-        frame(4, kind="start"), frame(5), frame(6), frame(7, kind="stop"),
+        frame(0, kind="start"), frame(1), frame(2), frame(3, kind="discard"), frame(3, recording=False),
+        frame(4, kind="start"), frame(5), frame(6), frame(7, kind="stop"), frame(7, recording=False),
         frame(8, kind="start"), frame(9), frame(10), frame(11, kind="stop"), frame(12, kind="discard"),
     ]
     out = walk(live.recorded_rows, rows)
