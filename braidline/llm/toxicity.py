@@ -12,8 +12,9 @@ Patterns that a shorter one already stands for are left out. Exception phrases
 are learned as well: full words that begin like a pattern but occur in clean
 documents only; a match inside one counts nothing. A document's evidence is the
 sum of its matches' weights, taken once as such (logarithmically) and once
-normalised by its number of words; a logistic curve fitted to at most
-FIT_ROWS labelled rows turns both into a score.
+normalised by its number of words; a logistic curve fitted to the same documents
+turns both into a score. Of each class about TRAIN_ROWS documents are learned
+from, chosen by a hash of their id; their ids are few enough to broadcast.
 
 Texts are scored where they lie. Only counts per pattern are shuffled, and what
 the tasks get is the lexicon: at most CANDIDATES patterns.
@@ -43,7 +44,7 @@ CANDIDATES = 20_000
 SUPPORT = 0.01  # share of the toxic training documents a pattern must be in
 LEAST_SUPPORT = 3
 LEAST_WEIGHT = 3.5
-FIT_ROWS = 50_000
+TRAIN_ROWS = 30_000  # labelled documents of each class to learn from
 THRESHOLD = 0.7
 HELD_OUT = 1
 EVIDENCE, N_WORDS = "_evidence", "_n_words"
@@ -216,19 +217,38 @@ def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(3))
 
 
-def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """The lexicon of the labelled documents outside the held-out fold."""
-    session.ship_package(spark)
+def _training_ids(labels: DataFrame, rows_per_class: int) -> DataFrame:
+    """doc_id and toxic of labelled documents outside the held-out fold.
+
+    Of a class with more than ``rows_per_class`` documents, those whose hash is
+    low enough to make about that many.
+    """
     known = (
         labels.where(fold_of(F.col("doc_id")) != HELD_OUT)
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id"))
         .agg(F.max("toxic").alias("toxic"))
-        .where("toxic IS NOT NULL")
+        .where("toxic IN (0, 1)")
     )
+    counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    steps = 1 << 30
+    low_enough = F.lit(False)
+    for toxic, n in counts.items():
+        most = min(1.0, rows_per_class / n) * steps
+        chosen = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(steps)) < int(most)
+        low_enough = low_enough | ((F.col("toxic") == toxic) & chosen)
+    return known.where(low_enough)
+
+
+def learn(
+    spark: SparkSession, docs: DataFrame, labels: DataFrame, rows_per_class: int = TRAIN_ROWS
+) -> Lexicon:
+    """The lexicon of the labelled documents outside the held-out fold."""
+    session.ship_package(spark)
+    ids = _training_ids(labels, rows_per_class)
     texts = docs.select("doc_id", common.text_or_empty().alias("text"))
-    # copies of a text would make its rare words look typical
+    # at most about 2 * rows_per_class ids; copies of a text would make its rare words look typical
     train = (
-        texts.join(known, "doc_id")
+        texts.join(F.broadcast(ids), "doc_id")
         .groupBy(F.xxhash64("text").alias("row"))
         .agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     )
@@ -255,7 +275,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Lexicon:
         if weight >= LEAST_WEIGHT and weight > stem + 1:
             weights[pattern] = weight
     lexicon = Lexicon(weights, _exceptions(toxic, clean, weights, least))
-    sample = evidence(train.orderBy(F.xxhash64("row")).limit(FIT_ROWS), lexicon, ["toxic"])
+    sample = evidence(train, lexicon, ["toxic"])
     got = sample.select("toxic", *features(F.col(EVIDENCE), F.col(N_WORDS))).toPandas().to_numpy()
     lexicon.curve = fit_curve(got[:, 1:], got[:, 0])
     return lexicon
