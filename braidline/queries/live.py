@@ -199,7 +199,41 @@ def sensor_rows(t: Tables) -> DataFrame:
     )
 
 
-@query("t5_startup_calibration")
+# all channels are multiples of the value, so its windows tell those of all
+T5_SQL = f"""WITH RECURSIVE r AS (SELECT user_id, event_id AS seq, t / {12 * HOUR} AS clk, value AS v,
+    row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS k FROM {EV}),
+  w AS (SELECT r.user_id, r.k, r.seq, r.clk, r.v, n.n >= 2 AND n.span >= 1.4 AS now_ok, n.m, n.sd,
+    b.n >= 2 AND b.span >= 1.4 AS before_ok, b.m AS mb FROM r,
+    LATERAL (SELECT count(*) AS n, avg(x.v) AS m, stddev_pop(x.v) AS sd, max(x.clk) - min(x.clk) AS span FROM r x
+      WHERE x.user_id = r.user_id AND x.k <= r.k AND x.clk >= r.clk - 2) n,
+    LATERAL (SELECT count(*) AS n, avg(x.v) AS m, max(x.clk) - min(x.clk) AS span FROM r x
+      WHERE x.user_id = r.user_id AND x.k <= r.k AND x.clk >= r.clk - 4 AND x.clk <= r.clk - 2) b),
+  s AS (SELECT user_id, k, seq, 'warming_up' AS st, clk AS started, NULL::DOUBLE AS checked, 0 AS passed, NULL::DOUBLE AS since,
+      NULL::DOUBLE AS tare, 0 AS n, 0.0::DOUBLE AS sm, NULL::DOUBLE AS bias, NULL::DOUBLE AS zero FROM w WHERE k = 1
+    UNION ALL SELECT user_id, k, seq,
+      CASE WHEN early THEN CASE WHEN clk - started < 5 THEN 'warming_up' WHEN NOT due THEN st WHEN p >= 2 THEN 'provisional_tare' ELSE 'delayed' END
+        WHEN st = 'provisional_tare' THEN 'runtime_settling'
+        WHEN st = 'runtime_settling' THEN CASE WHEN settled THEN 'final_tare' ELSE st END
+        WHEN biasing THEN CASE WHEN lasted THEN 'zero_check' ELSE 'bias_calibration' END
+        WHEN st = 'zero_check' AND lasted THEN CASE WHEN 1.1 * abs(sn / nn - tare - bias) <= 20 THEN 'ready' ELSE 'zero_check_failed' END
+        ELSE st END,
+      started, CASE WHEN due THEN clk ELSE checked END, p,
+      CASE WHEN st IN ('provisional_tare', 'final_tare') OR biasing AND lasted THEN clk ELSE since END,
+      CASE WHEN settled THEN m ELSE tare END, CASE WHEN biasing AND lasted THEN 0 ELSE nn END,
+      CASE WHEN biasing AND lasted THEN 0.0 ELSE sn END, CASE WHEN biasing AND lasted THEN sn / nn - tare ELSE bias END,
+      CASE WHEN st = 'zero_check' AND lasted THEN 1.1 * abs(sn / nn - tare - bias) ELSE zero END
+    FROM (SELECT *, CASE WHEN NOT due THEN passed WHEN now_ok AND before_ok AND abs(m - mb) <= 1000 AND 0.275 * sd <= 1000 THEN passed + 1
+        ELSE 0 END AS p FROM
+      (SELECT w.*, s.st, s.started, s.checked, s.passed, s.since, s.tare, s.bias, s.zero, s.st IN ('warming_up', 'delayed') AS early,
+        s.st IN ('warming_up', 'delayed') AND w.clk - s.started >= 5 AND (s.checked IS NULL OR w.clk - s.checked >= 0.5) AS due,
+        s.st = 'runtime_settling' AND w.clk - s.since >= 5 AND w.now_ok AS settled, s.st IN ('final_tare', 'bias_calibration') AS biasing,
+        s.st <> 'final_tare' AND w.clk - s.since >= 1 AS lasted,
+        CASE WHEN s.st = 'final_tare' THEN 1 ELSE s.n + 1 END AS nn, CASE WHEN s.st = 'final_tare' THEN w.v ELSE s.sm + w.v END AS sn
+       FROM s JOIN w ON w.user_id = s.user_id AND w.k = s.k + 1)))
+  SELECT user_id, seq, st AS status, st = 'ready' AS ready, {q6("zero")} AS zero_force FROM s"""
+
+
+@query("t5_startup_calibration", T5_SQL)
 def t5_startup_calibration(t: Tables):
     step = live.startup_calibration(CALIBRATION, linear_model)
     out = run(t, sensor_rows(t), step, live.CALIBRATION_COLUMNS, "calibration")

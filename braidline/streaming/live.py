@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -211,90 +212,169 @@ class CalibrationSettings:
 CALIBRATION_COLUMNS = "t long, seq long, status string, ready boolean, zero_force double, fx double"
 
 
+# Fixed value: share of a window that its rows must span.
+COVERAGE = 0.7
+
+
+class RunningSums:
+    """Count, sum and sum of squares up to each recent row; windows are differences of two rows."""
+
+    def __init__(self, horizon: float):
+        self.horizon, self.base = horizon, None
+        self.times, self.sums = [-np.inf], []
+
+    def add(self, at: float, values: np.ndarray) -> None:
+        if self.base is None:  # sums relative to the first row stay small
+            self.base = values
+            self.sums.append((0, np.zeros_like(values), np.zeros_like(values)))
+        n, total, squares = self.sums[-1]
+        off = values - self.base
+        self.times.append(at)
+        self.sums.append((n + 1, total + off, squares + off * off))
+        # the row before the oldest window stays as what to subtract
+        old = max(bisect_left(self.times, at - self.horizon) - 1, 0)
+        del self.times[:old], self.sums[:old]
+
+    def window(self, low: float, high: float) -> tuple[np.ndarray, np.ndarray] | None:
+        """Mean and deviation over [low, high]; None if its rows do not span enough of it."""
+        i, j = bisect_left(self.times, low, 1), bisect_right(self.times, high)
+        if j - i < 2 or self.times[j - 1] - self.times[i] < COVERAGE * (high - low):
+            return None
+        n, total, squares = (b - a for a, b in zip(self.sums[i - 1], self.sums[j - 1]))
+        mean = total / n
+        return mean + self.base, np.sqrt(np.maximum(squares / n - mean * mean, 0.0))
+
+
+@dataclass
+class _Stability:
+    """First stage: is the sensor quiet? Counts passed checks in a row."""
+
+    cfg: CalibrationSettings
+    sums: RunningSums
+    first: float
+    last_check: float | None = None
+    passed: int = 0
+    done: bool = False
+
+    def status(self, at: float) -> str:
+        cfg = self.cfg
+        waiting = self.last_check is None and at - self.first < cfg.min_wait_s
+        due = self.last_check is None or at - self.last_check >= cfg.interval_s
+        if waiting:
+            return "warming_up"
+        if due:
+            self.last_check = at
+            self.passed = self.passed + 1 if self._quiet(at) else 0
+            self.done = self.passed >= max(1, cfg.passes)
+        return "provisional_tare" if self.done else "delayed"
+
+    def _quiet(self, at: float) -> bool:
+        w = self.cfg.window_s
+        both = self.sums.window(at - 2 * w, at - w), self.sums.window(at - w, at)
+        if None in (both[0], both[1]):
+            return False
+        (before, _), (now, deviation) = both
+        moved = np.abs(now - before).max()
+        return moved <= self.cfg.mean_delta and np.median(deviation) <= self.cfg.noise_std
+
+
+@dataclass
+class _Average:
+    """A stage that averages wrenches from its first row until it has lasted long enough."""
+
+    duration: float
+    start: float | None = None
+    n: int = 0
+    total: np.ndarray | float = 0.0
+
+    def mean(self, at: float, wrench: np.ndarray) -> np.ndarray | None:
+        if self.start is None:
+            self.start = at
+        self.n, self.total = self.n + 1, self.total + wrench
+        return self.total / self.n if at - self.start >= self.duration else None
+
+
+class _Calibration:
+    """The stages of one sensor set; each hands the next one a number it found."""
+
+    def __init__(self, cfg: CalibrationSettings, at: float):
+        self.cfg = cfg
+        self.sums = RunningSums(max(2 * cfg.window_s, cfg.tare_s))
+        self.stability = _Stability(cfg, self.sums, at)
+        self.settling = self.offset = self.bias = self.zero = None
+        self.averages = _Average(cfg.bias_s), _Average(cfg.check_s)
+
+    def memory(self) -> dict:
+        """Plain values that a state store can keep."""
+        quiet = {k: v for k, v in vars(self.stability).items() if k not in ("cfg", "sums")}
+        return dict(
+            sums=self.sums and vars(self.sums), quiet=quiet, averages=[vars(a) for a in self.averages],
+            found=(self.settling, self.offset, self.bias, self.zero),
+        )
+
+    @classmethod
+    def restored(cls, cfg: CalibrationSettings, memory: dict) -> _Calibration:
+        out = cls(cfg, memory["quiet"]["first"])
+        vars(out.stability).update(memory["quiet"])
+        if memory["sums"]:
+            vars(out.sums).update(memory["sums"])
+        for average, held in zip(out.averages, memory["averages"]):
+            vars(average).update(held)
+        out.settling, out.offset, out.bias, out.zero = memory["found"]
+        return out
+
+    def status(self, at: float, raw: np.ndarray, model) -> str:
+        if self.offset is None:
+            self.sums.add(at, raw)
+            if not self.stability.done:
+                return self.stability.status(at)
+            return self._settle(at)
+        wrench = self.wrench(raw, model)
+        if self.bias is None:
+            self.bias = self.averages[0].mean(at, wrench)
+            if self.bias is None:
+                return "bias_calibration"
+            self.averages[1].start = at
+            return "zero_check"
+        if self.zero is None:
+            mean = self.averages[1].mean(at, wrench - self.bias)
+            if mean is None:
+                return "zero_check"
+            self.zero = float(np.abs(mean[:3]).max())
+        return "ready" if self.zero <= self.cfg.zero_limit_n else "zero_check_failed"
+
+    def _settle(self, at: float) -> str:
+        self.settling = at if self.settling is None else self.settling
+        recent = self.sums.window(at - self.cfg.tare_s, at)
+        if at - self.settling < self.cfg.settle_s or recent is None:
+            return "runtime_settling"
+        self.offset, self.sums = recent[0], None
+        return "final_tare"
+
+    def wrench(self, raw: np.ndarray, model) -> np.ndarray:
+        return np.asarray(model((raw - self.offset)[None, :]))[0]
+
+
 def startup_calibration(settings: CalibrationSettings, model):
     """Warm-up, stability, two tares, bias and zero check of a sensor set. (T5)
 
     Rows have t, seq and raw (channels of all sides). ``model`` maps tared
     channels to wrenches (n x axes, forces first); its first three axes are
-    checked. A row of kind "restart" begins anew.
+    checked. A row of kind "restart" begins anew. The state holds running sums
+    over two windows until the tare, and two vectors afterwards.
     """
-    cfg = settings
-
-    def window(history, low, high):
-        rows = [(at, raw) for at, raw in history if low <= at <= high]
-        if len(rows) < 2 or rows[-1][0] - rows[0][0] < max(0.0, high - low) * 0.7:
-            return None
-        return np.array([raw for _, raw in rows])
-
-    def advance(s, at, raw):
-        keep = max(cfg.window_s * 2, cfg.tare_s) + 1
-        s["history"] = [h for h in s["history"] if h[0] >= at - keep] + [(at, raw)]
-        status = s["status"]
-        if status in ("warming_up", "delayed"):
-            return _stability(s, at)
-        if status == "provisional_tare":
-            return {**s, "status": "runtime_settling", "since": at}
-        if status == "runtime_settling":
-            rows = window(s["history"], at - cfg.tare_s, at)
-            if at - s["since"] < cfg.settle_s or rows is None:
-                return s
-            return {**s, "offset": rows.mean(axis=0), "history": [], "status": "final_tare"}
-        if status == "final_tare":
-            s = {**s, "status": "bias_calibration", "since": at, "kept": []}
-        if s["status"] == "bias_calibration":
-            kept = [*s["kept"], _wrench(s, raw)]
-            if at - s["since"] < cfg.bias_s:
-                return {**s, "kept": kept}
-            bias = np.mean(kept, axis=0)
-            return {**s, "bias": bias, "kept": [], "since": at, "status": "zero_check"}
-        if s["status"] == "zero_check":
-            kept = [*s["kept"], _wrench(s, raw) - s["bias"]]
-            if at - s["since"] < cfg.check_s:
-                return {**s, "kept": kept}
-            worst = float(np.abs(np.mean(kept, axis=0)[:3]).max())
-            ok = worst <= cfg.zero_limit_n
-            return {**s, "kept": [], "zero": worst, "status": "ready" if ok else "zero_check_failed"}
-        return s
-
-    def _wrench(s, raw):
-        return np.asarray(model((np.asarray(raw) - s["offset"])[None, :]))[0]
-
-    def _stability(s, at):
-        if at - s["started"] < cfg.min_wait_s:
-            return {**s, "status": "warming_up"}
-        if s["checked"] is not None and at - s["checked"] < cfg.interval_s:
-            return s
-        s = {**s, "checked": at, "status": "delayed"}
-        before = window(s["history"], at - 2 * cfg.window_s, at - cfg.window_s)
-        now = window(s["history"], at - cfg.window_s, at)
-        if before is None or now is None:
-            return {**s, "passed": 0}
-        moved = float(np.abs(now.mean(axis=0) - before.mean(axis=0)).max())
-        noise = float(np.median(now.std(axis=0)))
-        passed = s["passed"] + 1 if moved <= cfg.mean_delta and noise <= cfg.noise_std else 0
-        if passed < max(1, cfg.passes):
-            return {**s, "passed": passed}
-        return {**s, "passed": passed, "offset": now.mean(axis=0), "status": "provisional_tare"}
 
     def step(state, row):
-        at = row["t"] / cfg.second_ns
         if row["kind"] == "restart":
             return None, []
-        raw = [float(x) for x in row["raw"]]
-        if state is None:
-            state = dict(
-                status="warming_up", started=at, checked=None, passed=0, history=[], offset=None,
-                bias=None, kept=[], since=None, zero=None,
-            )
-        state = advance(state, at, raw)
-        ready = state["status"] == "ready"
-        fx = float((_wrench(state, raw) - state["bias"])[0]) if ready else None
-        return state, [
-            dict(
-                t=row["t"], seq=row["seq"], status=state["status"], ready=ready,
-                zero_force=state["zero"], fx=fx,
-            )
-        ]
+        at, raw = row["t"] / settings.second_ns, np.array(row["raw"], dtype=float)
+        now = _Calibration.restored(settings, state) if state else _Calibration(settings, at)
+        status = now.status(at, raw, model)
+        ready = status == "ready"
+        fx = float((now.wrench(raw, model) - now.bias)[0]) if ready else None
+        return now.memory(), [
+            dict(t=row["t"], seq=row["seq"], status=status, ready=ready, zero_force=now.zero, fx=fx)
+        ]
 
     return step
 
