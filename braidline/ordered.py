@@ -138,31 +138,33 @@ def find_pieces(
 
     key_cols = [F.col(k) for k in keys] or [F.lit(0).alias(_KEY)]
     names = keys or [_KEY]
-    sampled = df.select(*key_cols, _order_struct(order).alias("_o")).where(
-        F.pmod(F.xxhash64(*[F.col(k) for k in keys], "_o"), F.lit(_HASH_RANGE))
-        < int(rate * _HASH_RANGE)
-    )
-    # the lists of all keys together hold the sample: SAMPLES_PER_TASK * maxTasks rows
-    cuts = (
-        sampled.groupBy(*names)
-        .agg(F.sort_array(F.collect_list("_o")).alias("_all"))
-        .select(
-            *names,
-            F.filter("_all", lambda _, i: (i > 0) & (i % step == 0)).alias("_cuts"),
+    # rows equal in key and order fall into the sample together: count them before
+    # anything is gathered, so that a value on half of all rows is one row here
+    sampled = (
+        df.select(*key_cols, _order_struct(order).alias("_o"))
+        .where(
+            F.pmod(F.xxhash64(*[F.col(k) for k in keys], "_o"), F.lit(_HASH_RANGE))
+            < int(rate * _HASH_RANGE)
         )
-        .where(F.size("_cuts") > 0)
+        .groupBy(*names, "_o")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    rows = cuts.collect()
-    if not rows:
+    # of each key's sample, the places where the running count passes a multiple of step
+    upto = F.sum("_n").over(Window.partitionBy(*names).orderBy("_o"))
+    passes = F.floor(F.col("_upto") / step) > F.floor((F.col("_upto") - F.col("_n")) / step)
+    cuts = sampled.withColumn("_upto", upto).where(passes).select(*names, "_o")
+    points_of: dict[tuple, list] = {}
+    for row in cuts.collect():
+        points_of.setdefault(tuple(row[k] for k in names), []).append(row["_o"])
+    if not points_of:
         return Pieces()
     blocked = []
-    for row in rows:
-        # equal cut points would only make empty pieces
-        points = [p for i, p in enumerate(row["_cuts"]) if i == 0 or p != row["_cuts"][i - 1]]
+    for key, points in points_of.items():
+        points.sort(key=lambda p: tuple((v is not None, v) for v in p))
         blocks = [points[i : i + _BLOCK] for i in range(0, len(points), _BLOCK)]
-        blocked.append(Row(*[row[k] for k in names], blocks))
+        blocked.append(Row(*key, blocks))
     fields = [cuts.schema[k] for k in names]
-    cut_type = T.ArrayType(cuts.schema["_cuts"].dataType)
+    cut_type = T.ArrayType(T.ArrayType(cuts.schema["_o"].dataType))
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in fields]
         + [T.StructField("_cuts", cut_type, True)]
@@ -467,8 +469,9 @@ def percentiles(
     held in one aggregation buffer.
     """
     keys, known = list(keys), df.where(F.col(value).isNotNull())
-    pieces = pieces or find_pieces(known, keys, [value], rows_per_task)
     counted = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    # the scan runs over counted values, so these are what may be too many
+    pieces = pieces or find_pieces(counted, keys, [value], rows_per_task)
     ranked = scan(
         counted, keys, [value], pieces=pieces, _upto=RunSum("_n"), _size=Total("sum", "_n")
     )

@@ -172,3 +172,18 @@ def test_floor_div_on_large_and_negative_numbers(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x long")
     got = [r["q"] for r in df.select(ordered.floor_div(F.col("x"), 3).alias("q")).collect()]
     assert got == [x // 3 for x in xs]
+
+
+def test_tied_values_are_one_row_of_the_sample(spark):
+    """Half of all rows share one value: the cut points stay few and the results exact."""
+    n = 60_000
+    rows = spark.range(n, numPartitions=6).select(
+        (F.col("id") % 2).alias("k"),
+        F.when(F.col("id") % 4 < 2, F.lit(500.0)).otherwise((F.col("id") * 7919 % 1000) * 1.0).alias("v"),
+    )
+    pieces = ordered.find_pieces(rows, ["k"], ["v"], 2000)
+    points = sum(len(b) for r in pieces.table.collect() for b in r["_cuts"])
+    assert points <= 2 * n / 2000 * 4
+    cut = ordered.percentiles(rows, ["k"], "v", rows_per_task=100, p=0.3, q=0.75).collect()
+    plain = ordered.percentiles(rows, ["k"], "v", p=0.3, q=0.75).collect()
+    assert sorted(map(tuple, cut)) == sorted(map(tuple, plain))
