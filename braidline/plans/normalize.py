@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from braidline import schemas
 from braidline.functions import coerce, frames, timing
 from braidline.operators import clocks, labels, relations
 
@@ -21,7 +22,12 @@ SOURCE = ["run_id", "source_file"]
 def phone_timing(
     frame_index: DataFrame, clock_sync: DataFrame, rows_per_task: int | None = None
 ) -> DataFrame:
-    """Frame times on the host clock, by the session's model or its smallest delay."""
+    """Frame times on the host clock, by the session's model or its smallest delay.
+
+    Both tables may carry the names of the files or those of ``schemas.HOST_NAMES``.
+    """
+    frame_index = frame_index.withColumnsRenamed(schemas.HOST_NAMES)
+    clock_sync = clock_sync.withColumnsRenamed(schemas.HOST_NAMES)
     offsets = clocks.one_way_offset(
         frame_index, SESSION, "capture_timestamp_ns", "host_receive_monotonic_ns"
     )

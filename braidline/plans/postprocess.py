@@ -104,11 +104,17 @@ def postprocess(
         rows_per_task=s.rows_per_task,
     )
     timeline = session.materialise(spark, timeline, "timeline")
-    counts = alignment.alignment_counts(timeline, EPISODE).withColumn(
-        "duplicate_targets", F.lit(0)
+    counts = alignment.alignment_counts(timeline, EPISODE)
+    # targets are the frames of the primary stream; one that comes twice is reused
+    frames_used = timeline.groupBy(*EPISODE).agg(
+        F.count("sequence").alias("frame_valid"),
+        (F.count("sequence") - F.count_distinct("sequence")).alias("duplicate_targets"),
     )
     verdicts = gates.alignment_gate(
-        counts, EPISODE, ["camera_valid", "force_valid", "all_valid"], s.min_valid_ratio
+        counts.join(frames_used, EPISODE),
+        EPISODE,
+        ["frame_valid", "camera_valid", "force_valid", "all_valid"],
+        s.min_valid_ratio,
     )
     kept = gates.passing(timeline, verdicts, EPISODE).where(
         filters.strictly_exportable([F.col("all_valid")], F.col("pose"))

@@ -56,20 +56,68 @@ def s1_error_rows(t: Tables):
 
 @query(
     "s1_error_line_numbers",
-    f"""SELECT (event_id // 50) + 1 AS line_number, event_id FROM {EV} WHERE event_id % 50 = 7""",
+    f"""SELECT count(*) OVER (PARTITION BY user_id % 3 ORDER BY event_id) AS line_number, event_id
+  FROM {EV} QUALIFY event_id % 50 = 7""",
 )
 def s1_error_line_numbers(t: Tables):
-    """One file: the lines of broken events, in order, with the lines between them left out."""
+    """Files that mix good, blank and broken lines; all of them count."""
     path = session.scratch_path(t.spark, "jsonl")
-    e = F.col("event_id")
-    broken = F.concat(F.lit('{"event_id": '), e.cast("string"))
-    t.events().where(e % 50 == 7).select(e, broken.alias("value")).repartitionByRange(
-        1, "event_id"
-    ).sortWithinPartitions("event_id").select("value").write.text(path)
+    e, part = F.col("event_id"), F.pmod(F.col("user_id"), F.lit(3)).alias("part")
+    good = F.to_json(F.struct("event_id"))
+    broken = good.substr(F.lit(1), F.length(good) - 1)
+    line = F.when(e % 50 == 7, broken).when(e % 60 == 9, " ").otherwise(good)
+    rows = t.events().select(part, e, line.alias("value"))
+    # one file for each part
+    rows.repartition("part").sortWithinPartitions("part", "event_id").select(
+        "part", "value"
+    ).write.partitionBy("part").text(path)
     _, bad = text.read_stream_jsonl(t.spark, path, "event_id long")
-    numbered = text.error_line_numbers(t.spark, path, bad)
-    return numbered.select(
-        "line_number", F.regexp_extract("line", r"(\d+)", 1).cast("long").alias("event_id")
+    names = t.events().where(e % 50 == 7).select(
+        e, F.concat(F.lit("part="), part.cast("string")).alias("part"),
+        broken.alias("line"),
+    )
+    numbered = text.error_line_numbers(t.spark, path, bad).withColumn(
+        "part", F.regexp_extract("source_file", r"part=\d+", 0)
+    )
+    return numbered.join(names, ["part", "line"]).select("line_number", "event_id")
+
+
+@query(
+    "s1_other_types",
+    f"""SELECT event_id, CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id,
+  CASE WHEN event_id % 3 > 0 THEN value END AS value FROM {EV}""",
+)
+def s1_other_types(t: Tables):
+    """Valid JSON with values of another type: the row stays, the value is null."""
+    path = session.scratch_path(t.spark, "jsonl")
+    e = F.col("event_id")
+    odd = F.concat(F.lit('{"event_id": '), e.cast("string"), F.lit(', "user_id": "x", "value": [1]}'))
+    line = F.when(e % 3 > 0, F.to_json(F.struct("event_id", "user_id", "value"))).otherwise(odd)
+    t.events().select(line.alias("value")).write.text(path)
+    good, _ = text.read_stream_jsonl(t.spark, path, "event_id long, user_id long, value double")
+    return good.select("event_id", "user_id", "value")
+
+
+@query(
+    "s2_permuted_columns",
+    f"""SELECT event_id AS frame_index, CASE WHEN event_id % 2 = 0 THEN t END AS host_receive_monotonic_ns,
+  event_id + 1 AS depth_frame_number, CASE WHEN event_id % 2 = 1 THEN value END AS host_receive_time_s FROM {EV}""",
+)
+def s2_permuted_columns(t: Tables):
+    """Files with their columns in another order, each without one of them."""
+    root = session.scratch_path(t.spark, "camera")
+    e = F.col("event_id")
+    rows = t.events()
+    rows.where(e % 2 == 0).select(
+        (e + 1).alias("depth_frame_number"), F.col("t").alias("host_receive_monotonic_ns"),
+        F.lit("a, b").alias("realsense_timestamp_domain"), e.alias("frame_index"),
+    ).write.option("header", True).csv(f"{root}/a")
+    rows.where(e % 2 == 1).select(
+        F.col("value").alias("host_receive_time_s"), e.alias("frame_index"), F.lit(5).alias("unknown"),
+        (e + 1).alias("depth_frame_number"),
+    ).write.option("header", True).csv(f"{root}/b")
+    return text.read_camera_csv(t.spark, root, "*.csv").select(
+        "frame_index", "host_receive_monotonic_ns", "depth_frame_number", "host_receive_time_s"
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from braidline import ordered, session
 from braidline.operators import gates, model, statistics
 from braidline.plans import alignment, formats, training
+from braidline.ordered import floor_div
 from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
 
@@ -784,7 +785,8 @@ def k5_flat_training_table(t: Tables):
 @query(
     "gated_training_rows",
     f"""{TIMELINE_CTE}, good AS (SELECT user_id FROM tl GROUP BY 1 HAVING avg(camera_valid::INT) >= 0.15
-    AND avg(force_valid::INT) >= 0.15 AND avg(all_valid::INT) >= 0.15),
+    AND avg(force_valid::INT) >= 0.15 AND avg(all_valid::INT) >= 0.15
+    AND (count(*) - count(DISTINCT event_id - event_id % (1 + user_id % 2))) / count(*) <= 0.05),
   x AS (SELECT tl.* FROM tl JOIN good USING (user_id) WHERE all_valid)
   SELECT event_id, {q6("left0")} AS pos0, {q6("coalesce(lead(left0) OVER w - left0, 0)")} AS action0 FROM x
   WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)""",
@@ -792,7 +794,12 @@ def k5_flat_training_table(t: Tables):
 def gated_training_rows(t: Tables):
     """Align, gate, and export: the written timeline feeds the gate and the table."""
     tl = session.materialise(t.spark, timeline(t), "timeline")
-    counts = alignment.alignment_counts(tl, KEYS).withColumn("duplicate_targets", F.lit(0))
+    # every other user's events share a frame with their neighbour
+    source = F.col("event_id") - F.col("event_id") % (1 + F.col("user_id") % 2)
+    reused = tl.groupBy(*KEYS).agg(
+        (F.count(F.lit(1)) - F.count_distinct(source)).alias("duplicate_targets")
+    )
+    counts = alignment.alignment_counts(tl, KEYS).join(reused, KEYS)
     verdicts = gates.alignment_gate(
         counts, KEYS, ["camera_valid", "force_valid", "all_valid"], min_ratio=0.15
     )

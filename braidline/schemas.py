@@ -1,12 +1,13 @@
 """Schemas of the recorded streams. They are stated, never inferred.
 
 Column and file names are fixed values: they are those the devices write.
+HOST_NAMES gives the names that the plans use for columns of the host clock.
 """
 
 from __future__ import annotations
 
 FRAME_INDEX = """protocol_version int, sequence long, capture_timestamp_ns long,
-    host_receive_monotonic_ns long, host_receive_unix_ns long, video_segment int,
+    mac_receive_monotonic_ns long, mac_receive_unix_ns long, video_segment int,
     video_byte_offset long, video_annex_b_bytes long, video_avcc_bytes long, key_frame boolean"""
 
 FRAME_METADATA = """sequence long, capture_timestamp_ns long, flags int, tracking_state int,
@@ -23,7 +24,13 @@ RECORDING_EVENTS = """sequence long, capture_timestamp_ns long, code int, event_
     event_unix_time_ns long, app_uptime_ns long, reason string"""
 
 CLOCK_SYNC = """session_id string, request_id long, round_trip_ns long,
-    phone_midpoint_ns long, host_midpoint_ns long"""
+    phone_midpoint_ns long, mac_midpoint_ns long"""
+
+HOST_NAMES = {
+    "mac_receive_monotonic_ns": "host_receive_monotonic_ns",
+    "mac_receive_unix_ns": "host_receive_unix_ns",
+    "mac_midpoint_ns": "host_midpoint_ns",
+}
 
 DEMO = """poseTimes array<string>, poseTransforms array<array<array<double>>>,
     cameraPoses array<struct<position: struct<x: double, y: double, z: double>,

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidline import ordered, schemas
+from braidline import ordered, schemas, session
 from braidline.functions import coerce, se3
 
 
@@ -19,29 +24,26 @@ def read_stream_jsonl(
 ) -> tuple[DataFrame, DataFrame]:
     """JSON lines as (good rows, error rows).
 
-    Blank lines are skipped. A line that is not JSON of the schema becomes an
-    error row with its file and text and never stops the scan. ``source_file``
-    names the file of every row.
+    Blank lines are skipped. A line that is no JSON object becomes an error row
+    with its file and text and never stops the scan; a value of another type
+    than its column reads as null. ``source_file`` names the file of every row.
     """
-    want = _columns(schema)
-    full = T.StructType([*want.fields, T.StructField("_bad", T.StringType())])
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source_file"))
     parsed = lines.where(F.trim("value") != "").withColumn(
         "_row",
-        F.from_json(
-            "value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+        F.when(
+            F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"),
+            F.from_json("value", _columns(schema), {"mode": "PERMISSIVE"}),
         ),
     )
-    good = parsed.where(F.col("_row._bad").isNull() & F.col("_row").isNotNull()).select(
-        "_row.*", "source_file"
-    )
-    bad = parsed.where(F.col("_row._bad").isNotNull() | F.col("_row").isNull()).select(
+    good = parsed.where(F.col("_row").isNotNull()).select("_row.*", "source_file")
+    bad = parsed.where(F.col("_row").isNull()).select(
         F.lit("normalization_error").alias("row_type"),
         "source_file",
         F.col("value").alias("line"),
         F.lit("malformed_json").alias("error"),
     )
-    return good.drop("_bad"), bad
+    return good, bad
 
 
 def error_line_numbers(
@@ -72,12 +74,45 @@ def error_line_numbers(
     )
 
 
+HEADER_BYTES = 1 << 16
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column names in the first line of each file."""
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        names = []
+        for path in paths:
+            store, place = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(place) as stream:
+                line = stream.read(HEADER_BYTES).split(b"\n", 1)[0].decode("utf-8-sig")
+            names.append([n.strip() for n in next(csv.reader([line]), [])])
+        yield pa.RecordBatch.from_pydict(
+            {"path": paths, "names": names},
+            pa.schema([("path", pa.string()), ("names", pa.list_(pa.string()))]),
+        )
+
+
 def _read_strings(
     spark: SparkSession, root: str | list[str], pattern: str, columns: list[str]
 ) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
+    """CSV files as strings, each column found by the header of its own file.
+
+    Files may order columns differently and lack some, which read as null.
+    """
+    session.ship_package(spark)
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .load(root)
+    )
+    headers = files.select("path").mapInArrow(_first_lines, "path string, names array<string>")
+    headers = session.materialise(spark, headers, "headers")
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
+    places = [f"_{i}" for i in range(width)] or ["_0"]
+    raw = (
+        spark.read.schema(", ".join(f"{p} string" for p in places))
         .option("header", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -85,6 +120,17 @@ def _read_strings(
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
 
+    def plain(path: str):
+        # readers write the scheme of a path with one slash or three
+        return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+    named = raw.join(headers, plain("source_file") == plain("path"))
+    values = F.array(*places)
+    return named.select(
+        *[F.get(values, F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in columns],
+        "source_file",
+    )
+
 
 def read_camera_csv(
     spark: SparkSession, root: str | list[str], pattern: str = "frame_timestamps.csv"
@@ -108,7 +154,7 @@ def read_force_csv(
 ) -> DataFrame:
     """Force streams below ``root`` with channels packed into arrays.
 
-    Files without the calibration columns, which come last, read as null there.
+    Files without the calibration columns read as null there.
     """
     columns = schemas.FORCE_COLUMNS + schemas.FORCE_CALIBRATION_COLUMNS
     raw = _read_strings(spark, root, pattern, columns)
