@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +18,7 @@ from braidline.ordered import floor_div
 from braidline.queries.base import EV, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
 from braidline.queries.statistics import K5_SQL, flat
-from braidline.sources import binary, discovery, sinks, text
+from braidline.sources import archive, binary, discovery, sinks, text
 
 
 def _lines(t: Tables) -> str:
@@ -261,6 +263,65 @@ def s5_short_sessions(t: Tables):
     return _committed(t)[1]
 
 
+def _session_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
+    """Write each row's session: its lines, and a commit of the first three quarters of them."""
+    for pdf in batches:
+        for user, lines in zip(pdf["user_id"], pdf["lines"]):
+            whole = [f"{x}\n".encode() for x in lines]
+            kept = len(whole) * 3 // 4
+            safe = sum(map(len, whole[:kept]))
+            counters = [0] * 11
+            counters[0], counters[1], counters[6] = kept - 1, kept, safe
+            body = struct.pack(">4sI11Q", b"UVC2", 2, *counters)
+            crc = zlib.crc32(body) ^ (user % 7 == 5)
+            data = b"".join(whole) + b'{"torn'
+            if user % 7 == 3:
+                data = data[: max(safe - 1, 0)]
+            fs, inner = pafs.FileSystem.from_uri(f"{root}/{user}")
+            fs.create_dir(inner, recursive=True)
+            for name, content in (
+                ("frame_index.jsonl", data), ("archive_commit.bin", body + struct.pack(">I", crc)),
+            ):
+                with fs.open_output_stream(f"{inner}/{name}") as out:
+                    out.write(content)
+        yield pdf[["user_id"]]
+
+
+def _archive(t: Tables):
+    root = _uri(session.scratch_path(t.spark, "sessions"))
+    line = F.to_json(F.struct(F.col("event_id").alias("sequence"), F.col("t").alias("capture_timestamp_ns")))
+    lines = t.events().groupBy("user_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("event_id", line.alias("l")))), lambda x: x["l"])
+        .alias("lines")
+    )
+    written = lines.mapInPandas(lambda it: _session_files(it, root), "user_id long")
+    written.write.format("noop").mode("overwrite").save()
+    schema = "sequence long, capture_timestamp_ns long"
+    user = F.regexp_extract("folder", r"(\d+)$", 1).cast("long").alias("session")
+    found = archive.committed_lines(t.spark, root, "frame_index.jsonl", schema, "frame_index_size")
+    return [x.withColumn("session", user) for x in found]
+
+
+@query(
+    "s5_session_rows",
+    f"""SELECT user_id AS session, event_id AS sequence, t AS capture_timestamp_ns FROM {EV}
+  WHERE user_id % 7 NOT IN (3, 5) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id)
+    <= count(*) OVER (PARTITION BY user_id) * 3 // 4""",
+)
+def s5_session_rows(t: Tables):
+    """Session folders with commit markers; rows behind the safe bytes do not count."""
+    return _archive(t)[0].select("session", "sequence", "capture_timestamp_ns")
+
+
+@query(
+    "s5_session_errors",
+    f"""SELECT user_id AS session, CASE WHEN user_id % 7 = 5 THEN 'invalid_checksum' ELSE 'shorter_than_commit' END AS error
+  FROM {EV} GROUP BY 1 HAVING user_id % 7 = 5 OR user_id % 7 = 3 AND count(*) * 3 // 4 > 0""",
+)
+def s5_session_errors(t: Tables):
+    return _archive(t)[1].select("session", "error")
+
+
 def _demos(t: Tables):
     """Vectors as demo documents of eight poses each: a third with camera poses, the rest 4x4."""
     v = F.col("vec_id")

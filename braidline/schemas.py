@@ -78,3 +78,17 @@ SESSION_FILES = [
     "recording_events.jsonl",
     "archive_commit.bin",
 ]
+
+# The commit marker: big-endian, magic and version, eleven counters, CRC-32 of all before it.
+COMMIT_BYTES = 100
+COMMIT_MAGIC = "55564332"  # UVC2
+COMMIT_VERSION = 2
+COMMIT_FIELDS = {
+    "committed_sequence": 8,
+    "frame_count": 16,
+    "frame_index_size": 56,
+    "frame_metadata_size": 64,
+    "depth_data_size": 72,
+    "depth_index_size": 80,
+    "recording_events_size": 88,
+}

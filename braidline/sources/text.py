@@ -19,6 +19,17 @@ def _columns(schema: str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def parsed_line(line: Column, schema: str) -> Column:
+    """The row of a JSON object; null for anything else. Values of another type read as null."""
+    is_object = F.try_parse_json(line).isNotNull() & F.ltrim(line).startswith("{")
+    return F.when(is_object, F.from_json(line, _columns(schema), {"mode": "PERMISSIVE"}))
+
+
+def plain_path(path: Column) -> Column:
+    """A path with one slash after its scheme; readers write one or three."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def read_stream_jsonl(
     spark: SparkSession, paths: list[str] | str, schema: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -30,11 +41,7 @@ def read_stream_jsonl(
     """
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source_file"))
     parsed = lines.where(F.trim("value") != "").withColumn(
-        "_row",
-        F.when(
-            F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"),
-            F.from_json("value", _columns(schema), {"mode": "PERMISSIVE"}),
-        ),
+        "_row", parsed_line(F.col("value"), schema)
     )
     good = parsed.where(F.col("_row").isNotNull()).select("_row.*", "source_file")
     bad = parsed.where(F.col("_row").isNull()).select(
@@ -120,11 +127,8 @@ def _read_strings(
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
 
-    def plain(path: str):
-        # readers write the scheme of a path with one slash or three
-        return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
-
-    named = raw.join(headers, plain("source_file") == plain("path"))
+    same = plain_path(F.col("source_file")) == plain_path(F.col("path"))
+    named = raw.join(headers, same)
     values = F.array(*places)
     return named.select(
         *[F.get(values, F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in columns],
