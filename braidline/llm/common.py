@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,15 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are over.
+
+    It does so when the driver collects its garbage, which it may not do for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is.
 

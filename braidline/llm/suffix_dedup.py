@@ -14,10 +14,12 @@ their name is unique. Three things keep it small:
   strings have equal anchors, and about one position in 17 is one. Most anchors
   have a unique name and go.
 - The second round names the LENGTH-byte strings that start at anchors left. In
-  a long repeated passage they overlap and cover everything but its ends. Only
-  strings around the ends, or around anchors that repeat by chance, are named
-  in the third round: those not yet covered whose anchor repeats, and in all
-  documents those with such an anchor.
+  a long repeated passage they overlap and cover everything but its ends. What
+  stays open are strings around the ends, or around anchors that repeat by
+  chance: those not yet covered whose anchor repeats. For their anchors, in all
+  documents, the names double to both sides: the strings of twice the SEED
+  before and behind. Only strings all of whose doubled parts repeat are named in
+  the last round.
 
 The texts are written once as a table of slices, consecutive documents with at
 most SLICE_BYTES of text. Each round reads them where they lie. A slice sends a
@@ -63,7 +65,9 @@ _BYTES = [
 ]
 
 SLICES = "part int, slice int, doc_id long, text string"
-NAMES = "name long, more long, part int, slice int, least long"
+SEED_NAMES = "name long, slice long, least long"
+NAMES = "name long, more long, slice long, least long"
+PER_PART = 1 << 20  # a slice's id is its part times this, and its number there
 REPLY = "slice int, name long, least long, part int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -203,6 +207,13 @@ def is_in(name: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name
 
 
+def in_several(name: np.ndarray, docs: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
+    """Which names several documents hold, here or in other slices."""
+    _, least, which = least_docs(name, docs)
+    _, most, _ = least_docs(name, -docs - 1)
+    return (least != -most - 1)[which] | is_in(name, elsewhere)
+
+
 def covered(piece: Slice, starts: np.ndarray) -> np.ndarray:
     """Bytes that the strings starting there cover."""
     change = np.zeros(len(piece.data) + 1, np.int32)
@@ -216,7 +227,7 @@ class Rounds:
 
     def __init__(self, length: int, seed: int):
         self.length, self.seed = length, seed
-        self.anchors = self.strings = self.ends = self.last = None
+        self.anchors = self.strings = self.ends = self.halves = self.last = None
 
     def slices(self, batches) -> Iterator[tuple[int, int, Slice]]:
         key, ids, texts = None, [], []
@@ -236,17 +247,12 @@ class Rounds:
         """One row per distinct name with its least document."""
         distinct, first, which = np.unique(name, return_index=True, return_inverse=True)
         _, least, _ = least_docs(name, docs)
-        n = len(distinct)
-        columns = [
-            distinct.view(np.int64),
-            more[first].view(np.int64) if more is not None else np.zeros(n, np.int64),
-            np.full(n, part, np.int32),
-            np.full(n, number, np.int32),
-            least,
-        ]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], ["name", "more", "part", "slice", "least"]
-        )
+        columns = {"name": distinct.view(np.int64)}
+        if more is not None:
+            columns["more"] = more[first].view(np.int64)
+        columns["slice"] = np.full(len(distinct), part * PER_PART + number, np.int64)
+        columns["least"] = least
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
     def name_anchors(self, batches):
         for part, number, piece in self.slices(batches):
@@ -256,9 +262,7 @@ class Rounds:
         """Numbers of the anchors that several documents have."""
         reply = replies.of(part, number)
         docs = piece.doc_of(piece.at)
-        _, least, which = least_docs(piece.seeds, docs)
-        _, most, _ = least_docs(piece.seeds, -docs - 1)
-        several = (least != -most - 1)[which] | is_in(piece.seeds, reply[0])
+        several = in_several(piece.seeds, docs, reply[0])
         return np.flatnonzero(several), earliest(piece.seeds, docs, reply)
 
     def _fits(self, piece: Slice, at: np.ndarray) -> np.ndarray:
@@ -304,30 +308,76 @@ class Rounds:
             name = np.unique(piece.seeds[anchor])
             yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64))], ["name"])
 
-    def _around_open(self, part: int, number: int, piece: Slice, opened: np.ndarray, ends: Replies):
-        """Strings whose anchor is that of an open string, here or elsewhere."""
-        known = np.union1d(ends.of(part, number)[0], opened)
-        if not len(known):
+    @staticmethod
+    def _known(part: int, number: int, opened: np.ndarray, ends: Replies) -> np.ndarray:
+        """Names of anchors of open strings, here or elsewhere."""
+        return np.union1d(ends.of(part, number)[0], opened)
+
+    def _halves(self, piece: Slice, known: np.ndarray):
+        """Per side, the anchors with a known name that have room, and where their string starts."""
+        number = np.flatnonzero(is_in(piece.seeds, known))
+        at = piece.at[number]
+        text = np.searchsorted(piece.ends, at, side="right")
+        behind = at + 2 * self.seed <= piece.ends[text]
+        before = at - self.seed >= (piece.ends - piece.sizes)[text]
+        return (number[behind], at[behind]), (number[before], at[before] - self.seed)
+
+    def name_halves(self, batches):
+        anchors, strings, ends = (Replies(x) for x in (self.anchors, self.strings, self.ends))
+        for part, number, piece in self.slices(batches):
+            _, _, anchor = self._state(part, number, piece, anchors, strings)
+            known = self._known(part, number, piece.seeds[anchor], ends)
+            if len(known) and len(piece.at):
+                at = np.unique(np.concatenate([start for _, start in self._halves(piece, known)]))
+                if len(at):
+                    name = [names(piece.data, 2 * self.seed, k)[at] for k in (0, 1)]
+                    yield self.rows(part, number, *name, piece.doc_of(at))
+
+    def _around_open(self, part: int, number: int, piece: Slice, opened, ends, halves):
+        """Strings whose anchor is that of an open string, and whose doubled parts repeat."""
+        known = self._known(part, number, opened, ends)
+        if not len(known) or not len(piece.at):
+            return np.empty(0, np.int64)
+        repeats = []
+        elsewhere = halves.of(part, number)[0]
+        sides = self._halves(piece, known)
+        starts = np.concatenate([start for _, start in sides])
+        if not len(starts):
             return np.empty(0, np.int64)
+        name = names(piece.data, 2 * self.seed)[starts]
+        several = in_several(name, piece.doc_of(starts), elsewhere)
+        for (numbers, _), found in zip(sides, np.split(several, [len(sides[0][0])])):
+            flag = np.zeros(len(piece.at), bool)
+            flag[numbers] = found
+            repeats.append(flag)
         whole = piece.whole()
-        return whole[is_in(piece.least[whole], known)]
+        whole = whole[is_in(piece.least[whole], known)]
+        anchor = piece.anchors_of(whole)
+        off = piece.at[anchor] - whole
+        behind = repeats[0][anchor] | (off + 2 * self.seed > self.length)
+        before = repeats[1][anchor] | (off < self.seed)
+        return whole[behind & before]
 
     def name_around_open(self, batches):
-        anchors, strings, ends = (Replies(x) for x in (self.anchors, self.strings, self.ends))
+        anchors, strings, ends, halves = (
+            Replies(x) for x in (self.anchors, self.strings, self.ends, self.halves)
+        )
         for part, number, piece in self.slices(batches):
             _, _, anchor = self._state(part, number, piece, anchors, strings)
-            at = self._around_open(part, number, piece, piece.seeds[anchor], ends)
+            at = self._around_open(part, number, piece, piece.seeds[anchor], ends, halves)
             if len(at):
                 yield self.rows(part, number, *piece.names_at(at), piece.doc_of(at))
 
     def results(self, batches, with_kept: bool):
-        replies = [Replies(x) for x in (self.anchors, self.strings, self.ends, self.last)]
+        *replies, last = [
+            Replies(x) for x in (self.anchors, self.strings, self.ends, self.halves, self.last)
+        ]
         for part, number, piece in self.slices(batches):
             gone, _, anchor = self._state(part, number, piece, *replies[:2])
-            at = self._around_open(part, number, piece, piece.seeds[anchor], replies[2])
+            at = self._around_open(part, number, piece, piece.seeds[anchor], *replies[2:])
             if len(at):
                 name, docs = piece.names_at(at)[0], piece.doc_of(at)
-                repeats = earliest(name, docs, replies[3].of(part, number)) < docs
+                repeats = earliest(name, docs, last.of(part, number)) < docs
                 gone = gone | covered(piece, at[repeats])
             yield self._result(piece, gone, with_kept)
 
@@ -376,25 +426,34 @@ def _cut(batches):
 
 
 def _send_back(spark: SparkSession, rows: DataFrame, label: str) -> str:
-    """Write (slice, name, least) rows as files by part."""
+    """Write (slice, name, least) rows as files by part; what the round shuffled may go then."""
     path = session.scratch_path(spark, label)
     dealt = rows.select("slice", "name", "least", "part").repartition(
         common.partitions(spark), "part"
     )
     dealt.write.option("compression", "zstd").partitionBy("part").parquet(path)
+    common.release(spark)
     return path
 
 
 def _in_several_slices(rows: DataFrame) -> DataFrame:
     """Sort names and keep those of several slices, with the least document of all."""
-    same = Window.partitionBy("name", "more")
-    return rows.select(
-        "part",
-        "slice",
-        "name",
-        F.min("least").over(same).alias("least"),
-        F.count("*").over(same).alias("slices"),
-    ).where("slices > 1")
+    same = Window.partitionBy(*[c for c in rows.columns if c in ("name", "more")])
+    return (
+        rows.select(
+            "slice",
+            "name",
+            F.min("least").over(same).alias("least"),
+            F.count("*").over(same).alias("slices"),
+        )
+        .where("slices > 1")
+        .select(
+            F.expr(f"cast(slice div {PER_PART} as int)").alias("part"),
+            F.expr(f"cast(slice % {PER_PART} as int)").alias("slice"),
+            "name",
+            "least",
+        )
+    )
 
 
 def remove_repeats(
@@ -412,16 +471,15 @@ def remove_repeats(
     writer.option("parquet.block.size", ROW_GROUP).parquet(path)
     table = spark.read.parquet(path)
     rounds = Rounds(length, seed)
-    rounds.anchors = _send_back(
-        spark, _in_several_slices(table.mapInArrow(rounds.name_anchors, NAMES)), "anchors"
-    )
-    rounds.strings = _send_back(
-        spark, _in_several_slices(table.mapInArrow(rounds.name_strings, NAMES)), "strings"
-    )
+
+    def named(step, schema: str, label: str) -> str:
+        return _send_back(spark, _in_several_slices(table.mapInArrow(step, schema)), label)
+
+    rounds.anchors = named(rounds.name_anchors, SEED_NAMES, "anchors")
+    rounds.strings = named(rounds.name_strings, NAMES, "strings")
     opened = table.mapInArrow(rounds.open_anchors, "name long").distinct()
     anchors = spark.read.schema(REPLY).parquet(rounds.anchors)
     rounds.ends = _send_back(spark, anchors.join(opened, "name", "left_semi"), "ends")
-    rounds.last = _send_back(
-        spark, _in_several_slices(table.mapInArrow(rounds.name_around_open, NAMES)), "around"
-    )
+    rounds.halves = named(rounds.name_halves, NAMES, "halves")
+    rounds.last = named(rounds.name_around_open, NAMES, "around")
     return table.mapInArrow(lambda batches: rounds.results(batches, with_kept), RESULT)
