@@ -3,7 +3,6 @@
 import brute
 import numpy as np
 import pytest
-from conftest import frame  # noqa: F401  (tests/llm/conftest.py)
 from pyspark.sql import functions as F
 
 from braidline.llm import (

@@ -3,7 +3,6 @@
 import brute
 import pytest
 from check import compare
-from conftest import frame  # noqa: F401
 
 import __spark_entry__ as entry
 import corpus_pipeline
