@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from braidline import ordered, session
 from braidline.operators import gates, model, statistics
 from braidline.plans import alignment, formats, training
-from braidline.ordered import floor_div
 from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
 
