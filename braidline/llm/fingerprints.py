@@ -143,12 +143,11 @@ def next_documents(spark: SparkSession, ids: DataFrame) -> DataFrame:
     ends = ranged.groupBy("part").agg(F.max("d").alias("top"))
     # one row per range
     below = ends.withColumn("below", F.lag("top").over(Window.orderBy("part")))
-    first = ends.agg(F.max("top").alias("first"))
+    first = ends.agg(F.max("top")).scalar()
     return (
         ranged.withColumn("next_d", F.lead("d").over(inside))
         .join(F.broadcast(below), "part")
-        .crossJoin(F.broadcast(first))
-        .select("d", F.coalesce("next_d", "below", "first").alias("next_d"))
+        .select("d", F.coalesce("next_d", "below", first).alias("next_d"))
     )
 
 
@@ -173,9 +172,12 @@ def with_edits(spark: SparkSession, docs: DataFrame) -> DataFrame:
     order = next_documents(spark, sizes).join(sizes, "d").select(
         F.col("d").alias("to"), F.col("next_d").alias("d"), F.floor(F.col("n") / 3).alias("take")
     )
-    order = order.join(sizes.select("d", "row"), "d")
-    marked = rows.withColumn("fp", fingerprint(F.col("body")))
-    senders = marked.join(order, "d").where(F.xxhash64("body") == F.col("row"))
+    order = order.join(sizes.select("d", F.col("row").alias("first")), "d")
+    # both joins read the same shuffle, so they take the same columns
+    marked = rows.select("d", "body", fingerprint(F.col("body")).alias("fp"))
+    # (an equation of hash and first would become a key of the join and a shuffle of its own)
+    is_first = F.xxhash64("body").bitwiseXOR(F.col("first")) == 0
+    senders = marked.join(order, "d").where(is_first)
     sent = senders.select(
         F.col("to").alias("d"),
         F.col("body").substr(F.lit(1), F.col("take").cast("int")).alias("beginning"),
@@ -186,12 +188,15 @@ def with_edits(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sent = sent.groupBy("d").agg(
         F.first("beginning").alias("beginning"), F.first("next_fp").alias("next_fp")
     )
-    third = F.floor(F.col("n") / 3).cast("int")
+    size = F.length("body")
+    third = F.floor(size / 3).cast("int")
     edited = F.concat(
-        F.col("body").substr(F.lit(1), F.col("n") - third),
+        F.col("body").substr(F.lit(1), size - third),
         F.col("beginning").substr(F.lit(1), third),
     )
-    joined = marked.join(sent, "d").select("d", "n", "fp", "next_fp", edited.alias("edited"))
+    joined = marked.join(sent, "d").select(
+        "d", size.alias("n"), "fp", "next_fp", edited.alias("edited")
+    )
     printed = joined.select(
         "d",
         "n",
