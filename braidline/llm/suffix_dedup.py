@@ -13,13 +13,15 @@ their name is unique. Three things keep it small:
   a LENGTH-byte string, the one with the least hash is its anchor, so equal
   strings have equal anchors, and about one position in 17 is one. Most anchors
   have a unique name and go.
-- The second round names the LENGTH-byte strings that start at anchors left. In
-  a long repeated passage they overlap and cover everything but its ends. What
-  stays open are strings around the ends, or around anchors that repeat by
-  chance: those not yet covered whose anchor repeats. For their anchors, in all
-  documents, the names double to both sides: the strings of twice the SEED
-  before and behind. Only strings all of whose doubled parts repeat are named in
-  the last round.
+- The second round names spans: from one anchor left to the end of the LENGTH
+  bytes that start at the next one. A span that an earlier document holds settles
+  all strings inside it, there as a removal and for later documents as well, for
+  whom the earlier document speaks. In a long repeated passage spans leave only
+  its ends. What stays open are strings around the ends, or around anchors that
+  repeat by chance: those not settled whose anchor repeats. For their anchors, in
+  all documents, the names double to both sides: the strings of twice the SEED
+  before and behind. Only strings that are not settled and all of whose doubled
+  parts repeat are named in the last round.
 
 The texts are written once as a table of slices, consecutive documents with at
 most SLICE_BYTES of text. Each round reads them where they lie. A slice sends a
@@ -50,7 +52,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, tokens
+from braidline.llm import common
 
 LENGTH = 50
 SEED = 16
@@ -97,6 +99,20 @@ def names(data: np.ndarray, length: int, which: int = 0) -> np.ndarray:
         power, width = power * power & (2**64 - 1), 2 * width
 
 
+def span_names(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0
+) -> np.ndarray:
+    """Hash of data[start:end] for each pair, from running sums over all of ``data``."""
+    base = int(_BASES[which])
+    n = len(data)
+    powers = np.cumprod(np.concatenate([[U(1)], np.full(n, base, U)]))
+    back = pow(base, -1, 1 << 64)
+    inverse = np.cumprod(np.concatenate([[U(1)], np.full(n, back, U)]))
+    sums = np.concatenate([[U(0)], np.cumsum(_BYTES[which][data] * powers[:n])])
+    found = (sums[ends] - sums[starts]) * inverse[starts]
+    return _mixed(found + (ends - starts).astype(U) * U(0xA24BAED4963EE407))
+
+
 def sliding(x: np.ndarray, n: int, least) -> np.ndarray:
     """``least`` (np.minimum or np.maximum) of each ``n`` consecutive values."""
     width = 1
@@ -214,11 +230,11 @@ def in_several(name: np.ndarray, docs: np.ndarray, elsewhere: np.ndarray) -> np.
     return (least != -most - 1)[which] | is_in(name, elsewhere)
 
 
-def covered(piece: Slice, starts: np.ndarray) -> np.ndarray:
-    """Bytes that the strings starting there cover."""
+def between(piece: Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Positions in any of the ranges [start, end)."""
     change = np.zeros(len(piece.data) + 1, np.int32)
     np.add.at(change, starts, 1)
-    np.add.at(change, starts + piece.length, -1)
+    np.add.at(change, ends, -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -227,7 +243,7 @@ class Rounds:
 
     def __init__(self, length: int, seed: int):
         self.length, self.seed = length, seed
-        self.anchors = self.strings = self.ends = self.halves = self.last = None
+        self.anchors = self.spans = self.ends = self.halves = self.last = None
 
     def slices(self, batches) -> Iterator[tuple[int, int, Slice]]:
         key, ids, texts = None, [], []
@@ -265,46 +281,49 @@ class Rounds:
         several = in_several(piece.seeds, docs, reply[0])
         return np.flatnonzero(several), earliest(piece.seeds, docs, reply)
 
-    def _fits(self, piece: Slice, at: np.ndarray) -> np.ndarray:
-        """Which strings at anchors lie in one text."""
-        inside = at < len(piece.least)
-        inside[inside] = piece.least[at[inside]] > 0
-        return inside
+    def _spans(self, piece: Slice, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last string start of the spans between neighbouring anchors that repeat."""
+        pairs = several[:-1][np.diff(several) == 1]
+        first, last = piece.at[pairs], piece.at[pairs + 1]
+        same_text = np.searchsorted(piece.ends, first, side="right")
+        inside = (last + self.length <= piece.ends[same_text]) & (last - first <= self.length)
+        return first[inside], last[inside]
 
-    def name_strings(self, batches):
+    def name_spans(self, batches):
         replies = Replies(self.anchors)
         for part, number, piece in self.slices(batches):
             several, _ = self._repeated_anchors(part, number, piece, replies)
-            at = piece.at[several]
-            at = at[self._fits(piece, at)]
-            if len(at):
-                yield self.rows(part, number, *piece.names_at(at), piece.doc_of(at))
+            first, last = self._spans(piece, several)
+            if len(first):
+                name = [span_names(piece.data, first, last + self.length, k) for k in (0, 1)]
+                yield self.rows(part, number, *name, piece.doc_of(first))
 
-    def _state(self, part: int, number: int, piece: Slice, anchors: Replies, strings: Replies):
-        """Bytes covered by strings at anchors; strings that are open, and their anchors."""
+    def _state(self, part: int, number: int, piece: Slice, anchors: Replies, spans: Replies):
+        """Bytes that spans cover; which starts they settle; open strings and their anchors."""
         several, earliest_seed = self._repeated_anchors(part, number, piece, anchors)
-        at = piece.at[several]
-        at = at[self._fits(piece, at)]
         gone = np.zeros(len(piece.data), bool)
+        settled = np.zeros(len(piece.data), bool)
         none = np.empty(0, np.int64)
         if not len(several):
-            return gone, none, none
-        if len(at):
-            name, docs = piece.names_at(at)[0], piece.doc_of(at)
-            repeats = earliest(name, docs, strings.of(part, number)) < docs
-            gone = covered(piece, at[repeats])
+            return gone, settled, none, none
+        first, last = self._spans(piece, several)
+        if len(first):
+            name, docs = span_names(piece.data, first, last + self.length), piece.doc_of(first)
+            repeats = earliest(name, docs, spans.of(part, number)) < docs
+            gone = between(piece, first[repeats], last[repeats] + self.length)
+            settled = between(piece, first[repeats], last[repeats] + 1)
         whole = piece.whole()
         left = np.concatenate([[0], np.cumsum(~gone)])
-        whole = whole[left[whole + self.length] > left[whole]]
+        whole = whole[~settled[whole] & (left[whole + self.length] > left[whole])]
         anchor = piece.anchors_of(whole)
         later = earliest_seed[anchor] < piece.doc_of(whole)
-        return gone, whole[later], anchor[later]
+        return gone, settled, whole[later], anchor[later]
 
     def open_anchors(self, batches):
         """Names of the anchors of open strings."""
-        anchors, strings = Replies(self.anchors), Replies(self.strings)
+        anchors, spans = Replies(self.anchors), Replies(self.spans)
         for part, number, piece in self.slices(batches):
-            _, _, anchor = self._state(part, number, piece, anchors, strings)
+            _, _, _, anchor = self._state(part, number, piece, anchors, spans)
             name = np.unique(piece.seeds[anchor])
             yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64))], ["name"])
 
@@ -323,9 +342,9 @@ class Rounds:
         return (number[behind], at[behind]), (number[before], at[before] - self.seed)
 
     def name_halves(self, batches):
-        anchors, strings, ends = (Replies(x) for x in (self.anchors, self.strings, self.ends))
+        anchors, spans, ends = (Replies(x) for x in (self.anchors, self.spans, self.ends))
         for part, number, piece in self.slices(batches):
-            _, _, anchor = self._state(part, number, piece, anchors, strings)
+            _, _, _, anchor = self._state(part, number, piece, anchors, spans)
             known = self._known(part, number, piece.seeds[anchor], ends)
             if len(known) and len(piece.at):
                 at = np.unique(np.concatenate([start for _, start in self._halves(piece, known)]))
@@ -359,26 +378,28 @@ class Rounds:
         return whole[behind & before]
 
     def name_around_open(self, batches):
-        anchors, strings, ends, halves = (
-            Replies(x) for x in (self.anchors, self.strings, self.ends, self.halves)
+        anchors, spans, ends, halves = (
+            Replies(x) for x in (self.anchors, self.spans, self.ends, self.halves)
         )
         for part, number, piece in self.slices(batches):
-            _, _, anchor = self._state(part, number, piece, anchors, strings)
+            _, settled, _, anchor = self._state(part, number, piece, anchors, spans)
             at = self._around_open(part, number, piece, piece.seeds[anchor], ends, halves)
+            at = at[~settled[at]]
             if len(at):
                 yield self.rows(part, number, *piece.names_at(at), piece.doc_of(at))
 
     def results(self, batches, with_kept: bool):
         *replies, last = [
-            Replies(x) for x in (self.anchors, self.strings, self.ends, self.halves, self.last)
+            Replies(x) for x in (self.anchors, self.spans, self.ends, self.halves, self.last)
         ]
         for part, number, piece in self.slices(batches):
-            gone, _, anchor = self._state(part, number, piece, *replies[:2])
+            gone, settled, _, anchor = self._state(part, number, piece, *replies[:2])
             at = self._around_open(part, number, piece, piece.seeds[anchor], *replies[2:])
+            at = at[~settled[at]]
             if len(at):
                 name, docs = piece.names_at(at)[0], piece.doc_of(at)
                 repeats = earliest(name, docs, last.of(part, number)) < docs
-                gone = gone | covered(piece, at[repeats])
+                gone = gone | between(piece, at[repeats], at[repeats] + self.length)
             yield self._result(piece, gone, with_kept)
 
     @staticmethod
@@ -476,7 +497,7 @@ def remove_repeats(
         return _send_back(spark, _in_several_slices(table.mapInArrow(step, schema)), label)
 
     rounds.anchors = named(rounds.name_anchors, SEED_NAMES, "anchors")
-    rounds.strings = named(rounds.name_strings, NAMES, "strings")
+    rounds.spans = named(rounds.name_spans, NAMES, "spans")
     opened = table.mapInArrow(rounds.open_anchors, "name long").distinct()
     anchors = spark.read.schema(REPLY).parquet(rounds.anchors)
     rounds.ends = _send_back(spark, anchors.join(opened, "name", "left_semi"), "ends")
