@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common, components
+from braidline.llm import common, components, near_copies
 
 WORDS = 3
 BUDGET = 2
@@ -262,23 +262,36 @@ def trie_links(
 
 
 def near_duplicates(
-    spark: SparkSession, docs: DataFrame, n_words: int = WORDS, budget: int = BUDGET
+    spark: SparkSession,
+    docs: DataFrame,
+    n_words: int = WORDS,
+    budget: int = BUDGET,
+    links: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, row, fp, component_id (least doc_id reachable)."""
+    """One row per document: doc_id, row, fp, root, component_id (least doc_id reachable).
+
+    ``links`` are further edges (a, b) between hashes of texts.
+    """
     found = common.written(spark, fingerprints(docs, n_words), "fingerprints")
     distinct = found.groupBy("fp").agg(F.min("doc_id").alias("low"))
     distinct = common.written(spark, distinct, "distinct-fingerprints")
     edges = trie_links(spark, distinct.select("fp"), budget)
+    if links is not None:
+        printed = found.select("row", "fp").distinct()
+        ends = [printed.select(F.col("row").alias(x), F.col("fp").alias(f"fp_{x}")) for x in ("a", "b")]
+        more = links.join(ends[0], "a").join(ends[1], "b")
+        edges = edges.select("a", "b").union(more.select("fp_a", "fp_b"))
     linked = components.connected_components(spark, edges)
     rooted = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
     return found.join(named, "fp").select(
         "doc_id",
         "row",
         "fp",
+        "root",
         "component_id",
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     )
@@ -287,17 +300,18 @@ def near_duplicates(
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the one with the least doc_id.
 
-    Of rows that share this id, the one with the least hash of its text stays.
+    Documents are linked if their fingerprints are, or if the Jaccard of their
+    five-word shingles is at least 0.8. Of rows that share this id, the one with the least hash of its text stays.
     """
     text = common.text_or_empty()
-    groups = near_duplicates(spark, docs)
+    groups = near_duplicates(spark, docs, links=near_copies.links(spark, docs))
     chosen = (
         groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id")
         .agg(F.min_by(F.struct("doc_id", "row"), "row").alias("one"))
         .select("one.doc_id", "one.row")
     )
-    nameless = groups.where("doc_id IS NULL AND component_id IS NULL").groupBy("fp").agg(
+    nameless = groups.where("doc_id IS NULL AND component_id IS NULL").groupBy("root").agg(
         F.min("row").alias("row")
     )
     chosen = chosen.where("doc_id IS NOT NULL").union(

@@ -10,6 +10,7 @@ from braidline.llm import (
     decontaminate,
     fingerprints,
     line_dedup,
+    near_copies,
     simhash,
     suffix_dedup,
     toxicity,
@@ -249,3 +250,50 @@ def test_suffix_dedup(spark, docs, rows, none, monkeypatch):
     assert suffix_dedup.remove_repeats(spark, none).count() == 0
     other = in_order(brute.without_repeats(rows, 20))
     assert listed(suffix_dedup.remove_repeats(spark, docs, 20, 7), *columns) == other
+
+
+def test_similar_texts_are_linked_and_one_stays(spark, none):
+    rng = np.random.default_rng(8)
+    text = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    passage, rows = text(30), []
+    for n in (12, 40, 90, 300):
+        for _ in range(4):
+            base = text(n) + passage[: n // 4]
+            for changes in (0, 1, n // 30, n // 20):
+                w = list(base)
+                for at in rng.integers(0, len(w), changes):
+                    w[at] = f"x{at}"
+                rows.append((len(rows), " ".join(w)))
+    # a chain in which only neighbours are similar, and a dense group around one text
+    chain, centre = text(100), text(120)
+    rows += [(len(rows) + k, " ".join(chain[6 * k :] + [f"c{x}" for x in range(6 * k)])) for k in range(12)]
+    rows += [(len(rows) + k, " ".join(centre[:k] + [f"y{k}"] + centre[k + 1 :])) for k in range(60)]
+    rows += [(None, rows[3][1] + " end"), (9000, rows[20][1].upper()), (9001, ""), (9002, None), (9003, "one")]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    sets = [shingles(t) for _, t in rows]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9
+    want = brute.components(len(rows), near)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    place = {r.row: r.at for r in spark.createDataFrame(
+        [(k, t or "") for k, (_, t) in enumerate(rows)], "at int, t string"
+    ).selectExpr("at", "xxhash64(t) AS row").orderBy(F.desc("at")).collect()}
+    edges = [(place[r.a], place[r.b]) for r in near_copies.links(spark, docs).collect()]
+    assert all(near(a, b) for a, b in edges)
+    linked = {frozenset(e) for e in edges}
+    same = lambda i, j: frozenset((i, j)) in linked or (rows[i][1] or "") == (rows[j][1] or "")
+    assert brute.components(len(rows), same) == want
+    assert near_copies.links(spark, none).count() == 0
+
+    prints = [brute.simhash(t) for _, t in rows]
+    bits = lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2
+    top = brute.components(len(rows), lambda i, j: near(i, j) or bits(i, j))
+    assert len(set(top)) < len(set(brute.components(len(rows), bits)))
+    ids = {}
+    for (doc, _), t in zip(rows, top):
+        ids.setdefault(t, []).append(doc)
+    kept = sorted(r.doc_id for r in simhash.keep_one(spark, docs).collect())
+    assert kept == sorted(min(d for d in v if d is not None) for v in ids.values())
