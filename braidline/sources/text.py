@@ -81,7 +81,7 @@ def error_line_numbers(
     )
 
 
-HEADER_BYTES = 1 << 16
+HEADER_BYTES = 1 << 16  # read at once while looking for the end of the first line
 
 
 def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +92,10 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in paths:
             store, place = fs.FileSystem.from_uri(path)
             with store.open_input_stream(place) as stream:
-                line = stream.read(HEADER_BYTES).split(b"\n", 1)[0].decode("utf-8-sig")
+                pieces = [stream.read(HEADER_BYTES)]
+                while pieces[-1] and b"\n" not in pieces[-1]:
+                    pieces.append(stream.read(HEADER_BYTES))
+            line = b"".join(pieces).split(b"\n", 1)[0].decode("utf-8-sig")
             names.append([n.strip() for n in next(csv.reader([line]), [])])
         yield pa.RecordBatch.from_pydict(
             {"path": paths, "names": names},
