@@ -16,6 +16,7 @@ from braidline.llm import (
     id_files,
     line_dedup,
     packing,
+    phrases,
     simhash,
     suffix_dedup,
     toxicity,
@@ -235,3 +236,51 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
     return suffix_dedup.remove_repeats(spark, docs, with_kept=False).drop("kept")
+
+
+OP11_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({ASCII_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), known AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s
+      FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k))
+  GROUP BY ALL HAVING count(*) >= {phrases.THRESHOLD}
+), longer AS (
+  SELECT lang, phrase, max(f) AS around FROM (
+    SELECT lang, f, array_to_string(w[s : s + m - 1], ' ') AS phrase FROM (
+      SELECT lang, f, k, w, m, unnest(range(1, k - m + 2)) AS s FROM (
+        SELECT lang, f, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM known WHERE k > 2)))
+  GROUP BY ALL
+), standing AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w
+  FROM known LEFT JOIN longer USING (lang, phrase)
+  WHERE k > 1 AND (around IS NULL OR 100 * around < 100 * f)
+), cuts AS (
+  SELECT lang, phrase, k, a, cut, array_to_string(w[: cut], ' ') AS head,
+    array_to_string(w[cut + 1 :], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM standing)
+), scored AS (
+  SELECT c.lang, c.phrase, a, cut, h.f AS l, t.f AS r, n,
+    (1000::HUGEINT * a * n // (h.f::HUGEINT * t.f))::BIGINT AS score
+  FROM cuts c JOIN known h ON c.lang = h.lang AND c.head = h.phrase
+    JOIN known t ON c.lang = t.lang AND c.tail = t.phrase JOIN totals ON c.lang = totals.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= {phrases.TOP}
+"""
+
+
+@query("op11_phrases", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, common.read(spark, sf_dir, "documents"))
