@@ -13,12 +13,14 @@ from braidline.llm import (
     common,
     decontaminate,
     fingerprints,
+    hard_negatives,
     id_files,
     line_dedup,
     packing,
     phrases,
     simhash,
     suffix_dedup,
+    token_counts,
     toxicity,
     url_filter,
     warc,
@@ -284,3 +286,39 @@ FROM lowest QUALIFY rank <= {phrases.TOP}
 @query("op11_phrases", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(spark, common.read(spark, sf_dir, "documents"))
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(spark, common.read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+    list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT a, b, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5
+)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+  row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)::INTEGER AS rank,
+  s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT same
+  AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = common.read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integer_rows(table.withColumn("label", moved))
+    return hard_negatives.mine(spark, rows, rows.where("vec_id % 100 = 0"))

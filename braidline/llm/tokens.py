@@ -1,14 +1,26 @@
 """Token ids of whole texts, computed in tasks with a public tokenizer file.
 
-The pre-tokenizer of the default vocabulary never looks across white space, so
-a text's ids are those of its blank-separated chunks in order. Each batch is
-reduced to its distinct chunks first, and a worker remembers the ids of chunks
-it has met, up to CACHE of them.
+Texts are cut into chunks whose ids do not depend on what stands around them.
+Where to cut is decided by what the vocabulary file says about itself:
+
+- ``blank``: the normalizer makes all white space one blank and the
+  pre-tokenizer drops it, so a text is cut at blanks and line feeds, which go;
+- ``before``: byte-level files with the usual pattern. A word takes the one
+  blank before it along; a text is cut before a blank that follows a letter,
+  digit or ASCII sign, unless only blanks follow;
+- ``piece``: sentencepiece files that keep white space and have no piece with a
+  blank inside. Cut as ``before``; the blank that starts a chunk is the one the
+  library itself puts before a text;
+- ``whole``: all other files; a text is one chunk.
+
+Each batch is reduced to its distinct chunks first, and a worker remembers the
+ids of chunks it has met, up to CACHE of them.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import re
 
 import numpy as np
@@ -20,6 +32,8 @@ SLICE_BYTES = 4 << 20
 
 _READY: dict[str, "ChunkTokenizer"] = {}
 
+_BEFORE = re.compile(r"(?<=[\w!-~])(?= +[^ ])")
+
 # letters whose lower case and normal form need no library
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([.,;:!?]*)")
 
@@ -37,16 +51,55 @@ def tokenizer(path: str) -> "ChunkTokenizer":
     return _READY[path]
 
 
+def cut_of(path: str) -> str:
+    """How texts may be cut for a vocabulary file: blank, before, piece or whole."""
+    if path.endswith(".model"):
+        return _cut_of_pieces(path)
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"])
+           for t in said["added_tokens"]) or said.get("truncation") or said.get("padding"):
+        return "whole"
+    normal, cut = said["normalizer"], said["pre_tokenizer"]
+    if normal is None and cut and cut["type"] == "ByteLevel":
+        return "before" if cut["use_regex"] and not cut["add_prefix_space"] else "whole"
+    steps = normal.get("normalizers", []) if normal else []
+    blanks = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    simple = all(n == blanks or n["type"] in ("NFC", "Lowercase") for n in steps)
+    first = (cut or {}).get("pretokenizers", [{}])[0]
+    drops = first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
+    spaced = drops and r"[^\s\p{L}\p{N}]+" in first["pattern"].get("Regex", "")
+    rest = (cut or {}).get("pretokenizers", [{}])[1:]
+    plain = all(r["type"] == "ByteLevel" and not r["use_regex"] and not r["add_prefix_space"] for r in rest)
+    return "blank" if blanks in steps and simple and spaced and plain else "whole"
+
+
+def _cut_of_pieces(path: str) -> str:
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=path)
+    inside = any(re.search("[^▁]▁", model.id_to_piece(i)) for i in range(model.get_piece_size()))
+    keeps = "".join(model.encode("a  b ", out_type=str)) == "▁a▁▁b▁" and not model.encode("")
+    return "piece" if keeps and not inside else "whole"
+
+
 class ChunkTokenizer:
     def __init__(self, path: str):
+        self.cut = cut_of(path)
+        self.pieces = path.endswith(".model")
+        self.known: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {}
+        if self.pieces:
+            from sentencepiece import SentencePieceProcessor
+
+            self.whole = SentencePieceProcessor(model_file=path)
+            return
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.known: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
 
     def _word(self, word: str) -> list[int]:
         """Ids of one run of Latin letters."""
@@ -60,29 +113,50 @@ class ChunkTokenizer:
             self.parts[text] = self.whole.encode(text, add_special_tokens=False).ids
         return self.parts[text]
 
+    def ids_of(self, chunks: list[str]):
+        """The ids of each chunk."""
+        if self.pieces:
+            plain = [c[1:] if self.cut == "piece" else c for c in chunks]
+            yield from self.whole.encode(plain, num_threads=1)
+            return
+        other = []
+        for k, chunk in enumerate(chunks):
+            latin = _LATIN.fullmatch(chunk) if self.cut == "blank" else None
+            if latin is None:
+                other.append(k)
+        encoded = self.whole.encode_batch_fast([chunks[k] for k in other], add_special_tokens=False)
+        found = dict(zip(other, encoded))
+        for k, chunk in enumerate(chunks):
+            if k in found:
+                yield found[k].ids
+            else:
+                word, end = _LATIN.fullmatch(chunk).groups()
+                yield self._word(word) + (self._part(end) if end else [])
+
     def learn(self, chunks: list[str]) -> None:
         new = [c for c in chunks if c not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known = {}
             new = chunks
-        other = []
-        for chunk in new:
-            latin = _LATIN.fullmatch(chunk)
-            if latin is None:
-                other.append(chunk)
-                continue
-            word, end = latin.groups()
-            self.known[chunk] = self._word(word) + (self._part(end) if end else [])
-        for chunk, found in zip(
-            other, self.whole.encode_batch_fast(other, add_special_tokens=False)
-        ):
-            self.known[chunk] = found.ids
+        self.known.update(zip(new, self.ids_of(new)))
+
+    def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All chunks one after the other, and the n + 1 bounds between texts."""
+        texts = pc.fill_null(texts, "")
+        if self.cut == "blank":
+            split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            return split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
+        if self.cut == "whole":
+            return texts, np.arange(len(texts) + 1)
+        start = " " if self.cut == "piece" else ""
+        cut = [_BEFORE.split(start + t) if t else [] for t in texts.to_pylist()]
+        bounds = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])
+        return pa.array(itertools.chain.from_iterable(cut), pa.string()), bounds
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the n + 1 bounds between texts."""
-        blank = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
-        split = pc.split_pattern(blank, " ")
-        chunks = split.flatten().dictionary_encode()
+        chunks, bounds = self.chunks(texts)
+        chunks = chunks.dictionary_encode()
         distinct = chunks.dictionary.to_pylist()
         self.learn(distinct)
         ids = [self.known[c] for c in distinct]
@@ -93,8 +167,7 @@ class ChunkTokenizer:
         n = sizes[codes]
         ends = np.cumsum(n)
         at = np.repeat(starts[codes] - (ends - n), n) + np.arange(int(n.sum()))
-        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return flat[at], np.concatenate([[0], ends])[offsets]
+        return flat[at], np.concatenate([[0], ends])[bounds]
 
 
 def slices(batch: pa.RecordBatch, text: str = "text"):
