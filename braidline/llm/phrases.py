@@ -17,8 +17,9 @@ distinct n-grams. Hashes that fall together only add to a count.
 
 Counting: the surviving hashes become a bit filter of at most ``most_bits``,
 which is broadcast. A second pass over the texts keeps n-grams that pass it, and
-whose shorter parts do, as words, counts them exactly within a task and then
-over all tasks. The filter bounds what is shuffled, not what is found.
+whose shorter parts do, as words, counts them exactly within a task and then,
+one row of phrases for each task and slice, over all tasks. The filter bounds
+what is shuffled, not what is found.
 
 Scoring: a phrase of a words cut after its first k words has l occurrences of
 the first part and r of the rest and scores floor(1000 a n / (l r)); its lowest
@@ -300,9 +301,10 @@ def _passes(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 COUNTS = "lang string, phrase string, k int, f long"
+DEALT = "slice int, lang array<string>, phrase array<string>, k array<int>, f array<long>"
 
 
-def _exact_counts(shipped, most_words: int, threshold: int):
+def _exact_counts(shipped, most_words: int, threshold: int, slices: int):
     bits = 64 - count_bits(threshold)
 
     def table(langs, phrases, k, f):
@@ -354,19 +356,51 @@ def _exact_counts(shipped, most_words: int, threshold: int):
                 held.append(made)
                 rows += made.num_rows
             if rows > 1 << 20:
-                yield from _combined(held)
+                yield dealt(_combined(held))
                 held, rows = [], 0
         if held:
-            yield from _combined(held)
+            yield dealt(_combined(held))
+
+    def dealt(table: pa.Table) -> pa.RecordBatch:
+        """One row for each slice with all its phrases."""
+        slice_of = (_hashes(table.column("phrase")) % np.uint64(slices)).astype(np.int64)
+        order = np.argsort(slice_of, kind="stable")
+        present, first = np.unique(slice_of[order], return_index=True)
+        offsets = pa.array(np.append(first, len(order)), pa.int32())
+        columns = [pa.array(present, pa.int32())]
+        for name in ("lang", "phrase", "k", "f"):
+            values = table.column(name).take(pa.array(order)).combine_chunks()
+            columns.append(pa.ListArray.from_arrays(offsets, values))
+        return pa.RecordBatch.from_arrays(columns, ["slice", "lang", "phrase", "k", "f"])
 
     return count
 
 
-def _combined(batches: list):
+def _combined(parts: list) -> pa.Table:
     """The same counts with equal phrases added up."""
-    whole = pa.Table.from_batches(batches)
-    summed = whole.group_by(["lang", "phrase", "k"]).aggregate([("f", "sum")])
-    yield from summed.rename_columns(["lang", "phrase", "k", "f"]).to_batches(1 << 16)
+    parts = [pa.Table.from_batches([p]) if isinstance(p, pa.RecordBatch) else p for p in parts]
+    summed = pa.concat_tables(parts).group_by(["lang", "phrase", "k"]).aggregate([("f", "sum")])
+    return summed.rename_columns(["lang", "phrase", "k", "f"])
+
+
+def _totals(threshold: int):
+    """Phrases of a slice that make the threshold, with their counts."""
+
+    def total(batches):
+        held, rows = [], 0
+        for batch in batches:
+            names = ["lang", "phrase", "k", "f"]
+            held.append(pa.Table.from_arrays([batch.column(c).flatten() for c in names], names))
+            rows += held[-1].num_rows
+            if rows > 1 << 21:
+                held = [_combined(held)]
+                rows = 0
+        if held:
+            summed = _combined(held)
+            often = pc.or_(pc.greater_equal(summed["f"], threshold), pc.equal(summed["k"], 0))
+            yield from summed.filter(often).to_batches(1 << 16)
+
+    return total
 
 
 def frequent(
@@ -385,9 +419,10 @@ def frequent(
     texts = docs.select(common.text_or_empty().alias("text"), lang.alias("lang"))
     keys = common.written(spark, survivors(spark, texts, threshold, most_words), "survivors")
     shipped = spark.sparkContext.broadcast(bit_filter(spark, keys, most_bits))
-    counted = texts.mapInArrow(_exact_counts(shipped, most_words, threshold), COUNTS)
-    summed = counted.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
-    return common.written(spark, summed.where((F.col("f") >= threshold) | (F.col("k") == 0)), "frequent")
+    slices = common.partitions(spark)
+    counted = texts.mapInArrow(_exact_counts(shipped, most_words, threshold, slices), DEALT)
+    met = counted.repartitionById(slices, F.col("slice"))
+    return common.written(spark, met.mapInArrow(_totals(threshold), COUNTS), "frequent")
 
 
 def collocations(
