@@ -1,9 +1,9 @@
 """The aligned timeline: every target frame with all of its streams.
 
-Phone frames or a uniform grid are the targets. The camera is matched to the
-nearest frame, the force sensor is interpolated between its neighbours, and
-each stream says whether it is usable and, if not, why. All streams are
-matched in one ordered scan.
+Phone frames are the targets, or ticks of a uniform grid, to which the phone is
+then matched like the camera. Both take the nearest sample, the force sensor is
+interpolated between its neighbours, and each stream says whether it is usable
+and, if not, why. All streams are matched in one ordered scan.
 """
 
 from __future__ import annotations
@@ -99,23 +99,38 @@ def align(
     vectors: tuple[str, ...] = ("left_wrench", "right_wrench"),
     pair_valid: str | None = None,
     rows_per_task: int | None = None,
+    phone: asof.Stream | None = None,
+    phone_max_ms: float = FRAME_MAX_MS,
 ) -> DataFrame:
-    """Targets with ``camera`` and ``force`` payloads and the sample index."""
-    joined = asof.bracket_join(
-        targets, {"camera": camera, "force": force}, keys, time, seq, rows_per_task
-    )
+    """Targets with ``frame``, ``camera`` and ``force`` payloads.
+
+    Without ``phone`` the targets are frames themselves and always valid; with
+    it they are ticks, and ``frame.row`` is the nearest row of the phone.
+    """
+    streams = {"camera": camera, "force": force} | ({"frame": phone} if phone else {})
+    joined = asof.bracket_join(targets, streams, keys, time, seq, rows_per_task)
     near = asof.nearest("camera", time)
     f_before, f_after = asof.bracket("force", time)
     staged = joined.select(
         *targets.columns,
+        *([asof.nearest("frame", time).alias("_frame")] if phone else []),
         near.alias("_near"),
         f_before.alias("_before"),
         f_after.alias("_after"),
     )
     t = F.col(time)
     near = F.col("_near")
+    if phone:
+        frame = nearest_payload(F.col("_frame"), F.col("_frame")["_at"] - t, phone_max_ms)
+    else:
+        frame = F.struct(
+            F.lit(True).alias("valid"),
+            F.lit(0.0).alias("source_delta_ms"),
+            F.lit(None).cast("string").alias("dropped_reason"),
+        )
     shaped = staged.select(
         *targets.columns,
+        frame.alias("frame"),
         nearest_payload(
             near,
             near["_at"] - t,
@@ -127,7 +142,7 @@ def align(
         ).alias("force"),
     )
     return shaped.withColumn(
-        "all_valid", F.col("camera.valid") & F.col("force.valid")
+        "all_valid", F.col("frame.valid") & F.col("camera.valid") & F.col("force.valid")
     )
 
 
@@ -135,6 +150,7 @@ def alignment_counts(timeline: DataFrame, keys: list[str]) -> DataFrame:
     """Row and validity counts per key. (A1)"""
     return timeline.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("timeline_rows"),
+        F.count_if("frame.valid").alias("frame_valid"),
         F.count_if("camera.valid").alias("camera_valid"),
         F.count_if("force.valid").alias("force_valid"),
         F.count_if("all_valid").alias("all_valid"),

@@ -21,6 +21,10 @@ EPISODE = ["run_id", "episode_index"]
 
 @dataclass(frozen=True)
 class Settings:
+    """``target_fps`` asks for a timeline of ticks; without it the frames are the targets."""
+
+    target_fps: float | None = None
+    frame_max_ms: float = alignment.FRAME_MAX_MS
     camera_max_ms: float = alignment.CAMERA_MAX_MS
     force_max_ms: float = alignment.FORCE_MAX_MS
     max_duration_s: float = episodes.MAX_DURATION_S
@@ -79,36 +83,52 @@ def postprocess(
     spark = frames.sparkSession
     named = session.materialise(spark, named, "episodes")
 
-    targets = in_episodes(frames, named, ["run_id", "session_id"], "aligned_ns", s.window_bin_ns)
-    windows = named.select("run_id", "episode_index", "start_ns", "end_ns")
-    reach = int(max(s.camera_max_ms, s.force_max_ms) * 1e6)
+    windows = named.select("run_id", "session_id", "episode_index", "start_ns", "end_ns")
+    reach = int(max(s.frame_max_ms, s.camera_max_ms, s.force_max_ms) * 1e6)
     wide = windows.withColumn("start_ns", F.col("start_ns") - reach).withColumn(
         "end_ns", F.col("end_ns") + reach
     )
 
-    def stream(rows: DataFrame, seq: str) -> asof.Stream:
+    def stream(rows: DataFrame, seq: str, keys: list[str]) -> asof.Stream:
         # the early clip keeps samples that no target could use out of the shuffle
-        inside = in_episodes(rows, wide, ["run_id"], "aligned_ns", s.window_bin_ns)
+        at = wide.select(*keys, "episode_index", "start_ns", "end_ns")
+        inside = in_episodes(rows, at, keys, "aligned_ns", s.window_bin_ns)
         return asof.Stream(inside.drop("start_ns", "end_ns"), "aligned_ns", seq)
 
+    session_keys = ["run_id", "session_id"]
+    if s.target_fps:
+        ticks = alignment.uniform_targets(windows, EPISODE, "start_ns", "end_ns", s.target_fps)
+        targets = ticks.withColumnRenamed("t", "aligned_ns")
+        phone = stream(frames, "sequence", session_keys)
+    else:
+        at = windows.select(*session_keys, "episode_index", "start_ns", "end_ns")
+        targets = in_episodes(frames, at, session_keys, "aligned_ns", s.window_bin_ns)
+        targets, phone = targets.drop("start_ns", "end_ns"), None
     timeline = alignment.align(
-        targets.drop("start_ns", "end_ns"),
-        stream(camera, "frame_index"),
-        stream(force, "packet_index"),
+        targets,
+        stream(camera, "frame_index", ["run_id"]),
+        stream(force, "packet_index", ["run_id"]),
         EPISODE,
         "aligned_ns",
-        "sequence",
+        "tick" if s.target_fps else "sequence",
         s.camera_max_ms,
         s.force_max_ms,
         pair_valid="rgb_depth_pair_valid",
         rows_per_task=s.rows_per_task,
+        phone=phone,
+        phone_max_ms=s.frame_max_ms,
     )
+    if s.target_fps:
+        # a tick shows the frame it was matched to
+        known = [c for c in frames.columns if c not in (*EPISODE, "aligned_ns")]
+        timeline = timeline.select("*", *[F.col(f"frame.row.{c}").alias(c) for c in known])
+        timeline = timeline.withColumn("frame", F.col("frame").dropFields("row"))
     timeline = session.materialise(spark, timeline, "timeline")
     counts = alignment.alignment_counts(timeline, EPISODE)
-    # targets are the frames of the primary stream; one that comes twice is reused
+    # a frame that comes twice, or is nearest to two ticks, is reused
+    used = F.when(F.col("frame.valid"), F.col("sequence"))
     frames_used = timeline.groupBy(*EPISODE).agg(
-        F.count("sequence").alias("frame_valid"),
-        (F.count("sequence") - F.count_distinct("sequence")).alias("duplicate_targets"),
+        (F.count(used) - F.count_distinct(used)).alias("duplicate_targets"),
     )
     verdicts = gates.alignment_gate(
         counts.join(frames_used, EPISODE),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from braidline import session
 from braidline.ordered import floor_div
 from braidline.queries.base import EV, VEC, Tables, q6, query, r6, stamp, stamp_sql
-from braidline.queries.joins import TIMELINE_CTE, timeline
+from braidline.queries.joins import TICK_SQL, TIMELINE_CTE, tick_timeline, timeline
 from braidline.queries.statistics import K5_SQL, flat
 from braidline.sources import archive, binary, discovery, sinks, text
 
@@ -580,18 +580,51 @@ def k2_incremental_episodes(t: Tables):
     )
 
 
+INDEX_SQL = f"""SELECT row_number() OVER (ORDER BY user_id, t, {{seq}}) - 1 AS global_sample_index,
+  user_id AS episode_index, row_number() OVER (PARTITION BY user_id ORDER BY t, {{seq}}) - 1 AS sample_index,
+  t AS aligned_ns, {{frame}} AS frame_sequence, 'v/' || {{frame}} AS frame_path,
+  camera_id AS camera_frame_index, {{camera_delta}} AS camera_delta_ms,
+  CASE WHEN force_valid THEN {{force}} END AS force_packet_index, {{force_delta}} AS force_delta_ms,
+  {{valid}} AS frame_valid, camera_valid, force_valid, all_valid FROM {{table}}"""
+
+
+def _index_out(out):
+    deltas = {c: r6(c) for c in ("camera_delta_ms", "force_delta_ms")}
+    return out.withColumns(deltas)
+
+
 @query(
     "k3_aligned_index",
-    f"""{TIMELINE_CTE} SELECT row_number() OVER (ORDER BY user_id, t, event_id) - 1 AS global_sample_index,
-  row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS sample_index, event_id AS frame_sequence,
-  camera_id AS camera_frame_index, camera_delta_ms, camera_valid, force_valid, all_valid FROM tl""",
-)
+    f"""{TIMELINE_CTE}, n AS (SELECT tl.*, CASE WHEN t - bt <= xt - t THEN pb.id ELSE pa.id END AS force_id
+    FROM tl JOIN (SELECT event_id, bt, xt FROM k) USING (event_id)
+    LEFT JOIN pb USING (event_id) LEFT JOIN pa USING (event_id)) """
+    + INDEX_SQL.format(
+        seq="event_id", frame="event_id", camera_delta="camera_delta_ms", force="force_id",
+        force_delta="force_delta_ms", valid="true", table="n",
+    ),
+)
 def k3_aligned_index(t: Tables):
     tl = timeline(t).withColumn("path", F.concat(F.lit("v/"), F.col("event_id").cast("string")))
-    out = sinks.aligned_index(tl, "user_id", "t", "event_id", "path", "event_id", "event_id")
-    return out.select(
-        "global_sample_index", "sample_index", "frame_sequence", "camera_frame_index",
-        r6("camera_delta_ms").alias("camera_delta_ms"), "camera_valid", "force_valid", "all_valid",
+    return _index_out(
+        sinks.aligned_index(tl, "user_id", "t", "event_id", "path", "event_id", "event_id")
+    )
+
+
+@query(
+    "k3_index_of_ticks",
+    f"WITH {TICK_SQL} "
+    + INDEX_SQL.format(
+        seq="tick", frame="frame_id", camera_delta=q6("cd / 1e6"), force="near_force",
+        force_delta=q6("fd / 1e6"), valid="frame_valid", table="ticks",
+    ),
+)
+def k3_index_of_ticks(t: Tables):
+    """The index of a target-fps timeline; a tick without a near frame is not valid."""
+    return _index_out(
+        sinks.aligned_index(
+            tick_timeline(t), "user_id", "t", "tick", "frame.row.path", "event_id", "event_id",
+            frame_seq="frame.row.event_id",
+        )
     )
 
 

@@ -220,7 +220,7 @@ def p17_stream_payload(t: Tables):
 
 @query(
     "a1_alignment_counters",
-    f"""{TIMELINE_CTE} SELECT user_id, count(*) AS timeline_rows,
+    f"""{TIMELINE_CTE} SELECT user_id, count(*) AS timeline_rows, count(*) AS frame_valid,
   count(*) FILTER (camera_valid) AS camera_valid, count(*) FILTER (force_valid) AS force_valid,
   count(*) FILTER (all_valid) AS all_valid FROM tl GROUP BY 1""",
 )
@@ -294,6 +294,107 @@ def e5_uniform_timeline(t: Tables):
     ).select("window_id", "tick", "t")
 
 
+TICK_NS = 2 * HOUR
+
+# ticks of every user's span, the nearest view and click and the bracketing purchases of each
+TICK_SQL = f"""
+ep AS (SELECT user_id, min(t) AS s, max(t) AS e FROM {EV} GROUP BY 1),
+k AS (SELECT user_id, tick, s + tick * {TICK_NS} AS t
+      FROM (SELECT user_id, s, unnest(range((e - s) // {TICK_NS})) AS tick FROM ep)),
+x AS (SELECT event_type, user_id, event_id, t, value FROM {EV}),
+near AS (SELECT k.user_id, k.tick, k.t,
+  vb.event_id AS vbi, vb.t AS vbt, va.event_id AS vai, va.t AS vat,
+  cb.event_id AS cbi, cb.t AS cbt, ca.event_id AS cai, ca.t AS cat,
+  pb.event_id AS pbi, pb.t AS pbt, pb.value AS pbv, pa.event_id AS pai, pa.t AS pat, pa.value AS pav
+  FROM k
+  ASOF LEFT JOIN (SELECT * FROM x WHERE event_type = 'view') vb ON k.user_id = vb.user_id AND k.t >= vb.t
+  ASOF LEFT JOIN (SELECT * FROM x WHERE event_type = 'view') va ON k.user_id = va.user_id AND k.t <= va.t
+  ASOF LEFT JOIN (SELECT * FROM x WHERE event_type = 'click') cb ON k.user_id = cb.user_id AND k.t >= cb.t
+  ASOF LEFT JOIN (SELECT * FROM x WHERE event_type = 'click') ca ON k.user_id = ca.user_id AND k.t <= ca.t
+  ASOF LEFT JOIN (SELECT * FROM x WHERE event_type = 'purchase') pb ON k.user_id = pb.user_id AND k.t >= pb.t
+  ASOF LEFT JOIN (SELECT * FROM x WHERE event_type = 'purchase') pa ON k.user_id = pa.user_id AND k.t <= pa.t),
+picked AS (SELECT *,
+  CASE WHEN vbt IS NULL THEN vai WHEN vat IS NULL OR t - vbt < vat - t THEN vbi ELSE vai END AS frame_id,
+  CASE WHEN vbt IS NULL THEN vat WHEN vat IS NULL OR t - vbt < vat - t THEN vbt ELSE vat END - t AS vd,
+  CASE WHEN cbt IS NULL THEN cai WHEN cat IS NULL OR t - cbt < cat - t THEN cbi ELSE cai END AS camera_id,
+  CASE WHEN cbt IS NULL THEN cat WHEN cat IS NULL OR t - cbt < cat - t THEN cbt ELSE cat END - t AS cd
+  FROM near),
+judged AS (SELECT *, coalesce(abs(vd) <= {6 * HOUR}, false) AS frame_valid,
+  coalesce(abs(cd) <= {6 * HOUR}, false) AS camera_valid,
+  coalesce(pat - pbt <= {36 * HOUR}, false) AS force_valid,
+  CASE WHEN t - pbt <= pat - t THEN pbi ELSE pai END AS near_force,
+  CASE WHEN pbt IS NULL OR pat IS NULL THEN NULL WHEN t - pbt <= pat - t THEN pbt ELSE pat END - t AS fd,
+  CASE WHEN pat = pbt THEN 0.0::DOUBLE ELSE (t - pbt)::DOUBLE / (pat - pbt) END AS al FROM picked),
+ticks AS (SELECT *, frame_valid AND camera_valid AND force_valid AS all_valid FROM judged)"""
+
+
+def tick_timeline(t: Tables, rows_per_task: int | None = None):
+    """Ticks over every user's span; views are the phone."""
+    views, clicks, purchases = streams(t)
+    spans = t.events().groupBy("user_id").agg(F.min("t").alias("s"), F.max("t").alias("e"))
+    named = views.withColumn("path", F.concat(F.lit("v/"), F.col("event_id").cast("string")))
+    return alignment.align(
+        alignment.uniform_targets(spans, KEYS, "s", "e", 1e9 / TICK_NS),
+        clicks,
+        purchases,
+        KEYS,
+        "t",
+        "tick",
+        camera_max_ms=6 * HOUR / 1e6,
+        force_max_ms=36 * HOUR / 1e6,
+        rows_per_task=rows_per_task,
+        phone=asof.Stream(named, "t", "event_id"),
+        phone_max_ms=6 * HOUR / 1e6,
+    )
+
+
+TICKS_OUT = f"""SELECT user_id, tick, t, frame_valid, {q6("vd / 1e6")} AS frame_delta_ms,
+  CASE WHEN vd IS NULL THEN 'missing_stream' WHEN NOT frame_valid
+       THEN 'nearest_sample_outside_threshold' END AS frame_reason, frame_id,
+  camera_valid, {q6("cd / 1e6")} AS camera_delta_ms, camera_id, force_valid,
+  CASE WHEN force_valid THEN {q6("al")} END AS alpha,
+  CASE WHEN force_valid THEN {q6("pbv + (pav - pbv) * al")} END AS left0, all_valid FROM ticks"""
+
+
+def _ticks_out(df):
+    return df.select(
+        "user_id",
+        "tick",
+        "t",
+        F.col("frame.valid").alias("frame_valid"),
+        r6("frame.source_delta_ms").alias("frame_delta_ms"),
+        F.col("frame.dropped_reason").alias("frame_reason"),
+        F.col("frame.row.event_id").alias("frame_id"),
+        F.col("camera.valid").alias("camera_valid"),
+        r6("camera.source_delta_ms").alias("camera_delta_ms"),
+        F.col("camera.row.event_id").alias("camera_id"),
+        F.col("force.valid").alias("force_valid"),
+        r6("force.alpha").alias("alpha"),
+        r6(F.get("force.left_wrench", F.lit(0))).alias("left0"),
+        "all_valid",
+    )
+
+
+@query("align_target_fps", f"WITH {TICK_SQL} {TICKS_OUT}")
+def align_target_fps(t: Tables):
+    return _ticks_out(tick_timeline(t))
+
+
+@query("align_target_fps_cut_keys", f"WITH {TICK_SQL} {TICKS_OUT}")
+def align_target_fps_cut_keys(t: Tables):
+    return _ticks_out(tick_timeline(t, rows_per_task=200))
+
+
+@query(
+    "a2_frame_reuse_on_ticks",
+    f"""WITH {TICK_SQL} SELECT user_id, count(DISTINCT frame_id) FILTER (frame_valid) AS unique_sources,
+  count(*) FILTER (frame_valid) - count(DISTINCT frame_id) FILTER (frame_valid) AS duplicate_targets
+  FROM ticks GROUP BY user_id""",
+)
+def a2_frame_reuse_on_ticks(t: Tables):
+    return alignment.source_reuse(tick_timeline(t), KEYS, "frame", "frame.row.event_id")
+
+
 @query(
     "e6_frame_timeline",
     f"""WITH ep AS (SELECT user_id, min(t) AS s, max(t) AS e FROM {EV} GROUP BY 1),

@@ -79,8 +79,13 @@ def aligned_index(
     camera_id: str,
     force_id: str,
     rows_per_task: int | None = None,
+    frame_seq: str | None = None,
 ) -> DataFrame:
-    """The flat 14-column index of a timeline. (K3)"""
+    """The flat 14-column index of a timeline. (K3)
+
+    ``seq`` ranks targets of equal times; ``frame_seq`` names the frame, if
+    that is another column, as on a timeline of ticks.
+    """
     small = ordered.whole_if_small(timeline, rows_per_task)
     local = ordered.scan(
         timeline, [episode], [time, seq], rows_per_task, small, _i=ordered.RowNumber()
@@ -93,13 +98,13 @@ def aligned_index(
         F.col(episode).alias("episode_index"),
         (F.col("_i") - 1).alias("sample_index"),
         F.col(time).alias("aligned_ns"),
-        F.col(seq).alias("frame_sequence"),
+        F.col(frame_seq or seq).alias("frame_sequence"),
         F.col(frame_path).alias("frame_path"),
         F.col(f"camera.row.{camera_id}").alias("camera_frame_index"),
         F.col("camera.source_delta_ms").alias("camera_delta_ms"),
         F.col(f"force.row.{force_id}").alias("force_packet_index"),
         F.col("force.source_delta_ms").alias("force_delta_ms"),
-        F.lit(True).alias("frame_valid"),
+        F.col("frame.valid").alias("frame_valid"),
         F.col("camera.valid").alias("camera_valid"),
         F.col("force.valid").alias("force_valid"),
         "all_valid",

@@ -149,3 +149,22 @@ def test_large_keys_give_the_same_training_rows(normal, result):
     out = postprocess.postprocess(**normal, settings=postprocess.Settings(rows_per_task=60))
     key = lambda x: x["sequence"]
     assert sorted(out.training.collect(), key=key) == sorted(result[1].training.collect(), key=key)
+
+
+def test_ticks_take_the_nearest_frame_and_judge_it(normal):
+    """Episode 0 runs from frame 10 to frame 50, 33 ms apart: ticks of 20 ms share frames."""
+    settings = postprocess.Settings(target_fps=50, rows_per_task=60)
+    out = postprocess.postprocess(**normal, settings=settings)
+    rows = out.timeline.orderBy("aligned_ns").collect()
+    start = out.episodes.first()["start_ns"]
+    assert [r["aligned_ns"] - start for r in rows] == [20 * MS * k for k in range(len(rows))]
+    assert len(rows) == (40 * 33) // 20
+    for r in rows:
+        assert r["frame"]["valid"] and abs(r["frame"]["source_delta_ms"]) <= 16.5 + 1e-3
+        assert r["sequence"] == round(10 + (r["aligned_ns"] - start) / (33 * MS))
+    verdict = out.verdicts.first()
+    assert not verdict["ok"] and "duplicate_targets" in verdict["reasons"]
+    strict = postprocess.Settings(target_fps=50, frame_max_ms=10)
+    few = postprocess.postprocess(**normal, settings=strict).timeline.collect()
+    assert 0 < sum(r["frame"]["valid"] for r in few) < len(few)
+    assert all(r["frame"]["valid"] or not r["all_valid"] for r in few)
