@@ -26,6 +26,14 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column in ``taken`` has it; Spark ignores case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of queries that are over.
 

@@ -217,8 +217,9 @@ def contamination(
 def without_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without those that hold a window of an item."""
     found = contamination(spark, docs, items).where("n_hit > 0")
-    hit = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (
-        F.xxhash64(common.text_or_empty()) == F.col("_row")
+    of_doc, of_row = (common.fresh(c, docs.columns) for c in ("_doc", "_row"))
+    hit = found.select(F.col("doc_id").alias(of_doc), F.col("row").alias(of_row)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(of_doc)) & (
+        F.xxhash64(common.text_or_empty()) == F.col(of_row)
     )
     return docs.join(hit, same, "left_anti")

@@ -154,11 +154,12 @@ def without_lines(
 ) -> DataFrame:
     """``docs`` with the kept lines as text and their length as n_chars."""
     bitmaps = keep_bitmaps(spark, docs, min_chars, min_docs).select("d", "row", "keep")
-    bitmaps = bitmaps.toDF("_d", "_row", "_keep")
+    of_d, of_row, keep = (common.fresh(c, docs.columns) for c in ("_d", "_row", "_keep"))
+    bitmaps = bitmaps.toDF(of_d, of_row, keep)
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(common.LEAST_ID))
-    same = (d == F.col("_d")) & (F.xxhash64(common.text_or_empty()) == F.col("_row"))
+    same = (d == F.col(of_d)) & (F.xxhash64(common.text_or_empty()) == F.col(of_row))
     joined = docs.join(bitmaps, same, "left")
-    text = kept_text(F.col("text"), F.col("_keep"))
+    text = kept_text(F.col("text"), F.col(keep))
     return joined.select(
         *[
             text.alias("text") if c == "text"

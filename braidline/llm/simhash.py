@@ -320,4 +320,5 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     same = F.col("k.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("k.row") == F.xxhash64(text))
     kept = docs.alias("t").join(chosen.alias("k"), same, "left_semi")
     equal = Window.partitionBy("doc_id", F.xxhash64(text)).orderBy("doc_id")
-    return kept.withColumn("_copy", F.row_number().over(equal)).where("_copy = 1").drop("_copy")
+    copy = common.fresh("_copy", docs.columns)
+    return kept.withColumn(copy, F.row_number().over(equal)).where(F.col(copy) == 1).drop(copy)

@@ -17,7 +17,7 @@ turns both into a score. Of each class about TRAIN_ROWS documents are learned
 from, chosen by a hash of their id; their ids are few enough to broadcast.
 
 Texts are scored where they lie. Only counts per pattern are shuffled, and what
-the tasks get is the lexicon: at most CANDIDATES patterns.
+the tasks get is the lexicon, whose patterns come from those rows.
 
 Defined cases: a null or empty text scores like one without a match; without
 toxic labels the lexicon is empty and every score is 0; null labels and null
@@ -40,7 +40,6 @@ from braidline import session
 from braidline.llm import common, tokens
 
 SHORTEST, LONGEST = 4, 8
-CANDIDATES = 20_000
 SUPPORT = 0.01  # share of the toxic training documents a pattern must be in
 LEAST_SUPPORT = 3
 LEAST_WEIGHT = 3.5
@@ -96,25 +95,20 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield columns, columns["text"]
 
 
-def _count(only: frozenset | None):
-    """Documents per pattern of a slice; all patterns or the given ones."""
-
-    def count(batches):
-        for _, texts in _texts(batches):
-            seen: Counter = Counter()
-            for text in texts:
-                found = patterns_of(text)
-                seen.update(found if only is None else found & only)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
-                ["pattern", "docs"],
-            )
-
-    return count
+def _count(batches):
+    """Documents per pattern of a slice."""
+    for _, texts in _texts(batches):
+        seen: Counter = Counter()
+        for text in texts:
+            seen.update(patterns_of(text))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
+            ["pattern", "docs"],
+        )
 
 
-def _counts(docs: DataFrame, only: frozenset | None = None) -> DataFrame:
-    found = docs.select("text").mapInArrow(_count(only), "pattern string, docs long")
+def _counts(docs: DataFrame) -> DataFrame:
+    found = docs.select("text").mapInArrow(_count, "pattern string, docs long")
     return found.groupBy("pattern").agg(F.sum("docs").alias("docs"))
 
 
@@ -176,11 +170,16 @@ def features(total: Column, n_words: Column) -> tuple[Column, Column]:
     return F.log1p(total), F.log1p(per_100)
 
 
+def _names(keep: list[str]) -> list[str]:
+    return [common.fresh(c, keep) for c in (EVIDENCE, N_WORDS)]
+
+
 def evidence(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
-    """``keep`` columns, EVIDENCE and N_WORDS of every document."""
+    """``keep`` columns, and EVIDENCE and N_WORDS of every document under ``_names(keep)``."""
+    total, size = _names(keep)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    schema += f", {EVIDENCE} double, {N_WORDS} long"
+    schema += f", {total} double, {size} long"
 
     def match(batches):
         for batch in batches:
@@ -190,7 +189,7 @@ def evidence(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep]
                     + [pa.array(totals, pa.float64()), pa.array(sizes, pa.int64())],
-                    [*keep, EVIDENCE, N_WORDS],
+                    [*keep, total, size],
                 )
 
     return docs.mapInArrow(match, schema)
@@ -258,16 +257,19 @@ def learn(
     if not n_toxic:
         return Lexicon({}, [])
     least = max(LEAST_SUPPORT, math.ceil(SUPPORT * n_toxic))
-    rows = (
-        _counts(toxic).where(F.col("docs") >= least).orderBy(F.desc("docs"), "pattern")
-        .limit(CANDIDATES).collect()
+    # weighed before they are gathered: what comes back are the patterns that tell
+    counted = (
+        _counts(toxic).where(F.col("docs") >= least)
+        .join(_counts(clean).withColumnRenamed("docs", "clean"), "pattern", "left")
+        .select("pattern", "docs", F.coalesce("clean", F.lit(0)).alias("clean"))
     )
-    in_toxic = {r.pattern: r.docs for r in rows}
-    in_clean = {r.pattern: r.docs for r in _counts(clean, frozenset(in_toxic)).collect()}
+    rate = (F.col("docs") + 0.5) / (n_toxic + 1)
+    usual = (F.col("clean") + 0.5) / (n_clean + 1)
+    rows = counted.where(F.log(rate / usual) >= LEAST_WEIGHT - 1e-9).collect()
     weights: dict[str, float] = {}
-    for pattern in sorted(in_toxic, key=len):
-        rate = (in_toxic[pattern] + 0.5) / (n_toxic + 1)
-        usual = (in_clean.get(pattern, 0) + 0.5) / (n_clean + 1)
+    for pattern, docs_with, clean_with in sorted(rows, key=lambda r: (len(r.pattern), r.pattern)):
+        rate = (docs_with + 0.5) / (n_toxic + 1)
+        usual = (clean_with + 0.5) / (n_clean + 1)
         weight = math.log(rate / usual)
         stem = max(
             (weights.get(pattern[:k], 0.0) for k in range(SHORTEST + 1, len(pattern))), default=0.0
@@ -292,8 +294,7 @@ def _exceptions(toxic: DataFrame, clean: DataFrame, weights: dict, least: int) -
         return found.groupBy("pattern").agg(F.sum("docs").alias("docs"))
 
     only_clean = words(clean).where(F.col("docs") >= least).join(words(toxic), "pattern", "left_anti")
-    rows = only_clean.orderBy(F.desc("docs"), "pattern").limit(CANDIDATES).collect()
-    return [r.pattern for r in rows]
+    return sorted(r.pattern for r in only_clean.select("pattern").collect())
 
 
 def score(
@@ -304,7 +305,7 @@ def score(
     text = docs.withColumn("text", common.text_or_empty()) if "text" not in keep else docs
     found = evidence(text.select(*dict.fromkeys([*keep, "text"])), lexicon, keep)
     bias, strength, rate = lexicon.curve
-    total, per_100 = features(F.col(EVIDENCE), F.col(N_WORDS))
+    total, per_100 = features(*map(F.col, _names(keep)))
     curve = 1 / (1 + F.exp(-(bias + strength * total + rate * per_100)))
     value = curve if lexicon.weights else F.lit(0.0)
     return found.select(*keep, value.alias(name))
@@ -313,5 +314,6 @@ def score(
 def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those that score THRESHOLD or more."""
     lexicon = learn(spark, docs, labels)
-    scored = score(spark, docs, lexicon, docs.columns, name="_score")
-    return scored.where(F.col("_score") < THRESHOLD).drop("_score")
+    name = common.fresh("_score", docs.columns)
+    scored = score(spark, docs, lexicon, docs.columns, name=name)
+    return scored.where(F.col(name) < THRESHOLD).drop(name)

@@ -7,7 +7,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 EXTRA = ("h1", "h2", "d", "row", "pos", "k", "word", "keep", "n", "w", "i", "token", "fp", "copies",
-         "name", "least", "slice", "part", "score", "total", "n_words", "piece", "grp", "rest", "best")
+         "name", "least", "slice", "part", "score", "total", "n_words", "piece", "grp", "rest", "best",
+         "_d", "_row", "_keep", "_doc", "_copy", "_score", "_evidence", "_n_words", "_EVIDENCE_")
 
 
 def odd_rows(seed=5):
