@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from braidline import asof, ordered
+from braidline import asof, ordered, session
 
 # Episode limits and thresholds.
 DURATION_TOLERANCE_S = 1.0
@@ -169,22 +169,147 @@ def effective_start(
     )
 
 
-def _spread(rows, fields: list[str]):
-    """Largest distance of the rows' vectors from their mean."""
-    n = F.size(rows)
+def forward_windows(
+    rows: DataFrame, keys: list[str], time: str, fields: list[str], window: int
+) -> DataFrame:
+    """n, incomplete, and <field>_min, _max, _sum over ``[t, t + window]`` for every time of a key.
+
+    ``incomplete`` counts rows in which a field is null.
+
+    Time is cut into blocks as wide as the window, so a window is the rest of its
+    block and the beginning of the next one. Each row counts in its own block, and
+    asks the next block, at its window's end, for what came until then. Running
+    values in either direction answer both, so the work does not depend on how
+    many rows a window holds, and a block of a key is all that a task orders.
+    """
+    ask = F.struct((F.col(time) + window).alias("_at"), F.lit(False).alias("_own"))
+    own = F.struct(F.col(time).alias("_at"), F.lit(True).alias("_own"))
+    placed = rows.select(*keys, *[F.col(f).cast("double").alias(f) for f in fields], F.inline(F.array(own, ask)))
+    placed = placed.withColumn("_block", ordered.floor_div(F.col("_at"), window))
+    part = Window.partitionBy(*keys, "_block")
+    # frames by value: rows of equal times see each other
+    upto = part.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    onwards = part.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    null = F.lit(False)
+    for f in fields:
+        null = null | F.col(f).isNull()
+
+    def running(frame) -> list[Column]:
+        known = [(F.min, "min"), (F.max, "max"), (F.sum, "sum")]
+        return [
+            F.count_if("_own").over(frame).alias("n"),
+            F.count_if(F.col("_own") & null).over(frame).alias("incomplete"),
+            *[
+                how(F.when(F.col("_own"), F.col(f))).over(frame).alias(f"{f}_{name}")
+                for f in fields
+                for how, name in known
+            ],
+        ]
+
+    both = placed.select(
+        *keys,
+        "_own",
+        F.when(F.col("_own"), F.col("_at")).otherwise(F.col("_at") - window).alias(time),
+        F.struct(*running(onwards)).alias("_rest"),
+        F.struct(*running(upto)).alias("_begun"),
+    )
+    half = F.when(F.col("_own"), F.col("_rest")).otherwise(F.col("_begun"))
+    halves = both.select(*keys, time, "_own", half.alias("_half"))
+    # all rows of one time have the same halves
+    met = halves.groupBy(*keys, time).agg(
+        F.any_value(F.when(F.col("_own"), F.col("_half")), True).alias("_a"),
+        F.any_value(F.when(~F.col("_own"), F.col("_half")), True).alias("_b"),
+    )
 
-    def mean(field):
-        return F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + r[field]) / n
+    def plus(name: str) -> Column:
+        return F.coalesce(F.col("_a")[name], F.lit(0)) + F.coalesce(F.col("_b")[name], F.lit(0))
 
-    centre = F.struct(*[mean(f).alias(f) for f in fields])
+    return met.select(
+        *keys,
+        time,
+        plus("n").alias("n"),
+        plus("incomplete").alias("incomplete"),
+        *[
+            column
+            for f in fields
+            for column in (
+                F.least(F.col("_a")[f"{f}_min"], F.col("_b")[f"{f}_min"]).alias(f"{f}_min"),
+                F.greatest(F.col("_a")[f"{f}_max"], F.col("_b")[f"{f}_max"]).alias(f"{f}_max"),
+                plus(f"{f}_sum").alias(f"{f}_sum"),
+            )
+        ],
+    )
+
+
+MARGIN = 1e-9  # rounding may not decide what bounds decide
 
-    def distance(r):
-        total = F.lit(0.0)
+
+def stillness(windows: DataFrame, limits: list[tuple[list[str], float]]) -> Column:
+    """True or false where bounds decide whether a window is still, else null.
+
+    For each group of fields the largest distance from the mean must stay below
+    its limit. It is at least the largest extent of one field around the mean,
+    and at most the root of the sum of their squares.
+    """
+    sure, out = F.lit(True), (F.col("n") <= 1) | (F.col("incomplete") > 0)
+    for fields, limit in limits:
+        extents = []
         for f in fields:
-            total = total + F.pow(r[f] - centre[f], F.lit(2.0))
-        return F.sqrt(total)
+            mean = F.col(f"{f}_sum") / F.col("n")
+            extents.append(F.greatest(F.col(f"{f}_max") - mean, mean - F.col(f"{f}_min")))
+        least = F.greatest(*extents) if len(extents) > 1 else extents[0]
+        most = F.sqrt(sum((e * e for e in extents[1:]), extents[0] * extents[0]))
+        sure = sure & (most < limit * (1 - MARGIN))
+        out = out | (least >= limit * (1 + MARGIN))
+    return F.when(out, F.lit(False)).when(sure, F.lit(True))
+
+
+def _settled(
+    rows: DataFrame, open_: DataFrame, keys: list[str], time: str, window: int,
+    limits: list[tuple[list[str], float]],
+) -> DataFrame:
+    """Those of the open windows that are still, by the distances of all their rows."""
+    fields = [f for group, _ in limits for f in group]
+    means = [(F.col(f"{f}_sum") / F.col("n")).alias(f"{f}_mean") for f in fields]
+    block = ordered.floor_div(F.col("_from"), window)
+    asked = open_.select(*keys, F.col(time).alias("_from"), *means).withColumn(
+        "_block", F.explode(F.array(block, block + 1))
+    )
+    placed = rows.select(*keys, time, *fields, ordered.floor_div(F.col(time), window).alias("_block"))
+    inside = placed.join(asked, [*keys, "_block"]).where(
+        F.col(time).between(F.col("_from"), F.col("_from") + window)
+    )
+    far = {}
+    for k, (group, _) in enumerate(limits):
+        square = sum(
+            (F.pow(F.col(f) - F.col(f"{f}_mean"), F.lit(2.0)) for f in group[1:]),
+            F.pow(F.col(group[0]) - F.col(f"{group[0]}_mean"), F.lit(2.0)),
+        )
+        far[f"_far{k}"] = F.sqrt(F.max(square))
+    found = inside.groupBy(*keys, "_from").agg(*[c.alias(n) for n, c in far.items()])
+    for k, (_, limit) in enumerate(limits):
+        found = found.where(F.col(f"_far{k}") < limit)
+    return found.select(*keys, F.col("_from").alias(time))
+
 
-    return F.array_max(F.transform(rows, distance))
+def judged_windows(
+    rows: DataFrame,
+    starts: DataFrame,
+    keys: list[str],
+    time: str,
+    limits: list[tuple[list[str], float]],
+    window: int,
+    min_duration: int,
+) -> DataFrame:
+    """Forward windows of all candidates with ``_still``: true, false, or null for open ones."""
+    # rows before the first candidate are in no forward window
+    late = rows.join(starts.select(*keys, "effective_start"), keys).where(
+        F.col(time) >= F.col("effective_start") + min_duration
+    )
+    fields = [f for group, _ in limits for f in group]
+    ahead = forward_windows(late, keys, time, fields, window)
+    return ahead.withColumn("_still", stillness(ahead, limits))
 
 
 def effective_end(
@@ -198,38 +323,37 @@ def effective_end(
     min_duration: int,
     max_translation: float,
     max_rotation: float,
-    rows_per_task: int | None = None,
 ) -> DataFrame:
     """First time from which the pose stays still for ``window``, else the last time.
 
-    Each candidate looks at its own forward window only; no pairs of rows are
-    formed across windows.
+    Bounds settle most windows. Exact distances are computed only for windows
+    that bounds leave open and that start before the first one they accept.
     """
-    # rows before the first candidate are in no forward window
-    late = (
-        rows.join(starts.select(*keys, "effective_start"), keys)
-        .where(F.col(time) >= F.col("effective_start") + min_duration)
-        .withColumn("_pose", F.struct(*position, *rotation))
+    limits = [(position, max_translation), (rotation, max_rotation)]
+    judged = judged_windows(rows, starts, keys, time, limits, window, min_duration)
+    judged = session.materialise(rows.sparkSession, judged, "windows")
+    sure = judged.where("_still").groupBy(*keys).agg(F.min(time).alias("_sure"))
+    open_ = open_windows(judged, sure, keys, time)
+    exact = _settled(rows, open_, keys, time, window, limits).groupBy(*keys).agg(
+        F.min(time).alias("_exact")
     )
-    ahead = ordered.time_window(
-        late, keys, time, 0, window, rows_per_task, _ahead=("collect_list", "_pose")
-    )
-    still = (
-        (F.size("_ahead") > 1)
-        & (_spread(F.col("_ahead"), position) < max_translation)
-        & (_spread(F.col("_ahead"), rotation) < max_rotation)
-    )
-    found = ahead.where(still).groupBy(*keys).agg(F.min(time).alias("_found"))
     last = rows.groupBy(*keys).agg(F.max(time).alias("_last"))
-    return last.join(found, keys, "left").select(
+    found = F.least("_sure", "_exact")
+    return last.join(sure, keys, "left").join(exact, keys, "left").select(
         *keys,
-        F.coalesce("_found", "_last").alias("effective_end"),
-        F.when(F.col("_found").isNotNull(), F.lit("stable_pose_window"))
+        F.coalesce(found, "_last").alias("effective_end"),
+        F.when(found.isNotNull(), F.lit("stable_pose_window"))
         .otherwise(F.lit("fallback_end_of_sequence"))
         .alias("status"),
     )
 
 
+def open_windows(judged: DataFrame, sure: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """Windows that need exact distances: open ones before the first accepted one."""
+    before = F.col("_sure").isNull() | (F.col(time) < F.col("_sure"))
+    return judged.where("_still IS NULL").join(sure, keys, "left").where(before)
+
+
 def clamp_episode_id(df: DataFrame, column: str) -> DataFrame:
     """Ids outside 0..65534 become 0."""
     ok = F.col(column).between(0, MAX_EPISODE_ID)

@@ -439,6 +439,42 @@ def e9_effective_end(t: Tables):
     )
 
 
+SPACE = """SELECT user_id, event_id, t, value AS x, (event_id % 13)::DOUBLE AS y, (event_id * 7 % 11)::DOUBLE AS z,
+  (event_id % 10)::DOUBLE AS turn FROM {}"""
+
+
+@query(
+    "e9_effective_end_in_space",
+    f"""WITH {THRESHOLD}, {START}, p AS ({SPACE.format(EV)}),
+  w AS (SELECT a.user_id, a.event_id, a.t, count(*) AS n, avg(b.x) AS mx, avg(b.y) AS my, avg(b.z) AS mz,
+      avg(b.turn) AS mr
+    FROM p a JOIN p b ON a.user_id = b.user_id AND b.t BETWEEN a.t AND a.t + {9 * HOUR} GROUP BY 1, 2, 3),
+  s AS (SELECT w.user_id, w.event_id, w.t, any_value(n) AS n,
+      max(sqrt(pow(b.x - mx, 2) + pow(b.y - my, 2) + pow(b.z - mz, 2))) AS rv, max(abs(b.turn - mr)) AS rr
+    FROM w JOIN p b ON w.user_id = b.user_id AND b.t BETWEEN w.t AND w.t + {9 * HOUR} GROUP BY 1, 2, 3),
+  f AS (SELECT s.user_id, min(s.t) AS t FROM s JOIN es USING (user_id)
+    WHERE s.t >= es.f + {3 * HOUR} + {DAY} AND n > 1 AND rv < 9 AND rr < 4 GROUP BY 1),
+  l AS (SELECT user_id, max(t) AS t FROM {EV} GROUP BY 1)
+  SELECT l.user_id, coalesce(f.t, l.t) AS effective_end, CASE WHEN f.t IS NULL
+    THEN 'fallback_end_of_sequence' ELSE 'stable_pose_window' END AS status
+  FROM l LEFT JOIN f USING (user_id)""",
+)
+def e9_effective_end_in_space(t: Tables):
+    """Three coordinates: bounds leave windows open, which exact distances settle."""
+    rows = t.events().select(
+        "user_id",
+        "t",
+        F.col("value").alias("x"),
+        (F.col("event_id") % 13).alias("y"),
+        (F.col("event_id") * 7 % 11).alias("z"),
+        (F.col("event_id") % 10).alias("turn"),
+    )
+    return episodes.effective_end(
+        rows, starts(t), ["user_id"], "t", ["x", "y", "z"], ["turn"],
+        window=9 * HOUR, min_duration=DAY, max_translation=9.0, max_rotation=4.0,
+    )
+
+
 IDS = f"(SELECT event_id, CASE WHEN user_id > 0 AND user_id < 65535 THEN user_id ELSE 0 END AS ep FROM {EV})"
 
 

@@ -187,3 +187,38 @@ def test_ends_count_changes_not_ids(spark):
         ends = [r["episode_end"] for r in episodes.ends_at_changes(df, ["i"], "e", limit).collect()]
         assert sorted(ends) == [2, 3, 5]
     assert sorted(r["episode_end"] for r in episodes.ends_by_id(df, "e").collect()) == [4, 5]
+
+
+def test_bounds_settle_most_forward_windows(spark):
+    """A pose that swings and then rests: the rest is found, few windows are compared row by row."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(3000):
+        swing = 5.0 if k < 2000 else 0.4
+        rows.append((1, k * 10, *[rng.uniform(-swing, swing) for _ in range(3)], rng.uniform(-1, 1)))
+    rows.append((2, 0, 1.0, None, 1.0, 0.0))
+    rows += [(2, 10 * k, 1.0, 1.0, 1.0, 0.0) for k in range(1, 40)]
+    df = spark.createDataFrame(rows, "k long, t long, x double, y double, z double, turn double")
+    starts = spark.createDataFrame([(1, 0), (2, 0)], "k long, effective_start long")
+    limits = [(["x", "y", "z"], 0.75), (["turn"], 2.0)]
+
+    def still(at, own):
+        inside = [r[2:] for r in own if at <= r[1] <= at + 500]
+        if len(inside) < 2 or any(v is None for r in inside for v in r):
+            return False
+        far = []
+        for cols in ((0, 1, 2), (3,)):
+            mean = [sum(r[c] for r in inside) / len(inside) for c in cols]
+            far.append(max(sum((r[c] - m) ** 2 for c, m in zip(cols, mean)) ** 0.5 for r in inside))
+        return far[0] < 0.75 and far[1] < 2.0
+
+    judged = episodes.judged_windows(df, starts, ["k"], "t", limits, 500, 0)
+    plain = {(k, r[1]): still(r[1], [x for x in rows if x[0] == k]) for k in (1, 2) for r in rows if r[0] == k}
+    found = {(r["k"], r["t"]): r["_still"] for r in judged.collect()}
+    assert set(found) == set(plain)
+    assert all(v is None or v == plain[k] for k, v in found.items())
+    sure = judged.where("_still").groupBy("k").agg(F.min("t").alias("_sure"))
+    assert episodes.open_windows(judged, sure, ["k"], "t").count() <= 60
+    out = episodes.effective_end(df, starts, ["k"], "t", ["x", "y", "z"], ["turn"], 500, 0, 0.75, 2.0)
+    ends = {r["k"]: r["effective_end"] for r in out.collect()}
+    assert ends == {k: min(t for (q, t), ok in plain.items() if ok and q == k) for k in (1, 2)}
