@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -206,58 +207,113 @@ def error_metrics(
     )
 
 
-def _gram(batches: Iterator[pd.DataFrame], channels: str, target: str) -> Iterator[pd.DataFrame]:
-    total = None
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        x = np.stack(pdf[channels].to_numpy()).astype("float64")
-        full = np.hstack([x, x**2, np.stack(pdf[target].to_numpy()).astype("float64")])
-        part = full.T @ full
-        total = part if total is None else total + part
-    if total is not None:
-        i, j = np.indices(total.shape)
-        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
-
-
-def quadratic_fit(rows: DataFrame, channels: str, target: str) -> np.ndarray:
-    """Least squares of ``target`` on channels and their squares, no intercept.
-
-    Each partition adds up its own normal equations, Spark sums them, and only
-    that small square matrix reaches the driver to be solved.
+FACTOR = "factor array<double>, n long"
+
+
+def _triangle(factor: np.ndarray | None, rows: np.ndarray) -> np.ndarray:
+    """R factor of what came before and some more rows: the same normal equations, in few rows."""
+    return np.linalg.qr(rows if factor is None else np.vstack([factor, rows]), mode="r")
+
+
+def _factors(keys: list[str], channels: str, target: str, width: int):
+    """One R factor of [features, target] for each key of a task; incomplete rows are left out."""
+    most = 4096  # keys that a task holds at once
+
+    def matrix(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        nulls = pc.list_parent_indices(column).filter(pc.list_flatten(column).is_null())
+        whole = sizes == sizes.max(initial=0)
+        whole[nulls.to_numpy()] = False
+        usable = column.filter(pa.array(whole))
+        flat = usable.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        out = np.zeros((len(column), int(sizes.max(initial=0))))
+        out[whole] = flat.reshape(-1, out.shape[1]) if out.shape[1] else 0.0
+        return out, whole
+
+    def found(held: dict, kinds: list) -> pa.RecordBatch:
+        columns = [pa.array(c, k) for c, k in zip(zip(*held), kinds)]
+        columns.append(pa.array([r.ravel() for r, _ in held.values()], pa.list_(pa.float64())))
+        columns.append(pa.array([n for _, n in held.values()], pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, [*keys, "factor", "n"])
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
+        kinds: list = []
+        for batch in batches:
+            kinds = [batch.column(k).type for k in keys]
+            (x, x_whole), (y, y_whole) = matrix(batch.column(channels)), matrix(batch.column(target))
+            if x.shape[1] * 2 + y.shape[1] != width:
+                continue  # no usable row
+            full = np.hstack([x, x * x, y])
+            usable = x_whole & y_whole & np.isfinite(full).all(axis=1)
+            places: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*[batch.column(k).to_pylist() for k in keys])):
+                if usable[i]:
+                    places.setdefault(key, []).append(i)
+            for key, at in places.items():
+                before, n = held.get(key, (None, 0))
+                held[key] = _triangle(before, full[at]), n + len(at)
+            if len(held) > most:
+                yield found(held, kinds)
+                held = {}
+        if held:
+            yield found(held, kinds)
+
+    return factor
+
+
+def quadratic_fit(rows: DataFrame, keys: list[str], channels: str, target: str) -> DataFrame:
+    """Least squares of ``target`` on channels and their squares for each key, no intercept.
+
+    Returns keys, ``coefficients`` (features x axes) and the number of rows
+    used. Tasks reduce their rows of a key to an R factor, and R factors are
+    merged like rows, so a group never holds more than two of them; a key with
+    most of the rows is one small factor from each task.
     """
     session.ship_package(rows.sparkSession)
-    sums = (
-        rows.select(channels, target)
-        .mapInPandas(lambda it: _gram(it, channels, target), "i int, j int, v double")
-        .groupBy("i", "j")
-        .agg(F.sum("v").alias("v"))
-    )
-    cells = sums.toPandas()
-    size = int(cells["i"].max()) + 1
-    gram = np.zeros((size, size))
-    gram[cells["i"], cells["j"]] = cells["v"]
-    width = rows.select(F.size(target).alias("n")).first()["n"]
-    n = size - width
-    # scaled columns keep the small system well conditioned
-    scale = np.sqrt(np.maximum(np.diag(gram)[:n], 1e-300))
-    normal = gram[:n, :n] / np.outer(scale, scale)
-    solution, *_ = np.linalg.lstsq(normal, gram[:n, n:] / scale[:, None], rcond=None)
-    return solution / scale[:, None]
-
-
-def quadratic_apply(channels: Column, coefficients: np.ndarray) -> Column:
-    """Predicted axes for a channel array."""
-    n = coefficients.shape[0] // 2
-    xs = [F.get(channels, F.lit(i)) for i in range(n)]
-    features = xs + [x * x for x in xs]
-    out = []
-    for axis in range(coefficients.shape[1]):
-        total = F.lit(0.0)
-        for f, c in zip(features, coefficients[:, axis]):
-            total = total + f * F.lit(float(c))
-        out.append(total)
-    return F.array(*out)
+    sizes = rows.agg(F.max(F.size(channels)), F.max(F.size(target))).first()
+    n, m = 2 * max(sizes[0] or 0, 0), max(sizes[1] or 0, 0)
+    named = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    parts = rows.select(*keys, channels, target).mapInArrow(
+        _factors(keys, channels, target, n + m), f"{named}, {FACTOR}"
+    )
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, used, first = None, 0, None
+        for batch in batches:
+            first = batch if first is None else first
+            for part, count in zip(batch.column("factor").to_pylist(), batch.column("n").to_pylist()):
+                whole = _triangle(whole, np.array(part).reshape(-1, n + m))
+                used += count
+        left, right = whole[:, :n], whole[:, n:]
+        # columns of one length keep the small system well conditioned
+        scale = np.sqrt(np.maximum((left**2).sum(axis=0), 1e-300))
+        solution, *_ = np.linalg.lstsq(left / scale, right, rcond=None)
+        columns = [first.column(k).slice(0, 1) for k in keys]
+        columns.append(pa.array([(solution / scale[:, None]).tolist()], pa.list_(pa.list_(pa.float64()))))
+        columns.append(pa.array([used], pa.int64()))
+        yield pa.RecordBatch.from_arrays(columns, [*keys, "coefficients", "rows_used"])
+
+    return parts.groupBy(*keys).applyInArrow(
+        solve, f"{named}, coefficients array<array<double>>, rows_used long"
+    )
+
+
+def quadratic_features(channels: Column) -> Column:
+    """Channels and their squares."""
+    return F.concat(channels, F.transform(channels, lambda x: x * x))
+
+
+def quadratic_apply(channels: Column, coefficients: Column) -> Column:
+    """Predicted axes for a channel array, with the coefficients of its key."""
+    features = quadratic_features(channels)
+    axes = F.sequence(F.lit(0), F.size(F.get(coefficients, F.lit(0))) - 1)
+    return F.transform(
+        axes,
+        lambda a: F.aggregate(
+            F.zip_with(features, coefficients, lambda x, c: x * F.get(c, a)), F.lit(0.0), lambda s, v: s + v
+        ),
+    )
 
 
 def tare_offsets(

@@ -200,14 +200,36 @@ def a11_error_metrics(t: Tables):
     return out.select("label", *[r6(c).alias(c) for c in ("mse", "rmse", "r2")])
 
 
-@query("a12_quadratic_fit")
+@query(
+    "a12_quadratic_fit",
+    f"""SELECT label, feature::INTEGER AS feature, axis::INTEGER AS axis, n AS rows_used, 0.0::DOUBLE AS slope
+  FROM (SELECT label, count(*) AS n FROM {VEC} WHERE label IS NOT NULL GROUP BY 1),
+    range(24) f(feature), range(6) x(axis)""",
+)
 def a12_quadratic_fit(t: Tables):
-    """Residual of the fitted six axes, per axis."""
-    rows = t.vectors().select("vec_id", F.slice("e", 1, 12).alias("c"), F.slice("e", 13, 6).alias("w"))
-    fit = statistics.quadratic_fit(rows, "c", "w")
-    scored = rows.withColumn("p", statistics.quadratic_apply(F.col("c"), fit))
-    tall = scored.select(F.posexplode(F.zip_with("w", "p", lambda a, b: a - b)).alias("axis", "d"))
-    return tall.groupBy("axis").agg(r6(F.sqrt(F.avg(F.col("d") * F.col("d")))).alias("rmse"))
+    """A fit is the least one if its residuals are orthogonal to every feature, in every group."""
+    rows = t.vectors().where("label IS NOT NULL").select(
+        "vec_id", "label", F.slice("e", 1, 12).alias("c"), F.slice("e", 13, 6).alias("w")
+    )
+    fit = statistics.quadratic_fit(rows, ["label"], "c", "w")
+    scored = rows.join(fit, "label").select(
+        "label",
+        "rows_used",
+        F.posexplode(statistics.quadratic_features(F.col("c"))).alias("feature", "x"),
+        F.zip_with(
+            "w", statistics.quadratic_apply(F.col("c"), F.col("coefficients")), lambda a, b: a - b
+        ).alias("r"),
+        "w",
+    )
+    tall = scored.select("label", "rows_used", "feature", "x", F.posexplode(F.arrays_zip("r", "w")).alias("axis", "v"))
+    sums = tall.groupBy("label", "rows_used", "feature", "axis").agg(
+        F.sum(F.col("x") * F.col("v.r")).alias("xr"),
+        F.sum(F.col("x") * F.col("x")).alias("xx"),
+        F.sum(F.col("v.w") * F.col("v.w")).alias("ww"),
+    )
+    slope = F.coalesce(F.col("xr") / F.nullif(F.sqrt(F.col("xx") * F.col("ww")), F.lit(0.0)), F.lit(0.0))
+    # without a negative zero
+    return sums.select("label", "feature", "axis", "rows_used", (r6(slope) + F.lit(0.0)).alias("slope"))
 
 
 @query(
@@ -622,8 +644,6 @@ def _channels(t: Tables):
     )
 
 
-MODELS = {"left": model.seeded_model(1), "right": model.seeded_model(2)}
-
 
 def _linear(seed: int) -> model.ForceModel:
     """A net of one layer, whose result SQL can compute."""
@@ -656,11 +676,55 @@ def m1_force_model_linear(t: Tables):
     return scored.select("vec_id", "stamp", *axes)
 
 
-@query("m1_calibrated_wrench")
+def _rule(seed: int) -> model.ForceModel:
+    """A net of the full size whose weights follow from their place, as in ``_net_sql``."""
+    layers = model.LAYERS
+    weights = []
+    for k, (a, b) in enumerate(zip(layers, layers[1:])):
+        i, j = np.indices((a, b))
+        weights.append((((7 * i + 13 * j + 5 * k + seed) % 17 - 8) / 32.0).astype("float32"))
+    biases = tuple(np.full(b, 1 / 64, dtype="float32") for b in layers[1:])
+    n, m = layers[0], layers[-1]
+    return model.ForceModel(tuple(weights), biases, np.zeros(n), np.ones(n), np.zeros(m), np.full(m, 2.0))
+
+
+RULED = {"left": _rule(1), "right": _rule(2)}
+
+
+def _net_sql(h: str, seed: str) -> str:
+    """The same net over a list of 12 numbers."""
+    for k, (a, b) in enumerate(zip(model.LAYERS, model.LAYERS[1:])):
+        total = (
+            f"list_sum(list_transform(range({a}), lambda i: h[i + 1] * ((7 * i + 13 * j + {5 * k} + seed) % 17 - 8)"
+            " / 32.0::DOUBLE)) + 1 / 64.0::DOUBLE"
+        )
+        if k < len(model.LAYERS) - 2:
+            total = f"greatest({total}, 0.0::DOUBLE)"
+        h = f"(SELECT *, list_transform(range({b}), lambda j: {total}) AS h{k + 1} FROM {h})"
+        h = h.replace("h[i", f"h{k}[i")
+    return h
+
+
+@query(
+    "m1_calibrated_wrench",
+    f"""WITH r AS (SELECT vec_id, label % 2 AS device, vec_id % 2 + 1 AS seed, e,
+    row_number() OVER (PARTITION BY label % 2, vec_id % 2 ORDER BY vec_id) AS k FROM {VEC}),
+  o AS (SELECT device, seed, list_transform(range(12), lambda c: list_avg(list_transform(es, lambda e: e[c + 1]))) AS o
+    FROM (SELECT device, seed, list(e ORDER BY k) AS es FROM r WHERE k > 5 AND k <= 30 GROUP BY 1, 2)),
+  z AS (SELECT r.*, list_transform(range(12), lambda c: (e[c + 1] - o[c + 1])::FLOAT::DOUBLE) AS h0
+    FROM r JOIN o ON r.device IS NOT DISTINCT FROM o.device AND r.seed = o.seed WHERE k >= 30),
+  w AS (SELECT vec_id, {", ".join(f"avg(h6[{i + 1}] * 2) OVER v AS {a}" for i, a in enumerate(model.AXES))}
+    FROM {_net_sql("z", "seed")}
+    WINDOW v AS (PARTITION BY device, seed ORDER BY k ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+  SELECT vec_id, CASE WHEN seed = 1 THEN 'left' ELSE 'right' END AS side,
+    CASE WHEN k >= 30 THEN 'ok' ELSE 'tare_pending' END AS calibration_status, least(k, 30) AS tare_count,
+    {", ".join(f"{q6(f'w.{a}')} AS {a}" for a in model.AXES)}
+  FROM r LEFT JOIN w USING (vec_id)""",
+)
 def m1_calibrated_wrench(t: Tables):
-    """Tare, network, moving average, per device and side."""
+    """Tare, the whole network, moving average, per device and side."""
     out = model.calibrated_wrench(
-        _channels(t), ["device"], "side", ["vec_id"], [f"c{i}" for i in range(1, 13)], MODELS,
+        _channels(t), ["device"], "side", ["vec_id"], [f"c{i}" for i in range(1, 13)], RULED,
         tare_samples=30, ignored_samples=5,
     )
     return out.select(

@@ -160,14 +160,28 @@ def test_jump_filter_matches_a_plain_walk(spark, limit):
     assert got == want and len(want) < len(rows)
 
 
-def test_quadratic_fit_matches_numpy(tables):
-    rows = tables.vectors().select(F.slice("e", 1, 12).alias("c"), F.slice("e", 13, 6).alias("w"))
-    fit = statistics.quadratic_fit(rows, "c", "w")
+def test_quadratic_fit_matches_numpy_for_every_key(spark, tables):
+    rows = tables.vectors().select(
+        (F.col("label") % 3).alias("k"), F.slice("e", 1, 12).alias("c"), F.slice("e", 13, 6).alias("w")
+    )
+    odd = spark.createDataFrame(
+        [(0, [None] * 12, [1.0] * 6), (1, None, [1.0] * 6), (2, [1.0] * 12, None), (None, [1.0] * 12, [2.0] * 6)],
+        "k int, c array<double>, w array<double>",
+    )
+    fits = statistics.quadratic_fit(rows.union(odd).repartition(5), ["k"], "c", "w").collect()
+    assert {f["k"] for f in fits} == {0, 1, 2, None}
     pdf = rows.toPandas()
-    x, y = np.stack(pdf["c"]), np.stack(pdf["w"])
-    full = np.hstack([x, x**2])
-    best, *_ = np.linalg.lstsq(full, y, rcond=None)
-    assert np.square(y - full @ fit).sum() == pytest.approx(np.square(y - full @ best).sum(), rel=1e-9)
+    for f in fits:
+        if f["k"] is None:
+            assert f["rows_used"] == 1
+            continue
+        own = pdf[pdf["k"] == f["k"]]
+        x, y = np.stack(own["c"]), np.stack(own["w"])
+        full = np.hstack([x, x**2])
+        best, *_ = np.linalg.lstsq(full, y, rcond=None)
+        found = np.array(f["coefficients"])
+        assert f["rows_used"] == len(own)
+        assert np.square(y - full @ found).sum() == pytest.approx(np.square(y - full @ best).sum(), rel=1e-9)
 
 
 def test_force_model_matches_numpy(tables):
