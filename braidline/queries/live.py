@@ -390,9 +390,43 @@ def t10_incremental_publish(t: Tables):
     return done.select("session", "start_ns", "event_id")
 
 
-@query("t11_live_clock_mapping")
+T11_SQL = f"""WITH r AS (SELECT user_id % 5 AS session, event_id AS seq, t, event_type, value,
+    event_id * 20000000 AS phone, 2000000000000 + event_id * 19999000 AS host FROM {EV}),
+  lim AS (SELECT min(t) AS lo, max(t) AS hi FROM r),
+  p AS (SELECT r.*, event_type = 'view' AND t >= lo + (hi - lo) // 4 AS is_clock,
+    least((t - lo + (seq % 3) * {DAY}) // ((hi - lo) // 4 + 1), 3) AS b,
+    host + round_even(value * 100000, 0)::BIGINT AS receive FROM r, lim),
+  c AS (SELECT batch, session, seq, phone, host + (seq * 37) % 1000 AS host,
+      200000 + round_even(value * 5000, 0)::BIGINT AS rtt
+    FROM p JOIN (SELECT unnest(range(4)) AS batch) ON b <= batch WHERE is_clock),
+  k AS (SELECT *, row_number() OVER (PARTITION BY batch, session ORDER BY rtt, seq) AS k,
+    count(*) OVER (PARTITION BY batch, session) AS n FROM c),
+  s AS (SELECT * FROM k WHERE k <= least(n, greatest(8, ceil(n * 0.2)))),
+  l AS (SELECT batch, session, count(*) AS m, max(phone) - min(phone) AS span,
+    regr_slope(host::DOUBLE, phone::DOUBLE) AS slope, avg(phone::DOUBLE) AS mx, avg(host::DOUBLE) AS my
+    FROM s GROUP BY 1, 2),
+  l2 AS (SELECT *, coalesce(m >= 4 AND span >= 2000000000 AND slope BETWEEN 0.999 AND 1.001, false) AS fit FROM l),
+  l3 AS (SELECT *, CASE WHEN fit THEN slope ELSE 1.0 END AS scale FROM l2),
+  md AS (SELECT batch, session, median((host - my) - scale * (phone - mx)) AS mid
+    FROM s JOIN l3 USING (batch, session) GROUP BY 1, 2),
+  m AS (SELECT *, my - scale * mx + mid AS off FROM l3 JOIN md USING (batch, session)),
+  w AS (SELECT batch, session, min(receive - phone) AS one_way
+    FROM p JOIN (SELECT unnest(range(4)) AS batch) ON b <= batch WHERE NOT is_clock GROUP BY 1, 2)
+  SELECT p.session, seq, CASE WHEN m.session IS NULL THEN 'one_way_min_delay' WHEN fit
+      THEN 'bidirectional_affine_low_rtt' ELSE 'bidirectional_offset' END AS alignment_method,
+    CASE WHEN m.session IS NULL THEN 'estimating' ELSE 'receiver_aligned' END AS status,
+    round_even((CASE WHEN m.session IS NULL THEN phone + one_way
+      ELSE round_even(scale * phone + off, 0)::BIGINT END - host) / 1e5, 0)::BIGINT AS off_by
+  FROM p JOIN w ON p.session = w.session AND p.b = w.batch
+    LEFT JOIN m ON p.session = m.session AND p.b = m.batch WHERE NOT is_clock"""
+
+
+@query("t11_live_clock_mapping", T11_SQL)
 def t11_live_clock_mapping(t: Tables):
-    """Clock samples and frames of a session as one stream; the last deliveries are fully aligned."""
+    """Clock samples and frames of a session as one stream; the last deliveries are fully aligned.
+
+    ``off_by`` is what aligned times are off the host's, in tenths of a millisecond.
+    """
     e = F.col("event_id")
     host = F.lit(2_000_000_000_000) + e * 19_999_000
     # clock samples start after the first quarter of the time
@@ -420,6 +454,8 @@ def t11_live_clock_mapping(t: Tables):
         jobs.live_clock_mapping(t.spark, ["session"], *paths),
     )
     out = t.spark.read.option("basePath", paths[2]).parquet(paths[2])
-    return out.select("session", "seq", "aligned_ns", "alignment_method", "status")
+    true = F.lit(2_000_000_000_000) + F.col("seq") * 19_999_000
+    off_by = F.rint((F.col("aligned_ns") - true) / 1e5).cast("long")
+    return out.select("session", "seq", "alignment_method", "status", off_by.alias("off_by"))
 
 
