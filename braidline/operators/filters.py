@@ -155,35 +155,164 @@ def on_path(
     )
 
 
+def _follows(t: float, p: float, last: tuple[float, float], second: int) -> bool:
+    """Whether a sample may come after the last accepted one; NaN is far from everything."""
+    age = (t - last[0]) / second
+    return age > JUMP_GUARD_S or abs(p - last[1]) <= JUMP_BASE_PERCENT + age * JUMP_PERCENT_PER_S
+
+
+def _numbers(column: pa.Array) -> list[float]:
+    return [float("nan") if x is None else x for x in column.to_pylist()]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple]:
+    """(run, batch, from, upto) of the stretches of equal ``names`` in sorted batches."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = list(zip(*[batch.column(n).to_pylist() for n in names]))
+        start = 0
+        for i in range(1, len(ids) + 1):
+            if i == len(ids) or ids[i] != ids[start]:
+                yield ids[start], batch, start, i
+                start = i
+
+
 def _accept(
-    batches: Iterator[pa.RecordBatch], names: list[str], second: int
+    batches: Iterator[pa.RecordBatch], names: list[str], second: int, entered: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Walk islands in order, holding only the last accepted sample between batches.
+    """Walk runs in order, holding only the last accepted sample between batches.
 
-    Rows are filtered as they came, so no column is converted. A sample without
-    time or value is as far as can be from any other.
+    A run starts afresh, or, if ``entered``, from the sample accepted before it.
+    Rows are filtered as they came, so no column is converted.
     """
-    nan = float("nan")
-    island, last_t, last_p = None, 0, 0.0
-    for batch in batches:
-        ids = zip(*[batch.column(n).to_pylist() for n in names])
+    here, last = None, None
+    for run, batch, start, upto in _runs(batches, names):
+        part = batch.slice(start, upto - start)
+        if run != here:
+            here, last = run, None
+            if entered and not part.column("_fresh")[0].as_py():
+                last = tuple(_numbers(part.column(c).slice(0, 1))[0] for c in ("_entry_t", "_entry_p"))
         keep = []
-        for here, t, p in zip(
-            ids, batch.column("_t").to_pylist(), batch.column("_percent").to_pylist()
-        ):
-            t, p = nan if t is None else t, nan if p is None else p
-            fresh = here != island
-            age = (t - last_t) / second
-            ok = (
-                fresh
-                or age > JUMP_GUARD_S
-                or abs(p - last_p) <= JUMP_BASE_PERCENT + age * JUMP_PERCENT_PER_S
-            )
+        for t, p in zip(_numbers(part.column("_t")), _numbers(part.column("_percent"))):
+            ok = last is None or _follows(t, p, last, second)
             if ok:
-                last_t, last_p = t, p
-            island = here
+                last = (t, p)
             keep.append(ok)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        yield part.filter(pa.array(keep, pa.bool_()))
+
+
+class _Piece:
+    """What a piece of a track does to the last accepted sample.
+
+    After a sample is accepted, what follows depends on that sample only. So
+    the way through the piece from each of its samples is found once, from the
+    ways that it runs into, and an entry needs its first accepted sample.
+    """
+
+    def __init__(self, second: int):
+        self.second = second
+        self.before: list[tuple[float, float]] = []
+        self.own: list[tuple[float, float]] = []
+        self._ends: dict[int, tuple[float, float]] = {}
+
+    def _next(self, last: tuple[float, float], start: int) -> int | None:
+        for j in range(start, len(self.own)):
+            if _follows(*self.own[j], last, self.second):
+                return j
+        return None
+
+    def _end(self, i: int) -> tuple[float, float]:
+        way = []
+        while i not in self._ends:
+            way.append(i)
+            after = self._next(self.own[i], i + 1)
+            if after is None:
+                self._ends[i] = self.own[i]
+                break
+            i = after
+        for k in way:
+            self._ends[k] = self._ends[i]
+        return self._ends[i]
+
+    def rows(self) -> Iterator[tuple]:
+        """(fresh, entry, exit): from the first sample, and from each sample just before."""
+        yield True, (None, None), self._end(0)
+        for entry in dict.fromkeys(self.before):
+            first = self._next(entry, 0)
+            yield False, entry, entry if first is None else self._end(first)
+
+
+_WAYS = ["_fresh", "_entry_t", "_entry_p", "_exit_t", "_exit_p"]
+_WAYS_SCHEMA = "_fresh boolean, _entry_t long, _entry_p double, _exit_t long, _exit_p double"
+_WAYS_KINDS = [pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+
+
+def _plain(sample: tuple) -> tuple:
+    """Nulls in place of NaN."""
+    return tuple(None if x != x else x for x in sample)
+
+
+def _batch_of(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
+def _ways(batches: Iterator[pa.RecordBatch], names: list[str], second: int) -> Iterator[pa.RecordBatch]:
+    """The entries and exits of every piece; its rows come after those just before it."""
+    here, piece, kinds = None, None, []
+
+    def found() -> pa.RecordBatch:
+        rows = [(*here, fresh, *_plain(entry), *_plain(exit_)) for fresh, entry, exit_ in piece.rows()]
+        return _batch_of(rows, [*kinds, *_WAYS_KINDS], [*names, *_WAYS])
+
+    for run, batch, start, upto in _runs(batches, names):
+        if run != here:
+            if piece is not None and piece.own:
+                yield found()
+            here, piece = run, _Piece(second)
+            kinds = [batch.column(n).type for n in names]
+        part = batch.slice(start, upto - start)
+        samples = zip(_numbers(part.column("_t")), _numbers(part.column("_percent")))
+        for own, sample in zip(part.column("_own").to_pylist(), samples):
+            (piece.own if own else piece.before).append(sample)
+    if piece is not None and piece.own:
+        yield found()
+
+
+def _entries(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The sample with which each piece of a key is entered, from the ways through all before it."""
+    names = [*keys, ordered.PIECE]
+    here, state, ways = None, None, {}
+    out: list[tuple] = []
+    kinds: list[pa.DataType] = []
+
+    def entered(run: tuple, first: bool) -> tuple:
+        """Row of the piece, and the state behind it."""
+        if first:
+            return (*run, True, None, None), ways[None]
+        if state[0] != state[0]:
+            return (*run, False, *_plain(state)), state  # nothing follows a sample without a time
+        if _plain(state) in ways:
+            return (*run, False, *_plain(state)), ways[_plain(state)]
+        return (*run, True, None, None), ways[None]  # longer ago than the guard time
+
+    for run, batch, start, upto in _runs(batches, names):
+        part = batch.slice(start, upto - start)
+        fresh, *states = [part.column(c) for c in _WAYS]
+        states = [states[0].to_pylist(), states[1].to_pylist(), *map(_numbers, states[2:])]
+        if run != here:
+            if here is not None:
+                row, state = entered(here, state is None)
+                out.append(row)
+                if here[:-1] != run[:-1]:
+                    state = None
+            here, ways = run, {}
+            kinds = [batch.column(n).type for n in names]
+        for starts, a, b, c, d in zip(fresh.to_pylist(), *states):
+            ways[None if starts else (a, b)] = c, d
+    if here is not None:
+        out.append(entered(here, state is None)[0])
+        yield _batch_of(out, [*kinds, *_WAYS_KINDS[:3]], [*names, *_WAYS[:3]])
 
 
 def reject_jumps(
@@ -197,41 +326,61 @@ def reject_jumps(
 ) -> DataFrame:
     """Drop samples that jump too far from the last accepted one.
 
-    A sample consistent with every sample in the guard time before it is
-    accepted whatever happened earlier. Such samples cut a track into
-    independent islands; only the rows of an island are walked one by one, in
-    sorted order and constant memory.
+    Samples are walked in order and constant memory. A large track is cut into
+    pieces. Each piece, which also sees the samples of the guard time before it,
+    tells for every sample that could be the last accepted one which is the last
+    after it; these small tables are composed along the track, and then each
+    piece is walked from its true entry. An entry longer ago than the guard time
+    is like none.
     """
     session.ship_package(markers.sparkSession)
-    guard = int(JUMP_GUARD_S * second)
-    slope = JUMP_PERCENT_PER_S / second
     plain = markers.withColumn("_t", F.col(time).cast("long")).withColumn(
         "_percent", F.col(percent).cast("double")
     )
-    base = plain.groupBy(*keys).agg(F.min("_t").alias("_zero"))
-    rel = plain.join(base, keys).withColumn("_dt", (F.col("_t") - F.col("_zero")) * F.lit(slope))
-    seen = rel.withColumn("_up", F.col("_percent") + F.col("_dt")).withColumn(
-        "_down", F.col("_percent") - F.col("_dt")
-    )
-    bounds = ordered.time_window(
-        seen, keys, "_t", guard, 0, rows_per_task, _max_up=("max", "_up"), _min_down=("min", "_down")
-    )
-    # the row itself is in its window and always consistent with itself; the
-    # small margin only makes more rows part of an island, never fewer
-    margin = JUMP_BASE_PERCENT - 1e-6
-    sure = (F.col("_max_up") <= F.col("_up") + margin) & (
-        F.col("_min_down") >= F.col("_down") - margin
-    )
     order = ["_t", seq]
-    cut = ordered.scan(
-        bounds.withColumn("_sure", sure.cast("long")), keys, order, rows_per_task,
-        _island=ordered.RunSum("_sure"),
+    pieces = ordered.find_pieces(plain, keys, order, rows_per_task)
+    if pieces.table is None:
+        dealt = plain.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *order)
+        walked = dealt.mapInArrow(lambda it: _accept(it, keys, second, False), plain.schema)
+        return walked.select(*markers.columns)
+
+    names = [*keys, ordered.PIECE]
+    guard = int(JUMP_GUARD_S * second) + 1
+    based = ordered.with_piece(plain, keys, order, pieces).drop("_hot")
+    later = based.select(
+        *keys, *order, "_percent", F.col(ordered.PIECE).alias("_from"),
+        (F.col("_t") + guard).alias("_reach"),
     )
-    cut = cut.select(*markers.columns, "_t", "_percent", "_island")
-    names = [*keys, "_island"]
-    walked = (
-        cut.repartition(*[F.col(n) for n in names])
-        .sortWithinPartitions(*names, *order)
-        .mapInArrow(lambda it: _accept(it, names, second), cut.schema)
+    # the piece in which the guard time after a sample ends
+    reach = ordered.with_piece(
+        later.withColumnRenamed("_t", "_at").withColumnRenamed("_reach", "_t"), keys, order, pieces
+    ).drop("_hot")
+    upto = F.greatest(F.col("_from"), F.coalesce(F.col(ordered.PIECE), F.col("_from")))
+    seen = reach.withColumn("_seen", F.explode(F.sequence(F.col("_from"), upto))).select(
+        *keys,
+        F.col("_seen").alias(ordered.PIECE),
+        F.col("_at").alias("_t"),
+        seq,
+        "_percent",
+        (F.col("_from") == F.col("_seen")).alias("_own"),
+    )
+    named = ", ".join(f"`{k}` {seen.schema[k].dataType.simpleString()}" for k in names)
+    ways = (
+        seen.repartition(*[F.col(n) for n in names])
+        .sortWithinPartitions(*names, "_own", *order)
+        .mapInArrow(lambda it: _ways(it, names, second), f"{named}, {_WAYS_SCHEMA}")
+    )
+    entries = (
+        ways.repartition(*[F.col(k) for k in keys])
+        .sortWithinPartitions(*names)
+        .mapInArrow(
+            lambda it: _entries(it, keys), f"{named}, _fresh boolean, _entry_t long, _entry_p double"
+        )
     )
+    # one row for each piece: few, as find_pieces bounds them
+    table = entries.toDF(*[f"_e{n}" for n in names], "_fresh", "_entry_t", "_entry_p")
+    same = [F.col(n).eqNullSafe(F.col(f"_e{n}")) for n in names]
+    entered = based.join(table, same).drop(*[f"_e{n}" for n in names])
+    dealt = entered.repartition(*[F.col(n) for n in names]).sortWithinPartitions(*names, *order)
+    walked = dealt.mapInArrow(lambda it: _accept(it, names, second, True), entered.schema)
     return walked.select(*markers.columns)

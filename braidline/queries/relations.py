@@ -469,23 +469,33 @@ def f10_marker_path_filter(t: Tables):
     return out.select("event_id", r6("percent").alias("percent"))
 
 
-@query(
-    "f10_jump_filter",
-    f"""WITH RECURSIVE r AS (SELECT event_id, user_id, t, (value * 3) % 100 AS p,
+F10_SQL = f"""WITH RECURSIVE r AS (SELECT event_id, user_id, t, (value * 3) % 100 AS p,
       row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS k FROM {EV}),
   s AS (SELECT user_id, k, event_id, p, true AS ok, t AS lt, p AS lp FROM r WHERE k = 1
     UNION ALL SELECT user_id, k, event_id, p, ok, CASE WHEN ok THEN t ELSE lt END, CASE WHEN ok THEN p ELSE lp END FROM
       (SELECT r.*, s.lt, s.lp, (r.t - s.lt) / {100 * HOUR} > 0.22
         OR abs(r.p - s.lp) <= 28.0 + (r.t - s.lt) / {100 * HOUR} * 520.0 AS ok
        FROM s JOIN r ON r.user_id = s.user_id AND r.k = s.k + 1))
-  SELECT event_id, user_id, {stamp_sql("event_id")} AS stamp, {q6("p")} AS percent FROM s WHERE ok""",
-)
-def f10_jump_filter(t: Tables):
-    """Tracker samples that do not jump; the guard time is 22 hours of events."""
+  SELECT event_id, user_id, {stamp_sql("event_id")} AS stamp, {q6("p")} AS percent FROM s WHERE ok"""
+
+
+def _jumps(t: Tables, rows_per_task: int | None = None):
     rows = t.events().withColumn("percent", (F.col("value") * 3) % 100)
     return filters.reject_jumps(
-        rows.withColumn("stamp", stamp("event_id")), KEYS, "t", "percent", "event_id", second=100 * HOUR
-    ).select("event_id", "user_id", "stamp", r6("percent").alias("percent"))
+        rows.withColumn("stamp", stamp("event_id")), KEYS, "t", "percent", "event_id",
+        second=100 * HOUR, rows_per_task=rows_per_task,
+    ).select("event_id", "user_id", "stamp", r6("percent").alias("percent"))
+
+
+@query("f10_jump_filter", F10_SQL)
+def f10_jump_filter(t: Tables):
+    """Tracker samples that do not jump; the guard time is 22 hours of events."""
+    return _jumps(t)
+
+
+@query("f10_jump_filter_cut_keys", F10_SQL)
+def f10_jump_filter_cut_keys(t: Tables):
+    return _jumps(t, rows_per_task=30)
 
 
 @query(

@@ -160,6 +160,31 @@ def test_jump_filter_matches_a_plain_walk(spark, limit):
     assert got == want and len(want) < len(rows)
 
 
+def test_one_unbroken_island_is_cut_and_composed(spark):
+    """Jumps all the time, no sample agrees with all before it: pieces must know their entries."""
+    rng = np.random.default_rng(4)
+    rows, t = [], 0
+    for i in range(3000):
+        t += int(rng.integers(5, 40))
+        p = float(rng.choice([5.0, 95.0]) + rng.normal(0, 3))
+        rows.append((i, t, None if i % 97 == 0 else p))
+    df = spark.createDataFrame(rows, "seq long, t long, percent double").withColumn("k", F.lit(1))
+    got = {}
+    for limit in (None, 100):
+        out = filters.reject_jumps(df, ["k"], "t", "percent", "seq", 1000, limit)
+        got[limit] = sorted(r["seq"] for r in out.collect())
+    want, last = [], None
+    for i, t, p in rows:
+        if last is not None:
+            age = (t - last[0]) / 1000
+            near = p is not None and last[1] is not None and abs(p - last[1]) <= 28.0 + age * 520.0
+            if age <= 0.22 and not near:
+                continue
+        last = (t, p)
+        want.append(i)
+    assert got[None] == want and got[100] == want and len(want) < 2500
+
+
 def test_quadratic_fit_matches_numpy_for_every_key(spark, tables):
     rows = tables.vectors().select(
         (F.col("label") % 3).alias("k"), F.slice("e", 1, 12).alias("c"), F.slice("e", 13, 6).alias("w")
