@@ -19,6 +19,7 @@ from braidline.queries.base import EV, VEC, Tables, q6, query, r6, stamp, stamp_
 from braidline.queries.joins import TICK_SQL, TIMELINE_CTE, tick_timeline, timeline
 from braidline.queries.statistics import K5_SQL, flat
 from braidline.sources import archive, binary, discovery, sinks, text
+from braidline.sources.episodes import EpisodeTable
 
 
 def _lines(t: Tables) -> str:
@@ -562,24 +563,38 @@ def k1_stream_write(t: Tables):
 
 @query(
     "k2_incremental_episodes",
-    f"""SELECT user_id AS source_episode_index, event_id, CASE WHEN user_id % 3 = 0 THEN value + 1000 ELSE value END AS value
-  FROM {EV} WHERE user_id % 3 < 2""",
+    f"""WITH r AS (SELECT user_id AS source_episode_index, event_id,
+    CASE WHEN user_id % 3 = 0 THEN value + 1000 ELSE value END AS value FROM {EV})
+  SELECT *, dense_rank() OVER (ORDER BY source_episode_index) - 1 AS episode_index FROM r""",
 )
 def k2_incremental_episodes(t: Tables):
-    """Two thirds of the episodes are written, then one third is replaced."""
-    path = session.scratch_path(t.spark, "episodes")
-    rows = t.events().select(
-        F.lit("r").alias("run_id"), F.col("user_id").alias("source_episode_index"), "event_id", "value"
-    )
-    third = F.col("source_episode_index") % 3
-    sinks.write_episodes(rows.where(third < 2), path)
-    sinks.write_episodes(rows.where(third == 0).withColumn("value", F.col("value") + 1000), path)
-    back = t.spark.read.parquet(path)
-    return back.select(
-        F.col("source_episode_index").cast("long").alias("source_episode_index"), "event_id", "value"
+    """All episodes are written, then a third of them is replaced."""
+    table = EpisodeTable(t.spark, session.scratch_path(t.spark, "episodes"))
+    table.write(_episode_rows(t))
+    third = F.col("source_episode_index") % 3 == 0
+    table.write(_episode_rows(t).where(third).withColumn("value", F.col("value") + 1000))
+    return table.read().drop("run_id")
+
+
+def _episode_rows(t: Tables):
+    return t.events().select(
+        F.lit("007").alias("run_id"), F.col("user_id").alias("source_episode_index"), "event_id", "value"
     )
 
 
+@query(
+    "k8_delete_committed_episodes",
+    f"""WITH r AS (SELECT user_id AS source_episode_index, event_id, value FROM {EV} WHERE user_id % 7 <> 0)
+  SELECT *, dense_rank() OVER (ORDER BY source_episode_index) - 1 AS episode_index FROM r""",
+)
+def k8_delete_committed_episodes(t: Tables):
+    """Every seventh episode is deleted: its rows go, and later episodes move up."""
+    table = EpisodeTable(t.spark, session.scratch_path(t.spark, "episodes"))
+    table.write(_episode_rows(t))
+    table.delete(_episode_rows(t).where(F.col("source_episode_index") % 7 == 0))
+    return table.read().drop("run_id")
+
+
 INDEX_SQL = f"""SELECT row_number() OVER (ORDER BY user_id, t, {{seq}}) - 1 AS global_sample_index,
   user_id AS episode_index, row_number() OVER (PARTITION BY user_id ORDER BY t, {{seq}}) - 1 AS sample_index,
   t AS aligned_ns, {{frame}} AS frame_sequence, 'v/' || {{frame}} AS frame_path,

@@ -12,6 +12,7 @@ from braidline.ordered import floor_div
 from braidline.queries.base import DAY, EV, HOUR, Tables, q6, query, r6
 from braidline.queries.clocks import WALK_SQL, half_day_marks
 from braidline.sources import sinks
+from braidline.sources.episodes import EpisodeTable
 from braidline.streaming import jobs, live, stateful
 
 KEYS = ["user_id"]
@@ -383,11 +384,7 @@ def t10_incremental_publish(t: Tables):
 
     keys = ["session", "nth"]
     stateful.run_batches(stream, "publish", jobs.publish_closed(t.spark, publish, keys))
-    schema = (
-        "session long, start_ns long, event_id long, t long, run_id string, source_episode_index string"
-    )
-    done = t.spark.read.schema(schema).parquet(out)
-    return done.select("session", "start_ns", "event_id")
+    return EpisodeTable(t.spark, out).read().select("session", "start_ns", "event_id")
 
 
 T11_SQL = f"""WITH r AS (SELECT user_id % 5 AS session, event_id AS seq, t, event_type, value,

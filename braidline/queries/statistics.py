@@ -497,17 +497,15 @@ def a26_marker_width(t: Tables):
 @query(
     "a27_sweep_calibration",
     f"""WITH r AS (SELECT user_id, value * 3 AS d, value AS x, row_number() OVER w AS k, count(*) OVER (PARTITION BY user_id) AS n
-    FROM {EV} WHERE event_id % 2 = 0 WINDOW w AS (PARTITION BY user_id ORDER BY value * 3, event_id)),
+    FROM {EV} WINDOW w AS (PARTITION BY user_id ORDER BY value * 3, event_id)),
   b AS (SELECT *, least(greatest(10, n // 6), greatest(10, n // 3)) AS b FROM r)
   SELECT user_id, count(*) AS samples, CASE WHEN count(*) < 20 THEN 'too_few_samples' WHEN max(d) - min(d) < 80
     THEN 'range_too_small' ELSE 'ok' END AS status, {q6("avg(d) FILTER (k <= b)")} AS closed_d, {q6("avg(x) FILTER (k > n - b)")} AS open_x
   FROM b GROUP BY 1""",
 )
 def a27_sweep_calibration(t: Tables):
-    rows = (
-        t.events()
-        .where(F.col("event_id") % 2 == 0)
-        .select("user_id", "event_id", (F.col("value") * 3).alias("d"), F.col("value").alias("x"))
+    rows = t.events().select(
+        "user_id", "event_id", (F.col("value") * 3).alias("d"), F.col("value").alias("x")
     )
     out = statistics.sweep_calibration(rows, KEYS, "d", "event_id", ["x"])
     return out.select(

@@ -4,21 +4,13 @@ from __future__ import annotations
 
 import json
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from braidline import ordered
 from braidline.operators import relations, statistics
-
-
-def _rows_seen(seen: Observation) -> int:
-    """Observed row count; an input that Spark proved empty while running reports none."""
-    try:
-        return seen.get["n"]
-    except Py4JJavaError:
-        return 0
+from braidline.sources.episodes import EpisodeTable, _rows_seen
 
 
 def write_stream(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
@@ -29,27 +21,9 @@ def write_stream(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     return _rows_seen(seen)
 
 
-EPISODE_KEYS = ["run_id", "source_episode_index"]
-
-
 def write_episodes(rows: DataFrame, path: str, keys: list[str] | None = None) -> int:
-    """Append or replace exactly the episodes in ``rows``; all others stay untouched. (K2)
-
-    Dynamic overwrite swaps whole episode partitions when the job commits, so a
-    failed job changes nothing. The rebalance brings the rows of an episode
-    together, shares a large episode out over several files and packs small ones.
-    """
-    keys = keys or EPISODE_KEYS
-    seen = Observation()
-    (
-        rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        .hint("rebalance", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-    return _rows_seen(seen)
+    """Append or replace exactly the episodes in ``rows`` as one commit. (K2)"""
+    return EpisodeTable(rows.sparkSession, path, keys).write(rows)
 
 
 INDEX_COLUMNS = [

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from braidline import session
 from braidline.plans import normalize, postprocess
 from braidline.sources import sinks
+from braidline.sources.episodes import EpisodeTable
 
 MS = 1_000_000
 SECOND = 1000 * MS
@@ -120,9 +121,10 @@ def test_episode_writes_append_replace_and_fail_whole(spark, tmp_path):
     broken = base.where(ep == 2).withColumn("v", F.assert_true(F.lit(False), "stop").cast("long"))
     with pytest.raises(Exception):
         sinks.write_episodes(broken, path)
-    assert spark.read.parquet(path).select("source_episode_index").distinct().count() == 2
+    table = EpisodeTable(spark, path)
+    assert table.read().select("source_episode_index").distinct().count() == 2
     sinks.write_episodes(base.where(ep == 0).withColumn("v", F.col("v") + 100), path)
-    back = spark.read.parquet(path)
+    back = table.read()
     assert back.where(ep == 0).agg(F.min("v")).first()[0] == 100
     assert back.where(ep == 1).count() == 10
     nothing = base.join(base.where(ep == 9).select("v"), "v").select(*base.columns)
@@ -130,6 +132,48 @@ def test_episode_writes_append_replace_and_fail_whole(spark, tmp_path):
     assert sinks.write_stream(nothing, str(tmp_path / "none")) == 0
 
 
+def test_only_a_commit_changes_what_is_read(spark, tmp_path, monkeypatch):
+    """Stop a change between its files, before its commit, and at a commit that came first."""
+    base = spark.range(40).select(
+        F.lit("01").alias("run_id"), (F.col("id") % 4).alias("source_episode_index"), F.col("id").alias("v")
+    )
+    ep = F.col("source_episode_index")
+    table = EpisodeTable(spark, str(tmp_path / "episodes"))
+    assert table.read() is None and table.current() is None
+    table.delete(base)
+    assert table.write(base) == 40
+
+    def state():
+        return sorted(tuple(r) for r in table.read().collect())
+
+    old = state()
+    assert old[0] == (0, "01", 0, 0) and table.read().schema["run_id"].dataType.simpleString() == "string"
+    changed = base.where(ep < 2).withColumn("v", F.col("v") + 100)
+    table.stage(changed)  # files written, then nothing more
+    assert state() == old
+    with monkeypatch.context() as m:  # the list is written too, but never becomes a commit
+        m.setattr(EpisodeTable, "_publish", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
+        with pytest.raises(OSError):
+            table.write(changed)
+    assert state() == old
+    publish, lost = EpisodeTable._publish, []
+
+    def beaten(self, number, manifest, schema):
+        if not lost:  # another writer takes the number first
+            lost.append(number)
+            EpisodeTable(spark, self.path).delete(base.where(ep == 3))
+        return publish(self, number, manifest, schema)
+
+    monkeypatch.setattr(EpisodeTable, "_publish", beaten)
+    table.write(changed)
+    assert {e for _, _, e, _ in state()} == {0, 1, 2}  # both changes count
+    assert sorted(v for v, _, e, _ in state() if e < 2) == sorted(v + 100 for v in range(40) if v % 4 < 2)
+    table.delete(base.where(ep == 1))
+    assert {(r["source_episode_index"], r["episode_index"]) for r in table.read().collect()} == {(0, 0), (2, 1)}
+    table.delete(base)
+    assert table.read().count() == 0 and table.current().number == 4
+
+
 def test_delete_renumbers_later_episodes(spark):
     index = spark.createDataFrame([("r", i, i) for i in range(3)], "run string, ep long, episode_index long")
     gone = spark.createDataFrame([("r", 1)], "run string, ep long")
