@@ -212,3 +212,35 @@ def test_ticks_take_the_nearest_frame_and_judge_it(normal):
     few = postprocess.postprocess(**normal, settings=strict).timeline.collect()
     assert 0 < sum(r["frame"]["valid"] for r in few) < len(few)
     assert all(r["frame"]["valid"] or not r["all_valid"] for r in few)
+
+
+def _states(out):
+    return {(r["run_id"], r["episode_index"]): (r["state"], r["reasons"]) for r in out.states.collect()}
+
+
+def test_every_gate_refuses_and_the_report_tells(spark, normal, result):
+    out = result[1]
+    assert _states(out) == {("r", 0): ("complete", "")}
+    assert {(r["gate"], r["ok"]) for r in out.gates.collect()} == {(g, True) for g in postprocess.GATES}
+    manifest = out.manifest.collect()
+    assert [(m["source_episode_index"], m["episode_index"], m["rows_len"]) for m in manifest] == [(0, 0, 41)]
+    report = {(r["stage"], r["metric"]): r["value"] for r in out.report.collect()}
+    assert report["normalize", "frames"] == 41 and report["align", "timeline_rows"] == 41
+    assert report["export", "missing_camera_depth"] == 0 and report["normalize", "events"] == 2
+
+    def refused(settings=postprocess.Settings(), **changed):
+        bad = postprocess.postprocess(**{**normal, **changed}, settings=settings)
+        assert bad.training.count() == 0 and bad.manifest.count() == 0
+        return _states(bad)["r", 0]
+
+    state, reasons = refused(force=normal["force"].where("packet_index < 0"))
+    assert state == "input" and reasons == "missing_force"
+    state, reasons = refused(force=normal["force"].withColumn("left_wrench", F.lit(None).cast("array<double>")))
+    assert state == "normalization" and reasons == "calibrated_samples_missing"
+    broken = normal["camera"].withColumn("color_frame_number", F.col("frame_index") * 2)
+    assert refused(camera=broken) == ("normalization", "camera_discontinuous")
+    late = normal["camera"].where("frame_index % 40 = 0")
+    state, reasons = refused(camera=late)
+    assert state == "alignment" and "camera_valid_ratio_low" in reasons
+    only_phone_depth = postprocess.Settings(media=("phone_image", "phone_depth"))
+    assert refused(only_phone_depth) == ("media", "missing_phone_depth_ratio_high")
