@@ -46,6 +46,16 @@ def simhash(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def shingles(text, size):
+    """The distinct runs of ``size`` words; all words if there are fewer."""
+    w = [x for x in re.split("[\x20\x09-\x0d]+", (text or "").lower()) if x]
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or {tuple(w)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
 def components(n, linked):
     """Least index reachable from each index."""
     top = list(range(n))
