@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby, islice
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from braidline import ordered, session
@@ -25,28 +27,128 @@ DEPTH_RESAMPLE_MAX_M = 10.0
 DEPTH_VALID_M = (0.05, 8.0)
 SLICE_BYTES = 256 << 20
 PACKETS_AT_ONCE = 8192
+PACKETS_PER_TASK = 2_000_000
+
+PACKET_COLUMNS = ["sequence_id", "device_time_us", "left_raw", "right_raw", "error", "path"]
+PACKET_SCHEMA = "sequence_id long, device_time_us long, left_raw array<long>, right_raw array<long>, error string, path string"
+
+
+@dataclass(frozen=True)
+class PacketRange(InputPartition):
+    """Consecutive whole packets of one log; ``tail`` bytes after the last one are left over."""
+
+    path: str
+    first: int
+    count: int
+    tail: int = 0
+
+
+class PacketReader(DataSourceReader):
+    """Plans ranges of whole packets and decodes each in batches."""
+
+    def __init__(self, options: dict):
+        self.paths = options["path"].split(",")
+        self.most = max(1, int(options.get("packetsPerTask", PACKETS_PER_TASK)))
+        self.at_once = max(1, int(options.get("packetsAtOnce", PACKETS_AT_ONCE)))
+
+    def partitions(self) -> list[PacketRange]:
+        found = []
+        for path in self.paths:
+            fs, inner = pafs.FileSystem.from_uri(uri_of(path))
+            place = fs.get_file_info(inner)
+            if place.type == pafs.FileType.Directory:
+                files = fs.get_file_info(pafs.FileSelector(inner))
+            elif place.type == pafs.FileType.File:
+                files = [place]
+            else:
+                raise FileNotFoundError(path)
+            prefix = uri_of(path)[: -len(inner)] if uri_of(path).endswith(inner) else uri_of(path).removesuffix("/")
+            for file in sorted(files, key=lambda f: f.path):
+                # names that Spark hides hold no data either
+                if file.type != pafs.FileType.File or file.base_name.startswith(("_", ".")):
+                    continue
+                whole, tail = divmod(file.size, PACKET_BYTES)
+                name = prefix + file.path
+                starts = range(0, whole, self.most)
+                found += [PacketRange(name, at, min(self.most, whole - at)) for at in starts]
+                if tail:
+                    found.append(PacketRange(name, whole, 0, tail))
+        return found or [PacketRange("", 0, 0)]
+
+    def read(self, part: PacketRange) -> Iterator[pa.RecordBatch]:
+        if part.tail:
+            yield _packet_batch(np.zeros(0, PACKET), part.path, ["incomplete packet"])
+        if not part.count:
+            return
+        fs, inner = pafs.FileSystem.from_uri(part.path)
+        with fs.open_input_file(inner) as log:
+            for at in range(part.first, part.first + part.count, self.at_once):
+                n = min(self.at_once, part.first + part.count - at)
+                raw = log.read_at(n * PACKET_BYTES, at * PACKET_BYTES)
+                yield _packet_batch(np.frombuffer(raw, PACKET), part.path, [])
+
+
+def uri_of(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+def _packet_batch(packets: np.ndarray, path: str, more: list[str]) -> pa.RecordBatch:
+    """Packets as columns; wrong headers and ``more`` become error rows."""
+    n, size = len(packets), len(packets) + len(more)
+    whole = np.zeros(size, bool)
+    whole[:n] = packets["header"] == np.void(b"\x00\x00")
+
+    def numbers(column: str) -> pa.Array:
+        values = np.zeros(size, np.int64)
+        values[:n] = packets[column]
+        return pa.array(values, mask=~whole)
+
+    def channels(column: str) -> pa.Array:
+        # a null list has no items
+        items = pa.array(packets[column][whole[:n]].astype(np.int64).ravel())
+        offsets = np.concatenate([[0], np.cumsum(np.where(whole, 12, 0))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(~whole, False)), items)
+
+    errors = np.full(size, "packet header mismatch", object)
+    errors[n:] = more
+    columns = [
+        numbers("sequence"),
+        numbers("time_us"),
+        channels("left"),
+        channels("right"),
+        pa.array(errors, pa.string(), mask=whole),
+        pa.array([path] * size, pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, PACKET_COLUMNS)
+
+
+class PacketSource(DataSource):
+    """``spark.read.format("force_packets").load(path)``: packet logs of the force sensors.
+
+    ``path`` is a log, a folder of logs, or several of them with commas between.
+    Options: packetsPerTask, packetsAtOnce.
+    """
 
-PACKET_SCHEMA = "sequence_id long, device_time_us long, left_raw array<long>, right_raw array<long>, error string"
+    @classmethod
+    def name(cls) -> str:
+        return "force_packets"
 
+    def schema(self) -> str:
+        return PACKET_SCHEMA
 
-def _unpack(records: Iterator[bytes]) -> Iterator[tuple]:
-    """Packets are decoded PACKETS_AT_ONCE at a time."""
-    while chunk := b"".join(islice(records, PACKETS_AT_ONCE)):
-        packets = np.frombuffer(chunk, PACKET)
-        whole = packets["header"] == np.void(b"\x00\x00")
-        columns = [packets[c].tolist() for c in ("sequence", "time_us", "left", "right")]
-        for ok, *values in zip(whole.tolist(), *columns):
-            yield (*values, None) if ok else (None, None, None, None, "packet header mismatch")
+    def reader(self, schema: T.StructType) -> PacketReader:
+        return PacketReader(self.options)
 
 
-def read_packets(spark: SparkSession, path: str) -> DataFrame:
-    """Packet logs as rows; a packet with a wrong header becomes an error row.
+def read_packets(spark: SparkSession, path: str, **options: int) -> DataFrame:
+    """Packet logs as rows; a packet with a wrong header, or a torn one, becomes an error row.
 
-    The fixed record length lets Spark split a log of any size.
+    Only file sizes are looked at for planning. A log of any size is read in
+    ranges, and a range as Arrow batches, without a Python object per packet.
     """
     session.ship_package(spark)
-    records = spark.sparkContext.binaryRecords(path, PACKET_BYTES)
-    return spark.createDataFrame(records.mapPartitions(_unpack), PACKET_SCHEMA)
+    spark.dataSource.register(PacketSource)
+    return spark.read.format("force_packets").options(**options).load(path)
 
 
 def _resized(image: np.ndarray, size: tuple[int, int], centred: bool) -> np.ndarray:

@@ -1,5 +1,6 @@
 """The shared folder and the sources' error handling."""
 
+import numpy as np
 import pytest
 
 from braidline import session
@@ -67,3 +68,31 @@ def test_episodes_are_found_from_real_files(spark, tmp_path):
 def test_missing_time_column_is_an_error(spark):
     with pytest.raises(ValueError):
         text.pick_time_column(spark.range(1))
+
+
+def test_packet_logs_are_read_by_ranges_of_whole_packets(spark, tmp_path):
+    """Ranges smaller than a log, a torn last packet, a wrong header, an empty and a hidden file."""
+    from braidline.sources import binary
+
+    packets = np.zeros(25, binary.PACKET)
+    packets["sequence"] = np.arange(25) + 2**32 - 10 & 0xFFFFFFFF
+    packets["left"] = np.arange(25)[:, None] + np.arange(12)
+    raw = bytearray(packets.tobytes())
+    raw[7 * binary.PACKET_BYTES] = 9
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "a.bin").write_bytes(bytes(raw) + b"torn")
+    (folder / "b.bin").write_bytes(packets[:3].tobytes())
+    (folder / "c.bin").write_bytes(b"")
+    (folder / "_d.bin").write_bytes(b"hidden")
+    rows = binary.read_packets(spark, str(folder), packetsPerTask=4, packetsAtOnce=3).collect()
+    assert len(rows) == 25 + 1 + 3
+    assert sorted(r["error"] for r in rows if r["error"]) == ["incomplete packet", "packet header mismatch"]
+    whole = [r for r in rows if r["error"] is None and r["path"].endswith("a.bin")]
+    assert sorted(r["sequence_id"] for r in whole) == sorted(
+        int(s) for i, s in enumerate(packets["sequence"]) if i != 7
+    )
+    assert all(r["left_raw"] == [r["left_raw"][0] + k for k in range(12)] for r in whole)
+    assert all(r["left_raw"] is None and r["sequence_id"] is None for r in rows if r["error"])
+    one = binary.read_packets(spark, f"{folder}/b.bin,file://{folder}/c.bin")
+    assert one.count() == 3
