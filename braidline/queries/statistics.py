@@ -10,6 +10,7 @@ from braidline.operators import gates, model, statistics
 from braidline.plans import alignment, formats, training
 from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
+from braidline.sources.episodes import EpisodeTable
 
 KEYS = ["user_id"]
 ORDER = ["t", "event_id"]
@@ -874,6 +875,84 @@ def gated_training_rows(t: Tables):
     )
 
 
+FORMAT_COLUMNS = {
+    "episode": ["user_id"], "time": "t", "seq": "event_id", "matrix": "m", "opening": {"column": "value"},
+}
+
+
+def _format_timeline(t: Tables):
+    v = F.col("value")
+    return robot_rows(t).withColumns(
+        {"force": F.struct(F.array(*[v * k for k in range(1, 7)]).alias("left_wrench"),
+                           F.array(*[v * 0.5] * 6).alias("right_wrench"))}
+    )
+
+
+@query(
+    "m2_flat_training_format",
+    f"""WITH g AS (SELECT user_id, event_id, t, value, CASE WHEN value / 100 >= 0.3 OR value <= 1 AND value >= 0.3
+    THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS s FROM {EV} WHERE event_type = 'view'),
+  p AS (SELECT *, atan2(sin(radians(value)), cos(radians(value))) AS roll FROM g)
+  SELECT user_id, event_id, {q6("value * 1000")} AS x, {q6("roll")} AS roll,
+    {q6("coalesce((lead(value) OVER w - value) * 1000, 0)")} AS dx, {q6("value * 3")} AS force_z, s AS gripper_state,
+    coalesce(lead(s) OVER w, s) AS gripper_action, dense_rank() OVER (ORDER BY user_id) - 1 AS episode_index
+  FROM p WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)""",
+)
+def m2_flat_training_format(t: Tables):
+    """The shipped flat format over a timeline with other column names, written and read back."""
+    path = session.scratch_path(t.spark, "formats")
+    named = FORMAT_COLUMNS | {"opening": {"column": "value", "threshold": 0.3}}
+    formats.shipped().write("flat_training", _format_timeline(t), path, named | {"left": "force.left_wrench"})
+    rows = EpisodeTable(t.spark, f"{path}/flat_training", ["user_id"]).read()
+    return rows.select(
+        "user_id",
+        "event_id",
+        r6(F.get("pos", F.lit(0))).alias("x"),
+        r6(F.get("pos", F.lit(3))).alias("roll"),
+        r6(F.get("action", F.lit(0))).alias("dx"),
+        r6(F.get(F.get("force", F.lit(0)), F.lit(2))).alias("force_z"),
+        "gripper_state",
+        "gripper_action",
+        "episode_index",
+    )
+
+
+@query(
+    "m2_replay_format",
+    f"""WITH s AS (SELECT user_id, min(t) AS s, count(*) AS n FROM {EV} WHERE event_type = 'view' GROUP BY 1),
+  g AS (SELECT user_id, event_id, t, value AS f, (t - s) / 1e9 AS seconds, n,
+    least(1, CASE WHEN value > 1 THEN value / 100 ELSE value END) * 0.08 AS w
+    FROM {EV} JOIN s USING (user_id) WHERE event_type = 'view')
+  SELECT user_id, event_id, {q6("seconds")} AS seconds, {q6("f + 0.039711")} AS x, {q6("w")} AS gripper,
+    25.0::DOUBLE AS stiffness, {q6("f + 0.039711")} AS command_x, {q6("f * 3")} AS fx,
+    {q6("f * 5 + (f * 3 * 0.166 - f * w / 2)")} AS my, n AS robot_len, n AS wrench_len FROM g""",
+)
+def m2_replay_format(t: Tables):
+    """The shipped replay format: robot, wrench and length tables, joined again after reading."""
+    path = session.scratch_path(t.spark, "formats")
+    formats.shipped().write(
+        "replay_tables", _format_timeline(t), path, FORMAT_COLUMNS | {"robot": {"stiffness": 25.0}}
+    )
+    robot, wrench, lengths = (
+        EpisodeTable(t.spark, f"{path}/{n}", ["user_id"]).read().drop("episode_index")
+        for n in ("robot", "wrench", "lengths")
+    )
+    both = robot.join(wrench.drop("t"), ["user_id", "event_id"]).join(lengths, "user_id")
+    return both.select(
+        "user_id",
+        "event_id",
+        r6("seconds").alias("seconds"),
+        r6(F.get("ts_pose_fb", F.lit(0))).alias("x"),
+        r6("gripper").alias("gripper"),
+        "stiffness",
+        r6(F.get("ts_pose_command", F.lit(0))).alias("command_x"),
+        r6(F.get("left_tool", F.lit(0))).alias("fx"),
+        r6(F.get("left_tool", F.lit(4))).alias("my"),
+        "robot_len",
+        "wrench_len",
+    )
+
+
 @query(
     "m2_named_format",
     f"SELECT event_id, {q6('value * 2.5 + 1')} AS y FROM {EV} WHERE event_type = 'view'",
