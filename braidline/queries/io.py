@@ -59,30 +59,25 @@ def s1_error_rows(t: Tables):
 
 @query(
     "s1_error_line_numbers",
-    f"""SELECT count(*) OVER (PARTITION BY user_id % 3 ORDER BY event_id) AS line_number, event_id
+    f"""SELECT count(*) OVER (PARTITION BY user_id ORDER BY event_id) AS line_number, event_id
   FROM {EV} QUALIFY event_id % 50 = 7""",
 )
 def s1_error_line_numbers(t: Tables):
-    """Files that mix good, blank and broken lines; all of them count."""
+    """A file for each user that mixes good, blank and broken lines; all of them count."""
     path = session.scratch_path(t.spark, "jsonl")
-    e, part = F.col("event_id"), F.pmod(F.col("user_id"), F.lit(3)).alias("part")
+    e = F.col("event_id")
     good = F.to_json(F.struct("event_id"))
     broken = good.substr(F.lit(1), F.length(good) - 1)
     line = F.when(e % 50 == 7, broken).when(e % 60 == 9, " ").otherwise(good)
-    rows = t.events().select(part, e, line.alias("value"))
-    # one file for each part
+    # half of the files end their lines as other systems do
+    ended = F.when(F.col("user_id") % 2 == 0, F.concat(line, F.lit("\r"))).otherwise(line)
+    rows = t.events().select(F.col("user_id").alias("part"), e, ended.alias("value"))
     rows.repartition("part").sortWithinPartitions("part", "event_id").select(
         "part", "value"
     ).write.partitionBy("part").text(path)
-    _, bad = text.read_stream_jsonl(t.spark, path, "event_id long")
-    names = t.events().where(e % 50 == 7).select(
-        e, F.concat(F.lit("part="), part.cast("string")).alias("part"),
-        broken.alias("line"),
-    )
-    numbered = text.error_line_numbers(t.spark, path, bad).withColumn(
-        "part", F.regexp_extract("source_file", r"part=\d+", 0)
-    )
-    return numbered.join(names, ["part", "line"]).select("line_number", "event_id")
+    numbered = text.error_line_numbers(t.spark, path, "event_id long")
+    number = F.regexp_extract("line", r"(\d+)$", 1).cast("long")
+    return numbered.select("line_number", number.alias("event_id"))
 
 
 @query(
@@ -267,8 +262,9 @@ def s5_short_sessions(t: Tables):
 def _session_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
     """Write each row's session: its lines, and a commit of the first three quarters of them."""
     for pdf in batches:
-        for user, lines in zip(pdf["user_id"], pdf["lines"]):
-            whole = [f"{x}\n".encode() for x in lines]
+        for user, lines in zip(pdf["session"], pdf["lines"]):
+            end = "\r\n" if user % 2 else "\n"
+            whole = [f"{x}{end}".encode() for x in lines]
             kept = len(whole) * 3 // 4
             safe = sum(map(len, whole[:kept]))
             counters = [0] * 11
@@ -285,29 +281,35 @@ def _session_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.Da
             ):
                 with fs.open_output_stream(f"{inner}/{name}") as out:
                     out.write(content)
-        yield pdf[["user_id"]]
+        yield pdf[["session"]]
+
+
+SESSION_ROWS = 2000  # events that a session spans, so that none is large
+SESSION = f"(event_id // {SESSION_ROWS}) * 1000000 + user_id"
 
 
 def _archive(t: Tables):
     root = _uri(session.scratch_path(t.spark, "sessions"))
     line = F.to_json(F.struct(F.col("event_id").alias("sequence"), F.col("t").alias("capture_timestamp_ns")))
-    lines = t.events().groupBy("user_id").agg(
+    number = floor_div(F.col("event_id"), SESSION_ROWS) * 1_000_000 + F.col("user_id")
+    lines = t.events().groupBy(number.alias("session")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("event_id", line.alias("l")))), lambda x: x["l"])
         .alias("lines")
     )
-    written = lines.mapInPandas(lambda it: _session_files(it, root), "user_id long")
+    written = lines.mapInPandas(lambda it: _session_files(it, root), "session long")
     written.write.format("noop").mode("overwrite").save()
     schema = "sequence long, capture_timestamp_ns long"
-    user = F.regexp_extract("folder", r"(\d+)$", 1).cast("long").alias("session")
+    named = F.regexp_extract("folder", r"(\d+)$", 1).cast("long").alias("session")
     found = archive.committed_lines(t.spark, root, "frame_index.jsonl", schema, "frame_index_size")
-    return [x.withColumn("session", user) for x in found]
+    return [x.withColumn("session", named) for x in found]
 
 
 @query(
     "s5_session_rows",
-    f"""SELECT user_id AS session, event_id AS sequence, t AS capture_timestamp_ns FROM {EV}
-  WHERE user_id % 7 NOT IN (3, 5) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id)
-    <= count(*) OVER (PARTITION BY user_id) * 3 // 4""",
+    f"""WITH s AS (SELECT {SESSION} AS session, event_id, t FROM {EV})
+  SELECT session, event_id AS sequence, t AS capture_timestamp_ns FROM s
+  WHERE session % 7 NOT IN (3, 5) QUALIFY row_number() OVER (PARTITION BY session ORDER BY event_id)
+    <= count(*) OVER (PARTITION BY session) * 3 // 4""",
 )
 def s5_session_rows(t: Tables):
     """Session folders with commit markers; rows behind the safe bytes do not count."""
@@ -316,8 +318,9 @@ def s5_session_rows(t: Tables):
 
 @query(
     "s5_session_errors",
-    f"""SELECT user_id AS session, CASE WHEN user_id % 7 = 5 THEN 'invalid_checksum' ELSE 'shorter_than_commit' END AS error
-  FROM {EV} GROUP BY 1 HAVING user_id % 7 = 5 OR user_id % 7 = 3 AND count(*) * 3 // 4 > 0""",
+    f"""WITH s AS (SELECT {SESSION} AS session FROM {EV})
+  SELECT session, CASE WHEN session % 7 = 5 THEN 'invalid_checksum' ELSE 'shorter_than_commit' END AS error
+  FROM s GROUP BY 1 HAVING session % 7 = 5 OR session % 7 = 3 AND count(*) * 3 // 4 > 0""",
 )
 def s5_session_errors(t: Tables):
     return _archive(t)[1].select("session", "error")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidline import ordered, schemas
+from braidline import schemas
 from braidline.sources import text
 
 
@@ -63,7 +63,6 @@ def committed_lines(
     name: str,
     schema: str,
     size: str,
-    rows_per_task: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the JSON-lines file ``name`` of all sessions below ``root``, and errors.
 
@@ -79,24 +78,13 @@ def committed_lines(
             "error", F.when(F.coalesce("length", F.lit(0)) < F.col(size), F.lit("shorter_than_commit"))
         ),
     )
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", name)
-        .text(root)
-        .select(
-            "value",
-            _folder(F.col("_metadata.file_path")).alias("folder"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_place"),
-            (F.octet_length("value") + 1).cast("long").alias("_bytes"),
-        )
-    )
-    placed = ordered.scan(
-        lines, ["folder"], ["_block", "_place"], rows_per_task, _end=ordered.RunSum("_bytes")
-    )
-    safe = placed.join(sized.where("error IS NULL").select("folder", F.col(size).alias("_safe")), "folder")
-    started = safe.where(F.col("_end") - F.col("_bytes") < F.col("_safe")).where(F.trim("value") != "")
-    whole = F.col("_end") - 1 <= F.col("_safe")
+    lines = text.lines_with_places(
+        spark, root, recursiveFileLookup=True, pathGlobFilter=name
+    ).withColumn("folder", _folder(F.col("source_file")))
+    safe = lines.join(sized.where("error IS NULL").select("folder", F.col(size).alias("_safe")), "folder")
+    line = text.without_return(F.col("value"))
+    started = safe.where(F.col("start_byte") < F.col("_safe")).where(F.trim(line) != "")
+    whole = F.col("start_byte") + F.octet_length("value") <= F.col("_safe")
     parsed = started.withColumn("_row", F.when(whole, text.parsed_line(F.col("value"), schema)))
     rows = parsed.where(F.col("_row").isNotNull()).select("folder", "_row.*")
     torn = parsed.where(F.col("_row").isNull()).select("folder", F.lit("malformed_json").alias("error"))

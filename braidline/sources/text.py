@@ -5,13 +5,15 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidline import ordered, schemas, session
+from braidline import schemas, session
 from braidline.functions import coerce, se3
 
 
@@ -53,34 +55,95 @@ def read_stream_jsonl(
     return good, bad
 
 
-def error_line_numbers(
-    spark: SparkSession,
-    paths: list[str] | str,
-    errors: DataFrame,
-    rows_per_task: int | None = None,
+MOST_BLOCKS = 2_000_000  # blocks of all files whose places are broadcast
+
+
+def _within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the number and first byte of each line inside its block; a task reads blocks in order."""
+    here, line, byte = None, 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, block = batch.column("source_file"), batch.column("_block")
+        # where the next block begins
+        new = pc.or_(
+            pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)),
+            pc.not_equal(block.slice(1), block.slice(0, len(block) - 1)),
+        ).to_numpy(zero_copy_only=False)
+        starts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        size = batch.column("_bytes").to_numpy()
+        numbers, bytes_ = np.empty(len(size), np.int64), np.empty(len(size), np.int64)
+        for lo, hi in zip(starts, starts[1:]):
+            if (run := (file[lo].as_py(), block[lo].as_py())) != here:
+                here, line, byte = run, 0, 0
+            numbers[lo:hi] = np.arange(line, line + hi - lo)
+            ends = byte + np.cumsum(size[lo:hi])
+            bytes_[lo:hi] = ends - size[lo:hi]
+            line, byte = line + hi - lo, int(ends[-1])
+        yield batch.append_column("_line", pa.array(numbers)).append_column("_start", pa.array(bytes_))
+
+
+def lines_with_places(
+    spark: SparkSession, paths: list[str] | str, **options: str | bool
 ) -> DataFrame:
-    """Error rows with the 1-based number of their line.
+    """value, source_file, line_number (from 1) and start_byte of every line.
 
-    Lines of a file are ordered by the block they were read from and their place
-    in it. Only files that hold an error are numbered.
+    Lines and bytes are counted for each block that a task reads; only these
+    counts, one row for each block, are added up along a file. Lines stay where
+    they are read. A line ends at a line feed, so one that ends with a carriage
+    return as well counts that byte, and has it in its value.
     """
-    lines = spark.read.text(paths).select(
-        F.col("value").alias("line"),
+    session.ship_package(spark)
+    read = spark.read.option("lineSep", "\n").options(**options).text(paths)
+    raw = read.select(
+        "value",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_place"),
+        (F.octet_length("value") + 1).cast("long").alias("_bytes"),
     )
-    touched = lines.join(errors.select("source_file").distinct(), "source_file", "left_semi")
-    numbered = ordered.scan(
-        touched, ["source_file"], ["_block", "_place"], rows_per_task,
-        line_number=ordered.RowNumber(),
-    )
-    wrong = errors.select("source_file", "line", "row_type", "error").distinct()
-    return numbered.join(wrong, ["source_file", "line"]).select(
-        "row_type", "source_file", "line_number", "line", "error"
+    placed = raw.mapInArrow(
+        _within_blocks,
+        "value string, source_file string, _block long, _bytes long, _line long, _start long",
+    )
+    counts = raw.groupBy("source_file", "_block").agg(
+        F.count(F.lit(1)).alias("_lines"), F.sum("_bytes").alias("_size")
+    )
+    counts = session.materialise(spark, counts, "blocks")
+    before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.select(
+        F.col("source_file").alias("_file"),
+        F.col("_block").alias("_at"),
+        F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_lines_before"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_bytes_before"),
+    )
+    few = counts.count() <= MOST_BLOCKS
+    same = (F.col("source_file") == F.col("_file")) & (F.col("_block") == F.col("_at"))
+    return placed.join(F.broadcast(blocks) if few else blocks, same).select(
+        "value",
+        "source_file",
+        (F.col("_lines_before") + F.col("_line") + 1).alias("line_number"),
+        (F.col("_bytes_before") + F.col("_start")).alias("start_byte"),
     )
 
 
+def error_line_numbers(spark: SparkSession, paths: list[str] | str, schema: str) -> DataFrame:
+    """Error rows of JSON lines with the 1-based number of their line."""
+    lines = lines_with_places(spark, paths)
+    wrong = (F.trim(without_return(F.col("value"))) != "") & parsed_line(F.col("value"), schema).isNull()
+    return lines.where(wrong).select(
+        F.lit("normalization_error").alias("row_type"),
+        "source_file",
+        "line_number",
+        without_return(F.col("value")).alias("line"),
+        F.lit("malformed_json").alias("error"),
+    )
+
+
+def without_return(line: Column) -> Column:
+    """A line without the carriage return before its line feed."""
+    return F.regexp_replace(line, "\\r$", "")
+
+
 HEADER_BYTES = 1 << 16  # read at once while looking for the end of the first line
 
 

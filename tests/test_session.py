@@ -50,11 +50,42 @@ def test_bad_lines_have_file_and_number(spark, tmp_path):
     (tmp_path / "b.jsonl").write_text('{"a": 3}\n')
     good, bad = text.read_stream_jsonl(spark, str(tmp_path), "a long")
     assert sorted(r["a"] for r in good.collect()) == [1, 2, 3]
-    numbered = text.error_line_numbers(spark, str(tmp_path), bad).collect()
+    assert bad.count() == 2
+    numbered = text.error_line_numbers(spark, str(tmp_path), "a long").collect()
     assert sorted(r["line_number"] for r in numbered) == [3, 5]
     assert all(r["source_file"].endswith("a.jsonl") for r in numbered)
 
 
+def test_places_in_files_of_many_blocks_and_both_line_ends(spark, tmp_path):
+    """Blocks far smaller than a file, lines longer than a block, no line end at the end."""
+    rng = np.random.default_rng(3)
+    want = {}
+    for name, end in (("a", b"\n"), ("b", b"\r\n"), ("c", b"\n")):
+        lines = ["é" * int(n) for n in rng.integers(0, 40, 300)] + ["x" * 3000, "", "y"]
+        data = end.join(line.encode() for line in lines) + (b"" if name == "c" else end)
+        (tmp_path / f"{name}.txt").write_bytes(data)
+        at = 0
+        for number, line in enumerate(lines, 1):
+            want[f"{name}.txt", number] = (line, at)
+            at += len(line.encode()) + len(end)
+    (tmp_path / "empty.txt").write_bytes(b"")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        lines = text.lines_with_places(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 10
+        rows = lines.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {
+        (r["source_file"].rsplit("/", 1)[1], r["line_number"]): (r["value"].removesuffix("\r"), r["start_byte"])
+        for r in rows
+    }
+    assert got == want and len(rows) == len(want)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window" in plan
+
+
 def test_episodes_are_found_from_real_files(spark, tmp_path):
     for run, ep in (("r1", 3), ("r1", 7), ("r2", 0)):
         d = tmp_path / run / "raw" / "force" / f"episode_{ep:06d}"
