@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidline import asof, ordered
+from braidline import asof, ordered, session
 
 # Counter width and the limits of a usable clock model.
 UINT32 = 1 << 32
@@ -119,60 +119,92 @@ def two_way_fit(
     """
     usable = samples.where((F.col(phone_ns) >= 0) & (F.col(host_ns) >= 0) & (F.col(rtt_ns) >= 0))
     small = ordered.whole_if_small(usable, rows_per_task)
-    ranked = ordered.scan(
-        usable, keys, [rtt_ns, seq], rows_per_task, small,
-        _rank=ordered.RowNumber(), _n=ordered.Total("count", rtt_ns),
-    )
+    cuts: dict[str, ordered.Pieces] = {}
+
+    def scan(rows: DataFrame, order: list[str], **specs) -> DataFrame:
+        # where keys are cut, scans in one order share the places
+        if order[0] not in cuts:
+            cuts[order[0]] = small or ordered.find_pieces(rows, keys, order, rows_per_task)
+        return ordered.scan(rows, keys, order, rows_per_task, cuts[order[0]], **specs)
+
+    def at(rank: str, size: str, fraction: float, value: str) -> dict[str, ordered.Total]:
+        """Totals that pick the two values around a fraction of ranked rows."""
+        place = (F.col(size) - 1) * F.lit(fraction)
+        name = f"_{value.strip('_')}{round(100 * fraction)}"
+        return {
+            f"{name}_{side}": ordered.Total("max", F.when(F.col(rank) - 1 == end(place), F.col(value)))
+            for side, end in (("lo", F.floor), ("hi", F.ceil))
+        }
+
+    def between(size: str, fraction: float, value: str) -> Column:
+        place = (F.col(size) - 1) * F.lit(fraction)
+        share, name = place - F.floor(place), f"_{value.strip('_')}{round(100 * fraction)}"
+        return F.col(f"{name}_lo") * (1 - share) + F.col(f"{name}_hi") * share
+
+    # every step is a window over the same keys: where no key is cut, all share one exchange
+    order = [rtt_ns, seq]
+    ranked = scan(usable, order, _rank=ordered.RowNumber(), _n=ordered.Total("count", rtt_ns))
     quota = F.least(
         F.col("_n"),
         F.greatest(F.lit(TWO_WAY_MIN_SAMPLES), F.ceil(F.col("_n") * F.lit(TWO_WAY_SHARE))),
     )
-    chosen = ranked.where(F.col("_rank") <= quota)
-    x, y = F.col(phone_ns).cast("double"), F.col(host_ns).cast("double")
-    line = chosen.groupBy(*keys).agg(
-        F.max("_n").alias("sample_count"),
-        F.count(F.lit(1)).alias("selected_sample_count"),
-        (F.max(phone_ns) - F.min(phone_ns)).alias("_span"),
-        F.regr_slope(y, x).alias("_slope"),
-        F.avg(x).alias("_mx"),
-        F.avg(y).alias("_my"),
-    )
-    fitted = (
-        (F.col("selected_sample_count") >= TWO_WAY_MIN_FIT)
-        & (F.col("_span") >= TWO_WAY_MIN_SPAN_NS)
-        & F.col("_slope").between(MIN_SCALE, MAX_SCALE)
+    trips = ranked.withColumns({"_trip": F.col(rtt_ns), "_quota": quota})
+    trips = scan(trips, order, **at("_rank", "_n", 0.50, "_trip"), **at("_rank", "_n", 0.95, "_trip"))
+    chosen = trips.where(F.col("_rank") <= F.col("_quota")).withColumns(
+        {"_x": F.col(phone_ns).cast("double"), "_y": F.col(host_ns).cast("double")}
     )
-    line = line.withColumn("scale", F.when(fitted, F.col("_slope")).otherwise(1.0)).withColumn(
-        "method",
-        F.when(fitted, F.lit("bidirectional_affine_low_rtt")).otherwise(
-            F.lit("bidirectional_offset")
-        ),
+    cut = cuts[rtt_ns].table is not None
+
+    def settled(rows: DataFrame) -> DataFrame:
+        """Where keys are cut, a step is written, so that the next ones need not compute it anew."""
+        return session.materialise(rows.sparkSession, rows, "clock-fit") if cut else rows
+
+    chosen = settled(chosen)
+    totals = {"_m": ("count", "_x"), "_sx": ("sum", "_x"), "_sy": ("sum", "_y"),
+              "_first": ("min", phone_ns), "_last": ("max", phone_ns)}
+    chosen = scan(chosen, order, **{n: ordered.Total(*t) for n, t in totals.items()})
+    chosen = chosen.withColumns({"_mx": F.col("_sx") / F.col("_m"), "_my": F.col("_sy") / F.col("_m")})
+    chosen = chosen.withColumns({"_dx": F.col("_x") - F.col("_mx"), "_dy": F.col("_y") - F.col("_my")})
+    chosen = scan(
+        chosen, order,
+        _xx=ordered.Total("sum", F.col("_dx") * F.col("_dx")),
+        _xy=ordered.Total("sum", F.col("_dx") * F.col("_dy")),
+    )
+    slope = F.col("_xy") / F.nullif(F.col("_xx"), F.lit(0.0))
+    fitted = F.coalesce(
+        (F.col("_m") >= TWO_WAY_MIN_FIT)
+        & (F.col("_last") - F.col("_first") >= TWO_WAY_MIN_SPAN_NS)
+        & slope.between(MIN_SCALE, MAX_SCALE),
+        F.lit(False),
     )
-    centred = chosen.join(line.select(*keys, "scale", "_mx", "_my"), keys).withColumn(
-        "_o", (F.col(host_ns) - F.col("_my")) - F.col("scale") * (F.col(phone_ns) - F.col("_mx"))
+    chosen = chosen.withColumn("_fitted", fitted).withColumn("scale", F.when(fitted, slope).otherwise(1.0))
+    chosen = settled(chosen.withColumn("_off", F.col("_dy") - F.col("scale") * F.col("_dx")))
+    chosen = scan(chosen, ["_off", seq], _orank=ordered.RowNumber())
+    chosen = scan(chosen, ["_off", seq], **at("_orank", "_m", 0.50, "_off"))
+    chosen = chosen.withColumn("_mid", between("_m", 0.50, "_off"))
+    chosen = settled(chosen.withColumn("_res", F.abs(F.col("_off") - F.col("_mid"))))
+    chosen = scan(chosen, ["_res", seq], _rrank=ordered.RowNumber())
+    wanted = at("_rrank", "_m", 0.50, "_res") | at("_rrank", "_m", 0.95, "_res")
+    once = ["_n", "_m", "_first", "_last", "_mx", "_my", "_fitted", "scale", "_mid",
+            *at("_rank", "_n", 0.50, "_trip"), *at("_rank", "_n", 0.95, "_trip")]
+    one = chosen.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in once], *[F.max(t.value).alias(n) for n, t in wanted.items()]
     )
-    middle = ordered.percentiles(centred, keys, "_o", rows_per_task, small, _mid=0.5)
-    off = centred.join(middle, keys).withColumn("_abs", F.abs(F.col("_o") - F.col("_mid")))
-    residuals = ordered.percentiles(off, keys, "_abs", rows_per_task, small, _r50=0.50, _r95=0.95)
-    trips = ordered.percentiles(usable, keys, rtt_ns, rows_per_task, small, _t50=0.50, _t95=0.95)
-    return (
-        line.join(middle, keys)
-        .join(residuals, keys)
-        .join(trips, keys)
-        .select(
-            *keys,
-            "method",
-            "sample_count",
-            "selected_sample_count",
-            (F.col("_span") / 1e9).alias("selected_device_span_s"),
-            "scale",
-            ((F.col("scale") - 1) * 1e6).alias("rate_error_ppm"),
-            (F.col("_my") - F.col("scale") * F.col("_mx") + F.col("_mid")).alias("offset_ns"),
-            (F.col("_t50") / 1e6).alias("rtt_p50_ms"),
-            (F.col("_t95") / 1e6).alias("rtt_p95_ms"),
-            (F.col("_r50") / 1e6).alias("residual_p50_ms"),
-            (F.col("_r95") / 1e6).alias("residual_p95_ms"),
-        )
+    return one.select(
+        *keys,
+        F.when(F.col("_fitted"), F.lit("bidirectional_affine_low_rtt"))
+        .otherwise(F.lit("bidirectional_offset"))
+        .alias("method"),
+        F.col("_n").alias("sample_count"),
+        F.col("_m").alias("selected_sample_count"),
+        ((F.col("_last") - F.col("_first")) / 1e9).alias("selected_device_span_s"),
+        "scale",
+        ((F.col("scale") - 1) * 1e6).alias("rate_error_ppm"),
+        (F.col("_my") - F.col("scale") * F.col("_mx") + F.col("_mid")).alias("offset_ns"),
+        (between("_n", 0.50, "_trip") / 1e6).alias("rtt_p50_ms"),
+        (between("_n", 0.95, "_trip") / 1e6).alias("rtt_p95_ms"),
+        (between("_m", 0.50, "_res") / 1e6).alias("residual_p50_ms"),
+        (between("_m", 0.95, "_res") / 1e6).alias("residual_p95_ms"),
     )
 
 

@@ -222,3 +222,23 @@ def test_bounds_settle_most_forward_windows(spark):
     out = episodes.effective_end(df, starts, ["k"], "t", ["x", "y", "z"], ["turn"], 500, 0, 0.75, 2.0)
     ends = {r["k"]: r["effective_end"] for r in out.collect()}
     assert ends == {k: min(t for (q, t), ok in plain.items() if ok and q == k) for k in (1, 2)}
+
+
+def test_two_way_fit_of_cut_sessions_is_the_same(spark):
+    rng = random.Random(8)
+    rows = [
+        (k, i, i * 10**8, 5 * 10**12 + i * 100_001_000 + rng.randint(0, 900), rng.randint(1, 60) * 1000)
+        for k, n in ((1, 500), (2, 9), (3, 2)) for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, "k int, seq long, phone long, host long, rtt long")
+    fits = [
+        sorted(clocks.two_way_fit(df, ["k"], "phone", "host", "rtt", "seq", limit).collect())
+        for limit in (None, 40)
+    ]
+    assert [f["k"] for f in fits[0]] == [1, 2, 3]
+    for plain, cut in zip(*fits):
+        for name in plain.asDict():
+            assert cut[name] == (
+                pytest.approx(plain[name], rel=1e-9, abs=1e-6) if name != "method" else plain[name]
+            )
+    assert [f["selected_sample_count"] for f in fits[0]] == [100, 8, 2]
