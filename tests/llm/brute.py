@@ -1,7 +1,9 @@
 """Plain Python versions of the corpus operators, for small tables."""
 
 import hashlib
+import math
 import re
+import struct
 
 import xxhash
 
@@ -110,3 +112,50 @@ def without_repeats(rows, length=50):
         rest = bytes(x for x, g in zip(data, gone) if not g)
         out.append((doc, len(data), sum(gone), spans, sha(rest)))
     return out
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of strings, longs (q) and ints (i), given as (kind, value)."""
+    seed = 42
+    for kind, value in values:
+        data = value.encode() if kind == "s" else struct.pack(f"<{kind}", value)
+        seed = xxhash.xxh64_intdigest(data, seed=seed)
+    return signed(seed)
+
+
+def min_hash(text, size=5, bins=256, draws=None):
+    """One-permutation MinHash with four bits a bin, as hexadecimal digits."""
+    w = [spark_hash(("s", x)) for x in re.split("[\x20\x09-\x0d]+", (text or "").lower()) if x]
+    if not w:
+        return "-"
+    runs = [w[i : i + size] for i in range(len(w) - size + 1)] or [w]
+    least = {}
+    for run in runs:
+        x = spark_hash(*[("q", v) for v in run])
+        place = (x >> 56) + 128
+        least[place] = min(least.get(place, x), x)
+    digits = ""
+    for b in range(bins):
+        places = [b] + [spark_hash(("i", b), ("i", t)) % bins for t in range(draws)]
+        found = [least[p] for p in places if p in least]
+        if not found:
+            found = [min((spark_hash(("i", b), ("i", j)), v) for j, v in least.items())[1]]
+        digits += f"{found[0] & 15:x}"
+    return digits
+
+
+def toxicity(text, weights, curve, fold):
+    """The score by trying every pattern at every word start."""
+    folded = fold(text or "")
+    n_words, total = len(folded.split()), 0.0
+    for at in (i for i, c in enumerate(folded) if c == " "):
+        fitting = [p for p in weights if folded.startswith(p, at)]
+        if fitting:
+            total += weights[max(fitting, key=len)]
+    bias, strength, rate = curve
+    sum_ = bias + strength * math.log1p(total) + rate * math.log1p(100 * total / max(n_words, 1))
+    return 1 / (1 + math.exp(-sum_))

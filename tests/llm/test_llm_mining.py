@@ -1,4 +1,4 @@
-"""Phrases, hard negatives and token counts against plain Python."""
+"""Phrases, hard negatives, token counts, fingerprints and toxicity against plain Python."""
 
 import math
 import random
@@ -13,7 +13,7 @@ import pytest
 from conftest import EXTRA
 from pyspark.sql import functions as F
 
-from braidline.llm import hard_negatives, phrases, token_counts, tokens
+from braidline.llm import common, fingerprints, hard_negatives, phrases, token_counts, tokens, toxicity
 
 
 def widened(df):
@@ -267,3 +267,30 @@ def test_frequent_chunks_are_bounded(spark):
 
 def test_counts_of_nothing(spark, none):
     assert token_counts.count_tokens(spark, none).count() == 0
+
+
+# -- fingerprints and toxicity ---------------------------------------------
+
+
+def test_fingerprints_equal_plain_min_hash(spark, rows):
+    texts = [(t or "",) for _, t in rows] + [("one two three four",), ("a b c d e f",), ("x " * 50,)]
+    df = spark.createDataFrame(texts, "text string")
+    got = df.select("text", fingerprints.fingerprint(F.col("text")).alias("fp")).collect()
+    for r in got:
+        assert r["fp"] == brute.min_hash(r["text"], draws=fingerprints.DRAWS)
+
+
+def test_scores_equal_trying_every_pattern(spark, rows):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (common.read(spark, folder, n) for n in ("documents", "labels"))
+    lexicon = toxicity.learn(spark, docs, labels)
+    assert any(w > 0 for w in lexicon.weights.values())
+    words = [p.strip() for p in lexicon.weights][:40]
+    texts = [(k, t) for k, (_, t) in enumerate(rows)]
+    texts += [(1000 + k, f"so {w.upper()} {w}x, {w.replace('o', '0').replace('i', '1')}") for k, w in enumerate(words)]
+    texts += [(2000 + r.doc_id, r.text) for r in docs.where("doc_id < 150").collect()]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    known = dict(texts)
+    for r in toxicity.score(spark, df, lexicon, ["doc_id"]).collect():
+        want = brute.toxicity(known[r["doc_id"]], lexicon.weights, lexicon.curve, toxicity.fold)
+        assert r["score"] == pytest.approx(want, abs=1e-9)
