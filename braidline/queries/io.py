@@ -648,13 +648,23 @@ def k3_index_of_ticks(t: Tables):
 
 @query(
     "k4_debug_json",
-    f"SELECT event_id, user_id, value FROM {EV} WHERE event_type = 'click'",
+    f"""SELECT 'timeline' AS stage, event_id, user_id, value, NULL::BIGINT AS n FROM {EV} WHERE event_type = 'click'
+  UNION ALL SELECT 'episodes', NULL, user_id, NULL, count(*) FROM {EV} WHERE event_type = 'click' GROUP BY user_id
+  UNION ALL SELECT 'report', NULL, NULL, NULL, count(*) FROM {EV} WHERE event_type = 'click'""",
 )
 def k4_debug_json(t: Tables):
+    """All three tables, read back from their own folders."""
     path = session.scratch_path(t.spark, "debug")
     rows = t.events("click").select("event_id", "user_id", "value")
-    sinks.write_debug_json({"timeline": rows, "episodes": rows.select("user_id").distinct()}, path)
-    return t.spark.read.schema("event_id long, user_id long, value double").json(f"{path}/timeline")
+    n = F.count(F.lit(1)).alias("n")
+    tables = {"timeline": rows, "episodes": rows.groupBy("user_id").agg(n), "report": rows.agg(n)}
+    sinks.write_debug_json(tables, path)
+    back = None
+    for name in tables:
+        one = t.spark.read.schema("event_id long, user_id long, value double, n long").json(f"{path}/{name}")
+        one = one.select(F.lit(name).alias("stage"), "*")
+        back = one if back is None else back.unionByName(one)
+    return back
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from braidline import ordered, session
 from braidline.operators import gates, model, statistics
-from braidline.plans import alignment, formats, training
+from braidline.plans import alignment, formats, postprocess, training
 from braidline.queries.base import DAY, EV, HOUR, VEC, Tables, q6, query, r6, stamp, stamp_sql
 from braidline.queries.joins import TIMELINE_CTE, timeline
 from braidline.sources.episodes import EpisodeTable
@@ -875,6 +875,37 @@ def gated_training_rows(t: Tables):
     )
 
 
+@query(
+    "a16_gate_states",
+    f"""WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks,
+    count(*) FILTER (event_type = 'purchase') AS buys FROM {EV} GROUP BY 1)
+  SELECT user_id AS episode_index, CASE WHEN views < 11 THEN 'normalization' WHEN clicks < 10 THEN 'alignment'
+      WHEN buys < 12 THEN 'media' ELSE 'complete' END AS state,
+    CASE WHEN views < 11 THEN 'few_views' WHEN clicks < 10 THEN 'few_clicks' WHEN buys < 12 THEN 'few_buys' ELSE '' END AS reasons
+  FROM c""",
+)
+def a16_gate_states(t: Tables):
+    """The first gate in order that refuses an episode, from the verdicts of all gates."""
+    of = {"media": ("purchase", 12, "few_buys"), "alignment": ("click", 10, "few_clicks"),
+          "normalization": ("view", 11, "few_views")}
+    counts = t.events().groupBy(F.lit("r").alias("run_id"), F.col("user_id").alias("episode_index")).agg(
+        *[F.count_if(F.col("event_type") == kind).alias(gate) for gate, (kind, _, _) in of.items()]
+    )
+    verdicts = F.array(
+        *[
+            F.struct(
+                F.lit(gate).alias("gate"),
+                (F.col(gate) >= least).alias("ok"),
+                F.when(F.col(gate) < least, F.lit(reason)).otherwise("").alias("reasons"),
+            )
+            for gate, (_, least, reason) in of.items()
+        ],
+        F.struct(F.lit("export").alias("gate"), F.lit(True).alias("ok"), F.lit("").alias("reasons")),
+    )
+    states = postprocess.episode_states(counts.select("run_id", "episode_index", F.inline(verdicts)))
+    return states.drop("run_id")
+
+
 FORMAT_COLUMNS = {
     "episode": ["user_id"], "time": "t", "seq": "event_id", "matrix": "m", "opening": {"column": "value"},
 }
