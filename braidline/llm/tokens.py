@@ -14,7 +14,7 @@ Where to cut is decided by what the vocabulary file says about itself:
 - ``whole``: all other files; a text is one chunk.
 
 Each batch is reduced to its distinct chunks first, and a worker remembers the
-ids of chunks it has met, up to CACHE of them.
+ids of chunks it has met, as packed integers, up to CACHE of them.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from __future__ import annotations
 import itertools
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +88,7 @@ class ChunkTokenizer:
     def __init__(self, path: str):
         self.cut = cut_of(path)
         self.pieces = path.endswith(".model")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.parts: dict[str, list[int]] = {}
         if self.pieces:
             from sentencepiece import SentencePieceProcessor
@@ -138,7 +139,7 @@ class ChunkTokenizer:
         if len(self.known) + len(new) > CACHE:
             self.known = {}
             new = chunks
-        self.known.update(zip(new, self.ids_of(new)))
+        self.known.update(zip(new, (array("I", ids).tobytes() for ids in self.ids_of(new))))
 
     def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All chunks one after the other, and the n + 1 bounds between texts."""
@@ -160,8 +161,8 @@ class ChunkTokenizer:
         distinct = chunks.dictionary.to_pylist()
         self.learn(distinct)
         ids = [self.known[c] for c in distinct]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         starts = np.cumsum(sizes) - sizes
         codes = chunks.indices.to_numpy()
         n = sizes[codes]
