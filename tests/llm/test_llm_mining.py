@@ -13,7 +13,16 @@ import pytest
 from conftest import EXTRA
 from pyspark.sql import functions as F
 
-from braidline.llm import common, fingerprints, hard_negatives, phrases, token_counts, tokens, toxicity
+from braidline.llm import (
+    common,
+    fingerprints,
+    hard_negatives,
+    near_copies,
+    phrases,
+    token_counts,
+    tokens,
+    toxicity,
+)
 
 
 def widened(df):
@@ -294,3 +303,50 @@ def test_scores_equal_trying_every_pattern(spark, rows):
     for r in toxicity.score(spark, df, lexicon, ["doc_id"]).collect():
         want = brute.toxicity(known[r["doc_id"]], lexicon.weights, lexicon.curve, toxicity.fold)
         assert r["score"] == pytest.approx(want, abs=1e-9)
+
+
+# -- near copies -----------------------------------------------------------
+
+
+def copies_of_one_text(n, seed, changed):
+    """Copies of a text of 120 words, each with some words of its own."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randint(0, 500)}" for _ in range(120)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.sample(range(120), rng.randint(*changed)):
+            words[at] = f"own{k}x{at}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_candidates_grow_with_the_rows(spark):
+    """All alike, hardly any similar: twice the rows may give about twice the candidates."""
+    made = []
+    for n in (200, 400):
+        df = spark.createDataFrame([(t,) for t in copies_of_one_text(n, 1, (4, 9))], "text string")
+        nodes = near_copies._sketches(df, 5)
+        made.append(near_copies._candidates(spark, nodes).count())
+        assert made[-1] <= n * near_copies.BANDS * near_copies.NEXT
+    assert made[1] <= 3 * made[0]
+
+
+def test_links_of_groups_equal_all_pairs(spark):
+    texts = copies_of_one_text(60, 2, (0, 2)) + copies_of_one_text(40, 3, (0, 6)) + copies_of_one_text(30, 4, (30, 60))
+    texts += ["", " \n", "one two", "one  two", "a b c d e", texts[0], texts[0] + " end"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    rows = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text")).collect()]
+    place = {h: k for k, h in enumerate(rows)}
+    links = {(place[r.a], place[r.b]) for r in near_copies.links(spark, df).collect()}
+    sets = [brute.shingles(t, 5) for t in texts]
+    assert all(brute.jaccard(sets[a], sets[b]) >= 0.8 for a, b in links)
+
+    def linked(i, j):
+        return (place[rows[i]], place[rows[j]]) in links or (place[rows[j]], place[rows[i]]) in links or rows[i] == rows[j]
+
+    got = brute.components(len(texts), linked)
+    want = brute.components(len(texts), lambda i, j: brute.jaccard(sets[i], sets[j]) >= 0.8)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if brute.jaccard(sets[i], sets[j]) >= 0.8]
+    together = sum(got[i] == got[j] for i, j in pairs)
+    assert together >= 0.95 * len(pairs) and all(want[i] == want[j] for i, j in pairs)
