@@ -120,19 +120,19 @@ class ChunkTokenizer:
             plain = [c[1:] if self.cut == "piece" else c for c in chunks]
             yield from self.whole.encode(plain, num_threads=1)
             return
-        other = []
+        found, other = [[]] * len(chunks), []
         for k, chunk in enumerate(chunks):
             latin = _LATIN.fullmatch(chunk) if self.cut == "blank" else None
             if latin is None:
                 other.append(k)
+                continue
+            word, end = latin.groups()
+            found[k] = self._word(word) + (self._part(end) if end else [])
         encoded = self.whole.encode_batch_fast([chunks[k] for k in other], add_special_tokens=False)
-        found = dict(zip(other, encoded))
-        for k, chunk in enumerate(chunks):
-            if k in found:
-                yield found[k].ids
-            else:
-                word, end = _LATIN.fullmatch(chunk).groups()
-                yield self._word(word) + (self._part(end) if end else [])
+        for k, one in zip(other, encoded):
+            found[k] = one.ids
+        yield from found
+
 
     def learn(self, chunks: list[str]) -> None:
         new = [c for c in chunks if c not in self.known]
