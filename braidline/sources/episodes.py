@@ -119,7 +119,6 @@ class EpisodeTable:
             schema = commit.schema.add(INDEX, "long")
             return self.spark.createDataFrame([], schema)
         base = f"{self.path}/data"
-        # the stored schema also says the types of the keys, which are folder names here
         stored = T.StructType([*commit.schema.fields, T.StructField(FOLDER, T.StringType())])
         rows = (
             self.spark.read.schema(stored)
@@ -134,14 +133,16 @@ class EpisodeTable:
         """Write rows to a new folder that no reader sees yet: its name and the number of rows.
 
         The rebalance brings the rows of an episode together, shares a large
-        episode out over several files and packs small ones.
+        episode out over several files and packs small ones. The keys are columns
+        of the files, sorted, so the number of files follows the rows, not the
+        episodes.
         """
         folder, seen = uuid.uuid4().hex, Observation()
         (
             rows.observe(seen, F.count(F.lit(1)).alias("n"))
             .hint("rebalance", *self.keys)
-            .write.partitionBy(*self.keys)
-            .parquet(f"{self.path}/data/{FOLDER}={folder}")
+            .sortWithinPartitions(*self.keys)
+            .write.parquet(f"{self.path}/data/{FOLDER}={folder}")
         )
         return folder, _rows_seen(seen)
 
