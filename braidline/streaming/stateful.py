@@ -7,7 +7,8 @@ may deliver them in any order. On a table the rows of each partition are sorted
 and walked once, with one state in memory.
 
 A key stands for one device or session, whose rate the device itself bounds;
-the work of different keys is spread over the cluster.
+the work of different keys is spread over the cluster, on a stream in GROUPS
+groups of keys by their hash.
 """
 
 from __future__ import annotations
@@ -61,8 +62,15 @@ def walk_table(
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(walk, out)
 
 
+GROUPS = 4096  # keys of a stream share this many states
+
+
 class _Ordered(StatefulProcessor):
-    """Keeps a key's state and, row by row, what still waits for the watermark."""
+    """Keeps the states of a group of keys and, row by row, what still waits for the watermark.
+
+    Every call to the state store costs the same for little or much; a group
+    pays for it once for all its keys.
+    """
 
     def __init__(self, keys, time, seq, step, names):
         self._keys, self._time, self._seq = keys, time, seq
@@ -70,15 +78,16 @@ class _Ordered(StatefulProcessor):
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._cell = handle.getValueState("cell", "blob binary")
-        self._first = handle.getValueState("first", "t long")
+        self._cells = handle.getValueState("cells", "blob binary, first long")
         self._waiting = handle.getListState("waiting", "t long, seq long, blob binary")
 
     def close(self) -> None:
         pass
 
-    def _run(self, key, fresh, timer_values):
-        first = self._first.get()[0] if self._first.exists() else None
+    def _run(self, fresh, timer_values):
+        held = self._cells.get()
+        blob, first = held if held is not None else (None, None)
+        before = first
         # event times have microseconds; a row beyond the watermark may still be overtaken
         edge_us = timer_values.getCurrentWatermarkInMs() * 1000
         later = [r for r in fresh if r[0] // 1000 > edge_us]
@@ -92,27 +101,28 @@ class _Ordered(StatefulProcessor):
             self._waiting.appendList(later)
             first = min([r[0] for r in later] + ([] if first is None else [first]))
         if ready:
-            state = pickle.loads(self._cell.get()[0]) if self._cell.exists() else None
-            for _, _, blob in sorted(ready, key=lambda r: r[:2]):
-                state, found = self._step(state, pickle.loads(blob))
+            cells = pickle.loads(blob) if blob is not None else {}
+            for _, _, packed in sorted(ready, key=lambda r: r[:2]):
+                row = pickle.loads(packed)
+                key = tuple(row[k] for k in self._keys)
+                cells[key], found = self._step(cells.get(key), row)
                 for r in found:
                     values = {**dict(zip(self._keys, key)), **r}
                     yield Row(**{n: values[n] for n in self._names})
-            self._cell.update((pickle.dumps(state),))
-        if first is None:
-            self._first.clear()
-        else:
-            self._first.update((first,))
+            blob = pickle.dumps(cells)
+        if ready or first != before:
+            self._cells.update((blob, first))
+        if first is not None:
             self._handle.registerTimer(-(-first // 1_000_000))
 
     def handleInputRows(self, key, rows, timerValues):
         fresh = [
             (r[self._time], r[self._seq], pickle.dumps(r.asDict(recursive=True))) for r in rows
         ]
-        yield from self._run(key, fresh, timerValues)
+        yield from self._run(fresh, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self._run(key, [], timerValues)
+        yield from self._run([], timerValues)
 
 
 def walk_stream(
@@ -133,7 +143,8 @@ def walk_stream(
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     out = T.StructType([*[rows.schema[k] for k in keys], *schema_of(output).fields])
     timed = rows.withColumn("_event_time", F.timestamp_micros(floor_div(F.col(time), 1000)))
-    grouped = timed.withWatermark("_event_time", delay).groupBy(*keys)
+    dealt = timed.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(GROUPS)))
+    grouped = dealt.withWatermark("_event_time", delay).groupBy("_group")
     return grouped.transformWithState(
         statefulProcessor=_Ordered(keys, time, seq, step, [f.name for f in out]),
         outputStructType=out,

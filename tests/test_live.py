@@ -32,6 +32,71 @@ def test_calibration_stream_equals_table(tables):
     assert any("ready" in x for x in a)
 
 
+def test_keys_that_share_a_state_stay_apart(tables, monkeypatch):
+    monkeypatch.setattr(stateful, "GROUPS", 2)
+    a, b = both(tables, queries.frames(tables), live.recorded_rows, live.RECORD_COLUMNS, "rec")
+    assert a == b and len(a) > 100
+
+
+class Store:
+    """One value and one list of a state store, counting the calls."""
+
+    def __init__(self):
+        self.value, self.rows, self.calls, self.timers = None, [], 0, []
+
+    def getValueState(self, *_):
+        return self
+
+    getListState = getValueState
+
+    def get(self):
+        self.calls += 1
+        return self.value if self.value is not None else None
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def appendList(self, rows):
+        self.calls, self.rows = self.calls + 1, self.rows + rows
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.append(ms)
+
+
+def test_calls_to_the_state_store_do_not_grow_with_keys():
+    """Rows of 500 keys wait, then are stepped, at a few calls for all of them."""
+    store, made = Store(), []
+    held = Store()
+    store.getListState = lambda *_: held
+    held.get = lambda: iter(held.rows)
+    held.clear = lambda: held.rows.clear()
+
+    def counted(state, row):
+        return (state or 0) + 1, [dict(n=(state or 0) + 1)]
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    walker = stateful._Ordered(["k"], "t", "seq", counted, ["k", "n"])
+    walker.init(store)
+
+    class In(dict):
+        def asDict(self, recursive=True):
+            return dict(self)
+
+    rows = [In(k=i % 500, t=(5 - i // 500) * 10**9, seq=i) for i in range(1500)]
+    made += walker.handleInputRows(None, iter(rows), At(0))
+    assert not made and len(held.rows) == 1500
+    waiting, held.rows = held.rows, []
+    held.rows = list(waiting)
+    held.get = lambda: iter(list(waiting))
+    made += walker.handleExpiredTimer(None, At(10_000), None)
+    assert sorted((r["k"], r["n"]) for r in made) == [(k, n) for k in range(500) for n in (1, 2, 3)]
+    assert store.calls + held.calls < 12
+
+
 def walk(step, rows):
     state, out = None, []
     for row in rows:
