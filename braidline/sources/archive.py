@@ -23,7 +23,9 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(text.plain_path(path), "/[^/]*$", "")
 
 
-def _files(spark: SparkSession, root: str, name: str) -> DataFrame:
+def _files(spark: SparkSession, root: str | DataFrame, name: str) -> DataFrame:
+    if isinstance(root, DataFrame):
+        return root.where(F.substring_index("path", "/", -1) == name)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -32,7 +34,7 @@ def _files(spark: SparkSession, root: str, name: str) -> DataFrame:
     )
 
 
-def read_commits(spark: SparkSession, root: str) -> DataFrame:
+def read_commits(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """One row per commit marker below ``root``: folder, its numbers, and what is wrong with it."""
     content = F.col("content")
     wrong = (
@@ -59,7 +61,7 @@ def read_commits(spark: SparkSession, root: str) -> DataFrame:
 
 def committed_lines(
     spark: SparkSession,
-    root: str,
+    root: str | DataFrame,
     name: str,
     schema: str,
     size: str,
@@ -68,7 +70,9 @@ def committed_lines(
 
     ``size`` is the commit's column with the file's safe bytes. Errors have
     folder and error: a marker that fails its check, a file that is too short or
-    missing, or a line inside the safe bytes that is no JSON object.
+    missing, or a line inside the safe bytes that is no JSON object. Instead of
+    a folder, ``root`` may be the files packed as rows: path, start (0), length
+    and content.
     """
     commits = read_commits(spark, root)
     lengths = _files(spark, root, name).select(_folder(F.col("path")).alias("folder"), "length")
@@ -78,9 +82,11 @@ def committed_lines(
             "error", F.when(F.coalesce("length", F.lit(0)) < F.col(size), F.lit("shorter_than_commit"))
         ),
     )
-    lines = text.lines_with_places(
-        spark, root, recursiveFileLookup=True, pathGlobFilter=name
-    ).withColumn("folder", _folder(F.col("source_file")))
+    if isinstance(root, DataFrame):
+        lines = text.packed_lines(spark, _files(spark, root, name))
+    else:
+        lines = text.lines_with_places(spark, root, recursiveFileLookup=True, pathGlobFilter=name)
+    lines = lines.withColumn("folder", _folder(F.col("source_file")))
     safe = lines.join(sized.where("error IS NULL").select("folder", F.col(size).alias("_safe")), "folder")
     line = text.without_return(F.col("value"))
     started = safe.where(F.col("start_byte") < F.col("_safe")).where(F.trim(line) != "")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidline import schemas, session
+from braidline import ordered, schemas, session
 from braidline.functions import coerce, se3
 
 
@@ -108,27 +108,119 @@ def lines_with_places(
     counts = raw.groupBy("source_file", "_block").agg(
         F.count(F.lit(1)).alias("_lines"), F.sum("_bytes").alias("_size")
     )
+    return _numbered(spark, placed, counts)
+
+
+def _numbered(spark: SparkSession, placed: DataFrame, counts: DataFrame) -> DataFrame:
+    """Places in files from places in blocks and the lines and bytes of each block.
+
+    Only blocks behind the first one of their file have anything before them.
+    """
     counts = session.materialise(spark, counts, "blocks")
     before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = counts.select(
         F.col("source_file").alias("_file"),
         F.col("_block").alias("_at"),
-        F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_lines_before"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_bytes_before"),
-    )
-    few = counts.count() <= MOST_BLOCKS
+        F.sum("_lines").over(before).alias("_lines_before"),
+        F.sum("_size").over(before).alias("_bytes_before"),
+    ).where("_lines_before IS NOT NULL")
+    few = counts.where("_block > 0").count() <= MOST_BLOCKS
     same = (F.col("source_file") == F.col("_file")) & (F.col("_block") == F.col("_at"))
-    return placed.join(F.broadcast(blocks) if few else blocks, same).select(
+    none = F.lit(0).cast("long")
+    return placed.join(F.broadcast(blocks) if few else blocks, same, "left").select(
         "value",
         "source_file",
-        (F.col("_lines_before") + F.col("_line") + 1).alias("line_number"),
-        (F.col("_bytes_before") + F.col("_start")).alias("start_byte"),
+        (F.coalesce("_lines_before", none) + F.col("_line") + 1).alias("line_number"),
+        (F.coalesce("_bytes_before", none) + F.col("_start")).alias("start_byte"),
+    )
+
+
+PACKED_BYTES = 1 << 16  # of a block of a packed file
+NO_PATH = "__HIVE_DEFAULT_PARTITION__"  # the file of lines whose path is null, as writers name it
+
+
+def pack_lines(rows: DataFrame, path: str, order: list[str], line: str) -> DataFrame:
+    """The files ``path`` of ``line`` in ``order``, packed: a row (path, start, content) for a block.
+
+    Files by the million take longer to list and open than to read. A block
+    holds whole lines, a file as many blocks as it needs; ``start`` is the byte
+    of its file that a block begins at.
+    """
+    sized = rows.select(
+        F.coalesce(F.col(path).cast("string"), F.lit(NO_PATH)).alias("path"),
+        *order,
+        F.coalesce(line, F.lit("")).alias("_line"),
+        (F.coalesce(F.octet_length(line), F.lit(0)) + 1).cast("long").alias("_bytes"),
+    )
+    ended = ordered.scan(sized, ["path"], order, _end=ordered.RunSum("_bytes"))
+    first = F.col("_end") - F.col("_bytes")
+    lines = F.sort_array(F.collect_list(F.struct(first.alias("at"), F.col("_line").alias("line"))))
+    return (
+        ended.groupBy("path", ordered.floor_div(first, PACKED_BYTES).alias("_block"))
+        .agg(F.min(first).alias("start"), lines.alias("_lines"))
+        .select("path", "start", F.concat(F.array_join("_lines.line", "\n"), F.lit("\n")).cast("binary").alias("content"))
+    )
+
+
+def _lines_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line of packed blocks with its number and first byte inside its block."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("content")), 0).to_numpy())
+        # pieces of some megabytes, whatever the number of rows
+        cuts = np.flatnonzero(np.diff(size >> 22, prepend=0)).tolist()
+        for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if lo < hi:
+                yield _split(batch.slice(lo, hi - lo))
+
+
+def _split(batch: pa.RecordBatch) -> pa.RecordBatch:
+    lists = pc.split_pattern(batch.column("content"), "\n")
+    value, block = lists.flatten(), pc.list_parent_indices(lists)
+    n = np.diff(lists.offsets.to_numpy())
+    first = np.cumsum(n) - n
+    size = pc.binary_length(value).to_numpy().astype(np.int64) + 1
+    end = np.cumsum(size)
+    parent = block.to_numpy()
+    begin = end - size
+    # what follows the last line end is a line only if there is something
+    last = np.zeros(len(value), bool)
+    last[first + n - 1] = True
+    use = pa.array(~(last & (size == 1)))
+    columns = [
+        value,
+        batch.column("path").take(block),
+        batch.column("start").take(block),
+        pa.array(np.arange(len(value)) - first[parent]),
+        pa.array(begin - begin[first][parent]),
+    ]
+    names = ["value", "source_file", "_block", "_line", "_start"]
+    return pa.RecordBatch.from_arrays(columns, names).filter(use)
+
+
+def packed_lines(spark: SparkSession, packed: DataFrame) -> DataFrame:
+    """What ``lines_with_places`` gives, of files packed as rows of path, start and content."""
+    session.ship_package(spark)
+    placed = packed.select("path", "start", "content").mapInArrow(
+        _lines_of_blocks,
+        "value binary, source_file string, _block long, _line long, _start long",
     )
+    content = F.col("content").cast("string")
+    ends = F.octet_length(content) - F.octet_length(F.replace(content, F.lit("\n")))
+    counts = packed.select(
+        F.col("path").alias("source_file"),
+        F.col("start").alias("_block"),
+        ends.cast("long").alias("_lines"),
+        F.octet_length("content").cast("long").alias("_size"),
+    )
+    return _numbered(spark, placed.withColumn("value", F.col("value").cast("string")), counts)
 
 
-def error_line_numbers(spark: SparkSession, paths: list[str] | str, schema: str) -> DataFrame:
-    """Error rows of JSON lines with the 1-based number of their line."""
-    lines = lines_with_places(spark, paths)
+def error_line_numbers(
+    spark: SparkSession, paths: list[str] | str | DataFrame, schema: str
+) -> DataFrame:
+    """Error rows of JSON lines with the 1-based number of their line; packed files count too."""
+    packed = isinstance(paths, DataFrame)
+    lines = packed_lines(spark, paths) if packed else lines_with_places(spark, paths)
     wrong = (F.trim(without_return(F.col("value"))) != "") & parsed_line(F.col("value"), schema).isNull()
     return lines.where(wrong).select(
         F.lit("normalization_error").alias("row_type"),

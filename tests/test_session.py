@@ -127,3 +127,82 @@ def test_packet_logs_are_read_by_ranges_of_whole_packets(spark, tmp_path):
     assert all(r["left_raw"] is None and r["sequence_id"] is None for r in rows if r["error"])
     one = binary.read_packets(spark, f"{folder}/b.bin,file://{folder}/c.bin")
     assert one.count() == 3
+
+
+def _files(path):
+    """The files below a folder, packed as one row each."""
+    return [(str(f), 0, f.stat().st_size, f.read_bytes()) for f in sorted(path.rglob("*.*"))]
+
+
+def test_packed_files_have_the_places_of_files(spark, tmp_path):
+    """Blank lines, both line ends, no line end at the end, an empty file, more rows than a batch."""
+    (tmp_path / "a.txt").write_bytes(b"x\r\n\r\n\n" + "éé".encode() + b"\ny")
+    (tmp_path / "b.txt").write_bytes(b"\n")
+    (tmp_path / "c.txt").write_bytes(b"")
+    (tmp_path / "d.txt").write_bytes(b"".join(b"%d\n" % k for k in range(20_000)))
+    packed = spark.createDataFrame(_files(tmp_path), "path string, start long, length long, content binary")
+
+    def places(df):
+        return sorted(
+            (r["source_file"].rsplit("/", 1)[1], r["line_number"], r["start_byte"], r["value"]) for r in df.collect()
+        )
+
+    assert places(text.packed_lines(spark, packed)) == places(text.lines_with_places(spark, str(tmp_path)))
+
+
+def test_packed_lines_of_a_file_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(text, "PACKED_BYTES", 50)
+    rows = [(k % 3 or None, k, None if k == 12 else "é" * (k % 40)) for k in range(600)]
+    lines = spark.createDataFrame(rows, "f long, k long, line string").repartition(5)
+    packed = session.materialise(spark, text.pack_lines(lines, "f", ["k"], "line"))
+    assert packed.count() > 100
+    want = []
+    for f in (None, 1, 2):
+        at = 0
+        for number, line in enumerate((x or "" for g, _, x in rows if g == f), 1):
+            want.append((str(f or text.NO_PATH), number, at, line))
+            at += len(line.encode()) + 1
+    found = text.packed_lines(spark, packed)
+    assert sorted((r["source_file"], r["line_number"], r["start_byte"], r["value"]) for r in found.collect()) == sorted(want)
+
+
+def test_sessions_of_one_line_commit_nothing(spark, tables):
+    """Such a session has a marker of no frames; packed files give what folders give."""
+    from braidline.queries import io
+    from braidline.queries.base import Tables
+
+    class Few(Tables):
+        def events(self, *kinds):
+            return spark.createDataFrame(
+                [(k, u, 1000 * k) for k, u in enumerate([3, 5, 6, 3, 3, 5, 7, 7, 7, 7, None])],
+                "event_id long, user_id long, t long",
+            )
+
+    rows, errors = io._archive(Few(spark, tables.folder))
+    assert sorted((r["session"], r["sequence"]) for r in rows.collect()) == [(7, 6), (7, 7), (7, 8)]
+    assert sorted((r["session"], r["error"]) for r in errors.collect()) == [
+        (3, "shorter_than_commit"), (5, "invalid_checksum"),
+    ]
+
+
+def test_folders_and_packed_files_commit_alike(spark, tmp_path):
+    import pandas as pd
+
+    from braidline.queries import io
+    from braidline.sources import archive
+
+    lines = [f'{{"sequence": {k}}}' for k in range(9)]
+    made = next(io._session_files([pd.DataFrame({"session": [2, 3, 5, 8], "lines": [lines, lines, lines, lines[:1]]})]))
+    made["path"] = [f"{tmp_path}/{p}" for p in made["path"]]
+    for r in made.itertuples():
+        (tmp_path / "sessions" / r.path.split("/")[-2]).mkdir(parents=True, exist_ok=True)
+        with open(r.path, "wb") as out:
+            out.write(r.content)
+    packed = spark.createDataFrame([tuple(r) for r in made.itertuples(index=False)], io.PACKED_FILES)
+
+    def found(root):
+        both = archive.committed_lines(spark, root, "frame_index.jsonl", "sequence long", "frame_index_size")
+        return [sorted((r[0].rsplit("/", 1)[1], r[1]) for r in x.collect()) for x in both]
+
+    assert found(packed) == found(str(tmp_path))
+    assert found(packed)[0] == [("2", k) for k in range(6)]
