@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from braidline import session
 
 SAMPLES_PER_TASK = 16
+PARTITION_ROWS = 250_000  # rows of all keys that one task orders, as far as there are keys
 _BLOCK = 64
 _HASH_RANGE = 1 << 30
 _KEY = "_key"
@@ -99,9 +100,13 @@ class Total:
 
 @dataclass
 class Pieces:
-    """Cut points of the hot keys; ``table`` holds at most ``maxTasks`` points."""
+    """Cut points of the hot keys; ``table`` holds at most ``maxTasks`` points.
+
+    ``rows`` counts the rows of all keys.
+    """
 
     table: DataFrame | None = field(default=None)
+    rows: int = 0
 
 
 def floor_div(x: Column, width: int) -> Column:
@@ -131,7 +136,7 @@ def find_pieces(
     limit = rows_per_task or session.rows_per_task(spark)
     total = df.count()
     if total <= limit:
-        return Pieces()
+        return Pieces(rows=total)
     limit = max(limit, -(-total // session.max_tasks(spark)))
     rate = min(1.0, SAMPLES_PER_TASK / limit)
     step = max(1, int(limit * rate))
@@ -157,7 +162,7 @@ def find_pieces(
     for row in cuts.collect():
         points_of.setdefault(tuple(row[k] for k in names), []).append(row["_o"])
     if not points_of:
-        return Pieces()
+        return Pieces(rows=total)
     blocked = []
     for key, points in points_of.items():
         points.sort(key=lambda p: tuple((v is not None, v) for v in p))
@@ -169,14 +174,15 @@ def find_pieces(
         [T.StructField(f.name, f.dataType, True) for f in fields]
         + [T.StructField("_cuts", cut_type, True)]
     )
-    return Pieces(spark.createDataFrame(blocked, schema))
+    return Pieces(spark.createDataFrame(blocked, schema), total)
 
 
 def whole_if_small(df: DataFrame, rows_per_task: int | None = None) -> Pieces | None:
     """Empty cut points when ``df`` fits one task, so that scans of anything no larger skip
     their own count; None when each scan has to look for itself."""
     limit = rows_per_task or session.rows_per_task(df.sparkSession)
-    return Pieces() if df.count() <= limit else None
+    rows = df.count()
+    return Pieces(rows=rows) if rows <= limit else None
 
 
 def _with_cuts(df: DataFrame, keys: list[str], pieces: Pieces) -> DataFrame:
@@ -222,6 +228,18 @@ def with_piece(df: DataFrame, keys: list[str], order: list[str], pieces: Pieces)
     )
 
 
+def dealt(df: DataFrame, part: list[str], rows: int) -> DataFrame:
+    """``df`` in partitions whose number follows its rows, if the session's own are too few.
+
+    Windows hold what they sort, so a fixed number would let a task's memory grow with the input.
+    """
+    spark = df.sparkSession
+    tasks = min(-(-rows // PARTITION_ROWS), session.max_tasks(spark))
+    if not part or tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *part)
+
+
 def _frame(w, strict: bool):
     return w.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
 
@@ -327,7 +345,7 @@ def scan(
         asc = Window.partitionBy(*part).orderBy(*[F.col(c).asc() for c in order])
         desc = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
         whole = Window.partitionBy(*part)
-        return df.select(
+        return dealt(df, keys, pieces.rows).select(
             "*", *[_local(s, asc, desc, whole).alias(n) for n, s in specs.items()]
         )
 
@@ -356,7 +374,7 @@ def scan(
         edges.append(F.lag(F.lit(True)).over(asc).isNull().alias("_first"))
     if any(isinstance(s, Lead) for s in specs.values()):
         edges.append(F.lead(F.lit(True)).over(asc).isNull().alias("_last"))
-    windowed = base.select(
+    windowed = dealt(base, part, pieces.rows).select(
         "*",
         *edges,
         *[_local(s, asc, desc, whole).alias(f"_l_{n}") for n, s in specs.items()],

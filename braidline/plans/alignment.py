@@ -191,12 +191,17 @@ def uniform_targets(
     if dt <= 0:
         return episodes.select(*keys, F.col(start).alias("t")).where(F.lit(False))
     count = ordered.floor_div(F.col(end) - F.col(start), dt)
+    spans = episodes.where((F.col(end) > F.col(start)) & (count > 0)).select(
+        *keys, F.col(start).alias("_start"), count.alias("_count")
+    )
+    # ticks may outnumber the episodes by far: their tasks follow the ticks
+    ticks = spans.agg(F.sum("_count")).first()[0] or 0
     return (
-        episodes.where((F.col(end) > F.col(start)) & (count > 0))
+        ordered.dealt(spans, keys, ticks)
         .select(
             *keys,
-            F.col(start).alias("_start"),
-            F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("tick"),
+            "_start",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1)).alias("tick"),
         )
         .select(*keys, "tick", (F.col("_start") + F.col("tick") * dt).alias("t"))
     )

@@ -187,3 +187,14 @@ def test_tied_values_are_one_row_of_the_sample(spark):
     cut = ordered.percentiles(rows, ["k"], "v", rows_per_task=100, p=0.3, q=0.75).collect()
     plain = ordered.percentiles(rows, ["k"], "v", p=0.3, q=0.75).collect()
     assert sorted(map(tuple, cut)) == sorted(map(tuple, plain))
+
+
+@pytest.mark.parametrize("limit", [None, 40])
+def test_partitions_follow_the_rows(spark, monkeypatch, limit):
+    """A task orders a bounded number of rows, however few partitions the session has."""
+    df = rows(spark, hot=0.3)
+    want = as_dict(ordered.scan(df, ["k"], ["t", "id"], **SPECS))
+    monkeypatch.setattr(ordered, "PARTITION_ROWS", 20)
+    scanned = ordered.scan(df, ["k"], ["t", "id"], limit, **SPECS)
+    assert scanned.rdd.getNumPartitions() == 30
+    assert as_dict(scanned) == want

@@ -259,3 +259,15 @@ def test_every_gate_refuses_and_the_report_tells(spark, normal, result):
     assert state == "alignment" and "camera_valid_ratio_low" in reasons
     only_phone_depth = postprocess.Settings(media=("phone_image", "phone_depth"))
     assert refused(only_phone_depth) == ("media", "missing_phone_depth_ratio_high")
+
+
+def test_tasks_of_ticks_follow_the_ticks(spark, monkeypatch):
+    from braidline import ordered
+    from braidline.plans import alignment
+
+    ep = spark.createDataFrame([(k, 1000 * k, 1000 * k + 500) for k in range(8)], "e long, s long, x long")
+    want = [(k, n, 1000 * k + 10 * n) for k in range(8) for n in range(50)]
+    monkeypatch.setattr(ordered, "PARTITION_ROWS", 40)
+    ticks = alignment.uniform_targets(ep, ["e"], "s", "x", 1e8)
+    assert ticks.rdd.getNumPartitions() == 10
+    assert sorted(tuple(r) for r in ticks.collect()) == want
