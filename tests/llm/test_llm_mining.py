@@ -350,3 +350,23 @@ def test_links_of_groups_equal_all_pairs(spark):
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if brute.jaccard(sets[i], sets[j]) >= 0.8]
     together = sum(got[i] == got[j] for i, j in pairs)
     assert together >= 0.95 * len(pairs) and all(want[i] == want[j] for i, j in pairs)
+
+
+@pytest.mark.parametrize("common_at", [near_copies.COMMON, 1])
+def test_rows_the_bands_miss_are_linked(spark, monkeypatch, common_at):
+    """Without any candidate from the bands, the components are those of all pairs."""
+    texts = copies_of_one_text(30, 5, (0, 3)) + copies_of_one_text(30, 6, (3, 6)) + ["", "one two", "a b c d e", " \n"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    rows = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text")).collect()]
+    place = {h: k for k, h in enumerate(rows)}
+    monkeypatch.setattr(near_copies, "COMMON", common_at)
+    monkeypatch.setattr(near_copies, "SEEN", 2)
+    whole = near_copies._candidates
+    monkeypatch.setattr(near_copies, "_candidates", lambda spark, nodes: whole(spark, nodes).where("a IS NULL"))
+    links = {(place[r.a], place[r.b]) for r in near_copies.links(spark, df).collect()}
+    sets = [brute.shingles(t, 5) for t in texts]
+    alike = lambda i, j: brute.jaccard(sets[i], sets[j]) >= 0.8 - 1e-9
+    assert all(alike(a, b) for a, b in links)
+    found = brute.components(len(texts), lambda i, j: (i, j) in links or (j, i) in links or texts[i] == texts[j])
+    assert found == brute.components(len(texts), alike)
+    assert len(set(found)) < len(texts) - 20
