@@ -24,13 +24,15 @@ their name is unique. Three things keep it small:
   parts repeat are named in the last round.
 
 The texts are written once as a table of slices, consecutive documents with at
-most SLICE_BYTES of text. Each round reads them where they lie. A slice sends a
+most SLICE_BYTES of text, and with each text its anchors and how many strings have
+each of them. Each round reads them where they lie and hashes only the strings that
+it names, so no round but the writing one looks at every position. A slice sends a
 name once, with its least doc_id, however often it occurs, so that a string in
 a third of all documents costs one row per slice. Names found in several slices
 go back to the part of the table that they came from, as files beside it.
 
-Names have 64 bits in the first round, where a chance collision only makes more
-work, and 128 bits afterwards.
+Names have 64 bits where a chance collision only makes more work, that is for
+anchors and doubled strings, and 128 bits for spans and whole strings.
 
 Defined cases: a null text is empty; texts shorter than LENGTH bytes lose
 nothing; null doc_ids together are one document before all others; rows that
@@ -52,7 +54,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from braidline import session
-from braidline.llm import common
+from braidline.llm import common, tokens
 
 LENGTH = 50
 SEED = 16
@@ -60,13 +62,14 @@ SLICE_BYTES = 4 << 20
 ROW_GROUP = 1 << 30  # more than a part of the table, so that no slice is split
 
 U = np.uint64
-_NONE = ~U(0)
-_BASES = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
-_BYTES = [
-    np.frombuffer(hashlib.shake_128(bytes([k])).digest(256 * 8), "<u8") | U(1) for k in (1, 2)
-]
-
-SLICES = "part int, slice int, doc_id long, text string"
+_FACTORS = (
+    (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)),
+    (U(0xC2B2AE3D27D4EB4F), U(0xA24BAED4963EE407)),
+)
+WORD = 8
+BLOCK = 1 << 15  # strings named at once, so that their hashes stay in the cache
+
+SLICES = "part int, slice int, doc_id long, text string, runs binary"
 SEED_NAMES = "name long, slice long, least long"
 NAMES = "name long, more long, slice long, least long"
 PER_PART = 1 << 20  # a slice's id is its part times this, and its number there
@@ -74,112 +77,161 @@ REPLY = "slice int, name long, least long, part int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> U(32))) * U(0xD6E8FEB86659FD93)
-    return h ^ (h >> U(29))
+def padded(texts: list[bytes]) -> np.ndarray:
+    """The bytes of all texts, and some zeros behind them, so that a word starts at each byte."""
+    return np.frombuffer(b"".join([*texts, bytes(WORD)]), np.uint8)
 
 
-def names(data: np.ndarray, length: int, which: int = 0) -> np.ndarray:
-    """Hash of the ``length`` bytes at each position, from pairs of names of half the length."""
-    if len(data) < length:
-        return np.empty(0, U)
-    now, width, power = _BYTES[which][data], 1, int(_BASES[which])
-    out, done = None, 0
-    while True:
-        if length & width:
-            if out is None:
-                out = now
-            else:
-                n = len(data) - (done + width) + 1
-                out = out[:n] * U(power) + now[done : done + n]
-            done += width
-        if done == length:
-            return _mixed(out)
-        now = now[:-width] * U(power) + now[width:]
-        power, width = power * power & (2**64 - 1), 2 * width
-
-
-def span_names(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0
-) -> np.ndarray:
-    """Hash of data[start:end] for each pair, from running sums over all of ``data``."""
-    base = int(_BASES[which])
-    n = len(data)
-    powers = np.cumprod(np.concatenate([[U(1)], np.full(n, base, U)]))
-    back = pow(base, -1, 1 << 64)
-    inverse = np.cumprod(np.concatenate([[U(1)], np.full(n, back, U)]))
-    sums = np.concatenate([[U(0)], np.cumsum(_BYTES[which][data] * powers[:n])])
-    found = (sums[ends] - sums[starts]) * inverse[starts]
-    return _mixed(found + (ends - starts).astype(U) * U(0xA24BAED4963EE407))
-
-
-def sliding(x: np.ndarray, n: int, least) -> np.ndarray:
-    """``least`` (np.minimum or np.maximum) of each ``n`` consecutive values."""
+def words(data: np.ndarray) -> np.ndarray:
+    """The word that starts at each byte of padded data; words overlap."""
+    return np.ndarray(len(data) - WORD + 1, "<u8", data, strides=(1,))
+
+
+def _mix(h: np.ndarray, which: int) -> np.ndarray:
+    first, second = _FACTORS[which]
+    h *= first
+    h ^= h >> U(32)
+    h *= second
+    h ^= h >> U(29)
+    return h
+
+
+def _names(word: np.ndarray, starts: np.ndarray, sizes, which: int) -> np.ndarray:
+    longest = int(np.max(sizes))
+    out = _mix(np.full(len(starts), sizes, U) + U(1), which)
+    last = np.maximum(np.asarray(sizes, np.int64) - WORD, 0)
+    for k in range(0, longest, WORD):
+        found = word[starts + np.minimum(last, k)]
+        if k == 0 and np.min(sizes) < WORD:
+            found &= (U(2) << (np.minimum(sizes, WORD) * 8 - 1).astype(U)) - U(1)
+        mixed = _mix(out ^ found, which)
+        out = mixed if np.ndim(sizes) == 0 else np.where(sizes > k, mixed, out)
+    return out
+
+
+def names(word: np.ndarray, starts: np.ndarray, sizes, which: int = 0) -> np.ndarray:
+    """Hash of the ``sizes`` bytes from each start, word by word; the last word may overlap."""
+    out = np.empty(len(starts), U)
+    for at in range(0, len(starts), BLOCK):
+        of = slice(at, at + BLOCK)
+        out[of] = _names(word, starts[of], sizes if np.ndim(sizes) == 0 else sizes[of], which)
+    return out
+
+
+def sliding(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of each ``n`` consecutive values."""
     width = 1
     while 2 * width <= n:
-        x = least(x[:-width], x[width:])
+        x = np.minimum(x[:-width], x[width:])
         width *= 2
-    return least(x[: len(x) - (n - width)], x[n - width :]) if width < n else x
+    return np.minimum(x[: len(x) - (n - width)], x[n - width :]) if width < n else x
+
+
+def anchor_offsets(data: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """How far behind its start the anchor of each ``length``-byte string lies.
+
+    The anchor is the first of the seeds with the least hash; hashes have 48 bits
+    here, and the place in the block below them settles ties.
+    """
+    span = length - seed + 1
+    n = len(data) - WORD - length + 1
+    out = np.empty(max(n, 0), np.min_scalar_type(span))
+    word, place = words(data), np.arange(BLOCK + span, dtype=U)
+    mask = U(2 ** (8 * min(seed, WORD)) - 1)
+    for at in range(0, n, BLOCK):
+        size = min(BLOCK, n - at)
+        seeds = size + span - 1
+        h = np.full(seeds, U(seed))
+        for k in range(0, seed, WORD):
+            from_ = at + max(min(k, seed - WORD), 0)
+            h ^= word[from_ : from_ + seeds] & mask
+            _mix(h, 0)
+        key = h & ~U(0xFFFF) | place[:seeds]
+        out[at : at + size] = (sliding(key, span) & U(0xFFFF)) - place[:size]
+    return out
+
+
+def runs(texts: list[bytes], length: int, seed: int) -> list[bytes]:
+    """Per text, its runs of strings that share an anchor.
+
+    A run is the offset of the anchor from its first string and the number of its
+    strings; first all offsets, then all numbers.
+    """
+    kind = np.min_scalar_type(length - seed + 1)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    offset = anchor_offsets(padded(texts), length, seed)
+    strings = np.maximum(sizes - length + 1, 0)
+    ends = np.cumsum(sizes)
+    new = np.ones(len(offset) + 1, bool)
+    new[1 : len(offset)] = offset[1:] + kind.type(1) != offset[:-1]
+    out = []
+    for first, n in zip((ends - sizes).tolist(), strings.tolist()):
+        if not n:
+            out.append(b"")
+            continue
+        new[first] = True
+        starts = np.flatnonzero(new[first : first + n])
+        numbers = np.diff(starts, append=n).astype(kind)
+        out.append(offset[first + starts].tobytes() + numbers.tobytes())
+    return out
 
 
 class Slice:
-    """The texts of consecutive rows as one byte array, and their anchors."""
+    """The texts of consecutive rows as one byte array, and their anchors.
+
+    Anchor k is that of ``count[k]`` strings from ``first[k]`` on, and lies at ``at[k]``.
+    """
 
-    def __init__(self, doc_ids: list, texts: list[bytes], length: int, seed: int):
+    def __init__(self, doc_ids: list, texts: list[bytes], found: list[bytes], length: int, seed: int):
         self.length = length
         self.texts = texts
         self.ids = np.array([common.LEAST_ID if d is None else d for d in doc_ids], np.int64)
         self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.data = padded(texts)
+        self.word = words(self.data)
         self.ends = np.cumsum(self.sizes)
-        span = length - seed + 1  # seeds inside a string
-        self.at = np.empty(0, np.int64)
-        if len(self.data) < length:
-            self.least = self.seeds = np.empty(0, U)
-            return
-        seeds = names(self.data, seed)
-        least = sliding(seeds, span, np.minimum)
-        # strings that reach into the next text do not count
-        edge = np.zeros(len(self.data) + 1, np.int8)
-        starts = np.maximum(self.ends - length + 1, self.ends - self.sizes)
-        np.add.at(edge, starts, 1)
-        np.add.at(edge, self.ends, -1)
-        whole = (np.cumsum(edge[:-1]) == 0)[: len(least)]
-        self.least = np.where(whole, least, U(0))
-        padded = np.zeros(len(seeds) + span - 1, U)
-        padded[span - 1 : span - 1 + len(least)] = self.least
-        reach = sliding(padded, span, np.maximum)
-        self.at = np.flatnonzero((reach == seeds) & (reach > 0))
-        self.seeds = seeds[self.at]
+        self.n = int(self.sizes.sum())
+        kind = np.min_scalar_type(length - seed + 1)
+        per_text = np.array([len(r) // (2 * kind.itemsize) for r in found], np.int64)
+        halves = np.frombuffer(b"".join(found), kind)
+        self.text = np.repeat(np.arange(len(texts)), per_text)
+        last = np.cumsum(per_text)
+        # where the offsets of an anchor's text start, and its place among them
+        own = np.arange(len(self.text)) + np.repeat(last - per_text, per_text)
+        self.count = halves[own + np.repeat(per_text, per_text)].astype(np.int64)
+        before = np.cumsum(self.count) - self.count
+        base = (self.ends - self.sizes)[per_text > 0] - before[(last - per_text)[per_text > 0]]
+        self.first = before + np.repeat(base, per_text[per_text > 0])
+        self.at = self.first + halves[own]
+        self.docs = self.ids[self.text]
+        self.seeds = names(self.word, self.at, seed)
 
     def doc_of(self, at: np.ndarray) -> np.ndarray:
         return self.ids[np.searchsorted(self.ends, at, side="right")]
 
-    def names_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit names of the strings at the given positions."""
-        return tuple(names(self.data, self.length, k)[at] for k in (0, 1))
+    def names_of(self, at: np.ndarray, size) -> list[np.ndarray]:
+        """128-bit names of the strings of ``size`` bytes at the given positions."""
+        return [names(self.word, at, size, k) for k in (0, 1)]
 
-    def anchors_of(self, at: np.ndarray) -> np.ndarray:
-        """Which anchor (its number) each whole string has."""
-        anchor = np.searchsorted(self.at, at)
-        want = self.least[at]
-        off = np.flatnonzero(self.seeds[anchor] != want)
-        while len(off):
-            anchor[off] += 1
-            off = off[self.seeds[anchor[off]] != want[off]]
-        return anchor
-
-    def whole(self) -> np.ndarray:
-        """Positions of all strings that lie in one text."""
-        return np.flatnonzero(self.least)
+    def strings(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of all strings that have one of the anchors, and its number for each."""
+        count = self.count[anchors]
+        anchor = np.repeat(anchors, count)
+        ramp = np.arange(len(anchor)) - np.repeat(np.cumsum(count) - count, count)
+        return self.first[anchor] + ramp, anchor
 
 
 def least_docs(name: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct names, the least document of each, and which of them each row has."""
-    distinct, which = np.unique(name, return_inverse=True)
-    order = np.lexsort((docs, which))
-    first = np.flatnonzero(np.diff(which[order], prepend=-1))
-    return distinct, docs[order][first] if len(order) else docs, which
+    which = np.empty(len(name), np.int64)
+    if not len(name):
+        return name, docs, which
+    order = np.argsort(name)
+    ordered = name[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    which[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return ordered[first], np.minimum.reduceat(docs[order], first), which
 
 
 class Replies:
@@ -199,11 +251,13 @@ class Replies:
             else:
                 table = pa.table({c: pa.array([], pa.int64()) for c in ("slice", "name", "least")})
             columns = [table.column(c).to_numpy() for c in ("slice", "name", "least")]
-            order = np.lexsort((columns[1].view(U), columns[0]))
+            order = np.argsort(columns[0], kind="stable")
             self.part = part
             self.slices, self.names, self.least = (c[order] for c in columns)
         lo, hi = np.searchsorted(self.slices, [number, number + 1])
-        return self.names[lo:hi].view(U), self.least[lo:hi]
+        known = self.names[lo:hi].view(U)
+        order = np.argsort(known)
+        return known[order], self.least[lo:hi][order]
 
 
 def earliest(name: np.ndarray, docs: np.ndarray, reply: tuple) -> np.ndarray:
@@ -225,17 +279,18 @@ def is_in(name: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def in_several(name: np.ndarray, docs: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
     """Which names several documents hold, here or in other slices."""
-    _, least, which = least_docs(name, docs)
-    _, most, _ = least_docs(name, -docs - 1)
-    return (least != -most - 1)[which] | is_in(name, elsewhere)
+    distinct, least, which = least_docs(name, docs)
+    several = is_in(distinct, elsewhere)
+    several[which[docs != least[which]]] = True
+    return several[which]
 
 
 def between(piece: Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Positions in any of the ranges [start, end)."""
-    change = np.zeros(len(piece.data) + 1, np.int32)
+    change = np.zeros(piece.n + 1, np.int32)
     np.add.at(change, starts, 1)
     np.add.at(change, ends, -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 class Rounds:
@@ -246,47 +301,74 @@ class Rounds:
         self.anchors = self.spans = self.ends = self.halves = self.last = None
 
     def slices(self, batches) -> Iterator[tuple[int, int, Slice]]:
-        key, ids, texts = None, [], []
+        key, ids, texts, found = None, [], [], []
         for batch in batches:
-            for part, number, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
+            columns = [c.cast(pa.binary()) if pa.types.is_string(c.type) else c for c in batch.columns]
+            for part, number, doc, text, run in zip(*(c.to_pylist() for c in columns)):
                 if key is not None and key != (part, number):
-                    yield *key, Slice(ids, texts, self.length, self.seed)
-                    ids, texts = [], []
+                    yield *key, Slice(ids, texts, found, self.length, self.seed)
+                    ids, texts, found = [], [], []
                 key = part, number
                 ids.append(doc)
-                texts.append(text.encode())
+                texts.append(text)
+                found.append(run)
         if key is not None:
-            yield *key, Slice(ids, texts, self.length, self.seed)
+            yield *key, Slice(ids, texts, found, self.length, self.seed)
 
     @staticmethod
     def rows(part: int, number: int, name, more, docs) -> pa.RecordBatch:
         """One row per distinct name with its least document."""
-        distinct, first, which = np.unique(name, return_index=True, return_inverse=True)
-        _, least, _ = least_docs(name, docs)
+        distinct, least, which = least_docs(name, docs)
         columns = {"name": distinct.view(np.int64)}
         if more is not None:
-            columns["more"] = more[first].view(np.int64)
+            columns["more"] = np.empty(len(distinct), np.int64)
+            columns["more"][which] = more.view(np.int64)
         columns["slice"] = np.full(len(distinct), part * PER_PART + number, np.int64)
         columns["least"] = least
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
+    def cut(self, batches):
+        """Number consecutive rows by slices of at most SLICE_BYTES, and add their runs."""
+        part, number, held = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            for piece in tokens.slices(batch):
+                texts = piece.column("text").cast(pa.binary()).to_pylist()
+                numbers = []
+                for size in map(len, texts):
+                    if held and held + size > SLICE_BYTES:
+                        number, held = number + 1, 0
+                    held += size
+                    numbers.append(number)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part] * len(numbers), pa.int32()),
+                        pa.array(numbers, pa.int32()),
+                        piece.column("doc_id"),
+                        piece.column("text"),
+                        pa.array(runs(texts, self.length, self.seed), pa.binary()),
+                    ],
+                    ["part", "slice", "doc_id", "text", "runs"],
+                )
+
     def name_anchors(self, batches):
         for part, number, piece in self.slices(batches):
-            yield self.rows(part, number, piece.seeds, None, piece.doc_of(piece.at))
+            yield self.rows(part, number, piece.seeds, None, piece.docs)
 
     def _repeated_anchors(self, part: int, number: int, piece: Slice, replies: Replies):
-        """Numbers of the anchors that several documents have."""
-        reply = replies.of(part, number)
-        docs = piece.doc_of(piece.at)
-        several = in_several(piece.seeds, docs, reply[0])
-        return np.flatnonzero(several), earliest(piece.seeds, docs, reply)
+        """Numbers of the anchors that several documents have, and every anchor's least document."""
+        known, elsewhere = replies.of(part, number)
+        distinct, least, which = least_docs(piece.seeds, piece.docs)
+        found = is_in(distinct, known)
+        several = found.copy()
+        several[which[piece.docs != least[which]]] = True
+        least[found] = np.minimum(least[found], elsewhere[np.searchsorted(known, distinct[found])])
+        return np.flatnonzero(several[which]), least[which]
 
     def _spans(self, piece: Slice, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last string start of the spans between neighbouring anchors that repeat."""
         pairs = several[:-1][np.diff(several) == 1]
         first, last = piece.at[pairs], piece.at[pairs + 1]
-        same_text = np.searchsorted(piece.ends, first, side="right")
-        inside = (last + self.length <= piece.ends[same_text]) & (last - first <= self.length)
+        inside = (last + self.length <= piece.ends[piece.text[pairs]]) & (last - first <= self.length)
         return first[inside], last[inside]
 
     def name_spans(self, batches):
@@ -295,29 +377,28 @@ class Rounds:
             several, _ = self._repeated_anchors(part, number, piece, replies)
             first, last = self._spans(piece, several)
             if len(first):
-                name = [span_names(piece.data, first, last + self.length, k) for k in (0, 1)]
+                name = piece.names_of(first, last - first + self.length)
                 yield self.rows(part, number, *name, piece.doc_of(first))
 
     def _state(self, part: int, number: int, piece: Slice, anchors: Replies, spans: Replies):
         """Bytes that spans cover; which starts they settle; open strings and their anchors."""
         several, earliest_seed = self._repeated_anchors(part, number, piece, anchors)
-        gone = np.zeros(len(piece.data), bool)
-        settled = np.zeros(len(piece.data), bool)
+        gone = np.zeros(piece.n, bool)
+        settled = np.zeros(piece.n, bool)
         none = np.empty(0, np.int64)
         if not len(several):
             return gone, settled, none, none
         first, last = self._spans(piece, several)
         if len(first):
-            name, docs = span_names(piece.data, first, last + self.length), piece.doc_of(first)
+            name = names(piece.word, first, last - first + self.length)
+            docs = piece.doc_of(first)
             repeats = earliest(name, docs, spans.of(part, number)) < docs
             gone = between(piece, first[repeats], last[repeats] + self.length)
             settled = between(piece, first[repeats], last[repeats] + 1)
-        whole = piece.whole()
-        left = np.concatenate([[0], np.cumsum(~gone)])
-        whole = whole[~settled[whole] & (left[whole + self.length] > left[whole])]
-        anchor = piece.anchors_of(whole)
-        later = earliest_seed[anchor] < piece.doc_of(whole)
-        return gone, settled, whole[later], anchor[later]
+        whole, anchor = piece.strings(several[earliest_seed[several] < piece.docs[several]])
+        left = np.concatenate([[0], np.cumsum(~gone, dtype=np.int32)])
+        opened = ~settled[whole] & (left[whole + self.length] > left[whole])
+        return gone, settled, whole[opened], anchor[opened]
 
     def open_anchors(self, batches):
         """Names of the anchors of open strings."""
@@ -335,8 +416,7 @@ class Rounds:
     def _halves(self, piece: Slice, known: np.ndarray):
         """Per side, the anchors with a known name that have room, and where their string starts."""
         number = np.flatnonzero(is_in(piece.seeds, known))
-        at = piece.at[number]
-        text = np.searchsorted(piece.ends, at, side="right")
+        at, text = piece.at[number], piece.text[number]
         behind = at + 2 * self.seed <= piece.ends[text]
         before = at - self.seed >= (piece.ends - piece.sizes)[text]
         return (number[behind], at[behind]), (number[before], at[before] - self.seed)
@@ -349,8 +429,8 @@ class Rounds:
             if len(known) and len(piece.at):
                 at = np.unique(np.concatenate([start for _, start in self._halves(piece, known)]))
                 if len(at):
-                    name = [names(piece.data, 2 * self.seed, k)[at] for k in (0, 1)]
-                    yield self.rows(part, number, *name, piece.doc_of(at))
+                    name = names(piece.word, at, 2 * self.seed)
+                    yield self.rows(part, number, name, None, piece.doc_of(at))
 
     def _around_open(self, part: int, number: int, piece: Slice, opened, ends, halves):
         """Strings whose anchor is that of an open string, and whose doubled parts repeat."""
@@ -363,15 +443,13 @@ class Rounds:
         starts = np.concatenate([start for _, start in sides])
         if not len(starts):
             return np.empty(0, np.int64)
-        name = names(piece.data, 2 * self.seed)[starts]
+        name = names(piece.word, starts, 2 * self.seed)
         several = in_several(name, piece.doc_of(starts), elsewhere)
         for (numbers, _), found in zip(sides, np.split(several, [len(sides[0][0])])):
             flag = np.zeros(len(piece.at), bool)
             flag[numbers] = found
             repeats.append(flag)
-        whole = piece.whole()
-        whole = whole[is_in(piece.least[whole], known)]
-        anchor = piece.anchors_of(whole)
+        whole, anchor = piece.strings(np.flatnonzero(is_in(piece.seeds, known)))
         off = piece.at[anchor] - whole
         behind = repeats[0][anchor] | (off + 2 * self.seed > self.length)
         before = repeats[1][anchor] | (off < self.seed)
@@ -386,7 +464,7 @@ class Rounds:
             at = self._around_open(part, number, piece, piece.seeds[anchor], ends, halves)
             at = at[~settled[at]]
             if len(at):
-                yield self.rows(part, number, *piece.names_at(at), piece.doc_of(at))
+                yield self.rows(part, number, *piece.names_of(at, self.length), piece.doc_of(at))
 
     def results(self, batches, with_kept: bool):
         *replies, last = [
@@ -397,7 +475,7 @@ class Rounds:
             at = self._around_open(part, number, piece, piece.seeds[anchor], *replies[2:])
             at = at[~settled[at]]
             if len(at):
-                name, docs = piece.names_at(at)[0], piece.doc_of(at)
+                name, docs = names(piece.word, at, self.length), piece.doc_of(at)
                 repeats = earliest(name, docs, last.of(part, number)) < docs
                 gone = gone | between(piece, at[repeats], at[repeats] + self.length)
             yield self._result(piece, gone, with_kept)
@@ -424,28 +502,6 @@ class Rounds:
         return pa.RecordBatch.from_arrays(arrays, fields)
 
 
-def _cut(batches):
-    """Number consecutive rows by slices of at most SLICE_BYTES."""
-    part, number, held = TaskContext.get().partitionId(), 0, 0
-    for batch in batches:
-        numbers = []
-        for size in map(len, batch.column("text").cast(pa.binary()).to_pylist()):
-            if held and held + size > SLICE_BYTES:
-                number, held = number + 1, 0
-            held += size
-            numbers.append(number)
-        for piece in (batch,):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part] * len(numbers), pa.int32()),
-                    pa.array(numbers, pa.int32()),
-                    piece.column("doc_id"),
-                    piece.column("text"),
-                ],
-                ["part", "slice", "doc_id", "text"],
-            )
-
-
 def _send_back(spark: SparkSession, rows: DataFrame, label: str) -> str:
     """Write (slice, name, least) rows as files by part; what the round shuffled may go then."""
     path = session.scratch_path(spark, label)
@@ -457,17 +513,21 @@ def _send_back(spark: SparkSession, rows: DataFrame, label: str) -> str:
     return path
 
 
-def _in_several_slices(rows: DataFrame) -> DataFrame:
-    """Sort names and keep those of several slices, with the least document of all."""
+def _in_several_slices(rows: DataFrame, only_later: bool) -> DataFrame:
+    """Sort names and keep those of several slices, with the least document of all.
+
+    With ``only_later``, a slice that holds that document itself gets no answer.
+    """
     same = Window.partitionBy(*[c for c in rows.columns if c in ("name", "more")])
     return (
         rows.select(
             "slice",
             "name",
+            F.col("least").alias("own"),
             F.min("least").over(same).alias("least"),
             F.count("*").over(same).alias("slices"),
         )
-        .where("slices > 1")
+        .where("least < own" if only_later else "slices > 1")
         .select(
             F.expr(f"cast(slice div {PER_PART} as int)").alias("part"),
             F.expr(f"cast(slice % {PER_PART} as int)").alias("slice"),
@@ -488,19 +548,20 @@ def remove_repeats(
     session.ship_package(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
     path = session.scratch_path(spark, "slices")
-    writer = rows.mapInArrow(_cut, SLICES).write.option("compression", "zstd")
+    rounds = Rounds(length, seed)
+    writer = rows.mapInArrow(rounds.cut, SLICES).write.option("compression", "zstd")
     writer.option("parquet.block.size", ROW_GROUP).parquet(path)
     table = spark.read.parquet(path)
-    rounds = Rounds(length, seed)
 
-    def named(step, schema: str, label: str) -> str:
-        return _send_back(spark, _in_several_slices(table.mapInArrow(step, schema)), label)
+    def named(step, schema: str, label: str, only_later: bool = False) -> str:
+        found = _in_several_slices(table.mapInArrow(step, schema), only_later)
+        return _send_back(spark, found, label)
 
     rounds.anchors = named(rounds.name_anchors, SEED_NAMES, "anchors")
-    rounds.spans = named(rounds.name_spans, NAMES, "spans")
+    rounds.spans = named(rounds.name_spans, NAMES, "spans", True)
     opened = table.mapInArrow(rounds.open_anchors, "name long").distinct()
     anchors = spark.read.schema(REPLY).parquet(rounds.anchors)
     rounds.ends = _send_back(spark, anchors.join(opened, "name", "left_semi"), "ends")
-    rounds.halves = named(rounds.name_halves, NAMES, "halves")
-    rounds.last = named(rounds.name_around_open, NAMES, "around")
+    rounds.halves = named(rounds.name_halves, SEED_NAMES, "halves")
+    rounds.last = named(rounds.name_around_open, NAMES, "around", True)
     return table.mapInArrow(lambda batches: rounds.results(batches, with_kept), RESULT)
