@@ -252,6 +252,61 @@ def test_suffix_dedup(spark, docs, rows, none, monkeypatch):
     assert listed(suffix_dedup.remove_repeats(spark, docs, 20, 7), *columns) == other
 
 
+@pytest.mark.parametrize("length, seed", [(50, 16), (20, 7), (12, 3)])
+def test_equal_strings_have_equal_anchors(rows, length, seed):
+    texts = [(text or "").encode() for _, text in rows]
+    found = suffix_dedup.runs(texts, length, seed)
+    piece = suffix_dedup.Slice(list(range(len(texts))), texts, found, length, seed)
+    starts, anchors = piece.strings(np.arange(len(piece.at)))
+    lasts = np.cumsum([len(t) for t in texts])
+    want = [s for t, e in zip(texts, lasts) for s in range(e - len(t), e - length + 1)]
+    assert starts.tolist() == want
+    body, offsets = b"".join(texts), {}
+    for start, off in zip(want, (piece.at[anchors] - starts).tolist()):
+        assert 0 <= off <= length - seed
+        assert offsets.setdefault(body[start : start + length], off) == off
+    assert len(piece.at) < len(want)
+
+
+def test_rounds_hash_only_the_strings_they_name(rows, monkeypatch):
+    """Texts are looked at in full when the slices are written, in no later round."""
+    texts = [(text or "").encode() for _, text in rows]
+    found = suffix_dedup.runs(texts, 50, 16)
+    hashed, plain = [], suffix_dedup.names
+
+    def counted(word, starts, *rest):
+        hashed.append(len(starts))
+        return plain(word, starts, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "names", counted)
+    piece = suffix_dedup.Slice([d for d, _ in rows], texts, found, 50, 16)
+    assert sum(hashed) == len(piece.at) < piece.n / 5
+
+
+def test_names_depend_on_the_bytes_alone():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 100, 3000).tolist()), b"abcabcabc" * 40]
+    data = suffix_dedup.padded(texts)
+    starts = rng.integers(0, len(data) - 120, 4000)
+    sizes = rng.integers(1, 100, 4000)
+    whole = suffix_dedup.names(suffix_dedup.words(data), starts, sizes)
+    seen = {}
+    for start, size, name in zip(starts.tolist(), sizes.tolist(), whole.tolist()):
+        assert seen.setdefault(data[start : start + size].tobytes(), name) == name
+    assert len(set(seen.values())) == len(seen)
+    nine = suffix_dedup.names(suffix_dedup.words(data), starts[sizes == 9], 9)
+    assert nine.tolist() == whole[sizes == 9].tolist()
+
+
+def test_only_later_slices_are_answered(spark):
+    schema = "name long, least long, slice long"
+    named = spark.createDataFrame([(1, 5, 0), (1, 9, 1), (1, 5, 2), (2, 7, 1)], schema)
+    every = suffix_dedup._in_several_slices(named, False).collect()
+    later = suffix_dedup._in_several_slices(named, True).collect()
+    assert sorted((r.slice, r.name, r.least) for r in every) == [(0, 1, 5), (1, 1, 5), (2, 1, 5)]
+    assert [(r.slice, r.name, r.least) for r in later] == [(1, 1, 5)]
+
+
 def test_similar_texts_are_linked_and_one_stays(spark, none):
     rng = np.random.default_rng(8)
     text = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
