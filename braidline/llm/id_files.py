@@ -6,7 +6,7 @@ file per range. A file is a sequence of sections of at most SECTION ids:
     magic "BIDF", version, number of document entries, number of blocks
     entries: doc_id, ids in this section, flags (1: goes on in the next section,
         2: the doc_id is null)
-    blocks: number of ids, number of 32-bit words, CRC-32 of the ids
+    blocks: number of ids, number of 16-bit words, CRC-32 of the ids
     CRC-32 of all the above
     the words of all blocks
 
@@ -38,7 +38,7 @@ from braidline import session
 from braidline.llm import common, id_coder, tokens
 
 MAGIC = b"BIDF"
-VERSION = 1
+VERSION = 2
 BLOCK = 4096
 BLOCKS = 1536
 SECTION = BLOCK * BLOCKS
@@ -62,7 +62,7 @@ def pack_section(entries: list[tuple], ids: np.ndarray) -> bytes:
         [(len(b), len(w), zlib.crc32(tokens.id_bytes(b))) for b, w in zip(blocks, coded)], INDEX
     )
     head = HEAD.pack(MAGIC, VERSION, len(table), len(index)) + table.tobytes() + index.tobytes()
-    body = b"".join(w.astype("<u4").tobytes() for w in coded)
+    body = b"".join(w.astype("<u2").tobytes() for w in coded)
     return head + struct.pack("<I", zlib.crc32(head)) + body
 
 
@@ -86,7 +86,7 @@ def sections(stream, name: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             raise ValueError(f"{name} has a damaged section header")
         entries = np.frombuffer(tables, ENTRY, n_docs)
         index = np.frombuffer(tables, INDEX, n_blocks, n_docs * ENTRY.itemsize)
-        coded = [np.frombuffer(exactly(4 * int(n)), "<u4") for n in index["words"]]
+        coded = [np.frombuffer(exactly(2 * int(n)), "<u2") for n in index["words"]]
         blocks = id_coder.decode(coded, index["ids"].tolist())
         for k, (block, crc) in enumerate(zip(blocks, index["crc"])):
             if zlib.crc32(tokens.id_bytes(block)) != crc:

@@ -72,7 +72,7 @@ def _lengths(path: str):
     def lengths(batches):
         encoder = tokens.tokenizer(path)
         for batch in batches:
-            sizes = [len(ids) for ids in encoder.ids_of(batch.column("chunk").to_pylist())]
+            sizes = [len(ids) // 4 for ids in encoder.ids_of(batch.column("chunk").to_pylist())]
             arrays = [batch.column("chunk"), pa.array(sizes, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, ["chunk", "tokens"])
 
@@ -105,7 +105,7 @@ class Counts:
         new = [c for c in distinct if c not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known, new = {}, distinct
-        self.known.update(zip(new, map(len, self.encoder.ids_of(new))))
+        self.known.update(zip(new, (len(ids) // 4 for ids in self.encoder.ids_of(new))))
         sizes = np.fromiter((self.known[c] for c in distinct), np.int64, len(distinct))
         return sizes[coded.indices.to_numpy()]
 

@@ -36,7 +36,8 @@ _READY: dict[str, "ChunkTokenizer"] = {}
 _BEFORE = re.compile(r"(?<=[\w!-~])(?= +[^ ])")
 
 # letters whose lower case and normal form need no library
-_LATIN = re.compile("([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([.,;:!?]*)")
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-Þß-öø-ÿ]+")
+_ENDS = ".,;:!?"
 
 
 def default_path() -> str:
@@ -100,46 +101,55 @@ class ChunkTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
 
-    def _word(self, word: str) -> list[int]:
-        """Ids of one run of Latin letters."""
-        mapped = word.lower()
-        if not mapped.isascii():
-            mapped = self.to_bytes.pre_tokenize_str(mapped)[0][0]
-        return [t.id for t in self.model.tokenize(mapped)]
+    def _word(self, word: str) -> bytes:
+        """Ids of one run of lower-case Latin letters."""
+        mapped = word if word.isascii() else word.translate(self.as_bytes)
+        return _packed([t.id for t in self.model.tokenize(mapped)])
 
-    def _part(self, text: str) -> list[int]:
+    def _part(self, text: str) -> bytes:
         if text not in self.parts:
-            self.parts[text] = self.whole.encode(text, add_special_tokens=False).ids
+            self.parts[text] = _packed(self.whole.encode(text, add_special_tokens=False).ids)
         return self.parts[text]
 
-    def ids_of(self, chunks: list[str]):
-        """The ids of each chunk."""
+    def ids_of(self, chunks: list[str], known: dict[str, bytes] | None = None) -> list[bytes]:
+        """The packed ids of each chunk; those of words and other chunks are added to ``known``."""
+        known = {} if known is None else known
         if self.pieces:
             plain = [c[1:] if self.cut == "piece" else c for c in chunks]
-            yield from self.whole.encode(plain, num_threads=1)
-            return
-        found, other = [[]] * len(chunks), []
-        for k, chunk in enumerate(chunks):
-            latin = _LATIN.fullmatch(chunk) if self.cut == "blank" else None
-            if latin is None:
-                other.append(k)
-                continue
-            word, end = latin.groups()
-            found[k] = self._word(word) + (self._part(end) if end else [])
-        encoded = self.whole.encode_batch_fast([chunks[k] for k in other], add_special_tokens=False)
-        for k, one in zip(other, encoded):
-            found[k] = one.ids
-        yield from found
-
-
-    def learn(self, chunks: list[str]) -> None:
-        new = [c for c in chunks if c not in self.known]
+            found = [_packed(ids) for ids in self.whole.encode(plain, num_threads=1)]
+            known.update(zip(chunks, found))
+            return found
+        found, other = [b""] * len(chunks), range(len(chunks))
+        if self.cut == "blank":
+            other = []
+            for k, chunk in enumerate(chunks):
+                text = chunk.rstrip(_ENDS)
+                if not (text.isalpha() if text.isascii() else _LATIN.fullmatch(text)):
+                    other.append(k)
+                    continue
+                word = text.lower()
+                ids = known.get(word)
+                if ids is None:
+                    ids = known[word] = self._word(word)
+                found[k] = ids if len(text) == len(chunk) else ids + self._part(chunk[len(text) :])
+        rest = [chunks[k] for k in other]
+        encoded = self.whole.encode_batch_fast(rest, add_special_tokens=False)
+        for k, chunk, one in zip(other, rest, encoded):
+            found[k] = known[chunk] = _packed(one.ids)
+        return found
+
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """The packed ids of different chunks. Words are remembered without capitals and signs."""
+        ids = list(map(self.known.get, chunks))
+        new = [k for k, known in enumerate(ids) if known is None]
         if len(self.known) + len(new) > CACHE:
             self.known = {}
-            new = chunks
-        self.known.update(zip(new, (array("I", ids).tobytes() for ids in self.ids_of(new))))
+        for k, one in zip(new, self.ids_of([chunks[k] for k in new], self.known)):
+            ids[k] = one
+        return ids
 
     def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All chunks one after the other, and the n + 1 bounds between texts."""
@@ -158,9 +168,7 @@ class ChunkTokenizer:
         """Ids of all texts one after the other, and the n + 1 bounds between texts."""
         chunks, bounds = self.chunks(texts)
         chunks = chunks.dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        self.learn(distinct)
-        ids = [self.known[c] for c in distinct]
+        ids = self.learn(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.uint32)
         starts = np.cumsum(sizes) - sizes
@@ -183,6 +191,10 @@ def slices(batch: pa.RecordBatch, text: str = "text"):
         at = upto
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def id_bytes(ids: np.ndarray) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     return np.ascontiguousarray(ids, "<u4").tobytes()

@@ -106,6 +106,39 @@ def test_id_coder_round_trip():
     assert sum(map(len, id_coder.encode([text]))) * 32 < 4 * len(text)
 
 
+def test_id_coder_learns_in_runs():
+    # lengths that end before, at and after the steps that learn; blocks alone are the same words
+    rng = np.random.default_rng(8)
+    drawn = np.minimum(rng.zipf(1.3, 30000), 40000)
+    drawn[rng.integers(0, 29000, 3000)] = 65535
+    blocks = [drawn[n : 2 * n] for n in (4096, 4096, 3585, 1537, 513, 193, 192, 65, 64, 33, 9, 8)]
+    coded = id_coder.encode(blocks)
+    back = id_coder.decode(coded, [len(b) for b in blocks])
+    for block, words, again in zip(blocks, coded, back):
+        assert np.array_equal(block, again)
+        assert np.array_equal(words, id_coder.encode([block])[0])
+    # ids that never change
+    steady = [np.full(4000, n % 7 * 9000) for n in range(40)]
+    coded = id_coder.encode(steady)
+    assert all(np.array_equal(a, b) for a, b in zip(steady, id_coder.decode(coded, [4000] * 40)))
+    assert max(w.nbytes for w in coded) < 100
+    assert id_coder.decode(id_coder.encode([]), []) == []
+    with pytest.raises(ValueError, match="16 bits"):
+        id_coder.encode([np.array([1 << 16])])
+
+
+def test_a_word_is_encoded_once(monkeypatch):
+    encoder, met = tokens.ChunkTokenizer(tokens.default_path()), []
+    one = encoder._word
+    monkeypatch.setattr(encoder, "_word", lambda word: met.append(word) or one(word))
+    texts = ["Strasse strasse, STRASSE! (strasse) strasse.;", "strasse: größe Größe? GRÖSSE"]
+    ids, bounds = encoder.encode(pa.array(texts))
+    encoder.encode(pa.array(["Strasse; strasse? größe"]))
+    assert sorted(met) == ["grösse", "größe", "strasse"]
+    for want, lo, hi in zip(ids_of(texts, 0), bounds, bounds[1:]):
+        assert np.array_equal(ids[lo:hi], want[:-1])
+
+
 def ids_of(texts, end):
     from tokenizers import Tokenizer
 
